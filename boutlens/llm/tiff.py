@@ -276,14 +276,30 @@ def decode(data: bytes) -> Iterator[tuple[int, int, int, int, int, bytes]]:
         page += 1
 
 
-@F.pandas_udf("binary")
-def to_tiff(payloads: pd.Series) -> pd.Series:
+def tiff_column(payload: Column) -> Column:
     """Bytes that fill whole rows of 64 samples, as TIFF: deflate strips without a predictor; else null."""
-    return payloads.map(lambda p: encode(bytes(p)) if p is not None and len(p) and len(p) % 64 == 0 else None)
 
+    @F.pandas_udf("binary")
+    def store(payloads: pd.Series) -> pd.Series:
+        return payloads.map(lambda p: encode(bytes(p)) if p is not None and len(p) and len(p) % 64 == 0 else None)
 
-def tiff_column(payload: Column) -> Column:
-    return to_tiff(payload)
+    return store(payload)
+
+
+def histogram(pixels: Column, bins: int = 16) -> Column:
+    """Shares of the samples by brightness, in thousandths, as text; null for null samples."""
+
+    @F.pandas_udf("string")
+    def count(images: pd.Series) -> pd.Series:
+        def one(data: bytes | None) -> str | None:
+            if data is None:
+                return None
+            found = np.bincount(np.frombuffer(data, np.uint8) // (256 // bins), minlength=bins)
+            return ",".join(map(str, (found * 1000 // max(1, len(data))).tolist()))
+
+        return images.map(one)
+
+    return count(pixels)
 
 
 def pages(df: DataFrame, media: str) -> DataFrame:
