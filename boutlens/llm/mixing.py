@@ -27,7 +27,7 @@ from .common import SPACE, WORD, cut, small
 
 BLOCK, SHARD, CAP, ROUNDS, SEED = 128, 1024, 3, 12, 20240101
 #: Rows or shards summed within one window partition.
-RUN = 20_000
+RUN = 2_000
 #: Cells of the unit interval in which a draw looks for its source.
 CELLS = 4096
 

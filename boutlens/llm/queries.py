@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, syncmers, tiff, url_filter
+from . import html_extract, lines, mixing, neardup, packing, quality, syncmers, tiff, tool_calls, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +28,59 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.col("digest").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.drop("__key1", "__key2")
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "line_dedup.*")
+
+
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", RULES)
     return judged.select("page_id", *[f"judged.{c}" for c in ("host", "path", "rule", "verdict")], F.size("judged.strict").alias("strict_hits"), F.size("judged.soft").alias("soft_hits"))
 
 
+#: The tools of the query below.
+SCHEMAS = (
+    ("configure", '{"type":"object","required":["text"],"properties":{"text":{"type":"string"},"turn":{"type":"integer","maximum":0}}}'),
+    ("reply", '{"type":"object","required":["text","turn"],"additionalProperties":false,"properties":{"text":{"type":"string","minLength":20},"turn":{"type":"integer","minimum":0}}}'),
+)
+
+
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """System and user turns are calls (of configure and reply), an assistant turn is the result of the turn before it;
+    every call needs the conversation's opening call."""
+    turns = table(spark, sf_dir, "conversations")
+    named = lambda turn: F.concat_ws("-", F.lit("call"), "conv_id", turn)
+    arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"), "turn"))
+    calls = turns.filter(F.col("role").isin("system", "user")).select(
+        "conv_id", "turn", named(F.col("turn")).alias("call_id"),
+        F.when(F.col("role") == "system", "configure").otherwise("reply").alias("name"), arguments.alias("arguments"),
+        F.array(named(F.lit(0))).alias("needs"),
+    )
+    results = turns.filter(F.col("role") == "assistant").select(
+        "conv_id", "turn", named(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    linked = tool_calls.link_tool_calls(calls, results, spark.createDataFrame(SCHEMAS, "name string, schema string"))
+    return linked.select(
+        "conv_id", "call_id", "status", "repeats", "level", "position", F.array_join("problems", "; ").alias("problems"),
+        F.sha2("json", 256).alias("json_sha256"),
+    )
+
+
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -59,7 +107,12 @@ def op10_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
+    "op4_html": op4_html,
+    "op5_lines": op5_lines,
+    "op6_neardup": op6_neardup,
     "op7_url_filter": op7_url_filter,
+    "op8_tool_calls": op8_tool_calls,
     "op9_syncmers": op9_syncmers,
     "op10_tiff": op10_tiff,
 }
@@ -87,4 +140,36 @@ def _op7_sql() -> str:
         FROM hits"""
 
 
-ORACLE: dict[str, str] = {"op7_url_filter": _op7_sql()}
+_OP8 = """
+    WITH calls AS (
+        SELECT conv_id, turn, 'call-' || conv_id || '-' || turn AS call_id,
+               CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name, coalesce(text, '') AS text
+        FROM conversations WHERE role IN ('system', 'user') AND conv_id IS NOT NULL AND turn IS NOT NULL),
+    first AS (
+        SELECT *, count(*) OVER (PARTITION BY conv_id, call_id) AS repeats,
+               row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, name, to_json(text)) AS rn
+        FROM calls),
+    levelled AS (
+        SELECT *, CASE WHEN turn <> 0 AND EXISTS (SELECT 1 FROM calls o WHERE o.conv_id = f.conv_id AND o.turn = 0) THEN 1 ELSE 0 END AS level
+        FROM first f WHERE rn = 1),
+    results AS (
+        SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, arg_min(text, turn) AS content
+        FROM (SELECT conv_id, turn, min(text) AS text FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL
+              AND turn IS NOT NULL GROUP BY conv_id, turn)
+        GROUP BY 1, 2),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) - 1 AS position FROM levelled)
+    SELECT coalesce(p.conv_id, r.conv_id) AS conv_id, coalesce(p.call_id, r.call_id) AS call_id,
+           CASE WHEN p.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+           coalesce(p.repeats, 0) AS repeats, p.level::INTEGER AS level, p.position AS position,
+           CASE WHEN p.call_id IS NULL THEN NULL
+                WHEN p.name = 'configure' AND p.turn > 0 THEN '$.turn: too large'
+                WHEN p.name = 'reply' THEN concat_ws('; ', CASE WHEN length(p.text) < 20 THEN '$.text: too short' END,
+                                                     CASE WHEN p.turn < 0 THEN '$.turn: too small' END)
+                ELSE '' END AS problems,
+           sha256('{"arguments":' || CASE WHEN p.call_id IS NULL THEN 'null' ELSE '{"text":' || to_json(p.text) || ',"turn":' || p.turn || '}' END
+                  || ',"id":"' || coalesce(p.call_id, r.call_id) || '","name":' || coalesce('"' || p.name || '"', 'null')
+                  || ',"result":' || coalesce(to_json(r.content)::VARCHAR, 'null') || '}') AS json_sha256
+    FROM placed p FULL JOIN results r ON p.conv_id = r.conv_id AND p.call_id = r.call_id"""
+
+ORACLE: dict[str, str] = {"op7_url_filter": _op7_sql(), "op8_tool_calls": _OP8}
