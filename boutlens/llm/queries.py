@@ -91,11 +91,11 @@ def op10_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.length("data").cast("long")
     padded = F.greatest(F.lit(1), F.ceil(n / 64)) * 64
     payload = F.concat("data", F.unhex(F.repeat(F.lit("00"), (padded - n).cast("int"))))
-    media = docs.select("doc_id", n.alias("n_bytes"), tiff.tiff_column(payload).alias("media"))
+    media = tiff.with_tiff(docs.select("doc_id", n.alias("n_bytes"), payload.alias("data")), F.col("data"))
     page = tiff.pages(media, "media")
-    pixels = F.col("pixels")
-    read = page.select("doc_id", "n_bytes", "media", F.col("tiff_page.pixels").alias("pixels"), "tiff_page")
-    shape = F.concat_ws(":", F.lit("grey8"), F.col("tiff_page.width"), F.col("tiff_page.height"), tiff.histogram(pixels))
+    read = page.select("doc_id", "n_bytes", "media", "tiff_page", "tiff_page.pixels")
+    pixels, shape = F.col("pixels"), [F.col(f"tiff_page.{c}").cast("string") for c in ("width", "height")]
+    shape = F.concat_ws(":", F.lit("grey8"), *shape, F.array_join(F.col("tiff_page.histogram").cast("array<string>"), ","))
     return read.select(
         "doc_id", "n_bytes", F.length(pixels).cast("long").alias("payload_bytes"),
         F.sha2(pixels, 256).alias("payload_sha256"), F.crc32(F.substring(pixels, -64, 64)).alias("tail_crc32"),

@@ -2,7 +2,7 @@
 
 ``decode`` walks the image directories of a file and undoes PackBits, LZW or deflate, strips or tiles, and the
 horizontal predictor; ``pages`` emits one row per page of every file. ``encode`` stores bytes as an 8-bit grey
-image. Everything works row by row inside the tasks; nothing is shuffled.
+image. Everything works on a few rows at a time inside the tasks; nothing is shuffled.
 
 Defined results: a null or empty file has no pages; a file that is not TIFF, is cut short, or uses a form that is
 not decoded gives one row with ``error`` set and null samples. Repeated rows give repeated results.
@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Tags, field types and compression codes of the TIFF 6.0 format.
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = (
@@ -30,7 +30,14 @@ NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 #: Directories that one file may chain; a longer chain is taken as damaged (a loop is found by its offsets).
 MAX_PAGES = 100_000
 
-PAGE = "page int, width int, height int, samples_per_pixel int, compression int, pixels binary, error string"
+PAGE = (
+    "page int, width int, height int, samples_per_pixel int, compression int, pixels binary, histogram array<int>,"
+    " error string"
+)
+PAGE_TYPE = pa.struct([
+    *((name, pa.int32()) for name in ("page", "width", "height", "samples_per_pixel", "compression")),
+    ("pixels", pa.binary()), ("histogram", pa.list_(pa.int32())), ("error", pa.string()),
+])
 
 
 def unpack_bits(data: bytes) -> bytes:
@@ -276,46 +283,55 @@ def decode(data: bytes) -> Iterator[tuple[int, int, int, int, int, bytes]]:
         page += 1
 
 
-def tiff_column(payload: Column) -> Column:
-    """Bytes that fill whole rows of 64 samples, as TIFF: deflate strips without a predictor; else null."""
+#: Rows that are encoded or decoded at once.
+CHUNK = 128
 
-    @F.pandas_udf("binary")
-    def store(payloads: pd.Series) -> pd.Series:
-        return payloads.map(lambda p: encode(bytes(p)) if p is not None and len(p) and len(p) % 64 == 0 else None)
 
-    return store(payload)
+def with_tiff(df: DataFrame, payload: Column, name: str = "media", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``df`` (default: all) and a column ``name``: bytes that fill whole rows of 64 samples, as TIFF of deflate strips; else null."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(start, CHUNK)
+                data = [p.as_py() for p in part.column(part.num_columns - 1)]
+                made = pa.array([encode(p) if p and len(p) % 64 == 0 else None for p in data], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=schema.names)
 
-def histogram(pixels: Column, bins: int = 16) -> Column:
-    """Shares of the samples by brightness, in thousandths, as text; null for null samples."""
+    kept = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep)]).schema.fields
+    schema = T.StructType([*kept, T.StructField(name, T.BinaryType())])
+    return df.select(*[f"`{f.name}`" for f in kept], payload.alias("__payload")).mapInArrow(run, schema)
 
-    @F.pandas_udf("string")
-    def count(images: pd.Series) -> pd.Series:
-        def one(data: bytes | None) -> str | None:
-            if data is None:
-                return None
-            found = np.bincount(np.frombuffer(data, np.uint8) // (256 // bins), minlength=bins)
-            return ",".join(map(str, (found * 1000 // max(1, len(data))).tolist()))
 
-        return images.map(one)
-
-    return count(pixels)
+def histogram(pixels: bytes, bins: int = 16) -> list[int]:
+    """Shares of the samples by brightness, in thousandths."""
+    found = np.bincount(np.frombuffer(pixels, np.uint8) // (256 // bins), minlength=bins)
+    return (found * 1000 // max(1, len(pixels))).tolist()
 
 
 def pages(df: DataFrame, media: str) -> DataFrame:
     """One row per page of the TIFF in ``media``: all columns of ``df`` and a struct ``tiff_page``."""
 
-    @F.pandas_udf(f"array<struct<{PAGE.replace(' ', ':').replace(',:', ',')}>>")
-    def read(files: pd.Series) -> pd.Series:
-        def one(data: bytes | None) -> list[tuple]:
-            found: list[tuple] = []
-            try:
-                for page in decode(bytes(data)) if data else ():
-                    found.append((*page, None))
-            except (ValueError, KeyError, IndexError, struct.error, zlib.error) as problem:
-                found.append((len(found), None, None, None, None, None, f"{type(problem).__name__}: {problem}"))
-            return found
-
-        return files.map(one)
-
-    return df.select("*", F.explode(read(df[media])).alias("tiff_page"))
+    def one(data: bytes | None) -> list[dict]:
+        found: list[dict] = []
+        try:
+            for page, width, height, samples, how, pixels in decode(data) if data else ():
+                found.append({
+                    "page": page, "width": width, "height": height, "samples_per_pixel": samples, "compression": how,
+                    "pixels": pixels, "histogram": histogram(pixels), "error": None,
+                })
+        except (ValueError, KeyError, IndexError, TypeError, struct.error, zlib.error, ZeroDivisionError) as problem:
+            found.append({"page": len(found), "error": f"{type(problem).__name__}: {problem}"})
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(start, CHUNK)
+                files = [one(x.as_py()) for x in part.column(part.num_columns - 1)]
+                at = pa.array([i for i, found in enumerate(files) for _ in found], pa.int64())
+                made = pa.array([page for found in files for page in found], PAGE_TYPE)
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in part.columns[:-1]), made], names=schema.names)
+
+    schema = T.StructType([*df.schema.fields, T.StructField("tiff_page", T._parse_datatype_string(PAGE))])
+    return df.select("*", df[media].alias("__file")).mapInArrow(run, schema)
