@@ -142,8 +142,13 @@ def mention_windows(texts: DataFrame, keys: list[str], phrase: str, text: str =
 def shingle_hashes(text: Column, n: int) -> Column:
     """Hashes of the distinct word ``n``-grams of a text (lower case, runs of letters and digits)."""
     tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, n), " ")))
-    return F.when(F.size(tokens) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<long>"))
+
+    def grams(words: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")))
+        return F.when(F.size(words) >= n, F.array_distinct(each)).otherwise(F.array().cast("array<long>"))
+
+    # bound as a lambda's variable, the words are split once and not for every gram
+    return F.transform(F.array(tokens), grams)[0]
 
 
 def ngram_overlap(texts: DataFrame, protected: DataFrame, key: str, protected_key: str, n: int = 8, text: str = "text") -> DataFrame:

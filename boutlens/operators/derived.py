@@ -5,15 +5,20 @@ All of them are windows over an entity's history, so one shuffle by entity serve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import age_on
 from ..schema import OUTCOMES, STATS, SUMMED
 from .perspectives import HISTORY, perspectives
 
-ENTITY = Window.partitionBy("fighter_id").orderBy(*HISTORY)
-BEFORE = ENTITY.rowsBetween(Window.unboundedPreceding, -1)
+def entity() -> WindowSpec:
+    """An entity's contests in order."""
+    return Window.partitionBy("fighter_id").orderBy(*HISTORY)
+
+
+def before() -> WindowSpec:
+    return entity().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def flag(condition: Column) -> Column:
@@ -23,7 +28,7 @@ def flag(condition: Column) -> Column:
 def prefight_record(persp: DataFrame) -> DataFrame:
     """Adds prior_wins, prior_losses, prior_draws: contests before this one, in bout order."""
     for outcome, name in zip(OUTCOMES, ("wins", "losses", "draws")):
-        count = F.coalesce(F.sum(flag(F.col("bout_outcome") == outcome)).over(BEFORE), F.lit(0))
+        count = F.coalesce(F.sum(flag(F.col("bout_outcome") == outcome)).over(before()), F.lit(0))
         persp = persp.withColumn(f"prior_{name}", count)
     return persp
 
@@ -32,19 +37,19 @@ def prefight_streaks(persp: DataFrame) -> DataFrame:
     """Adds prior_win_streak and prior_loss_streak: a draw ends both, a no-contest (or unknown) changes nothing."""
     ends = {"win": ("loss", "draw"), "loss": ("win", "draw")}
     out = persp
-    upto = ENTITY.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = entity().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for kind, breaks in ends.items():
         island = F.sum(flag(F.col("bout_outcome").isin(*breaks))).over(upto)
         out = out.withColumn(f"__{kind}", island)
         run = Window.partitionBy("fighter_id", f"__{kind}").orderBy(*HISTORY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn(f"__n_{kind}", F.sum(flag(F.col("bout_outcome") == kind)).over(run))
-        out = out.withColumn(f"prior_{kind}_streak", F.coalesce(F.lag(f"__n_{kind}").over(ENTITY), F.lit(0)))
+        out = out.withColumn(f"prior_{kind}_streak", F.coalesce(F.lag(f"__n_{kind}").over(entity()), F.lit(0)))
     return out.drop("__win", "__loss", "__n_win", "__n_loss")
 
 
 def rest_days(persp: DataFrame) -> DataFrame:
     """Adds rest_days since the contest before, of any outcome; NULL at the debut."""
-    return persp.withColumn("rest_days", F.datediff("event_date", F.lag("event_date").over(ENTITY)))
+    return persp.withColumn("rest_days", F.datediff("event_date", F.lag("event_date").over(entity())))
 
 
 def head_to_head(fights: DataFrame) -> DataFrame:

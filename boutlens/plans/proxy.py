@@ -117,3 +117,8 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         text = text.replace(f"FROM {source}", f"FROM {{{source}}}").replace(f"JOIN {source} ", f"JOIN {{{source}}} ")
     used = {s: spark.read.parquet(f"{sf_dir}/{s}.parquet") for s in ("lineitem", "orders", "part") if f"{{{s}}}" in text}
     return spark.sql(text, **used)
+
+
+def rounds_of(contests: DataFrame) -> DataFrame:
+    """The round rows of contests that are at hand already."""
+    return contests.sparkSession.sql(CTES["rounds"].replace("FROM contests", "FROM {contests}"), contests=contests)

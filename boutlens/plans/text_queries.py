@@ -44,8 +44,8 @@ def _fresh(t: Tables) -> DataFrame:
     return rounded(df.groupBy("event_type").agg(F.count_if("fresh").alias("fresh"), F.count("*").alias("n"), F.min("age_hours").alias("newest")), "newest")
 
 
-_GRAMS = """(SELECT {key}, unnest(list_distinct(list_transform(range(1, len(w) - 6), i -> array_to_string(w[i:i+7], ' ')))) AS gram
-    FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '') AS w FROM {table}) WHERE len(w) >= 8)"""
+_GRAMS = """(SELECT {key}, unnest(list_distinct(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i+7], ' ')))) AS gram
+    FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) >= 8)"""
 
 
 @query("ngram_overlap", f"""SELECT doc_id, item_id, count(*) AS shared FROM {_GRAMS.format(key="doc_id", table="documents")} a JOIN {_GRAMS.format(key="item_id", table="benchmark")} b ON a.gram = b.gram GROUP BY 1, 2""")
@@ -82,16 +82,18 @@ def _adjacent(t: Tables) -> DataFrame:
 
 
 def _described(t: Tables) -> DataFrame:
-    """Chapter lines from a user's events: the hour of each as its start, in the order of the events."""
-    line = F.concat(F.format_string("%d:%02d:%02d", F.col("h"), F.col("event_id") % 60, F.lit(0)), F.lit(" "), F.col("event_type"))
-    events = t.raw("events").withColumn("h", F.dayofmonth("ts"))
+    """Chapter lines from a user's events, a minute apart; every fifth user's do not rise."""
+    n = F.when(F.col("user_id") % 5 == 0, 1).otherwise(F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    events = t.raw("events").withColumn("n", n)
+    line = F.concat(F.format_string("%d:%02d:%02d", F.floor(F.col("n") / 60), F.col("n") % 60, F.lit(0)), F.lit(" "), F.col("event_type"))
     lines = F.array_sort(F.collect_list(F.struct("ts", "event_id", line.alias("line"))))
     return events.groupBy("user_id").agg(lines.alias("l")).select("user_id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("description"))
 
 
-@query("chapters")
+@query("chapters", """SELECT user_id, n AS number, 60 * n AS start_s, lead(60 * n) OVER (PARTITION BY user_id ORDER BY n) AS end_s, event_type AS title
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS c FROM events) WHERE user_id % 5 <> 0 AND c >= 2""")
 def _chapters(t: Tables) -> DataFrame:
-    return coverage.chapters(_described(t), ["user_id"])
+    return coverage.chapters(_described(t), ["user_id"]).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
 @query("mention_windows")
@@ -104,7 +106,7 @@ def _words(t: Tables) -> DataFrame:
     return t.raw("documents").select("doc_id", F.sha2(scalars.words(F.col("text")), 256).alias("words_sha256"), F.sha2(scalars.name_key(F.col("text")), 256).alias("key_sha256"))
 
 
-@query("sentences", """SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), '\\n+|' || chr(1)), x -> trim(x) <> '')) AS sentences FROM documents""")
+@query("sentences", """SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), '\\n+|' || chr(1)), lambda x: trim(x) <> '')) AS sentences FROM documents""")
 def _sentences(t: Tables) -> DataFrame:
     return t.raw("documents").select("doc_id", F.size(scalars.sentences(F.col("text"))).alias("sentences"))
 

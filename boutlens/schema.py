@@ -21,8 +21,16 @@ RESULTS = ("completed", "draw", "no_contest")
 _KIND = {"stance": "string", "name": "string", "id": "string"}
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(), "double": T.DoubleType(),
+}
+
+
 def ddl(*columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(columns))
+    """Fields like ``name type [NOT NULL]``; no session is needed."""
+    parts = [c.split() for c in columns]
+    return T.StructType([T.StructField(p[0], _TYPES[p[1]], p[2:] != ["NOT", "NULL"]) for p in parts])
 
 
 EVENTS = ddl(

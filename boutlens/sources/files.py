@@ -6,25 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schema import ddl
+
 # The shapes of the files.
-RESULTS = T.StructType.fromDDL(
+RESULTS = (
     "event_url string, event_date string, collected_at string, fights array<struct<fight_id: string, fighter_a_name: string,"
     " fighter_b_name: string, winner_name: string, result: string, method_of_victory: string, ending_round: int,"
     " ending_time: string, source_fight_url: string>>"
 )
-MANIFEST = T.StructType.fromDDL(
+MANIFEST = (
     "run_id string, status string, code_version string, started_at string, finished_at string, errors array<string>,"
     " listing struct<url: string, fetched_at: string, event_urls: array<string>, latest_event_date: string>,"
     " event_fights map<string, array<string>>, page_counts map<string, int>, feature_columns array<string>"
 )
-LEDGER = T.StructType.fromDDL(
+LEDGER = (
     "kind string, run_id string, cutoff string, fighter_a string, fighter_b string, predicted_winner string,"
     " win_probability double, predicted_method string, predicted_round int, scheduled_rounds int, fight_id string, error string"
 )
-MARKET = T.StructType.fromDDL(
-    "fighter_a string, fighter_b string, event_date date, line_a int, line_b int, share_a double, share_b double,"
-    " observed_at timestamp, source string"
-)
+MARKET = ddl(
+    "fighter_a string", "fighter_b string", "event_date date", "line_a int", "line_b int", "share_a double", "share_b double",
+    "observed_at timestamp", "source string",
+)
 METRICS_KEY = "report_sha256"
 
 

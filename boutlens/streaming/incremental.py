@@ -43,7 +43,7 @@ def never_fetched(wanted: DataFrame, fetched: DataFrame, key: str) -> DataFrame:
 
 def freshness(listing: DataFrame, now: str, max_hours: float = 48, time: str = "fetched_at") -> DataFrame:
     """Age in hours, and whether it is between -1 and ``max_hours``."""
-    hours = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.col(time))) / 3.6e9
+    hours = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.col(time).cast("timestamp"))) / 3.6e9
     return listing.withColumn("age_hours", hours).withColumn("fresh", F.col("age_hours").between(-1, max_hours))
 
 
