@@ -12,6 +12,7 @@ from ..functions.scalars import age_on
 from ..schema import OUTCOMES, STATS, SUMMED
 from .perspectives import HISTORY, perspectives
 
+
 def entity() -> WindowSpec:
     """An entity's contests in order."""
     return Window.partitionBy("fighter_id").orderBy(*HISTORY)
