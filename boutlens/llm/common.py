@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +44,24 @@ def row_key(*cols: Column) -> list[Column]:
     ]
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct ``row``, so that columns made beside it can't clash with any of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of the struct ``row``, some of them changed."""
+    return df.select(*[(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in columns])
+
+
+def text_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Lets Arrow batches hold ``rows`` rows at most, where the session allows more: texts can be long, and Python workers
+    hold whole batches. The setting stays in the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def partitions(spark: SparkSession, at_least: int = 1) -> int:
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

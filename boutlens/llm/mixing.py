@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, cut, small
+from .common import SPACE, WORD, cut, packed, small, unpacked
 
 BLOCK, SHARD, CAP, ROUNDS, SEED = 128, 1024, 3, 12, 20240101
 #: Rows or shards summed within one window partition.
@@ -253,17 +253,24 @@ def mixed_documents(
     numbers = known.select("row_key", "start", F.row_number().over(copy).alias("__copy"))
     wanted = wanted.join(numbers, ["row_key", "start"])
     seed = how.get("seed", SEED)
-    keyed = docs.withColumn("__key", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col).cast("string")))
+    text = F.col(text_col).cast("string")
+    key = F.xxhash64(F.lit(seed), F.col(id_col), text).alias("__key")
+    keyed = docs.select(packed(docs), key, text.alias("__text"), F.col(source_col).cast("string").alias("__source"))
     again = known.groupBy("row_key").agg(F.count("*").alias("__copies")).filter("__copies > 1").select("row_key")
     once = keyed.join(small(again), F.col("__key") == F.col("row_key"), "left_anti").withColumn("__copy", F.lit(1))
     more = keyed.join(small(again), F.col("__key") == F.col("row_key"), "left_semi")
-    more = more.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(F.col(source_col).asc_nulls_last())))
+    more = more.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(F.col("__source").asc_nulls_last())))
     rows = once.unionByName(more).withColumnRenamed("__key", "row_key")
     found = rows.join(wanted.drop("start"), ["row_key", "__copy"])
-    words = F.regexp_extract_all(F.concat(F.lit(""), F.col(text_col)), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    spans = F.transform("__spans", lambda s: F.array_join(F.slice(F.col("__words"), s["lo"].cast("int") + 1, (s["hi"] - s["lo"]).cast("int")), ""))
-    made = found.withColumn("__words", words).withColumn("__made", F.rtrim(F.array_join(spans, "")))
-    out = {c: F.col(f"`{c}`") for c in docs.columns} | {text_col: F.col("__made")}
-    if "n_chars" in out:
-        out["n_chars"] = F.length("__made").cast(docs.schema["n_chars"].dataType)
-    return made.select(*[c.alias(n) for n, c in out.items()])
+    words = F.regexp_extract_all("__text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+
+    def joined(w: Column) -> Column:
+        piece = lambda s: F.array_join(F.slice(w, s["lo"].cast("int") + 1, (s["hi"] - s["lo"]).cast("int")), "")
+        return F.array_join(F.transform("__spans", piece), "")
+
+    # bound as a lambda's variable, the words are found once and not for every span
+    made = found.withColumn("__made", F.rtrim(F.transform(F.array(words), joined)[0]))
+    changed = {text_col: F.col("__made")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("__made").cast(docs.schema["n_chars"].dataType)
+    return unpacked(made, docs.columns, **changed)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, empty_if_null
+from .common import cut, empty_if_null, text_batches
 
 SEQUENCE, END = 1024, 2
 #: Pieces in a partition, on average.
@@ -76,6 +76,7 @@ def tokenize(
     path: str | None = None,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids (32 bits each, little-endian)."""
+    text_batches(docs.sparkSession)
     path = path or vocabulary_path()
     source = docs.select(F.col(id_col).alias("doc_id"), empty_if_null(docs, text_col).alias("text"))
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, small
+from .common import cut, packed, row_key, small, text_batches, unpacked
 
 #: Labelled documents that the classifier is fitted on, at most.
 MAX_LABELLED = 20_000
@@ -182,6 +182,7 @@ def judge(
     keep: float = KEEP,
 ) -> DataFrame:
     """Per row: doc_id, host, path, evidence, prior, posterior, kept and two key columns that name the row."""
+    text_batches(docs.sparkSession)
     model = train(docs, labels, id_col, text_col, label_col, max_labelled)
     path = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in path_cols])
     host = F.col(host_col).cast("string")
@@ -211,5 +212,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     rejected = judge(docs, labels, **how).filter(~F.col("kept")).select("__key1", "__key2").distinct()
     path = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in how.get("path_cols", ("lang",))])
     host = F.col(how.get("host_col", "source")).cast("string")
-    keyed = docs.select("*", *row_key(F.col(id_col), host, path, F.col(text_col)))
-    return keyed.join(small(rejected), ["__key1", "__key2"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    keyed = docs.select(packed(docs), *row_key(F.col(id_col), host, path, F.col(text_col)))
+    return unpacked(keyed.join(small(rejected), ["__key1", "__key2"], "left_anti"), docs.columns)

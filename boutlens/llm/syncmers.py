@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, partitions
+from .common import cut, partitions, text_batches
 
 #: k-mers of K code points with inner s-mers of S: about one anchor in 32 code points.
 K, S = 80, 17
@@ -150,6 +150,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     bounded share of the rows; its successor is the first row of the next part that has rows (after the last: of the
     first). The whole texts are shuffled once.
     """
+    text_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = partitions(spark)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 # The default vocabulary with weights.
 STRICT = ("casino", "escorts", "malware", "phishing", "porn", "spam", "viagra", "warez", "xxx")
 SOFT = {
@@ -111,8 +113,7 @@ def filter_urls(
     """Adds a struct ``judged`` (host, path, rule, strict, soft, weight, verdict) to every row."""
     text = df[url].cast("string")
     host, path = host_of(text), path_of(text)
-    # one struct, so that a column of any name in df stays untouched
-    hits = df.select("*", host.alias("__host"), path.alias("__path"), url_terms(text, strict, soft).alias("__hits"))
+    hits = df.select(packed(df), host.alias("__host"), path.alias("__path"), url_terms(text, strict, soft).alias("__hits"))
     many = F.size("__hits.soft") >= min_soft
     if min_weight is not None:
         many |= F.col("__hits.weight") >= min_weight
@@ -120,7 +121,7 @@ def filter_urls(
     ruled = hits.withColumn("__rule", rule_for(F.col("__host"), F.col("__path"), rules))
     own = F.when(bad, F.lit("block")).otherwise(F.lit("allow"))
     return ruled.select(
-        *[ruled[f"`{c}`"] for c in df.columns],
+        "row.*",
         F.struct(
             F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule.rule").alias("rule"),
             F.col("__hits.strict").alias("strict"), F.col("__hits.soft").alias("soft"),
