@@ -34,9 +34,11 @@ from .common import cut, small
 SHINGLE, THRESHOLD = 5, 80
 ROWS, BANDS, MANTISSA = 5, 32, 10
 #: Standard errors of the estimate below the threshold at which a pair goes unverified.
-MARGIN = 7.0
+MARGIN = 4.5
 #: Rounds with other meeting points.
-MEETINGS = 3
+MEETINGS = 1
+#: Registers of one byte in the finer sketch of the documents that are still in question at the end; 8 to a number.
+FINE = 768
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
@@ -91,10 +93,14 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-SKETCH = "id long, n_shingles long, set1 long, set2 long, registers binary, bands array<long>"
+#: Four registers to a number.
+LANES = 4
+SKETCH = "id long, n_shingles long, set1 long, set2 long, registers array<long>, bands array<long>"
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: int, bands: int) -> DataFrame:
+    if rows * bands % LANES:
+        raise ValueError(f"the number of registers must be a multiple of {LANES}")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +117,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
                     data = registers(found, by).tobytes()
                     step = 2 * rows
                     keys = [signed(xxhash.xxh3_64_intdigest(data[k * step : k * step + step], seed=k)) for k in range(bands)]
-                    out.append((len(found), signed(whole >> 64), signed(whole & (1 << 64) - 1), data, keys))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+                    lanes = np.frombuffer(data, "<i8").tolist()
+                    out.append((len(found), signed(whole >> 64), signed(whole & (1 << 64) - 1), lanes, keys))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             columns = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(pa.array(list(c), t) for c, t in zip(columns, types))],
@@ -122,26 +129,40 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
     return source.mapInArrow(run, SKETCH)
 
 
-def chance_equal(a: np.ndarray, b: np.ndarray, mantissa: int = MANTISSA) -> np.ndarray:
-    """How likely the registers of two disjoint sets of these sizes are equal: the same zeros, then the same bits."""
-    edge = np.power(0.5, np.arange(0, 64))[None, :]
-    at = lambda n: np.power(1 - edge[:, 1:], n[:, None]) - np.power(1 - edge[:, :-1], n[:, None])
-    return (at(a) * at(b)).sum(axis=1) / (1 << mantissa)
+def equal_registers(left: Column, right: Column, lanes: int = LANES) -> Column:
+    """How many registers of two arrays of ``lanes`` registers to a number are equal."""
+    low = sum(1 << (64 // lanes * k) for k in range(lanes))
 
+    def differ(x: Column, y: Column) -> Column:
+        # folds each lane onto its lowest bit
+        bits, shift = x.bitwiseXOR(y), 32 // lanes
+        while shift:
+            bits, shift = bits.bitwiseOR(F.shiftrightunsigned(bits, shift)), shift // 2
+        return F.bit_count(bits.bitwiseAND(F.lit(low)))
 
-def estimated(left: Column, right: Column, n_left: Column, n_right: Column) -> Column:
+    unequal = F.aggregate(F.zip_with(left, right, differ), F.lit(0), lambda acc, n: acc + n)
+    return F.size(left) * lanes - unequal
+
+
+def chance_equal(n: Column, m: Column, mantissa: int = MANTISSA) -> Column:
+    """How likely a register of two disjoint sets of these sizes is equal: the same zeros, then the same bits."""
+    power = lambda zeros: F.pow(F.lit(0.5), zeros.cast("double"))
+    has = lambda size, z: F.pow(1 - power(z + 1), size) - F.pow(1 - power(z), size)
+    both = F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0.0), lambda acc, z: acc + has(n, z) * has(m, z))
+    return both / (1 << mantissa)
+
+
+def estimated(left: Column, right: Column, n: Column, m: Column) -> Column:
     """Collision-corrected Jaccard similarity from two register columns and the set sizes."""
+    chance = chance_equal(n, m)
+    share = equal_registers(left, right) / (F.size(left) * LANES)
+    return F.greatest((share - chance) / (1 - chance), F.lit(0.0))
 
-    @F.pandas_udf("double")
-    def estimate(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="float64")
-        a = np.frombuffer(b"".join(x), np.uint16).reshape(len(x), -1)
-        b = np.frombuffer(b"".join(y), np.uint16).reshape(len(y), -1)
-        chance = chance_equal(n.to_numpy(float), m.to_numpy(float))
-        return pd.Series(np.maximum(0.0, ((a == b).mean(axis=1) - chance) / (1 - chance)))
 
-    return estimate(left, right, n_left, n_right)
+def least_estimate(registers: int, threshold: int, margin: float) -> float:
+    """The estimate below which a pair goes unverified."""
+    j = threshold / 100
+    return j - margin * (j * (1 - j) / registers) ** 0.5
 
 
 def verified(left: Column, right: Column, shingle: int, threshold: int) -> Column:
@@ -191,15 +212,13 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, threshold: int, margin: float) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, threshold: int, least: float) -> DataFrame:
     """The pairs (a, b) that pass the estimate and the exact test."""
-    j = threshold / 100
     left = reps.select(F.col("id").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na"))
     right = reps.select(F.col("id").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb"))
     sized = pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    k = F.length("ra") / 2
-    least = F.lit(j) - margin * F.sqrt(F.lit(j * (1 - j)) / k)
-    likely = cut(sized.filter(estimated(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")) >= least).select("a", "b"))
+    estimate = estimated(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"))
+    likely = cut(sized.filter(estimate >= least).select("a", "b"))
     ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
     wanted = texts.join(small(ids), "id", "left_semi")
     with_a = likely.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -212,6 +231,7 @@ def near_duplicates(
     rows: int = ROWS, bands: int = BANDS, margin: float = MARGIN, meetings: int = MEETINGS,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest id with an equal set), component_id, kept."""
+    least = least_estimate(rows * bands, threshold, margin)
     sketch = cut(sketches(docs, id_col, text_col, shingle, rows, bands))
     full = sketch.filter("id IS NOT NULL AND n_shingles > 0")
     sets = ["n_shingles", "set1", "set2"]
@@ -230,7 +250,7 @@ def near_duplicates(
     pairs = buckets.filter("id != meet").select(F.col("meet").alias("a"), F.col("id").alias("b")).distinct()
     tested = cut(pairs)
     same = member.filter("id != class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b"))
-    links = verify(tested, reps, texts, shingle, threshold, margin)
+    links = verify(tested, reps, texts, shingle, threshold, least)
     found = components(links)
     for meeting in range(1, meetings + 2):
         known = buckets.join(found, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
@@ -243,12 +263,12 @@ def near_duplicates(
         if meeting <= meetings:
             new = known.filter("component != of").select(F.least("meet", "id").alias("a"), F.greatest("meet", "id").alias("b"))
         else:
-            new = allowed_pairs(known, reps, threshold, margin)
+            new = allowed_pairs(known, reps, texts, shingle, threshold, margin)
         new = cut(new.distinct().join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         if not new.limit(1).count():
             continue
         tested = tested.unionByName(new)
-        more = verify(new, reps, texts, shingle, threshold, margin)
+        more = verify(new, reps, texts, shingle, threshold, least)
         if more.limit(1).count():
             links = links.unionByName(more)
             found = components(links)
@@ -273,25 +293,70 @@ def first_texts(texts: DataFrame, full: DataFrame, sets: list[str]) -> DataFrame
     return once.unionByName(more)
 
 
-def allowed_pairs(known: DataFrame, reps: DataFrame, threshold: int, margin: float) -> DataFrame:
-    """All pairs of different components within a bucket whose sizes and registers allow a link.
+def shared_sizes(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, shared): how many shingles of each text in ``ids`` stand in another one of them too."""
+    wanted = texts.join(small(ids), "id", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for start in range(0, batch.num_rows, 64):
+                    part = batch.slice(start, 64)
+                    sets = [shingles(t, shingle, words).view(np.int64) for t in part.column("text").to_pylist()]
+                    at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                    hashes = np.concatenate(sets) if sets else np.empty(0, np.int64)
+                    yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64())], names=["id", "hash"])
+
+    held = wanted.mapInArrow(run, "id long, hash long").groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    alone = held.filter("n = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    return ids.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
-    The conditions stand in the join itself, so only allowed pairs come out of it.
+
+def fine_sketches(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, fine): FINE registers of each text in ``ids``, folded to a byte each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, by = Words(), multipliers(FINE)
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                made = []
+                for text in batch.column("text").to_pylist():
+                    wide = registers(shingles(text, shingle, words), by).astype(np.uint32)
+                    made.append(((wide * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).view("<i8").tolist())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.list_(pa.int64()))], names=["id", "fine"])
+
+    return texts.join(small(ids), "id", "left_semi").mapInArrow(run, "id long, fine array<long>")
+
+
+def allowed_pairs(known: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, threshold: int, margin: float) -> DataFrame:
+    """All pairs of different components within a bucket that a finer sketch and unshared shingles allow to be linked.
+
+    The shingles that a text shares with no other one in question are counted exactly: what two texts have in common is
+    at most what either shares with any, so the smaller of these bounds their similarity. The conditions stand in the
+    join itself, and a pair comes from the first bucket it shares: only allowed pairs come out, each once.
     """
-    j = threshold / 100
-    data = reps.select("id", "n_shingles", F.hex("registers").alias("text"))
-    numbers = F.transform(F.sequence(F.lit(0), (F.length("text") / 4).cast("int") - 1), lambda k: F.substring(F.col("text"), (k * 4 + 1).cast("int"), F.lit(4)))
-    data = data.select("id", "n_shingles", numbers.alias("registers"))
-    wide = known.select("id", "band", "key", "component").join(data, "id")
-    a = wide.select("band", "key", *[F.col(c).alias(f"{c}_a") for c in ("id", "component", "n_shingles", "registers")])
-    b = wide.select("band", "key", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n_shingles", "registers")])
-    k = F.size("registers_a")
-    equal = F.size(F.filter(F.zip_with("registers_a", "registers_b", lambda x, y: x == y), lambda x: x))
-    sizes = 100 * F.least("n_shingles_a", "n_shingles_b") >= threshold * F.greatest("n_shingles_a", "n_shingles_b")
-    likely = equal >= k * (F.lit(j) - margin * F.sqrt(F.lit(j * (1 - j)) / k))
+    ids = cut(known.select("id").distinct())
+    shared = cut(shared_sizes(ids, texts, shingle))
+    data = reps.join(small(shared), "id").select("id", "n_shingles", (F.col("n_shingles") - F.col("alone")).alias("shared"), "bands")
+    # a text with too few shared shingles for any partner is done: a partner has at least as many as both share
+    data = data.filter(100 * F.col("shared") >= threshold * F.col("n_shingles"))
+    member = known.select("id", "band", "key", "component").join(small(data.select("id")), "id", "left_semi")
+    still = member.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    member = cut(member.join(still.select("band", "key"), ["band", "key"], "left_semi"))
+    fine = fine_sketches(cut(member.select("id").distinct()), texts, shingle)
+    cols = ("id", "component", "n_shingles", "shared", "bands", "fine")
+    wide = member.join(cut(data.join(fine, "id")), "id")
+    a = wide.select("band", "key", *[F.col(c).alias(f"{c}_a") for c in cols])
+    b = wide.select("band", "key", *[F.col(c).alias(f"{c}_b") for c in cols])
+    both = F.least("shared_a", "shared_b")
+    bounded = 100 * both >= threshold * (F.col("n_shingles_a") + F.col("n_shingles_b") - both)
     apart = (F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b"))
+    # without the correction an estimate is only higher: nothing that the correction allows is lost
+    likely = equal_registers(F.col("fine_a"), F.col("fine_b"), 8) >= FINE * F.lit(least_estimate(FINE, threshold, margin))
+    first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True) == a["band"] + 1
     met = (a["band"] == b["band"]) & (a["key"] == b["key"])
-    return a.join(b, met & apart & sizes & likely).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return a.join(b, met & apart & bounded & likely & first).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
