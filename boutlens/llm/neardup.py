@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -47,7 +46,7 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd mul
 class Words(dict):
     """64-bit hashes of words, kept for the next texts."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.LIMIT:
@@ -82,13 +81,20 @@ def multipliers(n: int) -> np.ndarray:
 def registers(hashes: np.ndarray, by: np.ndarray, mantissa: int = MANTISSA) -> np.ndarray:
     """Leading zeros and the next bits of the minimum under each hash function, in 16 bits."""
     low = np.full(len(by), np.iinfo(np.uint64).max)
-    for k in range(0, len(hashes), 1024):
-        low = np.minimum(low, mixed(hashes[k : k + 1024, None] * by).min(axis=0))
+    for k in range(0, len(hashes), 256):
+        low = np.minimum(low, mixed(hashes[k : k + 256, None] * by).min(axis=0))
     part, exponent = np.frexp(np.maximum(low, 1).astype(np.float64))
     bits = np.minimum(((part * 2 - 1) * (1 << mantissa)).astype(np.int64), (1 << mantissa) - 1)
     return (np.clip(64 - exponent, 0, 63) << mantissa | bits).astype(np.uint16)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``rows`` rows, so that little is held at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -105,7 +111,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, by = Words(), multipliers(rows * bands)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             with np.errstate(over="ignore"):
                 for text in batch.column("text").to_pylist():
@@ -165,25 +171,25 @@ def least_estimate(registers: int, threshold: int, margin: float) -> float:
     return j - margin * (j * (1 - j) / registers) ** 0.5
 
 
-def verified(left: Column, right: Column, shingle: int, threshold: int) -> Column:
-    """100 * intersection >= threshold * union on the full sets of two texts."""
+def verified(pairs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """The pairs (a, b, ta, tb) with 100 * intersection >= threshold * union on the full sets of both texts."""
 
-    @F.pandas_udf("boolean")
-    def check(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        words: Words = Words()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
         last: tuple[bytes | None, np.ndarray] = (None, np.empty(0, np.uint64))
         with np.errstate(over="ignore"):
-            for xs, ys in batches:
-                out = []
-                for x, y in zip(xs, ys):
-                    if last[0] is None or last[0] != y:
-                        last = (y, shingles(y, shingle, words))
-                    a, b = shingles(x, shingle, words), last[1]
+            for part in slices(batches):
+                keep = []
+                for x, y in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist()):
+                    if last[0] is None or last[0] != x:  # a meeting point comes with many partners in a row
+                        last = (x, shingles(x, shingle, words))
+                    a, b = last[1], shingles(y, shingle, words)
                     both = len(np.intersect1d(a, b, assume_unique=True))
-                    out.append(100 * both >= threshold * (len(a) + len(b) - both))
-                yield pd.Series(out, dtype="bool")
+                    keep.append(100 * both >= threshold * (len(a) + len(b) - both))
+                mask = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
 
-    return check(left, right)
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -221,9 +227,9 @@ def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, th
     likely = cut(sized.filter(estimate >= least).select("a", "b"))
     ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
     wanted = texts.join(small(ids), "id", "left_semi")
-    with_a = likely.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    with_b = with_a.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return cut(with_b.filter(verified(F.col("tb"), F.col("ta"), shingle, threshold)).select("a", "b"))
+    with_b = likely.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    with_a = with_b.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    return cut(verified(with_a, shingle, threshold))
 
 
 def near_duplicates(
@@ -300,13 +306,11 @@ def shared_sizes(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         with np.errstate(over="ignore"):
-            for batch in batches:
-                for start in range(0, batch.num_rows, 64):
-                    part = batch.slice(start, 64)
-                    sets = [shingles(t, shingle, words).view(np.int64) for t in part.column("text").to_pylist()]
-                    at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-                    hashes = np.concatenate(sets) if sets else np.empty(0, np.int64)
-                    yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64())], names=["id", "hash"])
+            for part in slices(batches, 64):
+                sets = [shingles(t, shingle, words).view(np.int64) for t in part.column("text").to_pylist()]
+                at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                hashes = np.concatenate(sets) if sets else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64())], names=["id", "hash"])
 
     held = wanted.mapInArrow(run, "id long, hash long").groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("id"))
     alone = held.filter("n = 1").groupBy("id").agg(F.count("*").alias("alone"))
@@ -319,7 +323,7 @@ def fine_sketches(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, by = Words(), multipliers(FINE)
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in slices(batches):
                 made = []
                 for text in batch.column("text").to_pylist():
                     wide = registers(shingles(text, shingle, words), by).astype(np.uint32)
