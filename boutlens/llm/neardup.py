@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, packed, small, text_batches, unpacked
 
 SHINGLE, THRESHOLD = 5, 80
 ROWS, BANDS, MANTISSA = 5, 32, 10
@@ -36,6 +36,8 @@ ROWS, BANDS, MANTISSA = 5, 32, 10
 MARGIN = 4.5
 #: Rounds with other meeting points.
 MEETINGS = 1
+#: Edges in a task of the search for components, at least.
+ROWS_PER_TASK = 100_000
 #: Registers of one byte in the finer sketch of the documents that are still in question at the end; 8 to a number.
 FINE = 768
 
@@ -200,15 +202,18 @@ def components(edges: DataFrame) -> DataFrame:
     node's neighbours are only ever aggregated.
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
-    before = None
+    parts, before = max(1, edges.count() // ROWS_PER_TASK), None
+    fit = lambda df: df.coalesce(parts)  # noqa: E731  few rows don't need a file for each of many partitions
+    edges = fit(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        joined = large.join(low, "a")
+        low = fit(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
+        large = fit(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a != b"))
+        large = fit(large.distinct())
+        low = fit(large.groupBy("a").agg(F.min("b").alias("low")))
+        joined = fit(large.join(low, "a"))
         small_ = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low.select("a", F.col("low").alias("b")))
-        edges = cut(small_.filter("a != b").distinct())
+        edges = cut(fit(small_.filter("a != b").distinct()))
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before:
             break
@@ -237,6 +242,7 @@ def near_duplicates(
     rows: int = ROWS, bands: int = BANDS, margin: float = MARGIN, meetings: int = MEETINGS,
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest id with an equal set), component_id, kept."""
+    text_batches(docs.sparkSession)
     least = least_estimate(rows * bands, threshold, margin)
     sketch = cut(sketches(docs, id_col, text_col, shingle, rows, bands))
     full = sketch.filter("id IS NOT NULL AND n_shingles > 0")
@@ -369,7 +375,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     judged = near_duplicates(docs, id_col, text_col, **how)
     kept = cut(judged.filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n")))
     gone = judged.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(small(gone), F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    match = F.col("__of") == F.col("__id")
+    rows = docs.select(packed(docs), F.col(id_col).cast("long").alias("__of")).join(small(gone), match, "left_anti")
     several = small(kept.filter("__n > 1").select("__id"))
-    match = F.col(id_col).cast("long") == F.col("__id")
-    return rows.join(several, match, "left_anti").unionByName(rows.join(several, match, "left_semi").dropDuplicates([id_col]))
+    once, more = rows.join(several, match, "left_anti"), rows.join(several, match, "left_semi").dropDuplicates(["__of"])
+    return unpacked(once.unionByName(more), docs.columns)
