@@ -3,8 +3,8 @@
 A k-mer of code points is a closed syncmer if its smallest inner s-mer (by hash) stands at the k-mer's first or last
 place. Whether a k-mer is chosen depends on its own characters alone, so an edit changes only the anchors that
 overlap it. A fingerprint lists every anchor of the whole text in order, in 16 hexadecimal digits each: 40 bits of hash and 24 bits of gap, the code points
-since the last anchor (a gap of 2^24 or more is written as 2^24 - 1). A text shorter than k has one anchor, of all
-its characters.
+since the last anchor (a gap of 2^24 or more is written as 2^24 - 1). From 2k - s - 1 code points on a text has a
+closed syncmer for sure; a shorter one without any has one anchor, of all its characters.
 
 Likeness matches anchors by position: anchors with equal hashes vote for the shift between their places, and the
 share of anchors that agree with the best shift (within ``slack``), as a Dice coefficient, is the likeness.
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, partitions, text_batches
 
-#: k-mers of K code points with inner s-mers of S: about one anchor in 32 code points.
-K, S = 80, 17
+#: k-mers of K code points with inner s-mers of S: about one anchor in 8 code points, and one for sure in 38.
+K, S = 24, 9
 SLACK = 8
 
 _MULTIPLY, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd multipliers
@@ -66,17 +66,24 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def whole(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """One anchor of all characters; none of an empty text."""
+    digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:5]
+    return np.array([int.from_bytes(digest, "big")] if text else [], np.uint64), np.zeros(min(len(text), 1), np.int64)
+
+
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (40 bits) and places of the closed syncmers."""
+    """Hashes (40 bits) and places of the closed syncmers; only an empty text has none."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
     if len(codes) < k:
-        whole = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:5] if text else b""
-        return np.array([int.from_bytes(whole, "big")] if text else [], np.uint64), np.zeros(min(len(text), 1), np.int64)
+        return whole(text)
     with np.errstate(over="ignore"):
         inner = windows(codes, s)
         low, span = sliding_min(inner, k - s + 1), k - s
         n = len(codes) - k + 1
         at = np.flatnonzero((inner[:n] == low[:n]) | (inner[span : span + n] == low[:n]))
+        if not len(at):
+            return whole(text)
         # the s-mers at both edges and three within tell one k-mer from another
         parts = [inner[at + step] for step in (0, span // 4, span // 2, 3 * span // 4, span)]
         value = parts[0]

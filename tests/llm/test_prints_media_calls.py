@@ -36,6 +36,23 @@ def test_anchors_equal_a_plain_search():
         assert h.tolist() == hashes.tolist() and p.tolist() == places.tolist()
 
 
+def test_every_text_of_1_to_320_characters_has_an_anchor():
+    r = random.Random(9)
+    k, s = syncmers.K, syncmers.S
+    for n in range(1, 321):
+        text, other = ("".join(r.choice("abcdefgh é") for _ in range(n)) for _ in range(2))
+        hashes, places = syncmers.anchors(text)
+        chosen = plain_anchors(text, k, s) if n >= k else []
+        assert places.tolist() == (chosen or [0]) and (chosen or n < 2 * k - s - 1)
+        if n >= 20:
+            # unlike texts are not alike, an empty one is like none
+            assert syncmers.likeness((hashes, places), syncmers.anchors(other)) < 0.5
+        assert syncmers.likeness((hashes, places), syncmers.anchors("")) == 0.0
+        if n >= 2 * (2 * k - s - 1):
+            # the kept half has an anchor of its own
+            assert syncmers.likeness((hashes, places), syncmers.anchors(text[: n - n // 2] + other[: n // 2])) > 0
+
+
 def test_equal_substrings_hash_alike():
     with np.errstate(over="ignore"):
         codes = np.array([1, 2, 3, 4, 1, 2, 3, 5, 1, 2, 3, 4], np.uint64)
