@@ -127,3 +127,22 @@ def test_template_counts_equal_a_plain_count(make_docs):
         expected[i] = [k for k, line in enumerate(t.split("\n")) if any(h and len(held[h]) >= 3 and min(held[h]) != i for h in lines.templates(line.encode()))]
     got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
     assert got == expected
+
+
+def test_pairs_short_lines_and_worded_fields_recur(make_docs):
+    passage, few = prose(60), prose(4)
+    first = [f"{a} {b} {prose(3)} until the shop {c} at the old market gate" for a, b, c in (("Anna", "Lee", "opens"), ("Bert", "Kay", "closes"), ("Cleo", "Roe", "moves"))]
+    rows = [(i, f"{prose(30)}\n{passage}\n{few}", "s") for i in (1, 2)]
+    rows += [(10 + i, f"Posted by {name} in {part}\n{first[i]}", "s") for i, (name, part) in enumerate((("Anna", "Sports"), ("Bert", "News"), ("Cleo", "Arts")))]
+    rows += [(20 + i, f"{prose(9)}\nRead more\n{'Share' if i < 12 else 'Rare'}", "s") for i in range(15)]
+    got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
+    assert got[1] == [] and got[2] == [1, 2]
+    assert got[10] == [] and got[11] == [0] and got[12] == [0]
+    # two tokens from three documents on, one token from ten on
+    assert got[20] == [] and got[25] == [1, 2] and got[33] == [1]
+
+
+def test_fields_in_two_parts_of_a_long_line_recur(make_docs):
+    rows = [(i, f"{prose(2)} was seen by the guard near gate {prose(4)}", "s") for i in range(4)]
+    got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
+    assert [got[i] for i in range(4)] == [[], [0], [0], [0]]
