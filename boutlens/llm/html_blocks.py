@@ -9,6 +9,9 @@ from html import unescape
 # Element names of the HTML standard.
 SKIPPED = frozenset("head iframe math noembed noframes noscript object script style svg template title".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "math", "noembed", "noframes")
+#: Of these the start tag alone is skipped where the end tag is missing; the others take the rest of the page, as in browsers.
+LENIENT = frozenset("svg math noscript template iframe".split())
+END = {tag: re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I | re.A) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
@@ -81,7 +84,8 @@ def blocks(html: str) -> list[Block]:
             if stack[-1].linked:
                 linked += len(text)
 
-    at, size, lower = 0, len(html), None
+    at, size = 0, len(html)
+    unclosed: set[str] = set()
     while at < size:
         start = html.find("<", at)
         if start < 0:
@@ -129,11 +133,14 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag in RAW:
             # its content is no markup of this page: go on after its end tag
-            if lower is None:
-                lower = html.lower()
-            end = lower.find("</" + tag, at)
-            if end < 0:
-                break
+            match = None if tag in unclosed else END[tag].search(html, at)
+            if match is None:
+                if tag not in LENIENT:
+                    break
+                # without an end tag only the start tag goes; no later one has an end tag either
+                unclosed.add(tag)
+                continue
+            end = match.start()
             close = html.find(">", end)
             at = size if close < 0 else close + 1
             continue

@@ -69,6 +69,16 @@ def test_blocks_of_broken_markup():
     assert [b.text for b in html_blocks.blocks(deep)] == ["x"]
 
 
+def test_raw_elements_end_where_their_end_tag_stands():
+    dotted = "<p>\u0130stanbul \u0130\u0130\u0130</p><script>var a = '\u0130<p>no</p>';</SCRIPT><p>bir</p><style>p{}</style><p>iki \u0130</p><svg><text>x</text></svg><p>son</p>"
+    assert [b.text for b in html_blocks.blocks(dotted)] == ["\u0130stanbul \u0130\u0130\u0130", "bir", "iki \u0130", "son"]
+    for tag in ("svg", "math", "noscript", "template", "iframe"):
+        page = f"<p>one</p><{tag} a=b><p>two</p><{tag}><div>three</div>"
+        assert [b.text for b in html_blocks.blocks(page)] == ["one", "two", "three"]
+    assert [b.text for b in html_blocks.blocks("<p>one</p><script>x</scripts><p>no</p></script ><p>two")] == ["one", "two"]
+    assert [b.text for b in html_blocks.blocks("<p>one</p><script><p>never closed")] == ["one"]
+
+
 def test_held_out_pages_are_extracted():
     model = html_extract.default_model()
     wrong = total = 0
