@@ -1,6 +1,7 @@
 """Merging, checks, scoring, sources and streams on small tables."""
 
 import datetime as dt
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,19 @@ def _status(tables_):
     return {r.check_id: r.status for r in validate.run_checks(validate.checks(*tables_)).collect()}
 
 
+def test_recent_contests_without_rounds_fail_and_five_samples_are_kept(spark):
+    events, fights, rounds, fighters = _valid(spark)
+    many = reduce(lambda x, y: x.unionByName(y), [fights.withColumn("fight_id", F.lit(100 + i).cast(fights.schema["fight_id"].dataType)) for i in range(7)])
+    old = many.withColumn("event_date", F.lit("1999-12-31").cast("date"))
+    for missing, modern, historical in ((many, "FAIL", "PASS"), (old, "PASS", "WARN")):
+        found = validate.checks(events, missing, rounds, fighters)
+        found = {k: found[k] for k in ("rounds.modern_coverage", "rounds.historical_source_gaps")}
+        got = {r.check_id: r for r in validate.run_checks(found).collect()}
+        assert (got["rounds.modern_coverage"].status, got["rounds.historical_source_gaps"].status) == (modern, historical)
+        held = got["rounds.modern_coverage" if modern == "FAIL" else "rounds.historical_source_gaps"]
+        assert held["count"] == fights.count() * 7 and held.samples == [str(100 + i) for i in range(5)]
+
+
 def test_valid_tables_pass_and_mutations_fail(spark):
     events, fights, rounds, fighters = (t.cache() for t in _valid(spark))
     assert set(_status((events, fights, rounds, fighters)).values()) == {"PASS"}
