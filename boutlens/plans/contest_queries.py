@@ -306,7 +306,7 @@ def _similar(t: Tables) -> DataFrame:
 
 @query("matchup_evidence")
 def _evidence(t: Tables) -> DataFrame:
-    """Career, recent form, rating and opposition of both sides of every pair that met, as flat columns."""
+    """Career, rating and average opposition of both sides of every pair that met, as flat columns."""
     persp = ratings.checkpointed(t.persp.filter(F.col("event_date") < CUTOFF))
     history = ratings.elo_history(persp)
     career = metrics.career_stats(persp, t.fighters, CUTOFF).select("fighter_id", "age", "fights", "record_win", "win_streak", "days_since_last_fight", "sig_strikes_landed_per_min")
