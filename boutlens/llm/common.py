@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpointed as cut  # noqa: F401
+
 #: A side of at most this many narrow rows is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the shared folder the session names; a temporary one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-        )
-    return df.checkpoint()
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks ``df`` for broadcast after counting that it has at most ``rows`` rows; else leaves it as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
