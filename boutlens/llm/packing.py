@@ -7,7 +7,10 @@
 3. A dual-feasible-function bound (rounded sums over all thresholds) gives the fewest sequences a partition's
    pieces can need. Where the bound is met, the partition is certified and stays. The partitions with gaps put the
    pieces of their sequences that are not full together, deal them anew and pack again; the new packing holds if it
-   has fewer sequences. This goes on until no partition has a gap, or nothing was won.
+   has fewer sequences. Where fewer than two partitions have gaps, the certified ones exchange too: each may hold one
+   sequence that is not full. This goes on until the bound of all pieces together is met, or nothing was won.
+
+A sequence is numbered by the serial of its first piece, so numbers never collide.
 
 Defined results: a null text is empty and has the end id alone; repeated rows are packed as documents of their own.
 An empty table gives no pieces. Special strings of the tokenizer in a text become their ids, as with ``tokenizers``.
@@ -17,7 +20,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -106,12 +109,11 @@ def tokenize(
     return source.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
-def dual_bound(sizes: np.ndarray, capacity: int) -> int:
+def dual_bound(count: np.ndarray, capacity: int) -> int:
     """The largest of the bounds of the dual feasible functions u_t: pieces over capacity - t count as whole sequences,
-    those under t as nothing, the others by their size (t = 0: all by size)."""
-    if not len(sizes):
+    those under t as nothing, the others by their size (t = 0: all by size). ``count`` has the pieces of each size."""
+    if not count.any():
         return 0
-    count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
     mass = count * np.arange(capacity + 1)
     upto_count, upto_mass = np.cumsum(count), np.cumsum(mass)
     best = -(-int(mass.sum()) // capacity)
@@ -126,6 +128,10 @@ def dual_bound(sizes: np.ndarray, capacity: int) -> int:
     return best
 
 
+def counts_of(sizes: np.ndarray, capacity: int) -> np.ndarray:
+    return np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
+
+
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, offset) of each piece and the fill of each sequence. Open sequences are kept by the room left."""
     sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
@@ -151,7 +157,7 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return sequence, offset, np.array(fill, np.int64)
 
 
-PLACED = "serial long, length long, bin long, offset long, fill long, bins long, bound long, part long"
+PLACED = "serial long, length long, sequence_id long, offset long, fill long, part long, gap boolean"
 
 
 def pack_parts(pieces: DataFrame, parts: int, salt: int, capacity: int) -> DataFrame:
@@ -159,43 +165,56 @@ def pack_parts(pieces: DataFrame, parts: int, salt: int, capacity: int) -> DataF
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("serial")
-        sizes = table.column("length").to_numpy()
+        serials, sizes = table.column("serial").to_numpy(), table.column("length").to_numpy()
         sequence, offset, fill = best_fit_decreasing(sizes, capacity)
-        n = len(sizes)
-        columns = [table.column("serial"), table.column("length"), sequence, offset, fill[sequence]]
-        columns += [np.full(n, len(fill)), np.full(n, dual_bound(sizes, capacity)), np.full(n, key[0].as_py())]
+        opener = np.empty(len(fill), np.int64)
+        opener[sequence[offset == 0]] = serials[offset == 0]
+        gap = len(fill) > dual_bound(counts_of(sizes, capacity), capacity)
+        columns = [serials, sizes, opener[sequence], offset, fill[sequence], np.full(len(sizes), key[0].as_py()), np.full(len(sizes), gap)]
         return pa.table(columns, names=[c.split()[0] for c in PLACED.split(", ")])
 
     part = F.pmod(F.xxhash64(F.lit(salt), "serial"), F.lit(parts)).cast("long")
     return pieces.select("serial", "length", part.alias("part")).groupBy("part").applyInArrow(run, PLACED)
 
 
+def total_bound(pieces: DataFrame, capacity: int) -> int:
+    """The bound of all pieces together: one number for each size is collected, ``capacity`` at most."""
+    count = np.zeros(capacity + 1, np.int64)
+    for length, n in pieces.groupBy("length").agg(F.count("*")).collect():
+        count[length] = n
+    return dual_bound(count, capacity)
+
+
 def pack(pieces: DataFrame, capacity: int = SEQUENCE, per_partition: int = PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` (with a unique ``serial`` and a ``length``) with sequence_id and offset added."""
     loose = pieces.filter(F.col("length") < capacity).select("serial", "length")
     done: list[DataFrame] = []
-    before = None
-    full, gap = F.col("fill") == capacity, F.col("bins") > F.col("bound")
+    settled, before = None, None
     for salt in range(rounds + 1):
         n = loose.count()
         if not n:
             break
-        packed = cut(pack_parts(loose, -(-n // per_partition), salt, capacity))
-        # sequence numbers: of the round, the part and the sequence within it
-        packed = packed.withColumn("sequence_id", F.xxhash64(F.lit(salt), "part", "bin"))
-        after = packed.select("sequence_id").distinct().count()
+        parts = -(-n // per_partition)
+        packed = cut(pack_parts(loose, parts, salt, capacity))
+        heads = packed.filter("offset = 0")
+        after, gaps = heads.agg(F.count("*"), F.count_distinct(F.when(F.col("gap"), F.col("part")))).first()
         if before is not None and after >= before:
             break  # nothing won: the last packing of these pieces stays
         if done:
-            done[-1] = done[-1].filter(settled)  # noqa: F821
+            done[-1] = done[-1].filter(settled)
         done.append(packed)
-        settled = full | ~gap
+        if parts == 1 or after <= total_bound(loose, capacity):
+            break  # nobody to exchange with, or certified as a whole
+        settled = F.col("fill") == capacity
+        if gaps > 1:
+            settled |= ~F.col("gap")
         loose = packed.filter(~settled).select("serial", "length")
-        before = packed.filter(~settled).select("sequence_id").distinct().count()
+        before = heads.filter(~settled).count()
     whole = pieces.filter(F.col("length") >= capacity)
-    result = whole.select("*", F.xxhash64(F.lit(-1), "serial").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    for packed in done:
-        result = result.unionByName(pieces.join(packed.select("serial", "sequence_id", "offset"), "serial"), True)
+    result = whole.select("*", F.col("serial").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    if done:
+        placed = reduce(DataFrame.unionByName, [d.select("serial", "sequence_id", "offset") for d in done])
+        result = result.unionByName(pieces.filter(F.col("length") < capacity).join(placed, "serial"), True)
     return result
 
 
@@ -208,4 +227,3 @@ def pack_documents(
     pieces = tokenize(docs, id_col, text_col, capacity, end, path)
     pieces = pieces.withColumn("digest", F.col("ids") if digest is None else digest).drop("ids")
     return pack(cut(pieces.withColumn("serial", F.monotonically_increasing_id())), capacity)
-
