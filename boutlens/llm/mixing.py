@@ -3,13 +3,14 @@
 1. Every source's words, document after document in a pseudorandom order, are cut into blocks of ``block`` words.
 2. Targets: the sources share all words by weight; a target stops at ``cap`` times its source's size, and the excess is
    shared again by weight. All targets come from one formula: min(cap * size, level * weight).
-3. Every output shard of ``shard`` slots draws its source counts: the whole part of each expected count, and the rest
-   as multinomial draws by the fractions left. A source's draws beyond its quota of slots are void, and what it still
-   lacks stands in shards after the last, so each source gets its quota to the word.
+3. Every output shard of ``shard`` slots draws its source counts from a multinomial distribution with the sources'
+   shares of all slots: each slot draws its source. Over all shards a source's draws differ from its quota by chance;
+   those beyond it are void, and what it lacks stands in shards after the last, so each source gets its quota of slots.
 4. A source's slots run through a pseudorandom permutation of its blocks (swap-or-not rounds, a new one for each pass),
    so a block is used at most once a pass and at most ``cap`` times in all; slots and blocks are joined by index.
 
-The quota's last slot takes only the words that are missing, so the words taken are the target rounded down.
+The quota's last slot takes only the words that are missing, so the words taken are the target rounded down, less what
+the source's last block lacks of a whole one if the unfinished pass draws that block: less than a block in all.
 
 Defined results: a null or empty text has no words and takes part with size 0; a null source is a source of its own, the
 last; repeated rows are documents of their own; rows of equal id are told apart by their text. Without words all
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, WORD, cut, packed, small, unpacked
 
 BLOCK, SHARD, CAP, ROUNDS, SEED = 128, 1024, 3, 12, 20240101
-#: Rows or shards summed within one window partition.
-RUN = 2_000
+#: Slots drawn or placed in a task.
+SLOTS = 100_000
 #: Cells of the unit interval in which a draw looks for its source.
 CELLS = 4096
 
@@ -119,8 +120,7 @@ def mix(
         F.xxhash64(F.lit(seed), F.col(id_col), text).alias("row_key"),
     )
     sized = cut(sized)  # one narrow row for each document: the texts are read once
-    rows = sized.count()
-    runs = max(1, rows // RUN)
+    n = runs(sized.count())
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = source_targets(sums, weight, cap)
     blocks = F.ceil(F.col("source_size") / block).cast("long")
@@ -134,70 +134,54 @@ def mix(
     sources = cut(sources)
     documents = running(
         sized.withColumn("source", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))),
-        ["source"], ["row_key", "doc_id"], "size", "start", F.pmod(F.col("row_key"), F.lit(runs)),
+        ["source"], ["row_key", "doc_id"], "size", "start", F.pmod(F.col("row_key"), F.lit(n)),
     )
     documents = documents.withColumn("source", F.when(F.col("source") != "", F.substring("source", 2, 1 << 30)))
     return documents, sources, slots(sources, block, shard, seed)
 
 
+def runs(rows: int) -> int:
+    """Into how many runs ``rows`` are cut for a running sum: as many as rows in each."""
+    return max(1, int(rows**0.5))
+
+
 def slots(sources: DataFrame, block: int, shard: int, seed: int) -> DataFrame:
     """The slots of all shards: see :func:`mix`."""
     spark = sources.sparkSession
     total = int(sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0])
     shards = -(-total // shard)
-    every = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    expected = F.col("quota") / F.greatest(F.sum("quota").over(every), F.lit(1)) * shard
-    shares = sources.select("rank", "quota", "blocks", "tail", expected.alias("expected"))
-    shares = shares.withColumn("whole", F.floor(F.col("expected") + 1e-9).cast("long"))
-    shares = shares.withColumn("fraction", F.greatest(F.col("expected") - F.col("whole"), F.lit(0.0)))
-    draws = shard - F.sum("whole").over(every)
-    part = F.try_divide(F.col("fraction"), F.sum("fraction").over(every))
-    shares = shares.withColumn("draws", draws).withColumn("part", F.coalesce(part, F.lit(0.0)))
-    high = F.sum("part").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
-    shares = shares.withColumn("high", high).withColumn("low", F.col("high") - F.col("part"))
-    shares = cut(shares)  # one row for each source
-    n_draws = int(shares.agg(F.max("draws")).first()[0] or 0)
-    numbers = spark.range(shards).withColumnRenamed("id", "shard")
-
-    # residual multinomial draws: each looks for its source among those that reach into its cell
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // SLOTS))
+    upto = F.sum("quota").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
+    share = sources.select("rank", "quota", "blocks", "tail", upto.alias("upto"))
+    share = cut(share)  # one row for each source
+
+    # a slot's draw looks for its source among those that reach into its cell of the unit interval
     def cell(x: Column) -> Column:
         return F.least(F.floor(x * CELLS), F.lit(CELLS - 1)).cast("long")
 
-    edges = shares.filter(F.col("part") > 0).select(
-        "rank", "low", F.when(F.col("high") > 1 - 1e-9, F.lit(2.0)).otherwise(F.col("high")).alias("high"),
-    )
+    low, high = ((F.col("upto") - x) / F.lit(max(1, total)) for x in (F.col("quota"), F.lit(0)))
+    edges = share.filter("quota > 0").select("rank", low.alias("low"), F.when(F.col("upto") == total, 2.0).otherwise(high).alias("high"))
     edges = edges.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.least(F.col("high"), F.lit(1.0))))))
-    drawn = numbers.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_draws))))).filter(F.lit(n_draws > 0))
-    drawn = drawn.withColumn("u", uniform(seed, "shard", "draw")).withColumn("cell", cell(F.col("u")))
-    drawn = drawn.join(edges, "cell").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
-    extra = drawn.groupBy("shard", "rank").agg(F.count("*").alias("extra"))
-
-    # a source's slots before this shard: the whole parts, and a running sum of the draws
-    extra = running(extra, ["rank"], ["shard"], "extra", "before", F.floor(F.col("shard") / RUN))
-    # the whole parts stand first in each shard; then the draws, then what the quota lacks
-    share = shares.select("rank", "quota", "blocks", "tail", "whole")
-    count = F.col("whole") * shards
-    piece = F.explode(F.sequence(F.lit(0), F.floor((count - 1) / RUN))).alias("piece")
-    pieces = share.filter(count > 0).select("rank", "whole", piece).repartition("rank", "piece")
-    upto = F.least((F.col("piece") + 1) * RUN, count) - 1
-    whole = pieces.select("rank", "whole", F.explode(F.sequence(F.col("piece") * RUN, upto)).alias("slot"))
-    whole = whole.select(F.floor(F.col("slot") / F.col("whole")).alias("shard"), "rank", "slot")
-    drawn = extra.join(share.select("rank", "whole"), "rank")
-    first = F.col("whole") * shards + F.col("before")
-    drawn = drawn.select("shard", "rank", F.explode(F.sequence(first, first + F.col("extra") - 1)).alias("slot"))
-    got = extra.groupBy("rank").agg(F.sum("extra").alias("extra"))
-    lacking = share.join(got, "rank", "left").withColumn("have", F.col("whole") * shards + F.coalesce("extra", F.lit(0)))
-    lacking = lacking.filter("have < quota").select(
-        F.lit(None).cast("long").alias("shard"), "rank", F.explode(F.sequence(F.col("have"), F.col("quota") - 1)).alias("slot")
-    )
-    placed = whole.unionByName(drawn).unionByName(lacking).join(share, "rank").filter("slot < quota")
+    drawn = spark.range(0, shards * shard, 1, tasks).select(F.floor(F.col("id") / shard).alias("shard"), uniform(seed, "id").alias("u"))
+    drawn = drawn.withColumn("cell", cell(F.col("u"))).join(small(cut(edges)), "cell")
+    drawn = drawn.filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
+    counts = cut(drawn.groupBy("shard", "rank").agg(F.count("*").alias("drawn")))
+
+    # a source's slots before this shard's: a running sum of its draws; then what its quota lacks
+    placed = running(counts, ["rank"], ["shard"], "drawn", "before", F.floor(F.col("shard") / runs(shards)))
+    placed = placed.repartition(tasks, "shard", "rank")  # narrow rows: the slots are made behind this shuffle
+    placed = placed.select("shard", "rank", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("drawn") - 1)).alias("slot"))
+    got = counts.groupBy("rank").agg(F.sum("drawn").alias("drawn"))
+    lacking = share.join(got, "rank", "left").withColumn("have", F.coalesce("drawn", F.lit(0))).filter("have < quota")
+    lacking = lacking.select(F.lit(None).cast("long").alias("shard"), "rank", F.explode(F.sequence(F.col("have"), F.col("quota") - 1)).alias("slot"))
+    known = placed.unionByName(lacking).join(small(share), "rank").filter("slot < quota")
     at = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), F.floor(F.col("slot") / F.col("blocks")))
     spread = F.coalesce("shard", shards + F.floor(F.col("slot") / shard)).cast("long")
-    placed = placed.select(
+    known = known.select(
         spread.alias("shard"), "rank", "slot", at.alias("block"),
         F.when(F.col("slot") == F.col("quota") - 1, F.col("tail")).otherwise(F.lit(block)).cast("long").alias("words"),
     )
-    return placed.withColumn("place", F.xxhash64(F.lit(seed), "shard", "rank", "slot"))
+    return known.withColumn("place", F.xxhash64(F.lit(seed), "shard", "rank", "slot"))
 
 
 def taken(documents: DataFrame, sources: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -14,6 +14,10 @@ def text(r, n):
     return " ".join(r.choice(WORDS) for _ in range(n))
 
 
+def bound(sizes):
+    return packing.dual_bound(packing.counts_of(np.array(sizes), 1024), 1024)
+
+
 @pytest.fixture(scope="module")
 def docs(make_docs):
     r = random.Random(1)
@@ -40,7 +44,7 @@ def test_pieces_are_whole_and_sequences_gapless(docs):
         pieces = sorted({(r.piece, r.start, bytes(r.digest)) for r in rows if r.doc_id == d.doc_id})
         assert np.frombuffer(b"".join(p[2] for p in pieces), "<u4").tolist() == ids
         assert [len(p[2]) // 4 for p in pieces][1:] == [packing.SEQUENCE] * (len(pieces) - 1)
-    assert len(sequences) <= packing.dual_bound(np.array([r.length for r in rows]), packing.SEQUENCE) + 1
+    assert len(sequences) <= bound([r.length for r in rows]) + 1
     assert sum(r.doc_id == 103 for r in rows) == 2
 
 
@@ -60,10 +64,9 @@ def test_bounds_hold_and_best_fit_is_near_them():
         sizes = r.integers(1, 1024, r.integers(1, 300))
         sequence, offset, fill = packing.best_fit_decreasing(sizes, 1024)
         assert fill.max() <= 1024 and fill.sum() == sizes.sum()
-        bound = packing.dual_bound(sizes, 1024)
-        assert bound <= len(fill) <= 1.2 * bound + 2
-    assert packing.dual_bound(np.array([600, 600, 600]), 1024) == 3
-    assert packing.dual_bound(np.array([400] * 5), 1024) == 3
+        assert bound(sizes) <= len(fill) <= 1.2 * bound(sizes) + 2
+    assert bound([600, 600, 600]) == 3
+    assert bound([400] * 5) == 3
 
 
 def test_partitions_with_gaps_exchange_and_never_get_worse(spark):
@@ -72,7 +75,21 @@ def test_partitions_with_gaps_exchange_and_never_get_worse(spark):
     pieces = spark.createDataFrame(list(enumerate(map(int, sizes))), "serial long, length long")
     many = packing.pack(pieces, per_partition=20).select("sequence_id").distinct().count()
     first = packing.pack(pieces, per_partition=20, rounds=0).select("sequence_id").distinct().count()
-    assert packing.dual_bound(np.array(sizes), 1024) <= many <= first
+    assert bound(sizes) <= many <= first
+
+
+def test_sequences_of_all_rounds_have_numbers_of_their_own(spark):
+    r = np.random.default_rng(6)
+    sizes = [*r.integers(1, 1025, 900).tolist(), *[1024] * 20, *[1] * 50]
+    pieces = spark.createDataFrame(list(enumerate(map(int, sizes))), "serial long, length long")
+    rows = packing.pack(pieces, per_partition=30).collect()
+    assert sorted(r.serial for r in rows) == list(range(len(sizes)))
+    opened = {}
+    for row in sorted(rows, key=lambda row: (row.sequence_id, row.offset)):
+        assert row.offset == opened.get(row.sequence_id, 0)
+        assert row.offset or row.sequence_id == row.serial  # the number is that of the first piece
+        opened[row.sequence_id] = row.offset + row.length
+    assert max(opened.values()) <= 1024 and bound(sizes) <= len(opened) <= 1.2 * bound(sizes)
 
 
 def targets(sizes):
@@ -107,6 +124,27 @@ def test_mix_meets_targets_and_caps(docs):
     assert sorted(map(str, again)) == sorted(map(str, rows))
 
 
+def test_shards_draw_multinomial_counts(docs):
+    _, sources, slots = mixing.mix(docs, block=16, shard=32)
+    quota = {r["rank"]: r.quota for r in sources.collect()}
+    rows = slots.collect()
+    total, got = sum(quota.values()), {}
+    for r in rows:
+        got.setdefault(r["rank"], []).append(r)
+    assert {k: sorted(r.slot for r in v) for k, v in got.items()} == {k: list(range(n)) for k, n in quota.items() if n}
+    shards = -(-total // 32)
+    for rank, n in quota.items():
+        # counts of the shards spread as those of independent draws do, before the quota is met
+        counts = [sum(r.shard == k for r in got[rank]) for k in range(shards)]
+        p = n / total
+        if 0.1 < p < 0.9 and shards > 20:
+            assert 0.4 * 32 * p * (1 - p) < np.var(counts) < 2.5 * 32 * p * (1 - p)
+    # no block is used more than once within a pass
+    blocks = {r["rank"]: r.blocks for r in sources.collect()}
+    for rank, v in got.items():
+        assert len({(r.slot // blocks[rank], r.block) for r in v}) == len(v)
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5)).alias("x"))
