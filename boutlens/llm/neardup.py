@@ -2,9 +2,10 @@
 
 1. A document's set holds its distinct word shingles as 64-bit hashes. Documents with equal sets form a class at once, by
    one grouped aggregation; everything after works on one document of each class.
-2. Each of BANDS * ROWS registers holds the minimum of the set under its own hash function, compressed to its
-   leading-zero count and MANTISSA bits. (A register has a hash function of its own; buckets of one hash would stay empty
-   in short texts.) Runs of ROWS registers are banded: documents that agree on a band meet in its bucket.
+2. A hash deals the shingles to BANDS * ROWS buckets; a bucket's register is its smallest hash, compressed to the
+   leading-zero count and MANTISSA bits. Buckets that stay empty, as in short texts, are filled by another hash of all
+   shingles, and so on: a register belongs to the first round that hits its bucket, so two sets agree on it with the
+   chance of their Jaccard similarity at any length. Runs of ROWS registers are banded: documents that agree on a band meet.
 3. In a bucket all meet its smallest document, not each other: as many pairs as members. Pairs are estimated from the
    registers, corrected for the chance that unequal minima compress alike; those far below the threshold go. The others
    are verified on the full sets of both texts. Linked documents are joined to components.
@@ -38,9 +39,12 @@ MARGIN = 4.5
 MEETINGS = 1
 #: Edges in a task of the search for components, at least.
 ROWS_PER_TASK = 100_000
+#: Members of a bucket that a task of the last comparison holds of either side.
+SPLIT = 256
 #: Registers of one byte in the finer sketch of the documents that are still in question at the end; 8 to a number.
 FINE = 768
 
+EMPTY = np.uint64(np.iinfo(np.uint64).max)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
 
@@ -75,19 +79,26 @@ def shingles(text: bytes | None, size: int, words: Words) -> np.ndarray:
     return np.unique(mixed(value + np.uint64(size)))
 
 
-def multipliers(n: int) -> np.ndarray:
-    """Odd 64-bit numbers from a fixed rule."""
-    return np.array([xxhash.xxh3_64_intdigest(b"register", seed=k) | 1 for k in range(n)], np.uint64)
-
-
-def registers(hashes: np.ndarray, by: np.ndarray, mantissa: int = MANTISSA) -> np.ndarray:
-    """Leading zeros and the next bits of the minimum under each hash function, in 16 bits."""
-    low = np.full(len(by), np.iinfo(np.uint64).max)
-    for k in range(0, len(hashes), 256):
-        low = np.minimum(low, mixed(hashes[k : k + 256, None] * by).min(axis=0))
+def registers(hashes: np.ndarray, buckets: int, mantissa: int = MANTISSA) -> np.ndarray:
+    """Per bucket the leading zeros and the next bits of its smallest hash, in 16 bits; ``hashes`` are distinct."""
+    low, turn = np.full(buckets, EMPTY), np.zeros(buckets, np.uint64)
+    size, done = np.uint64(buckets), 0
+    # so many rounds at once that hardly any bucket stays empty
+    rounds = -(-8 * buckets // len(hashes))
+    while (open_ := low == EMPTY).any():
+        numbers = np.arange(done, done + rounds, dtype=np.uint64)
+        by = mixed(numbers * _A) | np.uint64(1)  # a multiplier for each round
+        value = mixed(hashes[None, :] * by[:, None])
+        bucket = value % size
+        found = np.full((rounds, buckets), EMPTY)
+        np.minimum.at(found.ravel(), (bucket + np.arange(rounds, dtype=np.uint64)[:, None] * size).ravel().astype(np.int64), (value - bucket).ravel())
+        first = (found < EMPTY).argmax(axis=0)
+        low[open_], turn[open_] = found[first, np.arange(buckets)][open_], numbers[first][open_]
+        done += rounds
     part, exponent = np.frexp(np.maximum(low, 1).astype(np.float64))
     bits = np.minimum(((part * 2 - 1) * (1 << mantissa)).astype(np.int64), (1 << mantissa) - 1)
-    return (np.clip(64 - exponent, 0, 63) << mantissa | bits).astype(np.uint16)
+    # registers of different rounds agree no more often than by chance
+    return (np.clip(64 - exponent, 0, 63) << mantissa | bits).astype(np.uint16) ^ (mixed(turn * _A) >> np.uint64(48)).astype(np.uint16)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -112,7 +123,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, by = Words(), multipliers(rows * bands)
+        words = Words()
         for batch in slices(batches):
             out = []
             with np.errstate(over="ignore"):
@@ -122,7 +133,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
                         out.append((0, None, None, None, None))
                         continue
                     whole = xxhash.xxh3_128_intdigest(found.tobytes())
-                    data = registers(found, by).tobytes()
+                    data = registers(found, rows * bands).tobytes()
                     step = 2 * rows
                     keys = [signed(xxhash.xxh3_64_intdigest(data[k * step : k * step + step], seed=k)) for k in range(bands)]
                     lanes = np.frombuffer(data, "<i8").tolist()
@@ -153,7 +164,8 @@ def equal_registers(left: Column, right: Column, lanes: int = LANES) -> Column:
 
 
 def chance_equal(n: Column, m: Column, mantissa: int = MANTISSA) -> Column:
-    """How likely a register of two disjoint sets of these sizes is equal: the same zeros, then the same bits."""
+    """How likely the registers of two disjoint sets with so many hashes in a bucket are equal: the same zeros, then the
+    same bits."""
     power = lambda zeros: F.pow(F.lit(0.5), zeros.cast("double"))
     has = lambda size, z: F.pow(1 - power(z + 1), size) - F.pow(1 - power(z), size)
     both = F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0.0), lambda acc, z: acc + has(n, z) * has(m, z))
@@ -162,8 +174,9 @@ def chance_equal(n: Column, m: Column, mantissa: int = MANTISSA) -> Column:
 
 def estimated(left: Column, right: Column, n: Column, m: Column) -> Column:
     """Collision-corrected Jaccard similarity from two register columns and the set sizes."""
-    chance = chance_equal(n, m)
-    share = equal_registers(left, right) / (F.size(left) * LANES)
+    buckets = F.size(left) * LANES
+    chance = chance_equal(*[F.greatest(x / buckets, F.lit(1.0)) for x in (n, m)])
+    share = equal_registers(left, right) / buckets
     return F.greatest((share - chance) / (1 - chance), F.lit(0.0))
 
 
@@ -327,12 +340,12 @@ def fine_sketches(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(id, fine): FINE registers of each text in ``ids``, folded to a byte each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, by = Words(), multipliers(FINE)
+        words = Words()
         with np.errstate(over="ignore"):
             for batch in slices(batches):
                 made = []
                 for text in batch.column("text").to_pylist():
-                    wide = registers(shingles(text, shingle, words), by).astype(np.uint32)
+                    wide = registers(shingles(text, shingle, words), FINE).astype(np.uint32)
                     made.append(((wide * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).view("<i8").tolist())
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.list_(pa.int64()))], names=["id", "fine"])
 
@@ -352,20 +365,24 @@ def allowed_pairs(known: DataFrame, reps: DataFrame, texts: DataFrame, shingle:
     # a text with too few shared shingles for any partner is done: a partner has at least as many as both share
     data = data.filter(100 * F.col("shared") >= threshold * F.col("n_shingles"))
     member = known.select("id", "band", "key", "component").join(small(data.select("id")), "id", "left_semi")
-    still = member.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    member = cut(member.join(still.select("band", "key"), ["band", "key"], "left_semi"))
+    still = member.groupBy("band", "key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / SPLIT).alias("parts")
+    ).filter("low != high")
+    member = cut(member.join(still.select("band", "key", "parts"), ["band", "key"]))
     fine = fine_sketches(cut(member.select("id").distinct()), texts, shingle)
     cols = ("id", "component", "n_shingles", "shared", "bands", "fine")
     wide = member.join(cut(data.join(fine, "id")), "id")
-    a = wide.select("band", "key", *[F.col(c).alias(f"{c}_a") for c in cols])
-    b = wide.select("band", "key", *[F.col(c).alias(f"{c}_b") for c in cols])
+    # a large bucket is cut: each of its parts on the left meets a copy of the others
+    own = F.pmod(F.xxhash64("id"), "parts").alias("part")
+    a = wide.select("band", "key", own, *[F.col(c).alias(f"{c}_a") for c in cols])
+    b = wide.select("band", "key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"{c}_b") for c in cols])
     both = F.least("shared_a", "shared_b")
     bounded = 100 * both >= threshold * (F.col("n_shingles_a") + F.col("n_shingles_b") - both)
     apart = (F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b"))
     # without the correction an estimate is only higher: nothing that the correction allows is lost
     likely = equal_registers(F.col("fine_a"), F.col("fine_b"), 8) >= FINE * F.lit(least_estimate(FINE, threshold, margin))
     first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True) == a["band"] + 1
-    met = (a["band"] == b["band"]) & (a["key"] == b["key"])
+    met = (a["band"] == b["band"]) & (a["key"] == b["key"]) & (a["part"] == b["part"])
     return a.join(b, met & apart & bounded & likely & first).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from boutlens.llm import lines, neardup
 
 R = random.Random(7)
@@ -71,6 +73,30 @@ def test_near_duplicates_equal_brute_force(make_docs):
                 assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_registers_agree_with_the_chance_of_the_similarity():
+    r = np.random.default_rng(4)
+    with np.errstate(over="ignore"):
+        for size, share in ((1, 1.0), (10, 0.8), (40, 0.85), (500, 0.8), (5000, 0.5)):
+            same = []
+            for _ in range(60):
+                h = np.unique(r.integers(1, 1 << 63, size, dtype=np.uint64))
+                both = round(share * len(h))
+                apart = (len(h) - both) // 2
+                a, b = np.sort(h[: both + apart]), np.sort(np.r_[h[:both], h[both + apart :]])
+                same.append((neardup.registers(a, 160) == neardup.registers(b, 160)).mean())
+            assert abs(np.mean(same) - round(share * size) / size) < 0.02
+            assert np.std(same) < 1.3 * (share * (1 - share) / 160) ** 0.5 + 1e-9
+        unlike = [(neardup.registers(r.integers(1, 1 << 63, n, dtype=np.uint64), 160) == neardup.registers(r.integers(1, 1 << 63, n, dtype=np.uint64), 160)).mean() for n in (1, 9, 900)]
+        assert max(unlike) < 0.02
+
+
+def test_large_buckets_are_cut_without_losing_links(make_docs, monkeypatch):
+    monkeypatch.setattr(neardup, "SPLIT", 3)
+    rows = corpus()
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(make_docs(rows), meetings=0).collect()}
+    assert all(got[i] == root for i, (_, root) in brute(rows, 5, 80).items())
+
+
 def test_one_document_of_each_group_stays(make_docs):
     rows = corpus()
     docs = make_docs(rows)
