@@ -2,20 +2,23 @@
 
 A k-mer of code points is a closed syncmer if its smallest inner s-mer (by hash) stands at the k-mer's first or last
 place. Whether a k-mer is chosen depends on its own characters alone, so an edit changes only the anchors that
-overlap it. A fingerprint lists every anchor of the whole text in order, in 16 hexadecimal digits each: 40 bits of hash and 24 bits of gap, the code points
-since the last anchor (a gap of 2^24 or more is written as 2^24 - 1). From 2k - s - 1 code points on a text has a
-closed syncmer for sure; a shorter one without any has one anchor, of all its characters.
+overlap it. A fingerprint lists every anchor of the whole text in order, in 16 hexadecimal digits each: 40 bits of hash and
+24 bits of gap, the code points since the last anchor. Every run of 2k - s - 1 code points holds a closed syncmer, so gaps
+are below that number; a shorter text without any has one anchor, of all its characters.
 
 Likeness matches anchors by position: anchors with equal hashes vote for the shift between their places, and the
 share of anchors that agree with the best shift (within ``slack``), as a Dice coefficient, is the likeness.
 
 Defined results: a null text is empty; an empty text has an empty fingerprint; two empty ones have likeness 1, an
-empty and another 0. Equal texts have equal fingerprints.
+empty and another 0. Equal texts have equal fingerprints. Repeated rows are documents of their own, which follow each other;
+rows of equal id go by a hash of the text, a null id comes after all others. Other columns than the id and the text are
+not read. Ids are whole numbers.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,7 +96,7 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
 
 
 def written(hashes: np.ndarray, places: np.ndarray) -> str:
-    gaps = np.minimum(np.diff(places, prepend=0), (1 << 24) - 1).astype(np.uint64)
+    gaps = np.diff(places, prepend=0).astype(np.uint64)  # below 2k - s - 1
     return ((hashes << np.uint64(24)) | gaps).astype(">u8").tobytes().hex()
 
 
@@ -150,31 +153,47 @@ def similarity(a: Column, b: Column, slack: int = SLACK) -> Column:
     return compare(a, b)
 
 
+#: Parts of the ids' order for each partition.
+PARTS = 4
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, part, after, ...) of all rows and, once more, of each part's successor with ``after`` true.
+    """(id, h, text, part, after) of all rows and, once more, of each part's successor with ``after`` true.
 
-    Rows go by descending id (nulls last, then text). Parts are ranges of ids between quantiles, so a part is a
-    bounded share of the rows; its successor is the first row of the next part that has rows (after the last: of the
-    first). The whole texts are shuffled once.
+    Rows go by descending id (nulls last), then ``h`` (a hash of the text), then text. Parts are ranges of ids between
+    quantiles, so a part is a bounded share of the rows; an id that spans several quantiles is cut by ``h``. A part's
+    successor is the first row of the next part that has rows (after the last: of the first). The texts are shuffled once.
     """
     text_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = partitions(spark)
-    cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else None
-    # part 0 has the highest ids; at most n cuts, one for each partition
-    bounds = F.array(*[F.lit(int(x)) for x in sorted(set(cuts or ()))]).cast("array<long>")
-    part = F.when(F.col("id").isNull(), F.lit(n)).otherwise(F.size(F.filter(bounds, lambda b: F.col("id") < b)))
-    rows = rows.withColumn("part", part)
-    # the first row of each part: its highest id, then the smallest text
-    tops = rows.groupBy("part").agg(F.max("id").alias("top")).withColumnRenamed("part", "at")  # n + 1 rows at most
-    first = (F.col("part") == F.col("at")) & F.col("id").eqNullSafe(F.col("top"))
-    heads = rows.join(F.broadcast(tops), first, "left_semi").groupBy("part", "id").agg(F.min("text").alias("text"))
-    heads = cut(heads)  # a row for each part
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    n = PARTS * partitions(spark)
+    cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    found = Counter(map(int, cuts))  # n bounds at most
+    bounds = F.array(*map(F.lit, sorted(found))).cast("array<long>")
+    # how many bounds are not above the id, by halving: part 0 has the highest ids
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(found).bit_length()))]).cast("array<int>")
+    fits = lambda at, step: F.try_element_at(bounds, at + step) <= F.col("id")
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))
+    # the lowest id of a part is cut into as many pieces as it spans quantiles, ids of null into n
+    hot = {x: k for x, k in found.items() if k > 1}
+    pieces = F.lit(0)
+    if hot:
+        pieces = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), F.col("id")), F.lit(0))
+    pieces = F.when(F.col("id").isNull(), n).otherwise(pieces)
+    piece = F.when(pieces > 0, 1 + F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * pieces)).otherwise(0)
+    part = F.when(F.col("id").isNull(), F.lit(len(found) + 1)).otherwise(len(found) - below)
+    rows = rows.withColumn("part", part.cast("long") * (2 * n) + piece.cast("long"))
+    # the first row of each part: its highest id, then the smallest hash, then the smallest text
+    tops = rows.groupBy("part").agg(F.min(F.struct((-F.col("id")).alias("down"), "h")).alias("top")).select(F.col("part").alias("at"), "top.*")
+    first = (F.col("part") == F.col("at")) & (F.col("h") == F.col("top_h")) & F.col("down").eqNullSafe(-F.col("id"))
+    tops = F.broadcast(tops.withColumnRenamed("h", "top_h"))  # a row for each part: 2 n at most, and those of null ids
+    heads = cut(rows.join(tops, first, "left_semi").groupBy("part", "id", "h").agg(F.min("text").alias("text")))
     order = Window.orderBy("part")
     earlier = F.coalesce(F.lag("part").over(order), F.max("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     return rows.withColumn("after", F.lit(False)).unionByName(
-        heads.select("id", "text", earlier.alias("part"), F.lit(True).alias("after"))
+        heads.select("id", "h", "text", earlier.alias("part"), F.lit(True).alias("after"))
     )
 
 
@@ -220,7 +239,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = with_next(docs, id_col, text_col)
     n = partitions(docs.sparkSession)
     return (
-        parts.repartition(n, "part")
-        .sortWithinPartitions("part", "after", F.col("id").desc_nulls_last(), "text")
+        parts.repartitionByRange(n, "part")
+        .sortWithinPartitions("part", "after", F.col("id").desc_nulls_last(), "h", "text")
         .mapInArrow(run, EDITED)
     )

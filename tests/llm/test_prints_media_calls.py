@@ -79,17 +79,21 @@ def test_edits_change_only_what_they_touch():
 def test_edited_fingerprints_equal_a_plain_version(spark, make_docs):
     r = random.Random(4)
     rows = [(i, "".join(r.choice("abcdé ") for _ in range(r.choice((0, 1, 5, 90, 700, 20000)))), "s") for i in r.sample(range(10**6), 40)]
-    rows += [(2**60, None, "s"), (5, "twice", "s"), (5, "twice", "s"), (None, "no id", "s")]
-    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] or ""))
-    got = sorted(syncmers.edited_fingerprints(make_docs(rows)).collect(), key=lambda x: (x.doc_id is None, -(x.doc_id or 0)))
-    assert [g.doc_id for g in got] == [o[0] for o in order]
-    for g, (_, t, _), (_, following, _) in zip(got, order, [*order[1:], order[0]]):
+    rows += [(2**60, None, "s"), (-4, "below", "s"), (5, "twice", "s"), (5, "twice", "s"), (None, "no id", "s")]
+    # hot ids: a third of the rows each, cut by the hash of the text
+    rows += [(7, f"hot {i // 2}", "s") for i in range(30)] + [(None, f"none {i // 2}", "s") for i in range(30)]
+    hashes = {x.text: x.h for x in make_docs(rows).selectExpr("coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS h").collect()}
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), hashes[x[1] or ""], x[1] or ""))
+    expected = []
+    for (i, t, _), (_, following, _) in zip(order, [*order[1:], order[0]]):
         t, following = t or "", following or ""
         half = len(t) // 2
         edited = t[: len(t) - half] + following[:half]
-        assert g.n_chars == len(t) and g.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert g.fingerprint == syncmers.written(*syncmers.anchors(t)) and g.edited_fingerprint == syncmers.written(*syncmers.anchors(edited))
-        assert g.near_next == pytest.approx(syncmers.likeness(syncmers.anchors(t), syncmers.anchors(following)))
+        own, changed, other = map(syncmers.anchors, (t, edited, following))
+        near = syncmers.likeness(own, changed), syncmers.likeness(own, other)
+        expected.append((str(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), syncmers.written(*own), syncmers.written(*changed), *near))
+    got = syncmers.edited_fingerprints(make_docs(rows).repartition(7)).collect()
+    assert sorted((str(g.doc_id), *g[1:]) for g in got) == sorted(expected)
     assert syncmers.edited_fingerprints(make_docs([])).count() == 0
     one = syncmers.edited_fingerprints(make_docs([(1, "alone here", "s")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"alonealone").hexdigest() or one.n_chars == 10
