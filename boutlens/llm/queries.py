@@ -56,23 +56,29 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The tools of the query below.
 SCHEMAS = (
     ("configure", '{"type":"object","required":["text"],"properties":{"text":{"type":"string"},"turn":{"type":"integer","maximum":0}}}'),
-    ("reply", '{"type":"object","required":["text","turn"],"additionalProperties":false,"properties":{"text":{"type":"string","minLength":20},"turn":{"type":"integer","minimum":0}}}'),
+    ("reply", '{"type":"object","required":["text","turn"],"additionalProperties":false,"properties":{"lines":{"type":"integer","maximum":3},'
+     '"text":{"type":"string","minLength":40,"maxLength":300},"turn":{"type":"integer","minimum":0,"maximum":5}}}'),
 )
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """System and user turns are calls (of configure and reply), an assistant turn is the result of the turn before it;
-    every call needs the conversation's opening call."""
+    """System and user turns are calls (of configure and reply), an assistant turn is the result of the turn before it, and
+    if it has three lines or more, repeats that turn's call. Every call needs the conversation's opening call and the
+    call halfway back to it."""
     turns = table(spark, sf_dir, "conversations")
-    named = lambda turn: F.concat_ws("-", F.lit("call"), "conv_id", turn)
-    arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("text"), "turn"))
-    calls = turns.filter(F.col("role").isin("system", "user")).select(
-        "conv_id", "turn", named(F.col("turn")).alias("call_id"),
+    turn, text = F.col("turn"), F.coalesce("text", F.lit(""))
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n")))
+    named = lambda turn: F.concat(F.lit("call-"), "conv_id", F.lit("-"), turn)
+    half = 2 * F.floor(turn / 4) + F.pmod(turn, F.lit(2))
+    arguments = F.to_json(F.struct(text.alias("text"), "turn", (breaks + 1).alias("lines")))
+    again = (F.col("role") == "assistant") & (breaks >= 2)
+    calls = turns.filter(F.col("role").isin("system", "user") | again).select(
+        "conv_id", "turn", named(F.when(again, turn - 1).otherwise(turn)).alias("call_id"),
         F.when(F.col("role") == "system", "configure").otherwise("reply").alias("name"), arguments.alias("arguments"),
-        F.array(named(F.lit(0))).alias("needs"),
+        F.array(named(F.lit(0)), named(half)).alias("needs"),
     )
     results = turns.filter(F.col("role") == "assistant").select(
-        "conv_id", "turn", named(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+        "conv_id", "turn", named(turn - 1).alias("call_id"), F.col("text").alias("content")
     )
     linked = tool_calls.link_tool_calls(calls, results, spark.createDataFrame(SCHEMAS, "name string, schema string"))
     return linked.select(
@@ -141,33 +147,44 @@ def _op7_sql() -> str:
 
 
 _OP8 = """
-    WITH calls AS (
-        SELECT conv_id, turn, 'call-' || conv_id || '-' || turn AS call_id,
-               CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name, coalesce(text, '') AS text
-        FROM conversations WHERE role IN ('system', 'user') AND conv_id IS NOT NULL AND turn IS NOT NULL),
-    first AS (
-        SELECT *, count(*) OVER (PARTITION BY conv_id, call_id) AS repeats,
-               row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, name, to_json(text)) AS rn
+    WITH RECURSIVE turns AS (
+        SELECT conv_id, turn, role, text, coalesce(text, '') AS body, length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1 AS lines
+        FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+    calls AS (
+        SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN turn - 1 ELSE turn END AS spot,
+               CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name, body AS text, lines
+        FROM turns WHERE role IN ('system', 'user') OR (role = 'assistant' AND lines >= 3)),
+    ranked AS (
+        SELECT *, count(*) OVER (PARTITION BY conv_id, spot) AS repeats,
+               row_number() OVER (PARTITION BY conv_id, spot ORDER BY turn, name, to_json(text)) AS rn
         FROM calls),
+    first AS (SELECT * FROM ranked WHERE rn = 1),
+    edges AS (
+        SELECT DISTINCT f.conv_id, f.spot, o.spot AS needed FROM first f JOIN first o
+        ON o.conv_id = f.conv_id AND o.spot <> f.spot AND o.spot IN (0, 2 * floor(f.turn / 4)::BIGINT + ((f.turn % 2) + 2) % 2)),
+    paths AS (
+        SELECT conv_id, spot, 0 AS level FROM first f
+        WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.conv_id = f.conv_id AND e.spot = f.spot)
+        UNION
+        SELECT e.conv_id, e.spot, p.level + 1 FROM edges e JOIN paths p ON p.conv_id = e.conv_id AND p.spot = e.needed),
     levelled AS (
-        SELECT *, CASE WHEN turn <> 0 AND EXISTS (SELECT 1 FROM calls o WHERE o.conv_id = f.conv_id AND o.turn = 0) THEN 1 ELSE 0 END AS level
-        FROM first f WHERE rn = 1),
+        SELECT f.*, 'call-' || f.conv_id || '-' || f.spot AS call_id, l.level
+        FROM first f LEFT JOIN (SELECT conv_id, spot, max(level) AS level FROM paths GROUP BY 1, 2) l ON l.conv_id = f.conv_id AND l.spot = f.spot),
     results AS (
         SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, arg_min(text, turn) AS content
-        FROM (SELECT conv_id, turn, min(text) AS text FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL
-              AND turn IS NOT NULL GROUP BY conv_id, turn)
+        FROM (SELECT conv_id, turn, min(text) AS text FROM turns WHERE role = 'assistant' GROUP BY conv_id, turn)
         GROUP BY 1, 2),
     placed AS (
-        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) - 1 AS position FROM levelled)
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY level NULLS LAST, turn, call_id) - 1 AS position FROM levelled)
     SELECT coalesce(p.conv_id, r.conv_id) AS conv_id, coalesce(p.call_id, r.call_id) AS call_id,
            CASE WHEN p.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
            coalesce(p.repeats, 0) AS repeats, p.level::INTEGER AS level, p.position AS position,
            CASE WHEN p.call_id IS NULL THEN NULL
-                WHEN p.name = 'configure' AND p.turn > 0 THEN '$.turn: too large'
-                WHEN p.name = 'reply' THEN concat_ws('; ', CASE WHEN length(p.text) < 20 THEN '$.text: too short' END,
-                                                     CASE WHEN p.turn < 0 THEN '$.turn: too small' END)
-                ELSE '' END AS problems,
-           sha256('{"arguments":' || CASE WHEN p.call_id IS NULL THEN 'null' ELSE '{"text":' || to_json(p.text) || ',"turn":' || p.turn || '}' END
+                WHEN p.name = 'configure' THEN CASE WHEN p.turn > 0 THEN '$.turn: too large' ELSE '' END
+                ELSE concat_ws('; ', CASE WHEN p.lines > 3 THEN '$.lines: too large' END, CASE WHEN length(p.text) < 40 THEN '$.text: too short' END,
+                               CASE WHEN length(p.text) > 300 THEN '$.text: too long' END, CASE WHEN p.turn < 0 THEN '$.turn: too small' END,
+                               CASE WHEN p.turn > 5 THEN '$.turn: too large' END) END AS problems,
+           sha256('{"arguments":' || CASE WHEN p.call_id IS NULL THEN 'null' ELSE '{"lines":' || p.lines || ',"text":' || to_json(p.text) || ',"turn":' || p.turn || '}' END
                   || ',"id":"' || coalesce(p.call_id, r.call_id) || '","name":' || coalesce('"' || p.name || '"', 'null')
                   || ',"result":' || coalesce(to_json(r.content)::VARCHAR, 'null') || '}') AS json_sha256
     FROM placed p FULL JOIN results r ON p.conv_id = r.conv_id AND p.call_id = r.call_id"""

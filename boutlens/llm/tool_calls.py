@@ -9,12 +9,15 @@ escapes that JSON does not need.
 Defined results: rows without a conversation or an identifier are not calls and go. Of rows that repeat an identifier,
 the first (by turn, then content) stands, and ``repeats`` counts all. A result without a call is returned with status
 ``orphan``, a call without a result ``unanswered``. A call whose dependency is missing ignores it; calls on a cycle
-have no level, come last and are marked. Arguments that are no JSON object, and tools without a schema, are problems.
+have no level, come last and are marked. Arguments that are no JSON object, tools without a schema, and schemas that are
+no JSON or use a known word with a value of the wrong kind are problems, not errors. Halves of surrogate pairs, which JSON
+can escape and UTF-8 cannot hold, stay escaped. Other columns of the three tables are not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 import pandas as pd
@@ -26,6 +29,7 @@ from .mixing import running
 
 #: Rows of a conversation's order that one window partition spans, by turn.
 SPAN = 256
+SURROGATE = re.compile("[\ud800-\udfff]")
 TYPES = {
     "string": lambda x: isinstance(x, str), "boolean": lambda x: isinstance(x, bool), "null": lambda x: x is None,
     "integer": lambda x: isinstance(x, int) and not isinstance(x, bool) or isinstance(x, float) and x.is_integer(),
@@ -34,6 +38,21 @@ TYPES = {
 }
 
 
+def usable(schema) -> bool:
+    """Whether the words that :func:`problems` reads have values of their kind, at every depth."""
+    if not isinstance(schema, dict):
+        return False
+    kinds = schema.get("type", [])
+    kinds = kinds if isinstance(kinds, list) else [kinds]
+    inner = schema.get("properties", {})
+    return (
+        all(isinstance(k, str) and k in TYPES for k in kinds) and isinstance(schema.get("enum", []), list)
+        and isinstance(schema.get("required", []), list) and all(isinstance(k, str) for k in schema.get("required", []))
+        and all(TYPES["number"](schema.get(k, 0)) for k in ("minLength", "maxLength", "minimum", "maximum"))
+        and isinstance(inner, dict) and all(map(usable, inner.values())) and ("items" not in schema or usable(schema["items"]))
+    )
+
+
 def problems(value, schema: dict, at: str = "$") -> list[str]:
     """What is wrong with ``value``: type, enum, required, properties, additionalProperties, items and bounds are known."""
     found: list[str] = []
@@ -65,7 +84,23 @@ def problems(value, schema: dict, at: str = "$") -> list[str]:
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return written(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def written(text: str) -> str:
+    """``text`` with halves of surrogate pairs escaped."""
+    return SURROGATE.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
+def rule_of(text: str | None) -> tuple[dict | None, str | None]:
+    """(schema, problem) of a schema's text."""
+    if text is None:
+        return None, "no schema"
+    try:
+        rule = json.loads(text)
+        return (rule, None) if usable(rule) else (None, "schema: not usable")
+    except (ValueError, RecursionError):
+        return None, "schema: not usable"
 
 
 def checked(call_id: Column, name: Column, arguments: Column, schema: Column, result: Column) -> Column:
@@ -73,22 +108,23 @@ def checked(call_id: Column, name: Column, arguments: Column, schema: Column, re
 
     @F.pandas_udf("json string, problems array<string>")
     def check(ids: pd.Series, names: pd.Series, args: pd.Series, schemas: pd.Series, results: pd.Series) -> pd.DataFrame:
-        rows = []
-        for call, tool, text, rule, answer in zip(ids, names, args, schemas, results):
+        rows, rules = [], {text: rule_of(text) for text in set(schemas)}
+        for call, tool, text, rule_text, answer in zip(ids, names, args, schemas, results):
             try:
                 value = json.loads(text or "")
                 wrong = [] if isinstance(value, dict) else ["$: not an object"]
             except (ValueError, RecursionError):
                 value, wrong = text, ["$: not JSON"]
-            if rule is None:
-                wrong.append("no schema")
+            rule, problem = rules[rule_text]
+            if problem is not None:
+                wrong.append(problem)
             elif not wrong:
-                wrong = problems(value, json.loads(rule))
+                wrong = problems(value, rule)
             whole = {"arguments": value, "id": call, "name": tool, "result": answer}
             try:
-                rows.append((canonical(whole), wrong))
+                rows.append((canonical(whole), list(map(written, wrong))))
             except (ValueError, RecursionError):  # NaN, or nested too deep
-                rows.append((canonical(whole | {"arguments": text}), wrong or ["$: not canonical"]))
+                rows.append((canonical(whole | {"arguments": text}), list(map(written, wrong)) or ["$: not canonical"]))
         return pd.DataFrame(rows, columns=["json", "problems"])
 
     return check(call_id, name, arguments, schema, result)

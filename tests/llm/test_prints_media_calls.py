@@ -182,3 +182,36 @@ def test_schemas():
     rule = {"type": "array", "items": {"type": ["string", "null"], "enum": ["a", None]}}
     assert tool_calls.problems(["a", None], rule) == [] and tool_calls.problems(["b", 1], rule) == ["$[0]: not one of the values allowed", "$[1]: not of type string|null"]
     assert tool_calls.problems(True, {"type": "integer"}) and not tool_calls.problems(2.0, {"type": "integer"})
+
+
+def test_checks_of_bad_schemas_and_surrogates_are_problems(spark):
+    good, deep = '{"type":"object"}', "[" * 100_000
+    rows = [
+        ("a", "t", '{"x":"\\ud800"}', good, None), ("b", "t", "{}", '{"type":"thing"}', None), ("c", "t", "{}", "[1]", None),
+        ("d", "t", "{}", '{"properties":{"x":{"minimum":"1"}}}', None), ("e", "t", "{}", "not json", None), ("f", "t", deep, good, None),
+        ("g", "t", '{"x":NaN}', good, None), ("h", "t", '{"\\udfff":1}', '{"additionalProperties":false}', "r"), ("i", None, None, None, None),
+        ("j", "t", "{}", '{"required":[1]}', None), ("k", "t", "{}", '{"items":{"type":["string",3]}}', None),
+    ]
+    df = spark.createDataFrame(rows, "id string, name string, arguments string, schema string, result string")
+    got = {r.id: r.j for r in df.select("id", tool_calls.checked(*(df[c] for c in df.columns)).alias("j")).collect()}
+    assert got["a"].json == '{"arguments":{"x":"\\ud800"},"id":"a","name":"t","result":null}' and got["a"].problems == []
+    assert all(got[k].problems == ["schema: not usable"] for k in "bcdejk")
+    assert got["f"].problems == ["$: not JSON"] and got["g"].problems == ["$: not canonical"]
+    assert got["h"].problems == ["$.\\udfff: not allowed"] and got["i"].problems == ["$: not JSON", "no schema"]
+    for r in got.values():
+        json.loads(r.json)
+
+
+def test_deep_dependencies_have_levels(spark):
+    ids = [f"k{i}" for i in range(12)]
+    calls = [("c", i, k, "t", "{}", [ids[i // 2], ids[max(0, i - 3)]]) for i, k in enumerate(ids)]
+    level = {}
+    for i, k in enumerate(ids):
+        level[k] = max((level[n] + 1 for n in calls[i][5] if n != k), default=0)
+    got = tool_calls.link_tool_calls(
+        spark.createDataFrame(calls, "conv_id string, turn int, call_id string, name string, arguments string, needs array<string>"),
+        spark.createDataFrame([], "conv_id string, turn int, call_id string, content string"),
+        spark.createDataFrame([("t", "{}")], "name string, schema string"),
+    ).collect()
+    assert {r.call_id: r.level for r in got} == level and max(level.values()) >= 4
+    assert [r.call_id for r in sorted(got, key=lambda r: r.position)] == sorted(ids, key=lambda k: (level[k], ids.index(k)))
