@@ -5,7 +5,9 @@ horizontal predictor; ``pages`` emits one row per page of every file. ``encode``
 image. Everything works on a few rows at a time inside the tasks; nothing is shuffled.
 
 Defined results: a null or empty file has no pages; a file that is not TIFF, is cut short, or uses a form that is
-not decoded gives one row with ``error`` set and null samples. Repeated rows give repeated results.
+not decoded gives one row with ``error`` set and null samples. So does an image whose header claims more samples than
+its strips or tiles can hold: nothing is made larger than the stored bytes allow. Repeated rows give repeated results.
+Other columns are kept; one named like a column that is added is replaced.
 """
 
 from __future__ import annotations
@@ -23,12 +25,19 @@ from pyspark.sql import types as T
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = (
     256, 257, 258, 259, 262, 273, 277, 278, 279,
 )
-PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 284, 317, 322, 323, 324, 325
+X_RESOLUTION, Y_RESOLUTION, PLANAR, RESOLUTION_UNIT, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = (
+    282, 283, 284, 296, 317, 322, 323, 324, 325,
+)
 TYPES = {1: "B", 3: "H", 4: "I"}
+SHORT, LONG, RATIONAL = 3, 4, 5
+#: Fields of 16 bits; those on resolution are fractions, all others here have 32 bits.
+SHORTS = (BITS, COMPRESSION, PHOTOMETRIC, SAMPLES, PLANAR, RESOLUTION_UNIT, PREDICTOR)
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 
-#: Directories that one file may chain; a longer chain is taken as damaged (a loop is found by its offsets).
-MAX_PAGES = 100_000
+#: How many samples a stored byte can stand for at most: 128 for two bytes; some 4,000 for a code of 12 bits; the format's bound.
+GROWTH = {NONE: 1, PACKBITS: 64, LZW: 2800, DEFLATE: 1040, OLD_DEFLATE: 1040}
+#: Bytes of samples that a batch of pages holds before it is handed on.
+BATCH = 32 << 20
 
 PAGE = (
     "page int, width int, height int, samples_per_pixel int, compression int, pixels binary, histogram array<int>,"
@@ -148,16 +157,15 @@ def do_lzw(data: bytes) -> bytes:
     return bytes(out)
 
 
-def expand(data: bytes, how: int) -> bytes:
+def expand(data: bytes, how: int, size: int) -> bytes:
+    """At least the first ``size`` bytes, if there are so many; of deflate no more than these are made."""
     if how == NONE:
         return data
     if how == PACKBITS:
         return unpack_bits(data)
     if how == LZW:
         return un_lzw(data)
-    if how in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
-    raise ValueError(f"compression {how} is not decoded")
+    return zlib.decompressobj().decompress(data, size)
 
 
 def shrink(data: bytes, how: int, width: int) -> bytes:
@@ -201,7 +209,7 @@ def encode(
         out += b"\0" * (len(out) % 2)
         sizes = [len(p) for p in pieces]
         fields = {WIDTH: [width], LENGTH: [len(image)], BITS: [8], COMPRESSION: [compression], PHOTOMETRIC: [1]}
-        fields |= {SAMPLES: [1], PREDICTOR: [predictor]}
+        fields |= {SAMPLES: [1], PREDICTOR: [predictor], RESOLUTION_UNIT: [2], X_RESOLUTION: [72, 1], Y_RESOLUTION: [72, 1]}
         if tile:
             fields |= {TILE_WIDTH: [wide], TILE_LENGTH: [high], TILE_OFFSETS: starts, TILE_COUNTS: sizes}
         else:
@@ -214,7 +222,12 @@ def encode(
         struct.pack_into(order + "I", out, link, len(out))
         out += struct.pack(order + "H", len(fields))
         for tag, values in sorted(fields.items()):
-            out += struct.pack(order + "HHII", tag, 4, len(values), lists.get(tag, values[0]))
+            if tag in SHORTS:  # stands at the left of its place
+                out += struct.pack(order + "HHIHH", tag, SHORT, 1, values[0], 0)
+            elif tag in (X_RESOLUTION, Y_RESOLUTION):
+                out += struct.pack(order + "HHII", tag, RATIONAL, 1, lists[tag])
+            else:
+                out += struct.pack(order + "HHII", tag, LONG, len(values), lists.get(tag, values[0]))
         link = len(out)
         out += struct.pack(order + "I", 0)
     return bytes(out)
@@ -248,6 +261,13 @@ def image(data: bytes, order: str, fields: dict[int, tuple[int, ...]]) -> tuple[
     tiled = TILE_OFFSETS in fields
     wide, high = (first(TILE_WIDTH), first(TILE_LENGTH)) if tiled else (width, min(first(ROWS_PER_STRIP, height), height))
     starts, sizes = fields[TILE_OFFSETS if tiled else STRIP_OFFSETS], fields[TILE_COUNTS if tiled else STRIP_COUNTS]
+    if how not in GROWTH:
+        raise ValueError(f"compression {how} is not decoded")
+    if min(width, height, samples, wide, high) < 1:
+        raise ValueError("an image without samples")
+    # a tile is stored whole, though the image may end within it
+    if planes * height * width * depth > GROWTH[how] * sum(len(data[a : a + n]) for a, n in zip(starts, sizes)):
+        raise ValueError("the file is too short for the samples that it claims")
     out, k = np.zeros((planes, height, width, depth), np.uint8), 0
     for plane in range(planes):
         for y in range(0, height, high):
@@ -256,7 +276,9 @@ def image(data: bytes, order: str, fields: dict[int, tuple[int, ...]]) -> tuple[
                 raw = data[starts[k] : starts[k] + sizes[k]]
                 if len(raw) != sizes[k]:
                     raise ValueError("the file ends early")
-                plain = expand(raw, how)
+                if rows * wide * depth > GROWTH[how] * len(raw):
+                    raise ValueError("a strip or tile is too short")
+                plain = expand(raw, how, rows * wide * depth)
                 if len(plain) < rows * wide * depth:
                     raise ValueError("a strip or tile is too short")
                 block = np.frombuffer(plain, np.uint8, rows * wide * depth).reshape(rows, wide, depth)
@@ -275,7 +297,7 @@ def decode(data: bytes) -> Iterator[tuple[int, int, int, int, int, bytes]]:
         raise ValueError("not a TIFF file")
     (at,), seen, page = struct.unpack_from(order + "I", data, 4), set(), 0
     while at:
-        if at in seen or page >= MAX_PAGES:
+        if at in seen:
             raise ValueError("the directories form a loop")
         seen.add(at)
         fields, at = directory(data, order, at)
@@ -298,7 +320,7 @@ def with_tiff(df: DataFrame, payload: Column, name: str = "media", keep: Sequenc
                 made = pa.array([encode(p) if p and len(p) % 64 == 0 else None for p in data], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=schema.names)
 
-    kept = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep)]).schema.fields
+    kept = df.select(*[f"`{c}`" for c in (df.columns if keep is None else keep) if c != name]).schema.fields
     schema = T.StructType([*kept, T.StructField(name, T.BinaryType())])
     return df.select(*[f"`{f.name}`" for f in kept], payload.alias("__payload")).mapInArrow(run, schema)
 
@@ -312,26 +334,38 @@ def histogram(pixels: bytes, bins: int = 16) -> list[int]:
 def pages(df: DataFrame, media: str) -> DataFrame:
     """One row per page of the TIFF in ``media``: all columns of ``df`` and a struct ``tiff_page``."""
 
-    def one(data: bytes | None) -> list[dict]:
-        found: list[dict] = []
+    def one(data: bytes | None) -> Iterator[dict]:
+        page = -1
         try:
             for page, width, height, samples, how, pixels in decode(data) if data else ():
-                found.append({
+                yield {
                     "page": page, "width": width, "height": height, "samples_per_pixel": samples, "compression": how,
                     "pixels": pixels, "histogram": histogram(pixels), "error": None,
-                })
-        except (ValueError, KeyError, IndexError, TypeError, struct.error, zlib.error, ZeroDivisionError) as problem:
-            found.append({"page": len(found), "error": f"{type(problem).__name__}: {problem}"})
-        return found
+                }
+        except (ValueError, KeyError, IndexError, TypeError, struct.error, zlib.error, OverflowError) as problem:
+            yield {"page": page + 1, "error": f"{type(problem).__name__}: {problem}"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(start, CHUNK)
-                files = [one(x.as_py()) for x in part.column(part.num_columns - 1)]
-                at = pa.array([i for i, found in enumerate(files) for _ in found], pa.int64())
-                made = pa.array([page for found in files for page in found], PAGE_TYPE)
-                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in part.columns[:-1]), made], names=schema.names)
-
-    schema = T.StructType([*df.schema.fields, T.StructField("tiff_page", T._parse_datatype_string(PAGE))])
-    return df.select("*", df[media].alias("__file")).mapInArrow(run, schema)
+                at, found, held = [], [], 0
+
+                def made(part=part) -> pa.RecordBatch:
+                    kept = (c.take(pa.array(at, pa.int64())) for c in part.columns[:-1])
+                    return pa.RecordBatch.from_arrays([*kept, pa.array(found, PAGE_TYPE)], names=schema.names)
+
+                for i, file in enumerate(part.column(part.num_columns - 1)):
+                    for page in one(file.as_py()):
+                        at.append(i)
+                        found.append(page)
+                        held += len(page.get("pixels") or b"")
+                        if held > BATCH:
+                            yield made()
+                            at, found, held = [], [], 0
+                if at:
+                    yield made()
+
+    kept = df.drop("tiff_page").schema.fields
+    schema = T.StructType([*kept, T.StructField("tiff_page", T._parse_datatype_string(PAGE))])
+    return df.select(*[f"`{f.name}`" for f in kept], df[media].alias("__file")).mapInArrow(run, schema)

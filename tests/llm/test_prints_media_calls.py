@@ -143,6 +143,32 @@ def test_pages_with_samples_of_several_planes_and_damage(spark):
     assert all(any(r.id == i and r.tiff_page.error for r in got) for i in (2, 3, 6)) and not any(r.id in (4, 5) for r in got)
 
 
+def test_headers_that_claim_too_much_are_errors(spark):
+    def claims(width, height, how=tiff.NONE):
+        made = bytearray(tiff.encode(bytes(64), 64, how))
+        at = struct.unpack_from("<I", made, 4)[0]
+        for i in range(struct.unpack_from("<H", made, at)[0]):
+            tag = struct.unpack_from("<H", made, at + 2 + 12 * i)[0]
+            if tag in (tiff.WIDTH, tiff.LENGTH, tiff.ROWS_PER_STRIP):
+                struct.pack_into("<I", made, at + 10 + 12 * i, {tiff.WIDTH: width}.get(tag, height))
+        return bytes(made)
+
+    bomb = tiff.encode(bytes(64 * 100_000), 64, tiff.DEFLATE, rows_per_strip=100_000)
+    files = [claims(64, 1 << 31), claims(1 << 31, 1 << 31, tiff.DEFLATE), claims(0, 5), claims(64, 2), bomb, tiff.encode(bytes(64 * 900), 64, rows_per_page=1)]
+    df = spark.createDataFrame(list(enumerate(files)), "id int, tiff_page binary")
+    got = tiff.pages(df, "tiff_page").collect()
+    assert all(r.tiff_page.error for r in got if r.id < 4) and len({r.id for r in got}) == 6
+    assert sum(r.id == 5 for r in got) == 900 and next(len(r.tiff_page.pixels) for r in got if r.id == 4) == 6_400_000
+
+
+def test_fields_have_the_types_of_the_format():
+    made = tiff.encode(bytes(128), 64, tiff.LZW, 2, order=">")
+    at = struct.unpack_from(">I", made, 4)[0]
+    kinds = {t: k for t, k in (struct.unpack_from(">HH", made, at + 2 + 12 * i) for i in range(struct.unpack_from(">H", made, at)[0]))}
+    assert list(kinds) == sorted(kinds) and {kinds[t] for t in (258, 259, 262, 277, 296, 317)} == {3} and kinds[282] == kinds[283] == 5
+    assert next(tiff.decode(made))[5] == bytes(128)
+
+
 def test_media_query_is_lossless(spark, make_docs, tmp_path):
     from boutlens.llm.queries import op10_tiff
 
@@ -155,6 +181,8 @@ def test_media_query_is_lossless(spark, make_docs, tmp_path):
         payload = data + bytes(max(1, -(-len(data) // 64)) * 64 - len(data))
         assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
     assert len({(g.media_sha256, g.feature) for g in got if g.doc_id == 5}) == 1
+    make_docs([]).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert op10_tiff(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_calls_are_linked_ordered_and_checked(spark):
