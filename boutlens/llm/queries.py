@@ -50,7 +50,7 @@ def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", RULES)
-    return judged.select("page_id", *[f"judged.{c}" for c in ("host", "path", "rule", "verdict")], F.size("judged.strict").alias("strict_hits"), F.size("judged.soft").alias("soft_hits"))
+    return judged.select("page_id", *[f"judged.{c}" for c in ("host", "path", "rule", "verdict")], F.size("judged.strict").alias("strict_hits"), F.size("judged.soft").alias("soft_hits"), "judged.weight")
 
 
 #: The tools of the query below.
@@ -129,6 +129,7 @@ def _op7_sql() -> str:
     hit = lambda term: f"regexp_matches(u, '(^|[^a-z0-9]){term}($|[^a-z0-9])')::INTEGER"
     strict = " + ".join(hit(t) for t in url_filter.STRICT)
     soft = " + ".join(hit(t) for t in url_filter.SOFT)
+    weight = " + ".join(f"{w} * {hit(t)}" for t, w in url_filter.SOFT.items())
     ordered = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r))
     fits = lambda r: f"((host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}'))"
     rule = " ".join(f"WHEN {fits(r)} THEN '{r[1]}{r[2]}'" for r in ordered)
@@ -139,10 +140,10 @@ def _op7_sql() -> str:
                    lower(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')) AS host,
                    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
             FROM pages),
-        hits AS (SELECT *, {strict} AS strict_hits, {soft} AS soft_hits FROM parts)
+        hits AS (SELECT *, {strict} AS strict_hits, {soft} AS soft_hits, ({weight})::DOUBLE AS weight FROM parts)
         SELECT page_id, host, path, CASE {rule} END AS rule,
-               CASE {verdict} WHEN strict_hits > 0 OR soft_hits >= {url_filter.MIN_SOFT} THEN 'block' ELSE 'allow' END AS verdict,
-               strict_hits::INTEGER AS strict_hits, soft_hits::INTEGER AS soft_hits
+               CASE {verdict} WHEN strict_hits > 0 OR (soft_hits >= {url_filter.MIN_SOFT} AND weight >= {url_filter.MIN_WEIGHT}) THEN 'block' ELSE 'allow' END AS verdict,
+               strict_hits::INTEGER AS strict_hits, soft_hits::INTEGER AS soft_hits, weight
         FROM hits"""
 
 

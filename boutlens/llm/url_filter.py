@@ -1,11 +1,13 @@
 """URL filters: a weighted vocabulary of strict and soft terms, counted by one Aho-Corasick pass per URL.
 
 A term counts only where it is bounded: the characters beside it must not be ASCII letters or digits. One strict
-term rejects a URL, and so do ``min_soft`` different soft terms, or soft weights that sum to ``min_weight``. Rules
-for hosts and path prefixes, where given, come first: the longest that fits decides.
+term rejects a URL, and so do ``min_soft`` or more different soft terms whose weights sum to ``min_weight``: weak terms
+need more company than strong ones. Rules for hosts and path prefixes, where given, come first: the longest that fits
+decides; of two as long the one with the longer host, then ``allow``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is judged on its
-text alone (null: allowed). Repeated rows are judged alike; extra columns are kept as they are.
+text alone (null: allowed). Repeated rows are judged alike; extra columns are kept as they are, but for one named
+``judged``, which is replaced.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from .common import packed
 # The default vocabulary with weights.
 STRICT = ("casino", "escorts", "malware", "phishing", "porn", "spam", "viagra", "warez", "xxx")
 SOFT = {
-    "adult": 1.0, "bet": 1.0, "bonus": 1.0, "buy": 1.0, "cheap": 1.0, "coupon": 1.0, "crack": 1.0, "dating": 1.0,
-    "deal": 1.0, "discount": 1.0, "farm": 1.0, "free": 1.0, "hot": 1.0, "loan": 1.0, "pills": 1.0, "poker": 1.0,
-    "sex": 1.5, "torrent": 1.0, "win": 1.0,
+    "adult": 1.0, "bet": 1.0, "bonus": 0.5, "buy": 0.5, "cheap": 1.0, "coupon": 0.5, "crack": 1.0, "dating": 1.0,
+    "deal": 0.5, "discount": 0.5, "farm": 0.5, "free": 0.5, "hot": 0.5, "loan": 1.0, "pills": 1.0, "poker": 1.0,
+    "sex": 1.5, "torrent": 1.0, "win": 0.5,
 }
-MIN_SOFT = 2
+MIN_SOFT, MIN_WEIGHT = 2, 1.5
 
 HITS = "strict array<string>, soft array<string>, weight double"
 
@@ -108,15 +110,13 @@ def filter_urls(
     strict: Sequence[str] = STRICT,
     soft: dict[str, float] | None = None,
     min_soft: int = MIN_SOFT,
-    min_weight: float | None = None,
+    min_weight: float = MIN_WEIGHT,
 ) -> DataFrame:
     """Adds a struct ``judged`` (host, path, rule, strict, soft, weight, verdict) to every row."""
     text = df[url].cast("string")
     host, path = host_of(text), path_of(text)
-    hits = df.select(packed(df), host.alias("__host"), path.alias("__path"), url_terms(text, strict, soft).alias("__hits"))
-    many = F.size("__hits.soft") >= min_soft
-    if min_weight is not None:
-        many |= F.col("__hits.weight") >= min_weight
+    hits = df.select(packed(df.drop("judged")), host.alias("__host"), path.alias("__path"), url_terms(text, strict, soft).alias("__hits"))
+    many = (F.size("__hits.soft") >= min_soft) & (F.col("__hits.weight") >= min_weight)
     bad = (F.size("__hits.strict") > 0) | many
     ruled = hits.withColumn("__rule", rule_for(F.col("__host"), F.col("__path"), rules))
     own = F.when(bad, F.lit("block")).otherwise(F.lit("allow"))

@@ -135,5 +135,10 @@ def test_urls(spark):
         ("", "", None, "allow"), ("", "", None, "allow"), ("", "", None, "block"), ("h", "", None, "allow"), ("host.net", "", None, "allow"),
         ("notexample.org", "/en/1", "org/", "allow"),
     ]
+    # two weak terms are too little, three or a strong one beside a weak one are enough; of equal rules one decides alike
+    weighed = spark.createDataFrame([(u, "x") for u in ("x://a/buy-free", "x://a/buy-free-win", "x://a/adult/win", "x://a/sex")], "url string, judged string")
+    assert [r.judged.verdict for r in url_filter.filter_urls(weighed).collect()] == ["allow", "block", "block", "allow"]
+    ties = [("block", "a", "/buy"), ("allow", "a", "/buy")]
+    assert {url_filter.filter_urls(weighed.limit(1), "url", order).first().judged.verdict for order in (ties, ties[::-1])} == {"allow"}
     assert got[4].soft == ["cheap", "pills"] and got[3].strict == ["spam"]
     assert url_filter.filter_urls(df.limit(0)).count() == 0
