@@ -13,6 +13,9 @@ METHOD_CODES = {
     "KO/TKO": "KO/TKO", "SUB": "Submission", "U-DEC": "Decision - Unanimous", "S-DEC": "Decision - Split",
     "M-DEC": "Decision - Majority", "DQ": "DQ", "CNC": "Could Not Continue", "Overturned": "Overturned",
 }
+DECISION_CODES = ("U-DEC", "S-DEC", "M-DEC", "DEC", "UD", "SD", "MD")
+NUMBERED_CARD = r"(?i)^UFC\s+((Vegas|Fight Night)\s+)?\d+$"
+GENERAL_LABELS = ("ufc", "ufc fight night", "ufc vegas", "mma")
 MISSING = ("", "--", "---", "n/a", "N/A")
 
 
@@ -126,14 +129,14 @@ def is_finish(method: Column) -> Column:
 
 
 def method_group(method: Column) -> Column:
-    value = F.lower(F.trim(method))
+    """KO/TKO, Submission, Decision, DQ, Other; NULL for methods that can't be graded, also unknown ones."""
+    value = F.upper(F.trim(method))
     return (
-        F.when(value.isNull() | (value == ""), F.lit(None))
-        .when(value.contains("submission") | (value == "sub"), "Submission")
-        .when(value.rlike("decision|-dec$|^dec$"), "Decision")
-        .when(value.rlike(r"\bt?ko\b|knockout"), "KO/TKO")
-        .when(value.rlike("^dq$|disqualif"), "DQ")
-        .otherwise("Other")
+        F.when(value.rlike(r"\b(KO|TKO)\b"), "KO/TKO")
+        .when((value == "SUB") | value.startswith("SUBMISSION"), "Submission")
+        .when(value.contains("DECISION") | value.isin(*DECISION_CODES), "Decision")
+        .when(value.isin("DQ", "DISQUALIFICATION"), "DQ")
+        .when(value == "OTHER", "Other")
     )
 
 
@@ -173,15 +176,57 @@ def mentions(text_words: Column, phrase_words: Column) -> Column:
 
 
 def paired_title(text_words: Column, left: Column, right: Column) -> Column:
-    """'left vs right' in either order, with vs, versus, v, and or x between."""
+    """Both names side by side in either order, with vs, versus, v, and, x or nothing between."""
     padded = F.concat(F.lit(" "), text_words, F.lit(" "))
-    joined = [F.concat(F.lit(" "), a, F.lit(f" {by} "), b, F.lit(" ")) for by in ("vs", "versus", "v", "and", "x") for a, b in ((left, right), (right, left))]
-    found = padded.contains(joined[0])
-    for j in joined[1:]:
-        found |= padded.contains(j)
+    found = F.lit(False)
+    for by in (" vs ", " versus ", " v ", " and ", " x ", " "):
+        for a, b in ((left, right), (right, left)):
+            found |= padded.contains(F.concat(F.lit(" "), a, F.lit(by), b, F.lit(" ")))
     return found & (left != "") & (right != "")
 
 
+def surname(name: Column) -> Column:
+    return F.element_at(F.split(F.trim(name), r"\s+"), -1)
+
+
+def fighter_terms(name: Column, aliases: Column | None = None) -> Column:
+    """What a text may call an entity: its name, its surname if it has four letters or more, and its aliases."""
+    own = F.array(F.trim(name), F.when(F.length(surname(name)) >= 4, surname(name)))
+    return F.array_compact(F.concat(own, F.coalesce(aliases, F.array().cast("array<string>"))) if aliases is not None else own)
+
+
+def event_labels(event: Column, aliases: Column | None = None) -> Column:
+    """What a text may call a card: its name; of 'prefix: matchup' the matchup, and the prefix if it is a numbered card."""
+    prefix, split = F.trim(F.substring_index(event, ":", 1)), event.contains(":")
+    rest = F.trim(F.regexp_replace(event, "^[^:]*:", ""))
+    own = F.array(event, F.when(split, rest), F.when(split & prefix.rlike(NUMBERED_CARD), prefix))
+    return F.array_compact(F.concat(own, F.coalesce(aliases, F.array().cast("array<string>"))) if aliases is not None else own)
+
+
+def event_matches(text_words: Column, label_words: Column, pair_words: Column) -> Column:
+    """Whether a text names the card: by one of its labels (as words), unless that is too general, or by the label's pair.
+
+    ``pair_words`` has for each label an array of its two sides, null where it is no pairing.
+    """
+    each = F.zip_with(label_words, pair_words, lambda w, p: F.struct(w.alias("w"), p.alias("p")))
+    named = lambda x: mentions(text_words, x["w"]) | F.coalesce(paired_title(text_words, x["p"][0], x["p"][1]), F.lit(False))
+    return F.coalesce(F.exists(each, lambda x: ~x["w"].isin(*GENERAL_LABELS) & named(x)), F.lit(False))
+
+
+def card_preview(title_words: Column) -> Column:
+    """A title that promises predictions for a card, as opposed to a contest."""
+    return title_words.rlike(r"\b(predictions?|picks?|preview|breakdown|betting tips)\b") & title_words.rlike(r"\b(ufc|mma|full card|entire card)\b")
+
+
+def recap(title_words: Column) -> Column:
+    return title_words.rlike(r"\b(recap|results|reaction|watchalong|companion|post fight)\b")
+
+
+def code_version(*parts: Column) -> Column:
+    """A digest of what a run was made with."""
+    return F.sha2(F.concat_ws("\n", *parts), 256)
+
+
 def sentences(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.!?])\s+|\n+"), lambda s: F.trim(s) != "")
 

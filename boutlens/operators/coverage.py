@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import html
+import re
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Wording of odds and polls.
-MARKET = r"(?i)\b(odds|betting|bookmaker|sportsbook|moneyline|underdog|favou?rite|poll|parlay|wager|line movement)\b"
-REASON = r"(?i)\b(because|since|therefore|due to|so that|which means|as a result)\b"
-TECHNICAL = r"(?i)\b(wrestling|striking|grappling|takedowns?|jab|kicks?|clinch|cardio|submission|guard|footwork|range)\b"
-HEDGES = r"(?i)\b(if|maybe|might|could|unless|not|never|pick'?em|odds|line)\b"
+from ..functions.scalars import card_preview, event_matches, mentions, paired_title, recap, words
+
+# Wording of odds and polls, of causes, and of technique; words that hedge a pick or report another's.
+MARKET = (
+    r"(?i)tapology|moneyline|betting odds|\bodds\b|\b(?:public|community|fan)\s+(?:picks?|votes?|sentiment|percentages?)\b"
+    r"|(?:\d+(?:\.\d+)?\s*(?:%|percent)[^\n]*\b(?:fans?|public|community)\b)"
+    r"|(?:\b(?:fans?|public|community)\b[^\n]*\d+(?:\.\d+)?\s*(?:%|percent))"
+)
+REASON = r"(?i)\b(because|since|due to|whereas|against|but|while)\b"
+TECHNICAL = r"(?i)\b(takedown|wrestling|grappling|striking|cardio|pace|jab|kicks?|clinch|reach|footwork|defen[cs]e)\b"
+HEDGES = r"(?i)\b(if|could|might|maybe|unless|would|can|not|don't|doesn't|didn't|said|says|picked|predicted)\b"
+SELECTS_BEFORE = "(?:i pick|my pick(?: is)?|(?:the )?pick(?: is)?|prediction(?: is)?|i am picking|i m picking|i am taking|i m taking)"
+SELECTS_AFTER = "(?:will win|wins this|to win|by (?:decision|submission|ko|tko|knockout))"
+SENTENCE = r"(?<=[.!?])\s+|\n+"
+#: Characters that a transcript may have in all.
+OVERSIZED = 2_000_000
 
 
 def eligible_observations(records: DataFrame, cutoff: str, lookback_days: int = 30) -> DataFrame:
@@ -19,27 +35,58 @@ def eligible_observations(records: DataFrame, cutoff: str, lookback_days: int =
     return records.filter((F.col("published_at") >= since) & (F.col("published_at") < at) & (F.col("observed_at") < at) & (F.col("fetched_at") < at))
 
 
-def without_market_language(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """(keys, pos, sentence): the sentences without odds or poll wording, also none that is split across two of them."""
-    long = texts.select(*keys, F.posexplode(F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+|\n+")).alias("pos", "sentence")).filter("trim(sentence) != ''")
-    order = Window.partitionBy(*keys).orderBy("pos")
-    near = [F.coalesce(f("sentence").over(order), F.lit("")) for f in (F.lag, F.lead)]
-    # wording across a break: the last word before and the first word after
-    left = F.concat_ws(" ", F.element_at(F.split(near[0], " "), -1), F.element_at(F.split("sentence", " "), 1))
-    right = F.concat_ws(" ", F.element_at(F.split("sentence", " "), -1), F.element_at(F.split(near[1], " "), 1))
-    two = r"(?i)^(line movement|money line|sports book)$"
-    bad = F.col("sentence").rlike(MARKET) | left.rlike(two) | right.rlike(two)
-    return long.withColumn("bad", bad).filter(~F.col("bad")).drop("bad")
+def analyst_text(text: Column) -> Column:
+    """The sentences of a text without odds or poll wording, joined by blanks."""
+    return F.trim(F.array_join(F.filter(F.split(text, SENTENCE), lambda x: ~x.rlike(MARKET)), " "))
+
+
+def without_market_language(segments: DataFrame, keys: list[str], pos: str = "pos", text: str = "text") -> DataFrame:
+    """Segments cut to their sentences without odds or poll wording; a segment goes if such wording stands in it and its
+    neighbours together, since captions split it, or if nothing is left."""
+    order = Window.partitionBy(*keys).orderBy(pos)
+    around = F.concat_ws(" ", F.lag(text).over(order), F.col(text), F.lead(text).over(order))
+    df = segments.withColumn("__bad", around.rlike(MARKET)).filter(~F.col("__bad")).drop("__bad")
+    return df.withColumn(text, analyst_text(F.col(text))).filter(F.col(text) != "")
 
 
 def reasoned_comments(comments: DataFrame, cutoff: str, min_score: int = 2, min_words: int = 25) -> DataFrame:
-    """Comments with reasons: scored, by a person, not edited after the cutoff, long enough, technical and causal."""
+    """Comments with reasons: scored, by a person, not edited after the cutoff, about both sides, and, without odds and
+    polls, long enough, technical and causal. ``body`` is cut to that text.
+
+    comments: body, author, score, stickied, created, edited, a_terms, b_terms (arrays of words, see fighter_terms and words).
+    """
     latest = F.greatest("created", F.coalesce("edited", "created"))
-    gone = F.trim("body").isin("[deleted]", "[removed]") | F.lower("author").isin("[deleted]", "automoderator")
-    return comments.filter(
-        (F.col("score") >= min_score) & ~F.coalesce("stickied", F.lit(False)) & ~gone & (latest < F.lit(cutoff).cast("timestamp"))
-        & (F.size(F.split(F.trim("body"), r"\s+")) >= min_words) & F.col("body").rlike(TECHNICAL) & F.col("body").rlike(REASON)
-    )
+    person = ~F.coalesce("author", F.lit("")).isin("", "[deleted]", "AutoModerator")
+    df = comments.filter((F.col("score") >= min_score) & ~F.coalesce("stickied", F.lit(False)) & person & (latest < F.lit(cutoff).cast("timestamp")))
+    df = df.withColumn("body", analyst_text(F.col("body"))).withColumn("__w", words(F.col("body")))
+    named = lambda terms: F.exists(terms, lambda x: mentions(F.col("__w"), x))
+    long = F.size(F.filter(F.split("body", r"\s+"), lambda x: x != "")) >= min_words
+    return df.filter(named("a_terms") & named("b_terms") & long & F.col("body").rlike(TECHNICAL) & F.col("body").rlike(REASON)).drop("__w")
+
+
+def comment_entries(comments: DataFrame, cutoff: str, k: int = 5, **rules) -> DataFrame:
+    """One row for each comment that counts: the best of every author, ``k`` of each thread, with stable ids and a low weight.
+
+    Besides the columns of :func:`reasoned_comments`: thread, comment_id, weight (at most 0.5; others don't count).
+    """
+    good = reasoned_comments(comments, cutoff, **rules).filter((F.col("weight") > 0) & (F.col("weight") <= 0.5))
+    best = top_comments(good, "thread", "author", "score", "comment_id", k)
+    ids = F.concat(F.lit("reddit:"), F.lower("author")).alias("source_id"), F.concat(F.lit("reddit:"), "comment_id").alias("content_id")
+    return best.select("thread", *ids, "author", "weight", "body", "rank")
+
+
+def written_entries(entries: DataFrame, cutoff: str, min_words: int = 12) -> DataFrame:
+    """One row for each attributed entry of an article: source (host and writer), content id, weight and text.
+
+    entries: url, writer, writer_words, published_at, fetched_at, pick_text, reasons, weight, both (whether it is about both sides).
+    """
+    at = F.lit(cutoff).cast("timestamp")
+    size = F.size(F.filter(F.split(F.trim("reasons"), r"\s+"), lambda x: x != ""))
+    ok = (F.col("published_at") < at) & (F.col("fetched_at") < at) & F.col("both") & (F.trim("writer") != "") & (size >= min_words) & F.col("weight").between(0, 10)
+    source = F.concat(F.lit("written:"), F.try_parse_url("url", F.lit("HOST")), F.lit(":"), F.replace("writer_words", F.lit(" "), F.lit("-")))
+    text = analyst_text(F.trim(F.concat_ws("\n", "pick_text", "reasons")))
+    df = entries.filter(ok).withColumn("source_id", source).withColumn("text", text).filter("text != ''")
+    return df.withColumn("content_id", F.substring(F.sha2(F.concat("url", "source_id"), 256), 1, 24)).select("source_id", "content_id", "writer", "url", "weight", "text")
 
 
 def top_comments(comments: DataFrame, thread: str, author: str, score: str, key: str, k: int = 5) -> DataFrame:
@@ -50,22 +97,25 @@ def top_comments(comments: DataFrame, thread: str, author: str, score: str, key:
     return best.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k).drop("__n")
 
 
-def match_texts(texts: DataFrame, contests: DataFrame) -> DataFrame:
+def match_texts(texts: DataFrame, contests: DataFrame, days: int = 14) -> DataFrame:
     """Text records matched to contests of their date window: contest, card or provisional match.
 
-    texts: text_id, text_words, published_date. contests: fight_id, event_id, event_date, a_words, b_words, card_words (all
-    words as functions.words gives them). Both meet by week, so the match is an equi-join with conditions.
+    texts: text_id, title_words, text_words (title and description), published_date. contests: fight_id, event_id, event_date,
+    a_words and b_words (arrays: name and aliases), a_surname and b_surname, label_words and label_pairs (see event_matches);
+    all words as functions.words gives them. Recaps match nothing; a preview of some card is a provisional match. Both meet
+    by week, so the match is an equi-join with conditions.
     """
     week = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / 7)
-    padded = F.concat(F.lit(" "), F.col("text_words"), F.lit(" "))
-    has = lambda c: (F.col(c) != "") & padded.contains(F.concat(F.lit(" "), F.col(c), F.lit(" ")))
-    # a text speaks of contests up to two weeks ahead
-    left = texts.withColumn("__week", F.explode(F.sequence(week(F.col("published_date")), week(F.col("published_date")) + 2)))
+    weeks = F.sequence(week(F.col("published_date")), week(F.date_add("published_date", days)))
+    left = texts.filter(~recap(F.col("title_words"))).withColumn("__week", F.explode(weeks))
     df = left.join(contests.withColumn("__week", week(F.col("event_date"))), "__week")
-    df = df.filter((F.datediff("event_date", "published_date") >= 0) & (F.datediff("event_date", "published_date") <= 14))
-    both, card, one = has("a_words") & has("b_words"), has("card_words"), has("a_words") | has("b_words")
-    kind = F.when(both, "contest").when(card & one, "card").when(one, "provisional")
-    return df.withColumn("match", kind).filter("match IS NOT NULL").select("text_id", "fight_id", "event_id", "match")
+    df = df.filter(F.datediff("event_date", "published_date").between(0, days))
+    text = F.col("text_words")
+    named = lambda side: F.exists(side, lambda x: mentions(text, x))
+    both = (named("a_words") & named("b_words")) | paired_title(text, F.col("a_surname"), F.col("b_surname"))
+    card = event_matches(text, F.col("label_words"), F.col("label_pairs"))
+    kind = F.when(both, "contest").when(card, "card").when(card_preview(F.col("title_words")), "provisional")
+    return df.withColumn("match", kind).filter("match IS NOT NULL").select("text_id", "fight_id", "event_id", "published_date", "match")
 
 
 def prioritised(matches: DataFrame, cap: int = 12) -> DataFrame:
@@ -75,38 +125,85 @@ def prioritised(matches: DataFrame, cap: int = 12) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= cap)
 
 
-def matchup_discussed(text_words: Column, a: Column, b: Column, max_gap: int = 1500) -> Column:
-    """Both sides within ``max_gap`` characters of normalised text; a surname that both share does not count."""
-    spots = lambda name: F.transform(F.regexp_extract_all(F.concat(F.lit(" "), text_words, F.lit(" ")), F.concat(F.lit("(?s)(.*?) "), name, F.lit("(?= )"))), lambda x: F.length(x))
-    ends = lambda name: F.filter(F.transform(spots(name), lambda x, i: F.aggregate(F.slice(spots(name), 1, i + 1), F.lit(0), lambda acc, y: acc + y + F.length(name) + 1)), lambda x: x.isNotNull())
-    near = F.exists(ends(a), lambda x: F.exists(ends(b), lambda y: F.abs(x - y) <= max_gap))
-    return F.coalesce(near & (a != b), F.lit(False))
+def matchup_discussed(text_words: Column, a_terms: Column, b_terms: Column, max_gap: int = 1500) -> Column:
+    """Whether terms of both sides start within ``max_gap`` characters of each other; terms that both share don't count.
+
+    All in words. Places of both sides are merged in order, so the work grows with their number.
+    """
+
+    @F.pandas_udf("boolean")
+    def near(texts: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
+        def one(text: str | None, a, b) -> bool:
+            sides = [{x for x in (terms if terms is not None else ()) if x} for terms in (a, b)]
+            sides = [s - (sides[0] & sides[1]) for s in sides]
+            if text is None or not all(sides):
+                return False
+            places = []
+            for k, terms in enumerate(sides):
+                pattern = r"\b(?:" + "|".join(map(re.escape, sorted(terms))) + r")\b"
+                places += [(m.start(), k) for m in re.finditer(pattern, text)]
+            places.sort()
+            return any(k != j and y - x <= max_gap for (x, k), (y, j) in zip(places, places[1:]))
+
+        return pd.Series([one(*row) for row in zip(texts, left, right)], dtype="boolean")
+
+    return near(text_words, a_terms, b_terms)
+
+
+def explicit_pick(pick: Column, evidence: Column, evidence_words: Column, text_words: Column, sides: Column, aliases: Column, alias_words: Column) -> Column:
+    """The evidence stands in the text, picks one of the two sides by a phrase of choice, and neither hedges, nor reports
+    another's pick, nor speaks of the market. ``aliases`` of the pick (its name and surname among them), ``alias_words`` in words.
+    """
+    each = F.zip_with(aliases, alias_words, lambda raw, plain: F.struct(raw.alias("raw"), plain.alias("plain")))
+
+    def chosen(x: Column) -> Column:
+        possessive = F.regexp_like(evidence, F.concat(F.lit(r"(?i)\b\Q"), x["raw"], F.lit(r"\E['’]s\b")))
+        before = F.regexp_like(evidence_words, F.concat(F.lit(rf"\b{SELECTS_BEFORE}\s+"), x["plain"], F.lit(r"\b")))
+        after = F.regexp_like(evidence_words, F.concat(F.lit(r"\b"), x["plain"], F.lit(rf"\s+{SELECTS_AFTER}\b")))
+        return (x["plain"] != "") & ~possessive & (before | after)
+
+    quoted = (F.trim(evidence) != "") & text_words.contains(evidence_words)
+    return F.coalesce(F.array_contains(sides, pick) & quoted & ~evidence.rlike(MARKET) & ~evidence.rlike(HEDGES) & F.exists(each, chosen), F.lit(False))
+
 
+def plain_text(text: Column) -> Column:
+    """Without tags, with character references decoded."""
 
-def explicit_pick(evidence: Column, pick: Column, text: Column) -> Column:
-    """The evidence stands verbatim in the text, selects the picked name, and neither hedges nor speaks of the market."""
-    selects = F.concat(F.lit(r"(?i)\b(pick|picking|choose|taking|take|going with|i(?:'ve| have) got|wins|by)\b.*"), pick)
-    selects_after = F.concat(F.lit("(?i)"), pick, F.lit(r"\b.*\b(wins|to win|takes it|gets it done|by (ko|submission|decision))\b"))
-    possessive = F.lower(evidence).contains(F.concat(F.lower(pick), F.lit("'s ")))
-    chosen = F.regexp_like(evidence, selects) | F.regexp_like(evidence, selects_after)
-    return F.coalesce(text.contains(evidence) & (evidence != "") & chosen & ~possessive & ~evidence.rlike(HEDGES), F.lit(False))
+    @F.pandas_udf("string")
+    def decoded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else html.unescape(x))
 
+    return F.trim(decoded(F.regexp_replace(text, "<[^>]+>", "")))
 
-def normalised_segments(segments: DataFrame, keys: list[str], max_chars: int = 4000) -> DataFrame:
-    """Segments with tags stripped and finite, non-negative times; one equal to the one before goes."""
-    text = F.trim(F.regexp_replace(F.regexp_replace("text", "<[^>]*>", " "), r"\s+", " "))
-    ok = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.col(c) >= 0) & (F.abs(F.col(c)) != float("inf"))
-    df = segments.withColumn("text", F.substring(text, 1, max_chars)).filter((F.col("text") != "") & ok("start") & ok("duration"))
+
+def segment_problems(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, problem) of transcripts that are refused as a whole: a time that is negative or not finite, no text, too much."""
+    sound = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.col(c) >= 0) & (F.abs(F.col(c)) != float("inf"))
+    size = F.length(plain_text(F.col("text")))
+    per = segments.withColumn("__size", size).groupBy(*keys).agg(F.every(sound("start") & sound("duration")).alias("timed"), F.sum("__size").alias("size"))
+    problem = F.when(~F.col("timed"), "timing").when(F.coalesce("size", F.lit(0)) == 0, "empty").when(F.col("size") > OVERSIZED, "oversized")
+    return per.select(*keys, problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def normalised_segments(segments: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole segments of the transcripts without problem, tags stripped and references decoded; empty ones, and those equal to
+    the one before, go."""
+    good = segments.join(segment_problems(segments, keys), keys, "left_anti")
+    df = good.withColumn("text", plain_text(F.col("text"))).filter("text != ''")
     before = F.lag("text").over(Window.partitionBy(*keys).orderBy("pos"))
     return df.withColumn("__b", before).filter(~F.col("text").eqNullSafe(F.col("__b"))).drop("__b")
 
 
 def chapters(descriptions: DataFrame, keys: list[str], text: str = "description") -> DataFrame:
-    """(keys, number, start, end, title) of 'h:mm:ss title' lines; two or more, at increasing times, else none."""
-    pattern = r"^\s*(?:(\d{1,2}):)?(\d{1,2}):(\d{2})\s+(\S.*)$"
+    """(keys, number, start, end, title) of 'h:mm:ss title' lines; two or more, at increasing times, else none.
+
+    Lines with 60 minutes or seconds and more are no chapters; marks before the title go.
+    """
+    pattern = r"^\s*(?:(\d{1,2}):)?(\d{1,2}):(\d{2})\s+[-|\s]*(.+)$"
     long = descriptions.select(*keys, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("pos", "line")).filter(F.col("line").rlike(pattern))
     part = lambda i: F.coalesce(F.regexp_extract("line", pattern, i).try_cast("int"), F.lit(0))
-    long = long.select(*keys, "pos", (part(1) * 3600 + part(2) * 60 + part(3)).alias("start"), F.trim(F.regexp_extract("line", pattern, 4)).alias("title"))
+    long = long.filter((part(2) < 60) & (part(3) < 60))
+    long = long.select(*keys, "pos", (part(1) * 3600 + part(2) * 60 + part(3)).alias("start"), F.regexp_extract("line", pattern, 4).alias("title"))
     order, whole = Window.partitionBy(*keys).orderBy("pos"), Window.partitionBy(*keys)
     long = long.withColumns({"number": F.row_number().over(order), "end": F.lead("start").over(order), "__n": F.count("*").over(whole)})
     rising = F.min(F.coalesce((F.col("end") > F.col("start")).cast("int"), F.lit(1))).over(whole)
@@ -161,6 +258,78 @@ def ngram_overlap(texts: DataFrame, protected: DataFrame, key: str, protected_ke
     return a.join(b, "gram").groupBy(key, protected_key).agg(F.count("*").alias("shared"))
 
 
+def protected_grams(texts: DataFrame, text_words: str = "text_words", n: int = 8) -> DataFrame:
+    """(gram): hashes of all runs of ``n`` words of protected texts; of a shorter text, of three words or more, the whole."""
+    w = F.filter(F.split(text_words, " "), lambda x: x != "")
+    size = F.least(F.lit(n), F.size(w))
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.xxhash64(F.array_join(F.slice(w, i, size), " ")))
+    grams = F.when(F.size(w) >= 3, F.array_distinct(F.transform(F.array(w), runs)[0]))
+    return texts.select(F.explode(grams).alias("gram")).distinct()
+
+
+def quotes(outputs: DataFrame, protected: DataFrame, key: str, text_words: str = "text_words", sizes: Sequence[int] = (3, 4, 5, 6, 7, 8)) -> DataFrame:
+    """(key, quotes): outputs in which a run of 3 to 8 words is a protected gram, and how many such runs they have."""
+    w = F.filter(F.split(text_words, " "), lambda x: x != "")
+
+    def of(w: Column, n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
+        return F.when(F.size(w) >= n, each)
+
+    def runs(w: Column) -> Column:
+        return F.array_distinct(F.flatten(F.array_compact(F.array(*[of(w, n) for n in sizes]))))
+
+    grams = outputs.select(key, F.explode(F.transform(F.array(w), runs)[0]).alias("gram"))
+    return grams.join(protected, "gram", "left_semi").groupBy(key).agg(F.count("*").alias("quotes"))
+
+
+def redacted(outputs: DataFrame, found: DataFrame, key: str, text: str = "text", notice: str = "[Quotation omitted; see the linked source.]") -> DataFrame:
+    """``outputs`` with the texts that quote replaced by a notice."""
+    flags = found.select(key, F.lit(True).alias("__q"))
+    return outputs.join(flags, key, "left").withColumn(text, F.when(F.col("__q"), F.lit(notice)).otherwise(F.col(text))).drop("__q")
+
+
+def passages(segments: DataFrame, keys: list[str], about: DataFrame, chaptered: DataFrame, budget: int, before: int = 8, after: int = 24) -> DataFrame:
+    """The segments of each transcript that speak of a contest, up to ``budget`` characters, the last one cut.
+
+    segments: keys, pos, text, text_words, start. about: keys, terms (array of words of both sides), specific (the whole text
+    is about the contest). chaptered: keys, start, end of the contest's own chapters. Chapters come first; without one the
+    segments around mentions; without any mention the whole text, if it is specific.
+    """
+    spoken = segments.join(about, keys)
+    inside = chaptered.select(*keys, F.col("start").alias("__from"), F.coalesce(F.col("end").cast("double"), F.lit(float("inf"))).alias("__to"))
+    timed = spoken.groupBy(*keys).agg(F.max("start").alias("__last")).filter("__last > 0").select(*keys)
+    within = spoken.join(inside.join(timed, keys, "left_semi"), keys).filter((F.col("start") >= F.col("__from")) & (F.col("start") < F.col("__to"))).drop("__from", "__to")
+    rest = spoken.join(within.select(*keys).distinct(), keys, "left_anti")
+    order = Window.partitionBy(*keys).orderBy("pos")
+    pair = F.concat_ws(" ", "text_words", F.lead("text_words").over(order))
+    rest = rest.withColumn("__pair", pair)
+    hit = F.exists("terms", lambda x: mentions(F.col("__pair"), x)).cast("int")
+    rest = rest.withColumn("__hit", hit).withColumns({"__any": F.max("__hit").over(Window.partitionBy(*keys)), "__near": F.max("__hit").over(order.rowsBetween(-after, before))})
+    rest = rest.filter((F.col("__near") == 1) | ((F.col("__any") == 0) & F.col("specific"))).select(*within.columns)
+    used = F.coalesce(F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    df = within.unionByName(rest).withColumn("__used", used).filter(F.col("__used") < budget)
+    return df.withColumn("text", F.substring("text", F.lit(1), (F.lit(budget) - F.col("__used")).cast("int"))).drop("__used", "terms", "specific")
+
+
+def coverage_for(contests: DataFrame, texts: DataFrame, segments: DataFrame, described: DataFrame, cutoff: str, lookback_days: int = 30, cap: int = 12, budget: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """(sources, passages) for every contest: which texts may be used and are about it, and what of them is read.
+
+    contests: as in :func:`match_texts`, and terms (words of both sides). texts: as there, and published_at, observed_at,
+    fetched_at. segments: text_id, pos, text, text_words, start, duration. described: text_id, description (with chapters).
+    """
+    known = eligible_observations(texts, cutoff, lookback_days)
+    chosen = prioritised(match_texts(known, contests), cap)
+    about = chosen.join(contests.select("fight_id", "terms"), "fight_id").select("fight_id", "text_id", "terms", (F.col("match") == "contest").alias("specific"))
+    marks = chapters(described, ["text_id"]).withColumn("__words", words(F.col("title"))).join(about, "text_id")
+    marks = marks.filter(F.exists("terms", lambda x: mentions(F.col("__words"), x))).select("fight_id", "text_id", "start", "end")
+    wanted = segments.join(about.select("fight_id", "text_id"), "text_id")
+    read = passages(wanted, ["fight_id", "text_id"], about, marks, budget)
+    size = lambda df, name: df.groupBy("fight_id", "text_id").agg(F.sum(F.length("text")).alias(name))
+    sources = chosen.join(size(wanted, "chars"), ["fight_id", "text_id"], "left").join(size(read, "read"), ["fight_id", "text_id"], "left")
+    caveat = F.when(F.col("read").isNull(), "no discussion found").when(F.col("read") < F.col("chars"), "selected or cut passages")
+    return sources.withColumn("caveat", caveat), read
+
+
 def first_available_layer(layers: DataFrame, keys: list[str]) -> DataFrame:
     """layers: keys, layer, turn, allowed, ok. The first allowed layer that succeeded, and the failed ones before it."""
     tried = layers.filter("allowed")
@@ -185,3 +354,12 @@ def claim_check(claims: DataFrame, evidence: DataFrame) -> DataFrame:
     number = F.abs(F.col("value").try_cast("double") - F.col("stored").try_cast("double")) <= 1e-9
     same = (F.trim("value") == F.trim("stored")) | F.coalesce(number, F.lit(False))
     return df.withColumn("status", F.when(F.col("stored").isNull(), "unknown path").when(same, "supported").otherwise("contradicted"))
+
+
+def unchecked_categories(claims: DataFrame, reviews: DataFrame, categories: Sequence[str] = ("opposition", "style_history")) -> DataFrame:
+    """(review_id, side, category) without a claim: every review must check each category for both sides.
+
+    claims: review_id, side, category. reviews: review_id.
+    """
+    wanted = reviews.select("review_id", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("side")).withColumn("category", F.explode(F.array(*map(F.lit, categories))))
+    return wanted.join(claims.select("review_id", "side", "category"), ["review_id", "side", "category"], "left_anti")

@@ -10,42 +10,69 @@ from .derived import flag
 
 
 def unordered(a: Column, b: Column) -> Column:
-    """A key of two names that does not depend on their order."""
-    x, y = F.lower(F.trim(a)), F.lower(F.trim(b))
+    """A key of two names that does not depend on their order, their case or their white space."""
+    x, y = (F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))) for c in (a, b))
     return F.concat_ws("|", F.least(x, y), F.greatest(x, y))
 
 
 def score_rows(forecasts: DataFrame, results: DataFrame) -> DataFrame:
-    """One row per forecast with status RIGHT, WRONG, UNSCORED, PENDING, UNMATCHED or FAILED and graded parts.
+    """One row per forecast with status RIGHT, WRONG, UNSCORED, PENDING, UNMATCHED, FAILED or CONFLICT, and graded parts.
 
     forecasts: run_id, fighter_a, fighter_b, predicted_winner, win_probability, predicted_method, predicted_round, fight_id,
-    error. results: fight_id, fighter_a_name, fighter_b_name, winner_name, result, method_of_victory, ending_round. They
-    meet by the unordered pair; an id, where the forecast has one, must agree.
+    error, and event_date where runs span several cards. results: fight_id, fighter_a_name, fighter_b_name, winner_name,
+    result, method_of_victory, ending_round, and event_date likewise. A forecast with an id that is known takes that contest;
+    else it takes that of its unordered pair (and date). What must be reconciled by hand is a conflict: an id whose sides
+    changed, a pair whose id changed, a pair with several contests and no id. Parts without a known method or round, or a
+    method outside the groups, stay ungraded.
     """
+    dated = ["event_date"] if "event_date" in forecasts.columns and "event_date" in results.columns else []
+    pair = unordered(F.col("fighter_a_name"), F.col("fighter_b_name"))
+    fields = ("winner_name", "result", "method_of_victory", "ending_round")
+    known = results.select(pair.alias("pair"), *dated, F.struct(F.col("fight_id").alias("id"), *fields).alias("actual"))
+    by_id = known.groupBy(F.col("actual.id").alias("fight_id")).agg(F.min(F.struct("pair", "actual")).alias("own"))
+    by_pair = known.groupBy("pair", *dated).agg(F.min("actual").alias("met"), F.count("*").alias("meetings"))
     left = forecasts.withColumn("pair", unordered(F.col("fighter_a"), F.col("fighter_b")))
-    right = results.select(
-        unordered(F.col("fighter_a_name"), F.col("fighter_b_name")).alias("pair"), F.col("fight_id").alias("result_id"),
-        "winner_name", "result", "method_of_victory", "ending_round",
+    df = left.join(by_id, "fight_id", "left").join(by_pair, ["pair", *dated], "left")
+    named, own, met = F.col("fight_id").isNotNull(), F.col("own").isNotNull(), F.col("met").isNotNull()
+    conflict = (
+        F.when(named & own & (F.col("own.pair") != F.col("pair")), "participants changed").when(named & ~own & met, "contest id changed")
+        .when(~named & (F.col("meetings") > 1), "several contests of the pair")
     )
-    # a pair can meet again: of its results, the forecast's own contest
-    df = left.join(right, (left["pair"] == right["pair"]) & (left["fight_id"].isNull() | (left["fight_id"] == right["result_id"])), "left").drop(right["pair"])
-    failed, found = F.col("error").isNotNull(), F.col("result_id").isNotNull()
-    completed = F.col("result") == "completed"
-    right_winner = F.lower(F.trim("predicted_winner")) == F.lower(F.trim("winner_name"))
+    df = df.withColumns({"conflict": conflict, "actual": F.when(conflict.isNull(), F.coalesce("own.actual", "met"))})
+    result, winner_name = F.col("actual.result"), F.col("actual.winner_name")
+    right_winner = F.lower(F.trim("predicted_winner")) == F.lower(F.trim(winner_name))
     status = (
-        F.when(failed, "FAILED").when(~found, "UNMATCHED").when(F.col("result") == "pending", "PENDING")
-        .when(~completed, "UNSCORED").when(right_winner, "RIGHT").otherwise("WRONG")
+        F.when(F.col("error").isNotNull(), "FAILED").when(F.col("conflict").isNotNull(), "CONFLICT").when(F.col("actual").isNull(), "UNMATCHED")
+        .when(result.isin("draw", "no_contest"), "UNSCORED").when((result == "pending") | blank(winner_name), "PENDING")
+        .when(right_winner, "RIGHT").otherwise("WRONG")
     )
     df = df.withColumn("status", status)
     scored = F.col("status").isin("RIGHT", "WRONG")
     winner = F.when(scored, F.col("status") == "RIGHT")
-    method = F.when(scored, method_group(F.col("predicted_method")) == method_group(F.col("method_of_victory")))
-    round_ = F.when(scored, F.col("predicted_round") == F.col("ending_round"))
+    method = F.when(scored, method_group(F.col("predicted_method")) == method_group(F.col("actual.method_of_victory")))
+    round_ = F.when(scored, F.col("predicted_round") == F.col("actual.ending_round"))
+    exact = F.when(method.isNotNull() & round_.isNotNull(), winner & method & round_)
     p = F.when(winner, F.col("win_probability")).otherwise(1 - F.col("win_probability"))
-    return df.withColumns({
-        "winner_correct": winner, "method_correct": method, "round_correct": round_,
-        "exact_correct": winner & method & round_, "brier": F.when(scored, F.pow(1 - p, 2)),
-    })
+    graded = {"winner_correct": winner, "method_correct": method, "round_correct": round_, "exact_correct": exact}
+    df = df.withColumns({**graded, "brier": F.when(scored, F.pow(1 - p, 2)), "result_id": F.col("actual.id")})
+    return df.select("*", *[F.col(f"actual.{c}").alias(c) for c in fields if c not in df.columns]).drop("own", "met", "meetings", "actual")
+
+
+def blank(c: Column) -> Column:
+    return c.isNull() | (F.trim(c) == "")
+
+
+def report_problems(reports: DataFrame, cards: DataFrame) -> DataFrame:
+    """(run_id, problem) of runs that may not be scored: another card's, another date's, or a cutoff after the card.
+
+    reports: run_id, event_url, event_date, cutoff. cards: event_url, event_date, one row for each card with results.
+    """
+    df = reports.join(cards.select("event_url", F.col("event_date").alias("held")), "event_url", "left")
+    problem = (
+        F.when(F.col("held").isNull(), "another card").when(F.col("event_date") != F.col("held"), "another date")
+        .when(F.col("cutoff").isNull(), "no cutoff").when(F.col("cutoff") > F.col("held"), "cutoff after the card")
+    )
+    return df.select("run_id", problem.alias("problem")).filter("problem IS NOT NULL")
 
 
 def score_summary(scored: DataFrame) -> DataFrame:
@@ -53,7 +80,7 @@ def score_summary(scored: DataFrame) -> DataFrame:
     cols = [
         F.count("*").alias("attempted"), F.sum(flag(F.col("status") != "FAILED")).alias("published"),
         F.sum(flag(F.col("status") == "FAILED")).alias("failed"),
-        F.sum(flag(F.col("status").isin("UNSCORED", "PENDING", "UNMATCHED"))).alias("unscored"),
+        F.sum(flag(F.col("winner_correct").isNull())).alias("unscored"),
     ]
     for part in ("winner", "method", "round", "exact"):
         c = F.col(f"{part}_correct")
@@ -74,6 +101,33 @@ def paired_runs(scored: DataFrame) -> DataFrame:
     )
 
 
+def matched_runs(scored: DataFrame, first: str, second: str) -> DataFrame:
+    """Contests that both runs have, and that both scored, or that the second withheld after review: one row each."""
+    side = lambda run, name: scored.filter(F.col("run_id") == run).select("pair", *[F.col(c).alias(f"{name}_{c}") for c in ("status", "error", "winner_correct", "brier")])
+    both = side(first, "first").join(side(second, "second"), "pair").filter("first_winner_correct IS NOT NULL")
+    withheld = F.col("second_error").isNotNull() & (failure_category(F.col("second_error")) == "review withheld")
+    return both.withColumn("withheld", withheld).filter("second_winner_correct IS NOT NULL OR withheld")
+
+
+def run_matrix(scored: DataFrame) -> DataFrame:
+    """(pair, picks): per contest what every run said and how that came out, in the order of runs."""
+    said = F.struct("run_id", F.coalesce("predicted_winner", F.lit("WITHHELD")).alias("pick"), "status")
+    return scored.groupBy("pair").agg(F.array_sort(F.collect_list(said)).alias("picks"))
+
+
+def assess_variants(scored: DataFrame, costs: DataFrame, baseline: str, **policy) -> DataFrame:
+    """Each run (variant) against the baseline: its summary over all contests, over those both scored, and whether it stays.
+
+    ``costs``: run_id, cost. Paired figures are those of :func:`paired_runs`, seen from the baseline.
+    """
+    summary = score_summary(scored).join(costs, "run_id", "left")
+    pairs = paired_runs(scored)
+    own = pairs.filter(F.col("run_id") == baseline).select(F.col("other").alias("run_id"), F.col("contests").alias("shared"), (F.col("other_correct") - F.col("correct")).alias("more_right"), (F.col("other_brier") - F.col("brier")).alias("brier_change"))
+    turned = pairs.filter(F.col("other") == baseline).select("run_id", F.col("contests").alias("shared"), (F.col("correct") - F.col("other_correct")).alias("more_right"), (F.col("brier") - F.col("other_brier")).alias("brier_change"))
+    kept = retention_policy(summary, baseline, **policy)
+    return summary.join(own.unionByName(turned), "run_id", "left").join(kept, "run_id", "left")
+
+
 def retention_policy(summary: DataFrame, baseline: str, min_coverage: float = 1.0, more_winners: int = 2, max_cost: float = 2.0) -> DataFrame:
     """Each run against the baseline: is it worth its cost? ``summary`` has run_id, attempted, published, winner_correct,
     winner_scored, brier and cost."""

@@ -339,7 +339,7 @@ def _duration(t: Tables) -> DataFrame:
 
 
 @query("method_group", f"""{WITH} SELECT fight_id, CASE WHEN method_of_victory = 'KO/TKO' THEN 'KO/TKO' WHEN method_of_victory = 'Submission' THEN 'Submission'
-       WHEN method_of_victory LIKE 'Decision%' THEN 'Decision' ELSE 'Other' END AS method_group, method_of_victory IN ('KO/TKO', 'Submission') AS finish FROM contests""")
+       WHEN method_of_victory LIKE 'Decision%' THEN 'Decision' WHEN method_of_victory IN ('DQ', 'Other') THEN method_of_victory END AS method_group, method_of_victory IN ('KO/TKO', 'Submission') AS finish FROM contests""")
 def _group(t: Tables) -> DataFrame:
     m = F.col("method_of_victory")
     return t.contests.select("fight_id", scalars.method_group(m).alias("method_group"), scalars.is_finish(m).alias("finish"))

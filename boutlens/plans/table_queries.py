@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import derived, reconcile, scoring, validate
-from ..operators.ratings import checkpointed
+from ..checkpoints import checkpointed
 from .catalog import WITH, Tables, query, rounded
 from .proxy import rounds_of
 
@@ -84,10 +84,10 @@ def _upsert(t: Tables) -> DataFrame:
     return reconcile.upsert_contests(t.contests.select("fight_id", "event_id", "method_of_victory"), _incoming(t))
 
 
-@query("upsert_rounds", f"""{WITH}, sent AS (SELECT fight_id, round_number, fighter_id, knockdowns + 1 AS knockdowns FROM rounds WHERE fight_id % 2 = 0 AND round_number = 1)
+@query("upsert_rounds", f"""{WITH}, sent AS MATERIALIZED (SELECT fight_id, round_number, fighter_id, knockdowns + 1 AS knockdowns FROM rounds WHERE fight_id % 2 = 0 AND round_number = 1)
        SELECT coalesce(s.fight_id, r.fight_id) AS fight_id, coalesce(s.round_number, r.round_number) AS round_number, coalesce(s.fighter_id, r.fighter_id) AS fighter_id,
        coalesce(s.knockdowns, r.knockdowns) AS knockdowns FROM rounds r FULL JOIN sent s ON r.fight_id = s.fight_id AND r.round_number = s.round_number AND r.fighter_id = s.fighter_id
-       WHERE s.fight_id IS NOT NULL OR NOT r.fight_id IN (SELECT fight_id FROM sent WHERE fight_id % 4 = 0)""")
+       LEFT JOIN (SELECT DISTINCT fight_id FROM sent WHERE fight_id % 4 = 0) w ON w.fight_id = r.fight_id WHERE s.fight_id IS NOT NULL OR w.fight_id IS NULL""")
 def _upsert_rounds(t: Tables) -> DataFrame:
     keys = ("fight_id", "round_number", "fighter_id")
     sent = t.rounds.filter("fight_id % 2 = 0 AND round_number = 1").select(*keys, (F.col("knockdowns") + 1).alias("knockdowns"))
@@ -177,12 +177,16 @@ _FORECASTS = f"""prior AS (SELECT fight_id, slot, {_PRIOR} AS w FROM persp),
         CASE WHEN c.fight_id % 2 = 0 THEN 'KO/TKO' ELSE 'Decision - Unanimous' END AS predicted_method, (1 + c.fight_id % 3)::INT AS predicted_round,
         CASE WHEN c.fight_id % 40 = 1 AND r.run_id = 'second' THEN 'TimeoutError: no answer' WHEN c.fight_id % 60 = 1 THEN 'QuotaError: quota exceeded' END AS error
     FROM contests c JOIN sides s ON c.fight_id = s.fight_id CROSS JOIN (SELECT 'first' AS run_id UNION ALL SELECT 'second') r),
-    scored AS (SELECT f.*, c.result, CASE WHEN error IS NOT NULL THEN 'FAILED' WHEN c.result <> 'completed' THEN 'UNSCORED'
+    sent AS (SELECT *, fight_id AS contest, CASE WHEN fight_id % 7 = 3 THEN NULL WHEN fight_id % 31 = 5 THEN fight_id + 1000000000 ELSE fight_id END AS sent_id,
+        lower(least(fighter_a, fighter_b)) || '|' || lower(greatest(fighter_a, fighter_b)) AS pair FROM forecasts),
+    held AS (SELECT *, count(*) OVER (PARTITION BY least(fighter_a_id, fighter_b_id), greatest(fighter_a_id, fighter_b_id), event_date) AS meetings FROM contests),
+    scored AS (SELECT s.* EXCLUDE (fight_id), s.contest AS fight_id, c.result, CASE WHEN error IS NOT NULL THEN 'FAILED'
+        WHEN sent_id > 1000000000 OR (sent_id IS NULL AND meetings > 1) THEN 'CONFLICT' WHEN c.result <> 'completed' THEN 'UNSCORED'
         WHEN predicted_winner = CASE WHEN winner_fighter_id = fighter_a_id THEN fighter_a_name ELSE fighter_b_name END THEN 'RIGHT' ELSE 'WRONG' END AS status,
-        c.method_of_victory, c.ending_round FROM forecasts f JOIN contests c ON f.fight_id = c.fight_id),
+        c.method_of_victory, c.ending_round FROM sent s JOIN held c ON s.contest = c.fight_id),
     graded AS (SELECT *, CASE WHEN status IN ('RIGHT', 'WRONG') THEN status = 'RIGHT' END AS winner_correct,
         CASE WHEN status IN ('RIGHT', 'WRONG') THEN CASE WHEN predicted_method = 'KO/TKO' THEN 'KO/TKO' ELSE 'Decision' END =
-             CASE WHEN method_of_victory LIKE 'Decision%' THEN 'Decision' WHEN method_of_victory = 'Overturned' THEN 'Other' ELSE method_of_victory END END AS method_correct,
+             CASE WHEN method_of_victory LIKE 'Decision%' THEN 'Decision' WHEN method_of_victory <> 'Overturned' THEN method_of_victory END END AS method_correct,
         CASE WHEN status IN ('RIGHT', 'WRONG') THEN predicted_round = ending_round END AS round_correct,
         CASE WHEN status = 'RIGHT' THEN pow(1 - win_probability, 2) WHEN status = 'WRONG' THEN pow(win_probability, 2) END AS brier FROM scored)"""
 
@@ -204,21 +208,24 @@ def _forecasts(t: Tables) -> DataFrame:
 
 
 def _scored(t: Tables) -> DataFrame:
+    """Some forecasts come without an id, some with one that has changed."""
     winner = F.when(F.col("winner_fighter_id") == F.col("fighter_a_id"), F.col("fighter_a_name")).when(F.col("winner_fighter_id") == F.col("fighter_b_id"), F.col("fighter_b_name"))
-    results = t.contests.select("fight_id", "fighter_a_name", "fighter_b_name", winner.alias("winner_name"), "result", "method_of_victory", "ending_round")
-    return scoring.score_rows(_forecasts(t), results)
+    results = t.contests.select("fight_id", "event_date", "fighter_a_name", "fighter_b_name", winner.alias("winner_name"), "result", "method_of_victory", "ending_round")
+    f = F.col("fight_id")
+    sent = F.when(f % 7 == 3, None).when(f % 31 == 5, f + 1_000_000_000).otherwise(f)
+    return scoring.score_rows(_forecasts(t).withColumns({"contest": f, "fight_id": sent}), results)
 
 
 @query("score_rows", f"""{WITH}, {_FORECASTS} SELECT run_id, fight_id, status, winner_correct, method_correct, round_correct,
        winner_correct AND method_correct AND round_correct AS exact_correct, {R6("brier")} AS brier FROM graded""")
 def _score_rows(t: Tables) -> DataFrame:
     parts = [f"{p}_correct" for p in ("winner", "method", "round", "exact")]
-    return rounded(_scored(t).select("run_id", "fight_id", "status", *parts, "brier"), "brier")
+    return rounded(_scored(t).select("run_id", F.col("contest").alias("fight_id"), "status", *parts, "brier"), "brier")
 
 
 _PARTS = ", ".join(f"count(*) FILTER (WHERE {p}_correct) AS {p}_correct, count({p}_correct) AS {p}_scored, {R6(f'avg({p}_correct::INT)')} AS {p}_accuracy" for p in ("winner", "method", "round", "exact"))
 _SUMMARY = f"""SELECT run_id, count(*) AS attempted, count(*) FILTER (WHERE status <> 'FAILED') AS published, count(*) FILTER (WHERE status = 'FAILED') AS failed,
-    count(*) FILTER (WHERE status = 'UNSCORED') AS unscored, {_PARTS}, {R6("avg(brier)")} AS brier FROM (SELECT *, winner_correct AND method_correct AND round_correct AS exact_correct FROM graded) GROUP BY 1"""
+    count(*) FILTER (WHERE winner_correct IS NULL) AS unscored, {_PARTS}, {R6("avg(brier)")} AS brier FROM (SELECT *, winner_correct AND method_correct AND round_correct AS exact_correct FROM graded) GROUP BY 1"""
 
 
 @query("score_summary", f"{WITH}, {_FORECASTS} {_SUMMARY}")

@@ -53,9 +53,21 @@ def _overlap(t: Tables) -> DataFrame:
     return coverage.ngram_overlap(t.raw("documents"), t.raw("benchmark"), "doc_id", "item_id")
 
 
-@query("market_language")
+_MARKET = coverage.MARKET.removeprefix("(?i)").replace("'", "''")
+_SENTENCES = "regexp_split_to_array(regexp_replace({text}, '([.!?])\\s+', '\\1' || chr(1), 'g'), '\\n+|' || chr(1))"
+
+
+@query("market_language", f"""WITH said AS (SELECT conv_id, turn, {{said}} AS text FROM conversations),
+       near AS (SELECT *, concat_ws(' ', lag(text) OVER w, text, lead(text) OVER w) AS around FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+       kept AS (SELECT conv_id, turn, trim(array_to_string(list_filter({_SENTENCES.format(text="text")}, lambda x: NOT regexp_matches(x, '{_MARKET}', 'i')), ' ')) AS text
+                FROM near WHERE NOT regexp_matches(around, '{_MARKET}', 'i'))
+       SELECT conv_id, turn, text FROM kept WHERE text <> ''""".format(said="CASE WHEN (conv_id + turn) % 11 = 3 THEN text || ' About ' || turn || '0% of' WHEN (conv_id + turn) % 11 = 4 THEN 'the fans. ' || text WHEN (conv_id + turn) % 7 = 2 THEN text || ' The odds moved. Done' ELSE text END"))
 def _market_language(t: Tables) -> DataFrame:
-    return coverage.without_market_language(t.raw("conversations"), ["conv_id", "turn"])
+    """Turns of conversations as segments; some speak of odds, and of shares of fans that are split between two turns."""
+    n, text = F.col("conv_id") + F.col("turn"), F.col("text")
+    said = F.when(n % 11 == 3, F.concat(text, F.lit(" About "), "turn", F.lit("0% of"))).when(n % 11 == 4, F.concat(F.lit("the fans. "), text))
+    said = said.when(n % 7 == 2, F.concat(text, F.lit(" The odds moved. Done"))).otherwise(text)
+    return coverage.without_market_language(t.raw("conversations").select("conv_id", "turn", said.alias("text")), ["conv_id"], "turn")
 
 
 @query("top_comments", """SELECT conv_id, turn, role, rank FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn) AS rank FROM
@@ -96,9 +108,16 @@ def _chapters(t: Tables) -> DataFrame:
     return coverage.chapters(_described(t), ["user_id"]).withColumnsRenamed({"start": "start_s", "end": "end_s"})
 
 
-@query("mention_windows")
+@query("mention_windows", """WITH parts AS (SELECT doc_id, length(text) AS size, string_split(lower(text), 'license') AS p FROM documents WHERE text IS NOT NULL),
+       gaps AS (SELECT doc_id, size, unnest(range(len(p) - 1)) AS pos, unnest(list_transform(p[1:len(p) - 1], lambda x: length(x))) AS gap FROM parts),
+       spots AS (SELECT doc_id, size, pos, sum(gap) OVER (PARTITION BY doc_id ORDER BY pos) + 7 * pos AS spot FROM gaps),
+       ranges AS (SELECT *, greatest(spot - 800, 0) AS lo, least(spot + 2400, size) AS hi FROM spots),
+       fresh AS (SELECT *, coalesce(lo > max(hi) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)::INT AS fresh FROM ranges),
+       islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM fresh)
+       SELECT doc_id, min(lo)::BIGINT AS start_, max(hi)::BIGINT AS end_ FROM islands GROUP BY doc_id, island""")
 def _windows(t: Tables) -> DataFrame:
-    return coverage.mention_windows(t.raw("documents").filter("text IS NOT NULL"), ["doc_id"], "license")
+    found = coverage.mention_windows(t.raw("documents").filter("text IS NOT NULL"), ["doc_id"], "license")
+    return found.select("doc_id", F.col("start").cast("long").alias("start_"), F.col("end").cast("long").alias("end_"))
 
 
 @query("words")
@@ -116,13 +135,33 @@ def _pages(t: Tables) -> DataFrame:
     return extract_pages(t.raw("pages"))
 
 
-@query("text_reports")
+@query("text_reports", """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 60 + 45 AS p FROM orders)
+       SELECT k AS o_orderkey, '2000-01-02' AS cutoff, 0 AS position, 'Customer ' || c AS fighter_a, 'Order ' || k AS fighter_b,
+       CASE WHEN k % 7 = 0 THEN 'TimeoutError: no answer' END AS error,
+       CASE WHEN k % 7 <> 0 THEN CASE WHEN k % 11 = 0 THEN 'Nobody' ELSE 'Customer ' || c END END AS predicted_winner,
+       CASE WHEN k % 7 <> 0 THEN p / 100.0::DOUBLE END AS win_probability, CASE WHEN k % 7 <> 0 AND k % 5 <> 0 THEN 'Decision' END AS predicted_method,
+       CASE WHEN k % 7 <> 0 AND k % 5 <> 0 THEN 3 END AS predicted_round, CASE WHEN k % 7 <> 0 AND k % 2 = 0 THEN 5 END AS scheduled_rounds,
+       CASE WHEN k % 7 = 0 THEN NULL WHEN k % 5 = 0 THEN 'incomplete forecast' WHEN k % 11 = 0 THEN 'pick is no participant' WHEN p NOT BETWEEN 50 AND 100 THEN 'probability' END AS problem
+       FROM o""")
 def _reports(t: Tables) -> DataFrame:
-    """Text reports written from orders, and read back."""
-    text = F.concat(F.lit("Customer "), F.col("o_custkey"), F.lit(" vs. Order "), F.col("o_orderkey"), F.lit("\nPick: Customer "), F.col("o_custkey"),
-                    F.lit("\nConfidence: "), (F.col("o_orderkey") % 50 + 50), F.lit("%\nPredicted ending: Decision, round 3\nDistance: 3 rounds\n"))
-    reports = t.raw("orders").select("o_orderkey", text.alias("value"))
-    return files.parse_reports(reports)
+    """Text reports written from orders, and read back: some failed, some incomplete, some with impossible picks."""
+    k, c = F.col("o_orderkey"), F.concat(F.lit("Customer "), "o_custkey")
+    pick = F.concat(F.lit("Pick: "), F.when(k % 11 == 0, "Nobody").otherwise(c), F.lit("\nConfidence: "), k % 60 + 45, F.lit("%\n"),
+                    F.when(k % 5 != 0, "Predicted ending: Decision, round 3\n").otherwise(""), F.when(k % 2 == 0, "Scheduled distance assumes 5 rounds.\n").otherwise(""))
+    body = F.when(k % 7 == 0, "Prediction failed: TimeoutError: no answer\n").otherwise(pick)
+    text = F.concat(F.lit("A card\nEvidence cutoff: strictly before 2000-01-02\n\n"), c, F.lit(" vs Order "), k, F.lit(" | main event\n"), body,
+                    F.lit("\n\n=== POST-CARD RESULTS (managed) ===\nA vs B\nPick: A\n"))
+    return files.parse_reports(t.raw("orders").select("o_orderkey", text.alias("value"))).drop("event_date", "source", "generated_at")
+
+
+@query("quote_protection", """WITH p AS (SELECT string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM benchmark WHERE regexp_matches(text, '^[\\x00-\\x7f]*$')),
+       g AS (SELECT DISTINCT least(8, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(8, len(w)) + 2), lambda i: array_to_string(w[i:i + least(8, len(w)) - 1], ' '))) AS gram FROM p WHERE len(w) >= 3),
+       d AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7f]*$')),
+       r AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram FROM d CROSS JOIN (SELECT DISTINCT n FROM g) WHERE len(w) >= n)
+       SELECT doc_id, count(*) AS quotes FROM r WHERE gram IN (SELECT gram FROM g) GROUP BY 1""")
+def _quotes(t: Tables) -> DataFrame:
+    plain = lambda name: t.raw(name).filter(F.col("text").rlike(r"\A[\x00-\x7f]*\z")).withColumn("text_words", scalars.words(F.col("text")))
+    return coverage.quotes(plain("documents"), coverage.protected_grams(plain("benchmark")), "doc_id")
 
 
 @query("written_entries", """SELECT doc_id, source, sha256(coalesce(text, '')) AS content_id, length(text) AS n FROM documents WHERE lang = 'en' AND len(string_split_regex(trim(text), '\\s+')) >= 25""")

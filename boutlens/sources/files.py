@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ MARKET = ddl(
     "observed_at timestamp", "source string",
 )
 METRICS_KEY = "report_sha256"
+MANAGED = r"\n\n=== POST-CARD RESULTS \(managed\) ===\n"
+BLOCK = r"^([^\n|]+?) vs ([^\n|]+?)(?: \|[^\n]*)?\n(?:Pick:|Prediction failed:)"
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -37,27 +39,74 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions of complete runs: a file counts if it has one run line, and a complete line."""
-    df = spark.read.schema(LEDGER).option("mode", "FAILFAST").json(path).withColumn("file", F.input_file_name())
-    whole = df.groupBy("file").agg(F.count_if(F.col("kind") == "run").alias("runs"), F.count_if(F.col("kind") == "complete").alias("ends"), F.max(F.when(F.col("kind") == "run", F.struct("run_id", "cutoff"))).alias("run"))
-    whole = whole.filter("runs = 1 AND ends = 1").select("file", "run")
-    rows = df.filter("kind = 'prediction'").drop("run_id", "cutoff", "kind")
-    return rows.join(whole, "file").select("run.*", *[c for c in rows.columns if c != "file"])
+    """Predictions of complete runs, with ``position`` in their ledger: a file counts if its first line is its only run line
+    and its last line says complete. Malformed lines fail the read."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split("value", r"\r?\n").alias("lines"))
+    lines = whole.select("file", F.posexplode(F.filter("lines", lambda x: F.trim(x) != "")).alias("line", "text"))
+    df = lines.select("file", "line", F.from_json("text", LEDGER, {"mode": "FAILFAST"}).alias("r")).select("file", "line", "r.*")
+    per = df.groupBy("file").agg(
+        F.min_by("kind", "line").alias("first"), F.max_by("kind", "line").alias("last"), F.count_if(F.col("kind") == "run").alias("runs"),
+        F.min_by(F.struct("run_id", "cutoff"), "line").alias("run"),
+    )
+    complete = per.filter("first = 'run' AND last = 'complete' AND runs = 1").select("file", "run")
+    position = F.row_number().over(Window.partitionBy("file").orderBy("line")) - 1
+    rows = df.filter("kind = 'prediction'").withColumn("position", position).drop("run_id", "cutoff", "kind", "line")
+    return rows.join(complete, "file").select("run.*", *rows.columns)
+
+
+def ledger_disagreements(reports: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(run_id, position, problem) where a text report and its ledger differ: in a row, a name, an ending, or the confidence.
+
+    Both: run_id, position, fighter_a, fighter_b, predicted_winner, predicted_method, predicted_round, win_probability, error.
+    """
+    keys, fields = ["run_id", "position"], ("fighter_a", "fighter_b", "predicted_winner", "predicted_method", "predicted_round")
+    side = lambda df, name: df.select(*keys, F.struct(*fields, "win_probability", "error").alias(name))
+    both = side(reports, "seen").join(side(ledger, "saved"), keys, "full")
+    differ = F.when(F.col("seen").isNull() | F.col("saved").isNull(), "count")
+    for c in fields:
+        differ = differ.when(~F.col(f"seen.{c}").eqNullSafe(F.col(f"saved.{c}")), c)
+    gap = F.abs(F.col("seen.win_probability") - F.col("saved.win_probability")) > 0.000500001
+    differ = differ.when(F.col("seen.error").isNull() & F.coalesce(gap, F.lit(True)), "confidence")
+    return both.select(*keys, differ.alias("problem")).filter("problem IS NOT NULL")
 
 
 def parse_reports(reports: DataFrame, text: str = "value") -> DataFrame:
-    """Prediction rows of text reports: a header 'A vs. B', then Pick, Confidence and Predicted ending lines."""
-    blocks = F.split(F.col(text), r"\n(?=[^\n]+ vs\.? [^\n]+\n)")
-    long = reports.select(*[c for c in reports.columns if c != text], F.posexplode(blocks).alias("position", "block"))
-    field = lambda p: F.nullif(F.trim(F.regexp_extract("block", p, 1)), F.lit(""))
-    head = r"(?m)^(.+?) vs\.? (.+?)(?: \(.*\))?$"
-    df = long.withColumns({
-        "fighter_a": F.nullif(F.trim(F.regexp_extract("block", head, 1)), F.lit("")), "fighter_b": F.nullif(F.trim(F.regexp_extract("block", head, 2)), F.lit("")),
-        "predicted_winner": field(r"(?m)^\s*Pick:\s*(.+)$"), "win_probability": field(r"(?m)^\s*Confidence:\s*(\d+(?:\.\d+)?)\s*%").try_cast("double") / 100,
-        "predicted_method": field(r"(?m)^\s*Predicted ending:\s*([^,\n]+)"), "predicted_round": field(r"(?m)^\s*Predicted ending:.*?[Rr]ound (\d+)").try_cast("int"),
-        "scheduled_rounds": field(r"(?m)^\s*Distance:\s*(\d+) rounds").try_cast("int"), "error": field(r"(?m)^\s*Error:\s*(.+)$"),
+    """Prediction rows of text reports, with what is wrong with them.
+
+    A prediction starts with a line 'A vs B', perhaps followed by ' | ...', whose next line is a Pick or a failure. The report's
+    cutoff, date, source and time stand before. ``problem``: a forecast without ending or confidence, a pick that is no
+    participant, a probability outside 0.5 to 1, a pairing twice, no cutoff. Results written behind the report are not read.
+    """
+    other = [c for c in reports.columns if c != text]
+    body = F.split(F.regexp_replace(text, "\r\n", "\n"), MANAGED)[0]
+    head = r"(?:^|\n)(?=[^\n|]+? vs [^\n|]+?(?: \|[^\n]*)?\n(?:Pick:|Prediction failed:))"
+    whole = lambda p: F.nullif(F.trim(F.regexp_extract("body", p, 1)), F.lit(""))
+    df = reports.select(*other, body.alias("body")).withColumns({
+        "cutoff": whole(r"(?m)^Evidence cutoff: strictly before (\d{4}-\d{2}-\d{2})"),
+        "event_date": F.coalesce(whole(r"(?m)^Event date: (\d{4}-\d{2}-\d{2})"), whole(r"^[^\n]*\| (\d{4}-\d{2}-\d{2})(?:\n|$)")),
+        "source": whole(r"(?m)^Source: (\S+)"), "generated_at": whole(r"(?m)^(?:Generated|Status checked): (.+)$"),
     })
-    return df.filter("fighter_a IS NOT NULL AND fighter_b IS NOT NULL").drop("block")
+    found = ("cutoff", "event_date", "source", "generated_at")
+    long = df.select(*other, *found, F.posexplode(F.filter(F.split("body", head), lambda x: x.rlike(BLOCK))).alias("position", "block"))
+    field = lambda p, i=1: F.nullif(F.trim(F.regexp_extract("block", p, i)), F.lit(""))
+    ending = r"(?m)^Predicted ending: (.+), round (\d+)$"
+    long = long.withColumns({
+        "fighter_a": field(BLOCK), "fighter_b": field(BLOCK, 2), "error": field(r"(?m)^Prediction failed: (.+)$"),
+        "predicted_winner": field(r"(?m)^Pick: (.+)$"), "win_probability": field(r"(?m)^Confidence: ([\d.]+)%").try_cast("double") / 100,
+        "predicted_method": field(ending), "predicted_round": field(ending, 2).try_cast("int"),
+        "scheduled_rounds": field(r"Scheduled distance assumes ([35]) rounds").try_cast("int"),
+    })
+    name = lambda c: F.lower(F.trim(F.col(c)))
+    pair = F.array_sort(F.array(name("fighter_a"), name("fighter_b")))
+    twice = F.count("*").over(Window.partitionBy(*other, pair)) > 1 if other else F.lit(False)
+    made = F.col("error").isNull()
+    problem = (
+        F.when(F.col("cutoff").isNull(), "no cutoff").when(twice, "pairing twice")
+        .when(made & (F.col("predicted_method").isNull() | F.col("win_probability").isNull()), "incomplete forecast")
+        .when(made & ~F.coalesce(name("predicted_winner").isin(name("fighter_a"), name("fighter_b")), F.lit(False)), "pick is no participant")
+        .when(made & ~F.col("win_probability").between(0.5, 1.0), "probability")
+    )
+    return long.withColumn("problem", problem).drop("block")
 
 
 def read_text_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -75,21 +124,27 @@ def manifest_contests(manifest: DataFrame) -> DataFrame:
 
 
 def read_market(spark: SparkSession, path: str) -> DataFrame:
-    """Observations with valid prices and shares; a key that the schema lacks fails the read."""
+    """Observations; a key that the schema lacks, a price within 100 of zero or a share outside 0 to 100 fails the read."""
     raw = spark.read.text(path)
     keys = F.json_object_keys("value")
     names = F.array(*[F.lit(f.name) for f in MARKET.fields])
     checked = raw.withColumn("extra", F.size(F.array_except(keys, names)))
     parsed = checked.select(F.when(F.col("extra") > 0, F.raise_error(F.lit("unknown key in market file"))).otherwise(F.from_json("value", MARKET)).alias("m"))
-    return parsed.select("m.*").filter("abs(line_a) >= 100 AND abs(line_b) >= 100 AND share_a BETWEEN 0 AND 100 AND share_b BETWEEN 0 AND 100")
+    sound = F.lit(True)
+    for side in "ab":
+        price, share = F.col(f"m.line_{side}"), F.col(f"m.share_{side}")
+        sound &= F.coalesce(F.abs(price) >= 100, F.lit(True)) & F.coalesce(share.between(0, 100), F.lit(True))
+    good = parsed.select(F.when(sound, F.col("m")).otherwise(F.raise_error(F.lit("price or share out of range in market file"))).alias("m"))
+    return good.select("m.*")
 
 
 def source_registry(rows: DataFrame) -> DataFrame:
-    """Active sources (source_id, kind, weight 0..10, active); an id that is missing or stands twice fails."""
-    bad = rows.groupBy("source_id").agg(F.count("*").alias("n")).filter("n > 1 OR source_id IS NULL")
-    if bad.limit(1).count():
-        raise ValueError("source ids must be present and unique")
-    return rows.filter(F.col("active") & F.col("weight").between(0, 10))
+    """Active sources (source_id, kind, weight 0..10, active); an id that is missing or stands twice, or a weight out of
+    range, fails."""
+    bad = rows.groupBy("source_id").agg(F.count("*").alias("n"), F.every(F.coalesce(F.col("weight").between(0, 10), F.lit(False))).alias("sound"))
+    if bad.filter("n > 1 OR source_id IS NULL OR NOT sound").limit(1).count():
+        raise ValueError("source ids must be present and unique, weights between 0 and 10")
+    return rows.filter("active")
 
 
 def write_metrics_csv(stored: DataFrame, graded: DataFrame, path: str, key: str = METRICS_KEY) -> None:
@@ -99,14 +154,10 @@ def write_metrics_csv(stored: DataFrame, graded: DataFrame, path: str, key: str
 
 
 def write_versioned_json(df: DataFrame, path: str) -> DataFrame:
-    """Rows as JSON in folders named by the hash of their content; content that is there already is not written again."""
+    """Rows as JSON in folders named by the hash of their content; content that is there already is replaced by itself."""
     text = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))
     named = df.select(text.alias("value")).withColumn("digest", F.sha2("value", 256)).dropDuplicates(["digest"])
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        named = named.join(spark.read.text(path).select("digest").distinct(), "digest", "left_anti")
-    named.write.mode("append").partitionBy("digest").text(path)
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("digest").text(path)
     return named
 
 

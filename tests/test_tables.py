@@ -58,6 +58,30 @@ def test_scores_and_brier(spark):
     assert wrong.status == "WRONG" and wrong.method_correct and not wrong.exact_correct and wrong.brier == pytest.approx(0.49)
     assert grade(1, "Alpha", "Beta", None, "draw", None, None).status == "UNSCORED"
     assert grade(1, "Alpha", "Gamma", "Alpha", "completed", None, None).status == "UNMATCHED"
+    assert grade(1, "Alpha", "Beta", None, "completed", None, None).status == "PENDING"
+    # a method outside the groups, or none, stays ungraded, and so does the whole
+    odd = grade(1, "Alpha", "Beta", "Alpha", "completed", "Could Not Continue", 2)
+    assert odd.winner_correct and odd.method_correct is None and odd.exact_correct is None and odd.round_correct
+    # a rematch without an id, an id with other sides, and a pair whose id changed need a hand
+    twice = spark.createDataFrame([(1, "Alpha", "Beta", "Alpha", "completed", "DQ", 1), (2, "Beta", "Alpha", "Beta", "completed", "DQ", 1), (3, "X", "Y", "X", "completed", "DQ", 1)], r)
+    sent = spark.createDataFrame([("x", "Alpha", "Beta", "Alpha", 0.7, "DQ", 1, i, None) for i in (None, 2, 3, 9)], f)
+    got = {row.fight_id: row for row in scoring.score_rows(sent, twice).collect()}
+    assert len(got) == 4 and (got[2].status, got[2].result_id) == ("WRONG", 2)
+    assert {k: got[k].conflict for k in (None, 3, 9)} == {None: "several contests of the pair", 3: "participants changed", 9: "contest id changed"}
+
+
+def test_runs_of_another_card_are_refused(spark):
+    reports = spark.createDataFrame([("a", "u1", "2024-01-05", "2024-01-05"), ("b", "u1", "2024-01-06", "2024-01-05"), ("c", "u9", None, "2024-01-01"), ("d", "u1", None, "2024-01-06")], "run_id string, event_url string, event_date string, cutoff string")
+    cards = spark.createDataFrame([("u1", "2024-01-05")], "event_url string, event_date string")
+    assert {r.run_id: r.problem for r in scoring.report_problems(reports, cards).collect()} == {"b": "another date", "c": "another card", "d": "cutoff after the card"}
+
+
+def test_runs_with_withheld_forecasts_are_matched(spark):
+    schema = "run_id string, pair string, status string, error string, winner_correct boolean, brier double, predicted_winner string"
+    rows = [("m", "p", "RIGHT", None, True, 0.1, "P"), ("r", "p", "FAILED", "review: no", None, None, None), ("m", "q", "WRONG", None, False, 0.5, "Q"), ("r", "q", "FAILED", "quota exceeded", None, None, None), ("m", "s", "RIGHT", None, True, 0.1, "S"), ("r", "s", "RIGHT", None, True, 0.2, "S")]
+    scored = spark.createDataFrame(rows, schema)
+    assert {r.pair: r.withheld for r in scoring.matched_runs(scored, "m", "r").collect()} == {"p": True, "s": False}
+    assert {r.pair: [tuple(x) for x in r.picks] for r in scoring.run_matrix(scored).collect()}["p"] == [("m", "P", "RIGHT"), ("r", "WITHHELD", "FAILED")]
 
 
 def test_picks_and_market(spark):
@@ -139,14 +163,32 @@ def test_ledger_counts_only_complete_runs(spark, tmp_path):
     whole = '{"kind":"run","run_id":"r","cutoff":"2024-01-01"}\n{"kind":"prediction","fighter_a":"A","fighter_b":"B","predicted_winner":"A"}\n{"kind":"complete"}\n'
     (tmp_path / "a.jsonl").write_text(whole)
     (tmp_path / "b.jsonl").write_text(whole.rsplit("{", 1)[0].replace('"r"', '"s"'))
+    # lines in another order, or a second run line, are no complete run
+    one, two, three, _ = whole.split("\n")
+    (tmp_path / "c.jsonl").write_text("\n".join([two, one, three]))
+    (tmp_path / "d.jsonl").write_text("\n".join([one, three, two]))
+    (tmp_path / "e.jsonl").write_text("\n".join([one, one, two, three]))
     assert [r.run_id for r in files.read_ledger(spark, str(tmp_path)).collect()] == ["r"]
 
 
 def test_text_report(spark):
-    text = "Card\nAlpha vs. Beta\nPick: Alpha\nConfidence: 62%\nPredicted ending: Submission, round 2\nDistance: 3 rounds\nGamma vs. Delta\nError: Timeout: x\n"
-    a, b = files.parse_reports(spark.createDataFrame([(text,)], "value string")).orderBy("position").collect()
+    text = ("Card | 2024-05-01\r\nEvidence cutoff: strictly before 2024-05-01\r\nSource: http://x/1\r\n\r\nAlpha vs Beta | 3 rounds\r\nPick: Alpha\r\nConfidence: 62%\r\n"
+            "Predicted ending: Submission, round 2\r\nScheduled distance assumes 3 rounds\r\nAlpha vs Nobody, said someone\r\nGamma vs Delta\r\nPrediction failed: Timeout: x\r\n"
+            "E vs F\r\nPick: E\r\nE vs G\r\nPick: H\r\nConfidence: 70%\r\nPredicted ending: KO/TKO, round 1\r\n\r\n=== POST-CARD RESULTS (managed) ===\r\nX vs Y\r\nPick: X\r\n")
+    a, b, c, d = files.parse_reports(spark.createDataFrame([(1, text)], "id int, value string")).orderBy("position").collect()
     assert (a.fighter_a, a.fighter_b, a.predicted_winner, a.win_probability, a.predicted_method, a.predicted_round, a.scheduled_rounds) == ("Alpha", "Beta", "Alpha", 0.62, "Submission", 2, 3)
-    assert (b.fighter_a, b.error) == ("Gamma", "Timeout: x")
+    assert (a.cutoff, a.event_date, a.source, a.problem) == ("2024-05-01", "2024-05-01", "http://x/1", None)
+    assert (b.fighter_a, b.error, b.problem) == ("Gamma", "Timeout: x", None)
+    assert (c.problem, d.problem) == ("incomplete forecast", "pick is no participant")
+    bare = files.parse_reports(spark.createDataFrame([(1, "A vs B\nPick: A\nConfidence: 40%\nPredicted ending: DQ, round 1\n")], "id int, value string")).first()
+    assert bare.problem == "no cutoff"
+
+
+def test_reports_must_agree_with_their_ledger(spark):
+    schema = "run_id string, position int, fighter_a string, fighter_b string, predicted_winner string, predicted_method string, predicted_round int, win_probability double, error string"
+    seen = spark.createDataFrame([("r", 0, "A", "B", "A", "DQ", 1, 0.62, None), ("r", 1, "C", "D", "C", "DQ", 1, 0.6, None), ("r", 2, "E", "F", None, None, None, None, "x")], schema)
+    saved = spark.createDataFrame([("r", 0, "A", "B", "A", "DQ", 1, 0.6203, None), ("r", 1, "C", "D", "D", "DQ", 1, 0.6, None), ("r", 2, "E", "F", None, None, None, None, "x"), ("r", 3, "G", "H", None, None, None, None, "x")], schema)
+    assert sorted((r.position, r.problem) for r in files.ledger_disagreements(seen, saved).collect()) == [(1, "predicted_winner"), (3, "count")]
 
 
 def test_market_file_refuses_unknown_keys(spark, tmp_path):
@@ -155,13 +197,18 @@ def test_market_file_refuses_unknown_keys(spark, tmp_path):
     (tmp_path / "n.json").write_text('{"fighter_a":"A","odd":1}')
     with pytest.raises(Exception, match="unknown key"):
         files.read_market(spark, str(tmp_path)).collect()
+    (tmp_path / "n.json").write_text('{"fighter_a":"A","fighter_b":"B","line_a":-50,"line_b":130,"share_a":60,"share_b":40}')
+    with pytest.raises(Exception, match="out of range"):
+        files.read_market(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="weights"):
+        files.source_registry(spark.createDataFrame([("a", "x", 11.0, True)], "source_id string, kind string, weight double, active boolean"))
 
 
 def test_pages_text_and_chapters(spark):
     page = "<table><tr><th>Name</th><th>W</th></tr><tr><td><a href='/x'>A &amp; B</a></td><td>3</td></tr></table><ul><li>Reach: 70</li></ul>"
     rows = extract_pages(spark.createDataFrame([(1, page), (2, None)], "page_id int, html string")).collect()
     assert [(r.kind, r.header, r.cell, r.href) for r in rows] == [("cell", "Name", "A & B", "/x"), ("cell", "W", "3", None), ("item", None, "Reach: 70", None)]
-    df = spark.createDataFrame([(1, "0:00 Intro\n1:02:03 Main\nother"), (2, "0:00 Only")], "id int, description string")
+    df = spark.createDataFrame([(1, "0:00 Intro\n1:02:03 - Main\n1:75 no\nother"), (2, "0:00 Only"), (3, "0:10 A\n0:05 B")], "id int, description string")
     assert [tuple(r) for r in coverage.chapters(df, ["id"]).orderBy("number").collect()] == [(1, 1, 0, 3723, "Intro"), (1, 2, 3723, None, "Main")]
 
 
