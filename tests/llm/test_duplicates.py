@@ -152,8 +152,10 @@ def plain_dropped(rows, similar=0.6, min_docs=2):
             holders.setdefault(line, set()).add(row)
     for line in sorted(holders, key=lambda x: lines.line_hash([t.encode() for t in x])):
         n = len(line)
-        for k, p in enumerate((0, (n - 2) // 2, n - 2) if n > 3 else ()):
-            where.setdefault((n, k, line[p : p + 2]), []).append(line)
+        places = [line[p : p + 2] for p in (0, (n - 2) // 2, n - 2)]
+        # short lines by their leading tokens, long ones by two of three places
+        for key in [] if n < 4 else [places[:1]] if n < 12 else [places[:2], places[1:], places[::2]]:
+            where.setdefault((n, len(key) > 1 and key == places[::2], tuple(key)), []).append(line)
     recurs = {}
 
     def note(line, by, least):
@@ -163,7 +165,7 @@ def plain_dropped(rows, similar=0.6, min_docs=2):
 
     for line in holders:
         note(line, [line], min_docs * 5 if len(line) == 1 else min_docs + (len(line) == 2 or set(line) == {"<*>"}))
-    for (n, _, _), leaf in where.items():
+    for (n, *_), leaf in where.items():
         need = max(3, -int(-similar * n // 1))
         left = list(leaf)
         while left:
@@ -190,6 +192,19 @@ def test_dropped_lines_equal_a_plain_version(make_docs, monkeypatch):
     assert got == expected
 
 
+def test_leaves_of_short_tokens_are_apart():
+    pairs = [[a.encode(), b.encode()] for a in "abcdefgh" for b in ("a", "b", "ab", "abc", "abcd")]
+    found = {}
+    for n in range(4, 60):
+        for pair in pairs:
+            line = (pair * n)[:n]
+            places = [tuple(line[p : p + 2]) for p in (0, (n - 2) // 2, n - 2)]
+            for k, leaf in enumerate(lines.leaves(line)):
+                if leaf:
+                    found.setdefault(leaf, set()).add((n, k, places[k - 1] + places[k]) if n >= lines.LONG else (n, places[0]))
+    assert all(len(x) == 1 for x in found.values())
+
+
 def test_a_leaf_in_parts_is_merged(make_docs, monkeypatch):
     monkeypatch.setattr(lines, "LINES", 7)
     rows = [(i, f"Posted by {prose(1)}x{'abcdefgh'[i % 8]} in {prose(1)} today", "s") for i in range(90)]
@@ -211,6 +226,7 @@ def test_pairs_short_lines_and_worded_fields_recur(make_docs):
 
 
 def test_fields_at_the_start_or_the_end_of_a_line_recur(make_docs):
-    rows = [(i, f"{prose(2)} was seen by the guard near the gate\nIt was seen by our guard at {prose(3)}", "s") for i in range(4)]
+    rest = "was seen by the guard near the old gate behind our market"
+    rows = [(i, f"{prose(2)} {rest}\nIt {rest} {prose(3)}", "s") for i in range(4)]
     got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
     assert [got[i] for i in range(4)] == [[], [0, 1], [0, 1], [0, 1]]
