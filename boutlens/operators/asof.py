@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpointed
 from ..functions.scalars import quality
 from .derived import event_start_record, flag
-from .metrics import entity_metrics, metric_columns, performance_columns, with_duration
+from .metrics import RATES, RATIOS, entity_metrics, performance_columns, with_duration
 from .perspectives import strict_cutoff
+from .ratings import START, as_of_panel, midrank_in
 
 # The metrics of a style, and the tag of each offensive one.
 STYLE_KEYS = ("sig_strikes_landed_per_min", "striking_defense", "takedowns_per_15_min", "takedown_defense", "sub_attempts_per_15_min")
@@ -19,6 +21,8 @@ STYLE_TAGS = {
     "sub_attempts_per_15_min": "submission threat",
 }
 
+TIERS = ("higher", "middle", "lower", "unknown")
+
 
 def roster_cutoffs(persp: DataFrame, lower: float, upper: float) -> DataFrame:
     """(event_date, low, high, roster): interpolated percentiles of all entities' quality before each day.
@@ -81,12 +85,21 @@ def opposition_summary(rated: DataFrame) -> DataFrame:
 
 
 def midrank(df: DataFrame, value: str, name: str, *keys: str) -> DataFrame:
-    """Adds the midrank of ``value`` among the rows (of ``keys``) that have one."""
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    known = F.count(value).over(group)
-    smaller = F.rank().over(group.orderBy(F.col(value).asc_nulls_last())) - 1
-    same = F.count("*").over(Window.partitionBy(*keys, value) if keys else Window.partitionBy(value))
-    return df.withColumn(name, F.when(F.col(value).isNotNull(), (smaller + 0.5 * same) / known))
+    """Adds the midrank of ``value`` among the rows (of ``keys``) that have one.
+
+    Rows are counted by value first; the running count goes over values, in ranges of the values' order, so no task holds
+    more than a range or one row for each range.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__same"))
+    ranged = checkpointed(counts.repartitionByRange(*[F.col(k) for k in keys], F.col(value)).withColumn("__range", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "__range").agg(F.sum("__same").alias("__sum"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    bases = totals.select(*keys, "__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"), F.sum("__sum").over(whole).alias("__known"))
+    within = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("__less", F.coalesce(F.sum("__same").over(within), F.lit(0))).join(F.broadcast(bases), [*keys, "__range"])
+    rank = (F.col("__base") + F.col("__less") + 0.5 * F.col("__same")) / F.col("__known")
+    return df.join(placed.select(*keys, value, rank.alias(name)), [*keys, value], "left").select(*df.columns, name)
 
 
 def style_midranks(persp: DataFrame, cutoff: str) -> DataFrame:
@@ -115,78 +128,171 @@ def style_matchup(pairs: DataFrame, persp: DataFrame, cutoff: str, high: float =
     return pairs.select("a_id", "b_id").distinct().join(side("a"), "a_id", "left").join(side("b"), "b_id", "left")
 
 
-def style_profiles(persp: DataFrame, days: Sequence[str], at_least: int = 8, active_days: int = 1096) -> DataFrame:
-    """Style of every active entity as of each of a few ``days``: percentiles, tags, status.
+def style_parts() -> dict[str, tuple[Column, Column, float, bool]]:
+    """Per style metric: what a row adds to its numerator and denominator, its factor, and whether it is a defence."""
+    found = {}
+    for name, column, per in RATES:
+        ok = F.col("stats_available") & F.col(column).isNotNull() & F.col("fought").isNotNull()
+        found[name] = F.when(ok, F.col(column)), F.when(ok, F.col("fought")), 60.0 * per, False
+    for name, numerator, denominator, defense in RATIOS:
+        ok = F.col("stats_available") & F.col(numerator).isNotNull() & F.col(denominator).isNotNull()
+        found[name] = F.when(ok, F.col(numerator)), F.when(ok, F.col(denominator)), 1.0, defense
+    return {k: found[k] for k in STYLE_KEYS}
+
+
+def states(persp: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """(fighter_id, event_date, division, decided, timed, the style metrics, and rating if a rating history is given): every
+    entity after each of its days."""
+    parts = style_parts()
+    sums = [F.sum(x).alias(f"{k}__{i}") for k, (n, d, *_) in parts.items() for i, x in (("n", n), ("d", d))]
+    daily = with_duration(persp).groupBy("fighter_id", "event_date").agg(
+        *sums, F.sum(flag(F.col("bout_outcome").isin("win", "loss", "draw"))).alias("decided"),
+        F.sum(flag(F.col("stats_available") & F.col("fought").isNotNull())).alias("timed"), F.max_by("weight_class", "fighter_sequence").alias("division"),
+    )
+    if history is not None:
+        daily = daily.join(history.groupBy("fighter_id", "event_date").agg(F.sum("change").alias("change")), ["fighter_id", "event_date"])
+    upto = Window.partitionBy("fighter_id").orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = lambda c: F.sum(c).over(upto)
+
+    def value(k: str, factor: float, defense: bool) -> Column:
+        x = F.try_divide(run(f"{k}__n") * F.lit(factor), run(f"{k}__d"))
+        return (1 - x if defense else x).alias(k)
+
+    rating = [(F.lit(START) + run("change")).alias("rating")] if history is not None else []
+    metrics_ = [value(k, factor, defense) for k, (_, _, factor, defense) in parts.items()]
+    return daily.select("fighter_id", "event_date", "division", run("decided").alias("decided"), run("timed").alias("timed"), *metrics_, *rating)
 
-    The cohort is the division of the last contest if it has ``at_least`` active entities, else all active ones; only
-    entities with three timed contests are ranked.
-    """
-    given = F.array(*[F.lit(d).cast("date") for d in sorted(set(days))])
-    history = persp.withColumn("day", F.explode(F.filter(given, lambda d: d > F.col("event_date"))))
-    stats = with_duration(history).groupBy("day", "fighter_id").agg(
-        *metric_columns(), F.max("event_date").alias("last"), F.max_by("weight_class", "fighter_sequence").alias("division")
-    )
-    stats = stats.filter(F.datediff("day", "last") <= active_days)
-    stats = stats.withColumn("n", F.count("*").over(Window.partitionBy("day", "division")))
-    stats = stats.withColumn("cohort", F.when(F.col("n") >= at_least, F.col("division")).otherwise(F.lit("")))
-    reliable = F.col("timed_stat_fights") >= 3
-    long = stats.select("day", "fighter_id", "division", "cohort", reliable.alias("reliable"), *STYLE_KEYS)
-    long = long.unpivot(["day", "fighter_id", "division", "cohort", "reliable"], list(STYLE_KEYS), "metric", "value")
-    long = long.withColumn("value", F.when(F.col("reliable"), F.col("value")))
-    own = midrank(long, "value", "own", "day", "division", "metric")
-    every = midrank(own, "value", "every", "day", "metric")
-    ranks = every.withColumn("rank", F.when(F.col("cohort") != "", F.col("own")).otherwise(F.col("every")))
-    tag = F.create_map(*[F.lit(x) for pair in STYLE_TAGS.items() for x in pair])
-    high = F.when((F.col("rank") >= 0.75) & (F.col("value") > 0), F.try_element_at(tag, F.col("metric")))
-    return ranks.groupBy("day", "fighter_id").agg(
-        *[F.max(F.when(F.col("metric") == k, F.col("rank"))).alias(k) for k in STYLE_KEYS],
-        F.array_sort(F.array_compact(F.collect_list(high))).alias("tags"),
-        F.when(F.max("rank").isNotNull(), "measured proxy").otherwise("insufficient history").alias("status"),
-    )
 
+def before_day(state: DataFrame) -> DataFrame:
+    """``state`` with its columns as of before each day: those of the entity's earlier day, null at its debut."""
+    order = Window.partitionBy("fighter_id").orderBy("event_date")
+    rest = [c for c in state.columns if c not in ("fighter_id", "event_date")]
+    return state.select("fighter_id", "event_date", *[F.lag(c).over(order).alias(c) for c in rest])
 
-def opponent_styles(persp: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Perspective rows with the opponent's style as of the last profile day not after the contest's day.
 
-    ``profiles`` are those of year starts: the day of a row's year is the equi-join key.
+def ranked_before(targets: DataFrame, panel: DataFrame, measures: dict[str, Column], at_least: int = 8) -> DataFrame:
+    """``targets`` (key, day, weight_class, and a column of each measure) with the midranks of the measures among their cohort.
+
+    The cohort are the entities of ``panel`` (day, division, measures) on the day whose last contest was in the weight class, if
+    there are ``at_least`` of them, else all. ``measures``: which members of the panel count for each measure. Adds a column
+    ``rank_<measure>`` and ``size_<measure>``, cohort (how many) and same (whether of the weight class).
+    """
+    sizes = panel.groupBy("day", "division").agg(F.count("*").alias("__own"))
+    whole = panel.groupBy("day").agg(F.count("*").alias("__all"))
+    asked = targets.join(sizes.withColumnRenamed("division", "weight_class"), ["day", "weight_class"], "left").join(whole, "day", "left")
+    asked = asked.withColumn("same", F.coalesce(F.col("__own") >= at_least, F.lit(False)))
+    asked = asked.withColumn("cohort", F.coalesce(F.when(F.col("same"), F.col("__own")).otherwise(F.col("__all")), F.lit(0))).drop("__own", "__all")
+    asked = checkpointed(asked)
+    names = list(measures)
+    members = panel.select("day", "division", *[F.when(ok, F.col(c)).alias(c) for c, ok in measures.items()])
+    long_members = members.unpivot(["day", "division"], names, "measure", "value").filter("value IS NOT NULL")
+    long = asked.select("key", "day", F.col("weight_class").alias("division"), "same", *names).unpivot(["key", "day", "division", "same"], names, "measure", "value")
+    own = midrank_in(long_members, long.filter("same"), "value", ["day", "division", "measure"])
+    # the wider cohort serves only the days that need it
+    wide = long.filter("NOT same")
+    days = F.broadcast(wide.select("day").distinct())  # one row for each day at most
+    everyone = long_members.join(days, "day", "left_semi").drop("division")
+    other = midrank_in(everyone, wide.drop("division"), "value", ["day", "measure"])
+    both = own.select("key", "measure", "rank", "size").unionByName(other.select("key", "measure", "rank", "size"))
+    cells = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{c}_{m}") for m in names for c in ("rank", "size")]
+    return asked.join(both.groupBy("key").agg(*cells), "key", "left")
+
+
+def with_style(ranked: DataFrame) -> DataFrame:
+    """``ranked`` (the style metrics, their ranks, timed) with percentiles under the metrics' names, tags and status."""
+    reliable = F.coalesce(F.col("timed") >= 3, F.lit(False))
+    ranks = {k: F.when(reliable, F.col(f"rank_{k}")) for k in STYLE_KEYS}
+    tags = [F.when((ranks[k] >= 0.75) & (F.col(k) > 0), tag) for k, tag in STYLE_TAGS.items()]
+    known = F.coalesce(*ranks.values()).isNotNull()
+    status = F.when(reliable & known, "measured proxy").otherwise("insufficient history")
+    df = ranked.withColumns({"tags": F.array_compact(F.array(*tags)), "status": status, "prior_stat_fights": F.coalesce("timed", F.lit(0))})
+    drop = [f"{c}_{k}" for k in STYLE_KEYS for c in ("rank", "size")]
+    return df.withColumns(ranks).drop(*drop, "timed")
+
+
+def style_measures() -> dict[str, Column]:
+    return {k: F.col("timed") >= 3 for k in STYLE_KEYS}
+
+
+def opponents_before(persp: DataFrame, state: DataFrame, active_days: int = 1096, at_least: int = 8) -> DataFrame:
+    """For each perspective row what its opponent was before the day: record counts, style, and rating with its tier if
+    ``state`` has ratings.
+
+    The style: percentiles, tags and status among the cohort of the day and the contest's weight class. The tier: thirds of the
+    ratings of those with three decided contests; unknown below three of the opponent's own.
+    """
+    rated = "rating" in state.columns
+    panel = checkpointed(as_of_panel(state, persp, active_days))
+    prior = before_day(state).withColumnsRenamed({"fighter_id": "opponent_id", "event_date": "day"}).drop("division")
+    rows = persp.select("fight_id", "fighter_id", "opponent_id", F.col("event_date").alias("day"), "weight_class", "bout_outcome")
+    targets = rows.join(prior, ["opponent_id", "day"], "left").withColumn("key", F.struct("fight_id", "fighter_id"))
+    measures = style_measures()
+    if rated:
+        targets = targets.withColumn("rating", F.coalesce("rating", F.lit(START)))
+        measures["rating"] = F.col("decided") >= 3
+    df = with_style(ranked_before(targets, panel, measures, at_least)).withColumn("decided", F.coalesce("decided", F.lit(0)))
+    if rated:
+        rank = F.when(F.col("decided") >= 3, F.col("rank_rating"))
+        tier = F.when(rank.isNull(), "unknown").when(rank > 2 / 3, "higher").when(rank < 1 / 3, "lower").otherwise("middle")
+        df = df.withColumns({"strength": rank, "tier": tier, "strength_cohort_size": F.coalesce("size_rating", F.lit(0))}).drop("rank_rating", "size_rating")
+    return df.drop("key").withColumnsRenamed({"day": "event_date", "decided": "opponent_decided"})
+
+
+def styles_at(persp: DataFrame, state: DataFrame, day: str, active_days: int = 1096, at_least: int = 8) -> DataFrame:
+    """(fighter_id, percentiles, tags, status, prior_stat_fights, cohort): every entity's style before a day, ranked in the
+    division of its last contest."""
+    at = persp.sparkSession.createDataFrame([(day,)], "event_date string").select(F.col("event_date").cast("date").alias("event_date"))
+    known = strict_cutoff(state, day)
+    panel = checkpointed(as_of_panel(known, at, active_days))
+    last = Window.partitionBy("fighter_id").orderBy(F.col("event_date").desc())
+    now = known.withColumn("__n", F.row_number().over(last)).filter("__n = 1").drop("__n", "event_date", "rating")
+    targets = now.withColumn("day", F.lit(day).cast("date")).withColumnRenamed("division", "weight_class").withColumn("key", F.col("fighter_id"))
+    return with_style(ranked_before(targets, panel, style_measures(), at_least)).drop("key", "day", "weight_class", "decided")
+
+
+COUNTS = ["fights", "record_win", "record_loss", "record_draw", "record_no_contest", "stat_fights"]
+
+
+def performance_by(persp: DataFrame, groups: DataFrame, group: str, names: Sequence[str]) -> DataFrame:
+    """Short-form performance of each entity over its contests of each group, with their ids; groups never met have zeros.
+
+    groups: fight_id, fighter_id and the column ``group``; a contest can be in several.
     """
-    style = profiles.select(F.col("day").alias("__day"), F.col("fighter_id").alias("opponent_id"), "tags", *STYLE_KEYS)
-    keyed = persp.withColumn("__day", F.trunc("event_date", "year"))
-    return keyed.join(style, ["__day", "opponent_id"], "left").drop("__day")
+    rows = with_duration(persp).join(groups.select("fight_id", "fighter_id", group), ["fight_id", "fighter_id"])
+    ids = F.array_sort(F.collect_set("fight_id")).alias("fight_ids")
+    got = rows.groupBy("fighter_id", group).agg(*performance_columns(), ids)
+    fixed = persp.select("fighter_id").distinct().withColumn(group, F.explode(F.array(*[F.lit(n) for n in names])))
+    full = fixed.join(got, ["fighter_id", group], "left").na.fill(0, COUNTS)
+    return full.withColumn("fight_ids", F.coalesce("fight_ids", F.array().cast(got.schema["fight_ids"].dataType)))
 
 
-def performance_by_style(styled: DataFrame) -> DataFrame:
-    """Short-form performance of each entity against opponents of each tag; tags never met have a row of zeros."""
-    rows = with_duration(styled).withColumn("tag", F.explode("tags"))
-    got = rows.groupBy("fighter_id", "tag").agg(*performance_columns())
-    fixed = styled.select("fighter_id").distinct().withColumn("tag", F.explode(F.array(*[F.lit(t) for t in STYLE_TAGS.values()])))
-    counts = ["fights", "record_win", "record_loss", "record_draw", "record_no_contest", "stat_fights"]
-    return fixed.join(got, ["fighter_id", "tag"], "left").na.fill(0, counts)
+def performance_by_style(persp: DataFrame, before: DataFrame) -> DataFrame:
+    """Against opponents of each style tag they had before the contest; ``before`` as :func:`opponents_before` gives it."""
+    tags = before.select("fight_id", "fighter_id", F.explode("tags").alias("tag"))
+    return performance_by(persp, tags, "tag", tuple(STYLE_TAGS.values()))
 
 
-def performance_by_tier(persp: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Short-form performance of each entity against each tier; tiers never met have a row of zeros."""
-    rows = with_duration(persp).join(tiers.select("fight_id", "fighter_id", "tier"), ["fight_id", "fighter_id"])
-    got = rows.groupBy("fighter_id", "tier").agg(*performance_columns())
-    names = F.array(*[F.lit(t) for t in ("higher", "middle", "lower", "unknown")])
-    fixed = persp.select("fighter_id").distinct().withColumn("tier", F.explode(names))
-    counts = ["fights", "record_win", "record_loss", "record_draw", "record_no_contest", "stat_fights"]
-    return fixed.join(got, ["fighter_id", "tier"], "left").na.fill(0, counts)
+def performance_by_tier(persp: DataFrame, before: DataFrame) -> DataFrame:
+    """Against opponents of each tier they had before the contest."""
+    return performance_by(persp, before, "tier", TIERS)
 
 
 def similar_contests(requests: DataFrame, styled: DataFrame, current: DataFrame, k: int = 5, least: float = 0.75) -> DataFrame:
     """For each request (fighter_id, next_opponent_id): the past contests whose opponents were most like the next one.
 
-    Similarity is 1 less the mean absolute difference of percentiles, over three shared metrics or more.
+    styled: perspective rows with the opponent's percentiles before the day. current: fighter_id and percentiles now. Similarity
+    is 1 less the mean absolute difference of percentiles, over three shared metrics or more.
     """
     then = F.array(*[F.col(c) for c in STYLE_KEYS])
-    past = styled.select("fighter_id", "fight_id", "event_date", "bout_outcome", then.alias("then"))
+    past = styled.select("fighter_id", "fight_id", "bout_outcome", then.alias("then"))
     now = current.select(F.col("fighter_id").alias("next_opponent_id"), F.array(*[F.col(c) for c in STYLE_KEYS]).alias("now"))
     df = requests.select("fighter_id", "next_opponent_id").distinct().join(now, "next_opponent_id").join(past, "fighter_id")
     gaps = F.array_compact(F.zip_with("then", "now", lambda x, y: F.abs(x - y)))
     df = df.withColumn("gaps", gaps).filter(F.size("gaps") >= 3)
     mean = F.aggregate("gaps", F.lit(0.0), lambda acc, x: acc + x) / F.size("gaps")
-    df = df.withColumn("similarity", 1 - mean).filter(F.col("similarity") >= least)
-    order = Window.partitionBy("fighter_id", "next_opponent_id").orderBy(F.round("similarity", 3).desc(), "fight_id")
-    ranked = df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("fighter_id", "next_opponent_id", "rank", "fight_id", "bout_outcome", F.size("gaps").alias("compared"), "similarity")
+    # nine digits first, so that sums of another order round alike
+    df = df.withColumn("similarity", F.round(1 - mean, 9)).filter(F.col("similarity") >= least).withColumn("similarity", F.round("similarity", 3))
+    request = Window.partitionBy("fighter_id", "next_opponent_id")
+    order = request.orderBy(F.col("similarity").desc(), "fight_id")
+    ranked = df.withColumns({"rank": F.row_number().over(order), "comparable": F.count("*").over(request)}).filter(F.col("rank") <= k)
+    return ranked.select("fighter_id", "next_opponent_id", "rank", "comparable", "fight_id", "bout_outcome", F.size("gaps").alias("compared"), "similarity")

@@ -5,52 +5,56 @@ All of them are windows over an entity's history, so one shuffle by entity serve
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpointed
 from ..functions.scalars import age_on
 from ..schema import OUTCOMES, STATS, SUMMED
 from .perspectives import HISTORY, perspectives
 
 
-def entity() -> WindowSpec:
+def entity(order: Sequence[str] = HISTORY) -> WindowSpec:
     """An entity's contests in order."""
-    return Window.partitionBy("fighter_id").orderBy(*HISTORY)
+    return Window.partitionBy("fighter_id").orderBy(*order)
 
 
-def before() -> WindowSpec:
-    return entity().rowsBetween(Window.unboundedPreceding, -1)
+def before(order: Sequence[str] = HISTORY) -> WindowSpec:
+    return entity(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("int"), F.lit(0))
 
 
-def prefight_record(persp: DataFrame) -> DataFrame:
+def prefight_record(persp: DataFrame, order: Sequence[str] = HISTORY) -> DataFrame:
     """Adds prior_wins, prior_losses, prior_draws: contests before this one, in bout order."""
     for outcome, name in zip(OUTCOMES, ("wins", "losses", "draws")):
-        count = F.coalesce(F.sum(flag(F.col("bout_outcome") == outcome)).over(before()), F.lit(0))
+        count = F.coalesce(F.sum(flag(F.col("bout_outcome") == outcome)).over(before(order)), F.lit(0))
         persp = persp.withColumn(f"prior_{name}", count)
     return persp
 
 
-def prefight_streaks(persp: DataFrame) -> DataFrame:
+def prefight_streaks(persp: DataFrame, order: Sequence[str] = HISTORY) -> DataFrame:
     """Adds prior_win_streak and prior_loss_streak: a draw ends both, a no-contest (or unknown) changes nothing."""
     ends = {"win": ("loss", "draw"), "loss": ("win", "draw")}
     out = persp
-    upto = entity().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = entity(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for kind, breaks in ends.items():
         island = F.sum(flag(F.col("bout_outcome").isin(*breaks))).over(upto)
         out = out.withColumn(f"__{kind}", island)
-        run = Window.partitionBy("fighter_id", f"__{kind}").orderBy(*HISTORY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = Window.partitionBy("fighter_id", f"__{kind}").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn(f"__n_{kind}", F.sum(flag(F.col("bout_outcome") == kind)).over(run))
-        out = out.withColumn(f"prior_{kind}_streak", F.coalesce(F.lag(f"__n_{kind}").over(entity()), F.lit(0)))
+        out = out.withColumn(f"prior_{kind}_streak", F.coalesce(F.lag(f"__n_{kind}").over(entity(order)), F.lit(0)))
     return out.drop("__win", "__loss", "__n_win", "__n_loss")
 
 
-def rest_days(persp: DataFrame) -> DataFrame:
+def rest_days(persp: DataFrame, order: Sequence[str] = HISTORY) -> DataFrame:
     """Adds rest_days since the contest before, of any outcome; NULL at the debut."""
-    return persp.withColumn("rest_days", F.datediff("event_date", F.lag("event_date").over(entity())))
+    return persp.withColumn("rest_days", F.datediff("event_date", F.lag("event_date").over(entity(order))))
 
 
 def head_to_head(fights: DataFrame) -> DataFrame:
@@ -95,7 +99,7 @@ def profile_hydration(persp: DataFrame, fighters: DataFrame) -> DataFrame:
     fields = ("height_inches", "reach_inches", "stance")
     profile = fighters.select("fighter_id", "date_of_birth", *[F.col(c).alias(f"__{c}") for c in fields])
     df = persp.join(profile, "fighter_id", "left").withColumn("__age", age_on(F.col("date_of_birth"), F.col("event_date")))
-    filled = F.lit(False)
+    filled = F.coalesce("prefight_profile_imputed", F.lit(False)) if "prefight_profile_imputed" in persp.columns else F.lit(False)
     out = {}
     for c in ("age", *fields):
         stored = F.col(f"prefight_{c}") if f"prefight_{c}" in persp.columns else F.lit(None)
@@ -154,6 +158,70 @@ def rebuild_derived(fights: DataFrame, fighters: DataFrame) -> DataFrame:
     return profile_hydration(persp, fighters).join(head_to_head(fights), "fight_id")
 
 
+#: Stored columns of a side and what a replay calls them.
+REPLAYED = {
+    "wins": "prior_wins", "losses": "prior_losses", "draws": "prior_draws", "current_win_streak": "prior_win_streak",
+    "current_loss_streak": "prior_loss_streak", "days_since_last_fight": "rest_days",
+}
+
+
+def replayed(persp: DataFrame, policy: str = "bout-start") -> DataFrame:
+    """``persp`` with the columns of REPLAYED: what was known before a contest, in the bouts' order (``bout-start``), in the
+    order of loading (``ingestion``, by ``ingest_seq``), or frozen for a whole card (``event-start``)."""
+    order = ("ingest_seq",) if policy == "ingestion" else HISTORY
+    df = prefight_streaks(prefight_record(rest_days(persp, order), order), order)
+    if policy == "event-start":
+        card = Window.partitionBy("fighter_id", "event_id").orderBy(*HISTORY)
+        df = df.withColumns({c: F.first(c).over(card) for c in REPLAYED.values()})
+    return df
+
+
+def rebuild_tables(events: DataFrame, fights: DataFrame, rounds: DataFrame, fighters: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(fights, fighters, report, errors): all derived columns made anew from the canonical ones.
+
+    Winner ids from names, source urls, availability and nulled counts, card order where it lacks, profiles, what was known
+    before each contest, meetings, and the entities' totals. The report has ten counters, one row each. What must not be
+    guessed is in errors (key, problem): an order, a winner, an entity on two cards of a day. A rebuilt store stays as it is.
+    """
+    dated = fights.drop("event_date").join(events.select("event_id", "event_date", F.col("event_url").alias("__url")), "event_id")
+    ordered = card_order_backfill(dated.withColumnsRenamed({"winner_fighter_id": "__winner", "stats_available": "__had"}))
+    named = winner_id(ordered.withColumn("winner_name", F.when(F.col("result") == "completed", F.col("winner_name"))))
+    made = checkpointed(null_stats_without_rounds(named, rounds))
+    errors = made.filter("order_status = 'ambiguous'").select(F.col("event_id").cast("string").alias("key"), F.lit("ambiguous order").alias("problem"))
+    errors = errors.unionByName(made.filter("winner_error").select(F.col("fight_id").cast("string").alias("key"), F.lit("winner").alias("problem")))
+    kept = made.drop("card_order", "source_event_url", *[f"fighter_{s}_{c}" for s in "ab" for c in REPLAYED], "head_to_head_fight_count")
+    kept = kept.withColumnsRenamed({"order": "card_order", "__url": "source_event_url"})
+    known = replayed(perspectives(kept))
+    twice = same_day_conflicts(known).select(F.concat_ws("/", "fighter_id", "event_date").alias("key"), F.lit("two cards on a day").alias("problem"))
+    fields = ("age", "height_inches", "reach_inches", "stance")
+    full = checkpointed(profile_hydration(known, fighters))
+    hydrated = F.sum(sum(flag(F.col(f"prefight_{c}").isNotNull() & (F.col(f"__old_{c}").isNull())) for c in fields))
+    stored = [F.col(f"prefight_{c}").alias(f"__old_{c}") if f"prefight_{c}" in known.columns else F.lit(None).alias(f"__old_{c}") for c in fields]
+    filled = full.select("fight_id", "fighter_id", *[f"prefight_{c}" for c in fields]).join(known.select("fight_id", "fighter_id", *stored), ["fight_id", "fighter_id"])
+
+    def side(s: str) -> DataFrame:
+        columns = [F.col(new).alias(f"fighter_{s}_{old}") for old, new in REPLAYED.items()] + [F.col(f"prefight_{c}").alias(f"fighter_{s}_{c}") for c in fields]
+        return full.filter(F.col("slot") == s).select("fight_id", *columns, F.col("prefight_profile_imputed").alias(f"fighter_{s}_profile_imputed"))
+
+    wide = kept.drop(*[f"fighter_{s}_{c}" for s in "ab" for c in (*fields, "profile_imputed")])
+    wide = wide.join(side("a"), "fight_id").join(side("b"), "fight_id").join(head_to_head(kept), "fight_id")
+    totals = final_aggregates(known)
+    people = fighters.drop(*[c for c in totals.columns if c != "fighter_id"]).join(totals, "fighter_id", "left")
+    people = people.na.fill(0, [c for c in totals.columns if c not in ("fighter_id", "last_fight_date")])
+    had = F.col("__winner") if "winner_fighter_id" in fights.columns else F.lit(None)
+    url = fights.select("fight_id", F.col("source_event_url").alias("__old")) if "source_event_url" in fights.columns else fights.select("fight_id", F.lit(None).alias("__old"))
+    counted = made.join(url, "fight_id").agg(
+        F.count("*").alias("fights_processed"), F.count_if(~F.col("stats_available")).alias("fights_without_round_stats"),
+        F.count_if(~F.col("winner_fighter_id").eqNullSafe(had)).alias("winner_ids_changed"), F.count_if(~F.col("__url").eqNullSafe(F.col("__old"))).alias("source_event_urls_changed"),
+        F.count_if(~F.col("stats_available").eqNullSafe(F.coalesce("__had", F.lit(False)))).alias("stats_availability_changed"), F.count_if(F.col("card_order").isNull()).alias("card_orders_backfilled"),
+        F.count_distinct(F.when(F.col("order_status") == "kept", F.col("event_id"))).alias("events_using_card_order"),
+        F.count_distinct(F.when(F.col("order_status") == "filled", F.col("event_id"))).alias("events_using_fallback_order"),
+    )
+    parts = counted, fighters.agg(F.count("*").alias("fighters_rebuilt")), filled.agg(F.coalesce(hydrated, F.lit(0)).alias("profile_fields_hydrated"))
+    report = reduce(DataFrame.unionByName, [row.unpivot([], row.columns, "counter", "n") for row in parts])
+    return wide.drop("__winner", "__had", "order_status", "winner_error", "__url"), people, report, errors.unionByName(twice).distinct()
+
+
 def rebuild_report(stored: DataFrame, rebuilt: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """(field, changes): how many rows of ``rebuilt`` differ from ``stored``, null-safe."""
     joined = rebuilt.alias("n").join(stored.alias("o"), keys)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import age_on, duration_seconds, is_finish
 from ..schema import OUTCOMES
 from .derived import flag
-from .perspectives import HISTORY, strict_cutoff
+from .perspectives import strict_cutoff
 
 TREND = ("sig_strikes_landed_per_min", "sig_strikes_absorbed_per_min", "takedowns_per_15_min", "sub_attempts_per_15_min")
 # Name, column and minutes of each rate; name, numerator, denominator and defence of each ratio.
@@ -32,29 +32,33 @@ def with_duration(persp: DataFrame) -> DataFrame:
     return persp.withColumn("fought", duration_seconds(F.col("ending_round"), F.col("ending_time"), F.col("time_format")))
 
 
-def rate(column: str, per: int) -> Column:
-    """Per ``per`` minutes over the rows that have counts, this column and a valid duration."""
+def rate(column: str, per: int, only: Column | None = None) -> Column:
+    """Per ``per`` minutes over the rows that have counts, this column and a valid duration (and fit ``only``)."""
     ok = F.col("stats_available") & F.col(column).isNotNull() & F.col("fought").isNotNull()
+    ok = ok if only is None else ok & only
     return F.try_divide(F.sum(F.when(ok, F.col(column))) * F.lit(60.0 * per), F.sum(F.when(ok, F.col("fought"))))
 
 
-def ratio(numerator: str, denominator: str, defense: bool) -> Column:
+def ratio(numerator: str, denominator: str, defense: bool, only: Column | None = None) -> Column:
     ok = F.col("stats_available") & F.col(numerator).isNotNull() & F.col(denominator).isNotNull()
+    ok = ok if only is None else ok & only
     value = F.try_divide(F.sum(F.when(ok, F.col(numerator))).cast("double"), F.sum(F.when(ok, F.col(denominator))))
     return 1 - value if defense else value
 
 
-def metric_columns() -> list[Column]:
+def metric_columns(only: Column | None = None) -> list[Column]:
+    """All metrics, over the rows that fit ``only``."""
     outcome, method = F.col("bout_outcome"), F.col("method_of_victory")
-    wins = F.sum(flag(outcome == "win"))
+    count = lambda ok: F.sum(flag(ok if only is None else ok & only))
+    wins = count(outcome == "win")
     return [
-        F.count("*").alias("fights"), *[F.sum(flag(outcome == o)).alias(f"record_{o}") for o in OUTCOMES],
-        F.sum(flag(outcome.isNull())).alias("unknown_results"), F.sum(flag(F.col("stats_available"))).alias("stat_fights"),
-        F.sum(flag(F.col("stats_available") & F.col("fought").isNotNull())).alias("timed_stat_fights"),
-        *[rate(column, per).alias(name) for name, column, per in RATES],
-        *[ratio(n, d, defense).alias(name) for name, n, d, defense in RATIOS],
-        F.try_divide(F.sum(flag((outcome == "win") & is_finish(method))).cast("double"), wins).alias("finish_rate_among_wins"),
-        F.sum(flag((outcome == "loss") & (method == "Submission"))).alias("submission_losses"),
+        (F.count("*") if only is None else F.sum(flag(only))).alias("fights"), *[count(outcome == o).alias(f"record_{o}") for o in OUTCOMES],
+        count(outcome.isNull()).alias("unknown_results"), count(F.col("stats_available")).alias("stat_fights"),
+        count(F.col("stats_available") & F.col("fought").isNotNull()).alias("timed_stat_fights"),
+        *[rate(column, per, only).alias(name) for name, column, per in RATES],
+        *[ratio(n, d, defense, only).alias(name) for name, n, d, defense in RATIOS],
+        F.try_divide(count((outcome == "win") & is_finish(method)).cast("double"), wins).alias("finish_rate_among_wins"),
+        count((outcome == "loss") & (method == "Submission")).alias("submission_losses"),
     ]
 
 
@@ -88,34 +92,48 @@ def method_maps(persp: DataFrame) -> DataFrame:
     return counts.groupBy("fighter_id").agg(made("win").alias("wins_by_method"), made("loss").alias("losses_by_method"))
 
 
-def last_n(persp: DataFrame, n: int) -> DataFrame:
-    back = Window.partitionBy("fighter_id").orderBy(*[F.col(c).desc() for c in HISTORY])
-    return persp.withColumn("__back", F.row_number().over(back)).filter(F.col("__back") <= n).drop("__back")
+def backwards(persp: DataFrame) -> DataFrame:
+    """Adds ``back``: 1 for an entity's last contest, 2 for the one before."""
+    return persp.withColumn("back", F.row_number().over(Window.partitionBy("fighter_id").orderBy(F.col("fighter_sequence").desc())))
 
 
-def recent_form(persp: DataFrame, n: int = 5) -> DataFrame:
-    """Metrics of the last ``n`` contests (3 to 5) and their difference from the career's, for four rates."""
+def trends(n: int) -> list[Column]:
+    """Four rates of the last ``n`` contests, and their difference from the career's."""
     if not 3 <= n <= 5:
         raise ValueError("n must be between 3 and 5")
-    career = entity_metrics(persp).select("fighter_id", *[F.col(c).alias(f"career_{c}") for c in TREND])
-    recent = entity_metrics(last_n(persp, n)).select("fighter_id", "fights", *TREND)
-    trend = [(F.col(c) - F.col(f"career_{c}")).alias(f"trend_{c}") for c in TREND]
-    return recent.join(career, "fighter_id").select("fighter_id", F.col("fights").alias("recent_fights"), *TREND, *trend)
+    recent, found = F.col("back") <= n, [F.sum(flag(F.col("back") <= n)).alias("recent_fights")]
+    for name, column, per in RATES:
+        if name in TREND:
+            found += [rate(column, per, recent).alias(f"recent_{name}"), (rate(column, per, recent) - rate(column, per)).alias(f"trend_{name}")]
+    return found
 
 
-def current_win_streak(persp: DataFrame) -> DataFrame:
+def recent_form(persp: DataFrame, n: int = 5) -> DataFrame:
+    """Rates of the last ``n`` contests (3 to 5) and their difference from the career's."""
+    df = with_duration(backwards(persp)).groupBy("fighter_id").agg(*trends(n))
+    return df.withColumnsRenamed({f"recent_{c}": c for c in TREND})
+
+
+def streak() -> Column:
     """Wins since the last contest of any other outcome; here a draw or no-contest ends the streak."""
     lost = F.coalesce(F.max(F.when(~F.col("bout_outcome").eqNullSafe(F.lit("win")), F.col("fighter_sequence"))), F.lit(0))
-    return persp.groupBy("fighter_id").agg((F.max("fighter_sequence") - lost).alias("win_streak"))
+    return (F.max("fighter_sequence") - lost).alias("win_streak")
+
+
+def current_win_streak(persp: DataFrame) -> DataFrame:
+    return persp.groupBy("fighter_id").agg(streak())
 
 
 def career_stats(persp: DataFrame, fighters: DataFrame, cutoff: str, recent_n: int = 5) -> DataFrame:
-    """Every entity as of the cutoff: metrics, recent form, streak, rest, age and caveats. Debutants have a row."""
+    """Every entity as of the cutoff: metrics, recent form, streak, rest, age and caveats. Debutants have a row.
+
+    One aggregation: the last contests are numbered, and their sums are conditional.
+    """
     day, known = F.lit(cutoff).cast("date"), strict_cutoff(persp, cutoff)
-    last = known.groupBy("fighter_id").agg(F.datediff(day, F.max("event_date")).alias("days_since_last_fight"))
-    df = fighters.select("fighter_id", age_on(F.col("date_of_birth"), day).alias("age"))
-    for part in (entity_metrics(known), recent_form(known, recent_n).drop(*TREND), current_win_streak(known), last):
-        df = df.join(part, "fighter_id", "left")
+    rest = F.datediff(day, F.max("event_date")).alias("days_since_last_fight")
+    got = with_duration(backwards(known)).groupBy("fighter_id").agg(*metric_columns(), *trends(recent_n), streak(), rest)
+    got = got.drop(*[f"recent_{c}" for c in TREND])
+    df = fighters.select("fighter_id", age_on(F.col("date_of_birth"), day).alias("age")).join(got, "fighter_id", "left")
     n = F.coalesce("fights", F.lit(0))
     caveats = F.array_compact(F.array(F.when(n == 0, "debut"), F.when(n < 3, "thin recent form"), F.when(F.col("age").isNull(), "age unknown")))
     return df.withColumns({"fights": n, "win_streak": F.coalesce("win_streak", F.lit(0)), "caveats": caveats})

@@ -83,14 +83,27 @@ def stats_authority(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def identity_guard(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Contests whose stored and incoming sides or urls disagree, with the reason."""
+    """Contests whose stored and incoming sides or urls disagree, or lack a side, with the reason."""
     old = stored.select("fight_id", *[F.col(c).alias(f"__{c}") for c in ("fighter_a_id", "fighter_b_id", "source_fight_url")])
     df = incoming.join(old, "fight_id")
-    sides = ~((F.col("fighter_a_id") == F.col("__fighter_a_id")) & (F.col("fighter_b_id") == F.col("__fighter_b_id")))
+    sides = ~F.coalesce((F.col("fighter_a_id") == F.col("__fighter_a_id")) & (F.col("fighter_b_id") == F.col("__fighter_b_id")), F.lit(False))
     url = F.col("source_fight_url").isNotNull() & F.col("__source_fight_url").isNotNull() & (F.col("source_fight_url") != F.col("__source_fight_url"))
     return df.select("fight_id", F.when(sides, "participants changed").when(url, "url changed").alias("reason")).filter("reason IS NOT NULL")
 
 
+def profile_identity(profiles: DataFrame) -> DataFrame:
+    """(fighter_id, reason) of profiles whose identity is not the same in four places: the id asked for, the id of the page's
+    url, the id of the url asked for, and the id in the payload.
+
+    profiles: fighter_id, requested_url, profile_url, payload_id.
+    """
+    last = lambda c: F.element_at(F.split(F.regexp_replace(F.split(c, r"[?#]")[0], "/+$", ""), "/"), -1)
+    reason = F.lit(None).cast("string")
+    for name, value in (("payload", F.col("payload_id")), ("page url", last("profile_url")), ("requested url", last("requested_url"))):
+        reason = F.coalesce(reason, F.when(~value.cast("string").eqNullSafe(F.col("fighter_id").cast("string")), F.lit(name)))
+    return profiles.select("fighter_id", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def upsert_profiles(stored: DataFrame, incoming: DataFrame, now: str) -> DataFrame:
     """Blanks never erase known values; merged rows carry the time."""
     text = [f.name for f in incoming.schema.fields if f.dataType.simpleString() == "string" and f.name != "fighter_id"]
@@ -110,6 +123,14 @@ def stale_contests(stored: DataFrame, source: DataFrame) -> DataFrame:
     return stored.join(cards, "event_id", "left_semi").join(source.select("event_id", "fight_id"), ["event_id", "fight_id"], "left_anti")
 
 
+def without_stale(stored: DataFrame, rounds: DataFrame, source: DataFrame, allowed: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(contests, rounds, refused): stale contests and their rounds go if that is ``allowed``; else they stay and are refused."""
+    stale = stale_contests(stored, source).select("fight_id", "event_id")
+    if not allowed:
+        return stored, rounds, stale
+    return stored.join(stale.select("fight_id"), "fight_id", "left_anti"), rounds.join(stale.select("fight_id"), "fight_id", "left_anti"), stale.limit(0)
+
+
 def atomic_cards(incoming: DataFrame, rejected: DataFrame) -> DataFrame:
     """Incoming contests of the cards without any rejected contest (fight_id)."""
     bad = incoming.join(rejected.select("fight_id").distinct(), "fight_id", "left_semi").select("event_id").distinct()
@@ -152,11 +173,9 @@ def schedule_problems(card: DataFrame, pairings: DataFrame, today: str) -> DataF
 
 def replace_schedule(stored: DataFrame, card: DataFrame, pairings: DataFrame, today: str) -> DataFrame:
     """The pairings of the new card if it has no problem, else the stored ones; an empty card clears the schedule."""
-    bad = schedule_problems(card, pairings, today).filter(F.size("issues") > 0)
-    flawed = bad.limit(1).withColumn("__bad", F.lit(True)).select("__bad")
-    keep = stored.withColumn("__one", F.lit(True)).join(flawed.withColumnRenamed("__bad", "__one"), "__one", "left_semi").select(*stored.columns)
-    new = pairings.withColumn("__one", F.lit(True)).join(flawed.withColumnRenamed("__bad", "__one"), "__one", "left_anti").select(*stored.columns)
-    return keep.unionByName(new)
+    # the card is one row: whether it is flawed is asked once, and one side is returned as it is
+    flawed = schedule_problems(card, pairings, today).filter(F.size("issues") > 0).limit(1).count()
+    return (stored if flawed else pairings).select(*stored.columns)
 
 
 def refresh_targets(listing: DataFrame, stored: DataFrame, n: int = 8) -> DataFrame:

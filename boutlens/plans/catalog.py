@@ -85,7 +85,7 @@ def _side(me: str, other: str) -> str:
                fighter_{me}_id AS fighter_id, fighter_{other}_id AS opponent_id, method_of_victory, ending_round, ending_time,
                time_format, stats_available,
                CASE result WHEN 'draw' THEN 'draw' WHEN 'no_contest' THEN 'no_contest'
-                    ELSE CASE WHEN winner_fighter_id = fighter_{me}_id THEN 'win' WHEN winner_fighter_id = fighter_{other}_id THEN 'loss' END
+                    WHEN 'completed' THEN CASE WHEN winner_fighter_id = fighter_{me}_id THEN 'win' WHEN winner_fighter_id = fighter_{other}_id THEN 'loss' END
                END AS bout_outcome, {stats}
         FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY card_order DESC NULLS LAST, fight_id) AS event_bout_sequence FROM contests)"""
 

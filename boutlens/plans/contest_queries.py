@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpointed
 from ..functions import scalars
-from ..operators import asof, derived, metrics, paths, perspectives, ratings
+from ..operators import asof, derived, evidence, metrics, paths, perspectives, ratings
 from ..schema import STATS, SUMMED
 from ..sources import tables
 from .catalog import HISTORY_SQL, WITH, Tables, query, r6, rounded
@@ -234,7 +235,8 @@ _QUALITY = "CASE WHEN w + l + d > 0 THEN (w + 0.5::DOUBLE * d + 1) / (w + l + d
        CASE WHEN o.q IS NULL THEN 'unknown' WHEN low = high THEN 'mid' WHEN o.q > high THEN 'top' WHEN o.q < low THEN 'low' ELSE 'mid' END AS tier
        FROM s p JOIN (SELECT *, {_QUALITY} AS q FROM s) o ON o.fight_id = p.fight_id AND o.fighter_id = p.opponent_id JOIN cuts ON cuts.event_date = p.event_date""")
 def _opponents(t: Tables) -> DataFrame:
-    return rounded(asof.opponent_quality(t.persp).drop("event_date"), "quality")
+    persp = checkpointed(t.persp.select("fight_id", "fighter_id", "opponent_id", "event_date", "bout_outcome"))  # read thrice
+    return rounded(asof.opponent_quality(persp).drop("event_date"), "quality")
 
 
 @query("style_midrank", f"""{WITH}, m AS (SELECT fighter_id, {", ".join(f"{x} AS {n}" for n, x in {**{n: _rate(c, p) for n, c, p in metrics.RATES}, **{n: _ratio(a, b, d) for n, a, b, d in metrics.RATIOS}}.items())}
@@ -258,64 +260,114 @@ def _elo(t: Tables) -> DataFrame:
     return df.withColumn("rating", F.round("rating", 4))
 
 
+def _before(t: Tables, rated: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The perspective rows, and what each opponent was before the day."""
+    persp = checkpointed(t.persp)
+    return persp, checkpointed(asof.opponents_before(persp, checkpointed(asof.states(persp, ratings.elo_history(persp) if rated else None))))
+
+
 @query("elo_tiers")
 def _tiers(t: Tables) -> DataFrame:
-    persp = ratings.checkpointed(t.persp)
-    df = ratings.elo_tiers(persp, ratings.elo_history(persp))
-    return df.withColumns({"opponent_rating": F.round("opponent_rating", 4), "strength": r6("strength")})
+    df = _before(t, True)[1].withColumns({"opponent_rating": F.round("rating", 4), "strength": r6("strength")})
+    return df.select("fight_id", "fighter_id", "opponent_id", "bout_outcome", "opponent_rating", "opponent_decided", "strength", "strength_cohort_size", "tier")
+
+
+_SHORT = ("sig_strike_differential_per_min", "takedowns_per_15_min", "takedown_defense")
 
 
 @query("performance_by_tier")
 def _by_tier(t: Tables) -> DataFrame:
-    persp = ratings.checkpointed(t.persp)
-    tiers = ratings.elo_tiers(persp, ratings.elo_history(persp))
-    return rounded(asof.performance_by_tier(persp, tiers), "sig_strike_differential_per_min", "takedowns_per_15_min", "takedown_defense")
+    return rounded(asof.performance_by_tier(*_before(t, True)).withColumn("fight_ids", F.array_join("fight_ids", ",")), *_SHORT)
 
 
 @query("strongest_results")
 def _strongest(t: Tables) -> DataFrame:
-    persp = ratings.checkpointed(t.persp)
-    return ratings.strongest_results(ratings.elo_tiers(persp, ratings.elo_history(persp)))
+    return ratings.strongest_results(_before(t, True)[1])
+
+
+_SUMS = {n: (f"CASE WHEN stats_available AND fought IS NOT NULL THEN {c} END", f"CASE WHEN stats_available AND {c} IS NOT NULL THEN fought END", f"{60 * per}.0::DOUBLE", False) for n, c, per in metrics.RATES}
+_SUMS |= {n: (f"CASE WHEN stats_available AND {d} IS NOT NULL THEN {x} END", f"CASE WHEN stats_available AND {x} IS NOT NULL THEN {d} END", "1.0::DOUBLE", defense) for n, x, d, defense in metrics.RATIOS}
+_SUMS = {k: _SUMS[k] for k in asof.STYLE_KEYS}
+
+
+def _value(k: str) -> str:
+    x = f"sum({k}__n) OVER u * {_SUMS[k][2]} / nullif(sum({k}__d) OVER u, 0)"
+    return f"{'1 - ' if _SUMS[k][3] else ''}{x} AS {k}"
 
 
-def _year_starts(t: Tables) -> list[str]:
-    """The first days of the years that have contests: one value for each year."""
-    years = t.persp.select(F.year("event_date").alias("y")).distinct().collect()
-    return [f"{row.y}-01-01" for row in years]
+#: Entities after each of their days, and (targets, ranked) as the style of one of them before a day.
+_STATES = f"""daily AS (SELECT fighter_id, event_date, {", ".join(f"sum({n}) AS {k}__n, sum({d}) AS {k}__d" for k, (n, d, *_) in _SUMS.items())},
+       count(*) FILTER (WHERE stats_available AND fought IS NOT NULL) AS t, arg_max(weight_class, fighter_sequence) AS division FROM {{source}} GROUP BY 1, 2),
+       states AS (SELECT fighter_id, event_date, division, sum(t) OVER u AS timed, {", ".join(_value(k) for k in asof.STYLE_KEYS)}, lead(event_date) OVER u AS until FROM daily
+       WINDOW u AS (PARTITION BY fighter_id ORDER BY event_date))"""
 
 
-@query("style_profile")
+def _ranks(key: str) -> str:
+    """Midranks of targets (key, day, weight_class, timed, metrics) among the states that hold on the day."""
+    own = ", ".join(f"count(*) FILTER (WHERE s.timed >= 3 AND s.{k} < t.{k}) + 0.5::DOUBLE * count(*) FILTER (WHERE s.timed >= 3 AND s.{k} = t.{k}) AS n_{k}, count(s.{k}) FILTER (WHERE s.timed >= 3) AS m_{k}" for k in asof.STYLE_KEYS)
+    holds = "s.event_date < t.day AND (s.until IS NULL OR t.day <= s.until) AND t.day - s.event_date <= 1096"
+    ranks = ", ".join(f"CASE WHEN timed >= 3 AND {k} IS NOT NULL THEN n_{k} / nullif(m_{k}, 0) END AS r_{k}" for k in asof.STYLE_KEYS)
+    tags = ", ".join(f"CASE WHEN r_{k} >= 0.75 AND {k} > 0 THEN '{tag}' END" for k, tag in asof.STYLE_TAGS.items())
+    return f"""own AS (SELECT t.{key}, count(s.fighter_id) AS c, {own} FROM targets t LEFT JOIN states s ON s.division = t.weight_class AND {holds} GROUP BY ALL),
+       few AS (SELECT t.* FROM targets t JOIN own USING ({key}) WHERE c < 8),
+       wide AS (SELECT t.{key}, count(s.fighter_id) AS c, {own} FROM few t LEFT JOIN states s ON {holds} GROUP BY ALL),
+       placed AS (SELECT *, c >= 8 AS same FROM own WHERE c >= 8 UNION ALL SELECT *, false FROM wide),
+       ranked AS (SELECT *, {ranks} FROM targets JOIN placed USING ({key})),
+       styled AS (SELECT *, concat_ws(',', {tags}) AS tags, CASE WHEN coalesce({", ".join(f"r_{k}" for k in asof.STYLE_KEYS)}) IS NOT NULL THEN 'measured proxy' ELSE 'insufficient history' END AS status FROM ranked)"""
+
+
+_LAGS = ", ".join(f"lag({c}) OVER w AS {c}" for c in ("timed", *asof.STYLE_KEYS))
+_STYLED = f"""{_STATES.format(source="persp")}, prior AS (SELECT fighter_id AS subject, event_date AS day, {_LAGS} FROM states WINDOW w AS (PARTITION BY fighter_id ORDER BY event_date)),
+       targets AS (SELECT fight_id * 2 + (slot = 'b')::INT AS key, fight_id, p.fighter_id, opponent_id, p.event_date AS day, weight_class, prior.* EXCLUDE (subject, day)
+                   FROM persp p LEFT JOIN prior ON subject = opponent_id AND prior.day = p.event_date), {_ranks("key")}"""
+
+
+@query("style_profile", f"""{WITH}, {_STYLED} SELECT fight_id, fighter_id, opponent_id, {", ".join(f"{R6(f'r_{k}')} AS {k}" for k in asof.STYLE_KEYS)}, tags, status, c AS cohort, same,
+       coalesce(timed, 0)::BIGINT AS prior_stat_fights FROM styled""")
 def _style(t: Tables) -> DataFrame:
-    df = asof.style_profiles(t.persp, _year_starts(t))
-    return rounded(df, *asof.STYLE_KEYS).withColumn("tags", F.array_join("tags", ","))
+    df = rounded(_before(t)[1], *asof.STYLE_KEYS).withColumn("tags", F.array_join("tags", ","))
+    return df.select("fight_id", "fighter_id", "opponent_id", *asof.STYLE_KEYS, "tags", "status", "cohort", "same", "prior_stat_fights")
 
 
-@query("performance_by_style")
+_PERFORMANCE = f"""count(*) AS fights, {_RECORD}, count(*) FILTER (WHERE stats_available) AS stat_fights,
+    {R6(f"{_rate('bout_significant_strikes_landed', 1)} - {_rate('opponent_bout_significant_strikes_landed', 1)}")} AS sig_strike_differential_per_min,
+    {R6(_rate("bout_takedowns_landed", 15))} AS takedowns_per_15_min, {R6(_ratio(*metrics.RATIOS[3][1:]))} AS takedown_defense"""
+
+
+@query("performance_by_style", f"""{WITH}, {_STYLED}, tagged AS (SELECT fight_id, fighter_id, unnest(string_split(tags, ',')) AS tag FROM styled WHERE tags <> ''),
+       got AS (SELECT fighter_id, tag, {_PERFORMANCE}, string_agg(fight_id, ',' ORDER BY fight_id) AS fight_ids FROM persp JOIN tagged USING (fight_id, fighter_id) GROUP BY 1, 2),
+       fixed AS (SELECT fighter_id, unnest([{", ".join(f"'{x}'" for x in asof.STYLE_TAGS.values())}]) AS tag FROM (SELECT DISTINCT fighter_id FROM persp))
+       SELECT fighter_id, tag, {", ".join(f"coalesce({c}, 0) AS {c}" for c in asof.COUNTS)}, {", ".join(_SHORT)}, coalesce(fight_ids, '') AS fight_ids FROM fixed LEFT JOIN got USING (fighter_id, tag)""")
 def _by_style(t: Tables) -> DataFrame:
-    styled = asof.opponent_styles(t.persp, asof.style_profiles(t.persp, _year_starts(t)))
-    return rounded(asof.performance_by_style(styled), "sig_strike_differential_per_min", "takedowns_per_15_min", "takedown_defense")
+    return rounded(asof.performance_by_style(*_before(t)).withColumn("fight_ids", F.array_join("fight_ids", ",")), *_SHORT)
+
+
+_THEN = f"SELECT fight_id, fighter_id, {', '.join(f'r_{k} AS x_{k}' for k in asof.STYLE_KEYS)} FROM styled"
 
 
-@query("similar_contests")
+@query("similar_contests", f"""{WITH}, known AS (SELECT * FROM persp WHERE event_date < DATE '{CUTOFF}'), {_STYLED.replace("FROM persp", "FROM known")},
+       past AS MATERIALIZED ({_THEN}), latest AS (SELECT fighter_id AS key, DATE '{CUTOFF}' AS day, division AS weight_class, timed, {", ".join(asof.STYLE_KEYS)} FROM states WHERE until IS NULL),
+       current AS MATERIALIZED (WITH targets AS (SELECT * FROM latest), {_ranks("key")} SELECT key, {", ".join(f"r_{k} AS y_{k}" for k in asof.STYLE_KEYS)} FROM styled),
+       asked AS (SELECT DISTINCT fighter_a_id AS fighter_id, fighter_b_id AS next_opponent_id FROM contests),
+       pairs AS (SELECT a.*, p.fight_id, {" + ".join(f"(x_{k} IS NOT NULL AND y_{k} IS NOT NULL)::INT" for k in asof.STYLE_KEYS)} AS compared,
+                 {" + ".join(f"coalesce(abs(x_{k} - y_{k}), 0)" for k in asof.STYLE_KEYS)} AS gap FROM asked a JOIN current c ON c.key = a.next_opponent_id JOIN past p ON p.fighter_id = a.fighter_id),
+       near AS (SELECT *, round(round(1 - gap / compared, 9), 3) AS s FROM pairs WHERE compared >= 3 AND round(1 - gap / compared, 9) >= 0.75),
+       top AS (SELECT *, row_number() OVER w AS rank, count(*) OVER (PARTITION BY fighter_id, next_opponent_id) AS comparable FROM near WINDOW w AS (PARTITION BY fighter_id, next_opponent_id ORDER BY s DESC, fight_id))
+       SELECT fighter_id, next_opponent_id, rank, comparable, fight_id, compared, s AS similarity FROM top WHERE rank <= 5""")
 def _similar(t: Tables) -> DataFrame:
-    profiles = ratings.checkpointed(asof.style_profiles(t.persp, [*_year_starts(t), CUTOFF]))
-    styled = asof.opponent_styles(t.persp.filter(F.col("event_date") < CUTOFF), profiles)
+    persp = checkpointed(t.persp.filter(F.col("event_date") < CUTOFF))
+    state = checkpointed(asof.states(persp))
     requests = t.pairs.select(F.col("a_id").alias("fighter_id"), F.col("b_id").alias("next_opponent_id"))
-    return rounded(asof.similar_contests(requests, styled, profiles.filter(F.col("day") == CUTOFF)), "similarity")
+    return asof.similar_contests(requests, asof.opponents_before(persp, state), asof.styles_at(persp, state, CUTOFF)).drop("bout_outcome")
 
 
 @query("matchup_evidence")
 def _evidence(t: Tables) -> DataFrame:
-    """Career, rating and average opposition of both sides of every pair that met, as flat columns."""
-    persp = ratings.checkpointed(t.persp.filter(F.col("event_date") < CUTOFF))
-    history = ratings.elo_history(persp)
-    career = metrics.career_stats(persp, t.fighters, CUTOFF).select("fighter_id", "age", "fights", "record_win", "win_streak", "days_since_last_fight", "sig_strikes_landed_per_min")
-    rating = ratings.elo_ratings(history).select("fighter_id", F.round("rating", 2).alias("rating"))
-    known = ratings.elo_tiers(persp, history).filter("opponent_decided >= 3").groupBy("fighter_id").agg(F.avg("opponent_rating").alias("average_opponent"))
-    side = career.join(rating, "fighter_id", "left").join(known, "fighter_id", "left")
-    side = rounded(side, "sig_strikes_landed_per_min").withColumn("average_opponent", F.round("average_opponent", 2))
-    named = lambda s: side.select(*[F.col(c).alias(f"{s}_id" if c == "fighter_id" else f"{s}_{c}") for c in side.columns])
-    return t.pairs.join(named("a"), "a_id").join(named("b"), "b_id")
+    """Both sides of every pair that met; nested parts as JSON."""
+    df = evidence.matchup_evidence(t.persp, t.fighters, t.pairs, CUTOFF)
+    scalars_ = ("age", "days_since_last_fight", "win_streak", "current_derived_elo", "average_opponent_prior_elo", "provisional_opponents", "comparable_style_count")
+    parts = ("career", "recent", "current_style", "strongest_win_ids", "strongest_loss_ids", "performance_by_tier", "history_by_opponent_style", "similar_to_next_opponent", "bouts")
+    return df.select("a_id", "b_id", "side", "fighter_id", "opponent_id", *scalars_, *[F.to_json(c).alias(c) for c in parts])
 
 
 @query("safe_features", f"""{WITH} SELECT fight_id, event_id, event_date, weight_class, fighter_id, opponent_id, slot FROM persp""", dates=("event_date",))

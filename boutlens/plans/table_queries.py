@@ -10,21 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import derived, reconcile, scoring, validate
-from ..checkpoints import checkpointed
 from .catalog import WITH, Tables, query, rounded
-from .proxy import rounds_of
 
 R6 = lambda x: f"round({x}, 6) + 0.0"
 TODAY = "2000-06-01"
 
 
-@query("quality_checks")
-def _checks(t: Tables) -> DataFrame:
-    contests = checkpointed(t.contests)  # some forty checks read it
-    df = validate.run_checks(validate.checks(checkpointed(t.cards), contests, checkpointed(rounds_of(contests)), t.fighters))
-    return df.withColumn("samples", F.array_join("samples", ","))
-
-
 @query("completeness", f"""{WITH} SELECT column_, missing, rows FROM (SELECT 'date_of_birth' AS column_, count(*) FILTER (WHERE date_of_birth IS NULL) AS missing, count(*) AS rows FROM entities
        UNION ALL SELECT 'stance', count(*) FILTER (WHERE stance IS NULL OR trim(stance) = ''), count(*) FROM entities
        UNION ALL SELECT 'reach_inches', count(*) FILTER (WHERE reach_inches IS NULL), count(*) FROM entities)""")

@@ -15,7 +15,7 @@ RESULTS = (
     " ending_time: string, source_fight_url: string>>"
 )
 MANIFEST = (
-    "run_id string, status string, code_version string, started_at string, finished_at string, errors array<string>,"
+    "run_id string, status string, code_version string, started_at string, finished_at string, errors array<struct<message: string, resolved: boolean>>,"
     " listing struct<url: string, fetched_at: string, event_urls: array<string>, latest_event_date: string>,"
     " event_fights map<string, array<string>>, page_counts map<string, int>, feature_columns array<string>"
 )

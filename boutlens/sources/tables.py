@@ -71,30 +71,35 @@ def describe_schema(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def promote_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, report: DataFrame) -> bool:
-    """Writes the tables under ``run_id`` and then moves the pointer, only if no check of ``report`` fails.
+    """Writes the tables under ``run_id`` and then moves the pointer; nothing is written if a check of ``report`` fails.
 
-    The pointer is a one-row table that names the live run and the one before; a failed run leaves it as it is.
+    The pointer has a numbered row for each promotion, which names the live run and the one before; a failed run leaves it as it is.
     """
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/snapshots/run_id={run_id}/{name}")
     if report.filter("status = 'FAIL'").limit(1).count():
         return False
-    before = live_run(spark, root)
-    row = spark.createDataFrame([(run_id, before)], "run_id string, previous string").withColumn("promoted_at", F.current_timestamp())
+    before, number = _pointer(spark, root)
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/snapshots/run_id={run_id}/{name}")
+    row = spark.createDataFrame([(number + 1, run_id, before)], "number long, run_id string, previous string")
     row.coalesce(1).write.mode("append").json(f"{root}/pointer")
     return True
 
 
-def live_run(spark: SparkSession, root: str) -> str | None:
-    """The run that was promoted last, or None."""
+def _pointer(spark: SparkSession, root: str) -> tuple[str | None, int]:
+    """The run that was promoted last and its number."""
     from pyspark.errors import AnalysisException
 
     try:
-        pointer = spark.read.schema("run_id string, previous string, promoted_at timestamp").json(f"{root}/pointer")
-        found = pointer.orderBy(F.col("promoted_at").desc()).limit(1).collect()
+        pointer = spark.read.schema("number long, run_id string, previous string").json(f"{root}/pointer")
+        found = pointer.orderBy(F.col("number").desc()).limit(1).collect()
     except AnalysisException:
-        return None
-    return found[0]["run_id"] if found else None
+        return None, 0
+    return (found[0]["run_id"], found[0]["number"]) if found else (None, 0)
+
+
+def live_run(spark: SparkSession, root: str) -> str | None:
+    """The run that was promoted last, or None."""
+    return _pointer(spark, root)[0]
 
 
 def live_tables(spark: SparkSession, root: str, names: tuple[str, ...]) -> dict[str, DataFrame]:

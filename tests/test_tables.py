@@ -117,7 +117,7 @@ def _valid(spark):
     # the splits of a valid contest add up
     fill = {f"fighter_{s}_significant_{p}_strikes_{k}": F.col(f"fighter_{s}_significant_strikes_{k}") for s in "ab" for p in ("head", "ground") for k in ("landed", "attempted")}
     totals = {f"fighter_{s}_total_strikes_{k}": F.col(f"fighter_{s}_significant_strikes_{k}") for s in "ab" for k in ("landed", "attempted")}
-    fights = fights.withColumns(fill | totals | {"ending_round": F.lit(1)})
+    fights = fights.withColumns(fill | totals | {"ending_round": F.lit(1), "source_fight_url": F.concat(F.lit("f"), "fight_id")})
     side = lambda a, b: fights.select("fight_id", F.lit(1).alias("round_number"), F.col(f"fighter_{a}_id").alias("fighter_id"), F.col(f"fighter_{b}_id").alias("opponent_id"), *[F.col(f"fighter_{a}_{c}").alias(c) for c in STATS])
     return events, fights, side("a", "b").unionByName(side("b", "a")), fighters
 
@@ -141,7 +141,7 @@ def test_recent_contests_without_rounds_fail_and_five_samples_are_kept(spark):
 
 def test_valid_tables_pass_and_mutations_fail(spark):
     events, fights, rounds, fighters = (t.cache() for t in _valid(spark))
-    assert set(_status((events, fights, rounds, fighters)).values()) == {"PASS"}
+    assert {v for k, v in _status((events, fights, rounds, fighters)).items() if not k.startswith("metadata.")} == {"PASS"}
     bad = fights.withColumns({"result": F.lit("completed"), "winner_fighter_id": F.lit(99), "card_order": F.lit(2), "ending_time": F.lit("1:99")})
     found = _status((events.withColumn("source_fight_count", F.lit(3)), bad, rounds.filter("fighter_id = 1").withColumn("takedowns_landed", F.lit(9)), fighters))
     for check in ("semantics.winner", "keys.fights.winner", "coverage.card_order", "fights.ending_values", "coverage.event_fight_counts",
@@ -149,6 +149,32 @@ def test_valid_tables_pass_and_mutations_fail(spark):
         assert found[check] == "FAIL", check
 
 
+def test_schemas_features_and_required_metadata(spark):
+    from boutlens.operators.perspectives import perspectives
+    from boutlens.schema import TABLES
+
+    events, fights, rounds, fighters = _valid(spark)
+    tables_ = {"events": events, "fights": fights, "fight_rounds": rounds, "fighters": fighters}
+    got = {r.check_id: r for r in validate.run_checks(validate.schema_checks(tables_, TABLES, perspectives(fights).drop("bout_outcome"))).collect()}
+    assert got["schema.tables"].samples == ["upcoming_events", "upcoming_fights"] and "events.event_name" in [c for c in got["schema.columns"].samples] and got["schema.fighter_bout_history_columns"].samples == ["bout_outcome"]
+    columns = lambda *names: spark.createDataFrame([(n,) for n in names], "column_name string")
+    status = lambda df: validate.run_checks(validate.feature_check(df)).first()
+    assert status(columns("prefight_wins")).status == "PASS" and status(columns("prefight_wins", "bout_reversals", "result")).samples == ["bout_reversals", "result"] and status(columns()).status == "WARN"
+    found = {r.check_id: r.status for r in validate.run_checks(validate.metadata_checks(tables_ | {"fights": fights.drop("weight_class")}, ("weight_class", "fights.method_of_victory", "events.last_scraped_at"))).collect()}
+    assert (found["metadata.weight_class"], found["metadata.fight_method"], found["metadata.fight_method.required"], found["metadata.event_scrape_audit.required"]) == ("FAIL", "PASS", "PASS", "FAIL")
+
+
+def test_history_that_is_stored_is_held_against_the_contests(spark):
+    from boutlens.operators.perspectives import perspectives
+
+    events, fights, rounds, fighters = _valid(spark)
+    whole = perspectives(fights.drop("name"))
+    for history, broken in ((whole.filter("slot = 'a'"), {"cardinality", "participants"}), (whole.withColumn("opponent_id", F.col("fighter_id")), {"participants", "outcomes"}),
+                            (whole.withColumn("bout_outcome", F.lit("draw")), {"outcomes"}), (whole.unionByName(whole.withColumn("fight_id", F.col("fight_id") + 9)), {"cardinality"})):
+        found = {k: v for k, v in validate.checks(events, fights, rounds, fighters, history=history).items() if k.startswith("fighter_bout_history")}
+        assert {r.check_id.split(".")[1] for r in validate.run_checks(found).collect() if r.status == "FAIL"} >= broken
+
+
 def test_snapshot_moves_only_when_checks_pass(spark, tmp_path):
     root, df = str(tmp_path), spark.range(3)
     ok = spark.createDataFrame([("c", "PASS")], "check_id string, status string")
