@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from html import unescape
+from itertools import count, islice
 
 # Element names of the HTML standard.
 SKIPPED = frozenset("head iframe math noembed noframes noscript object script style svg template title".split())
@@ -24,7 +25,8 @@ CLOSES = {
     "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
 #: Elements in which the words of class, id and role do not matter for what they hold.
-TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<!--(?:(?!-->).)*(?:-->|\Z)|<[!?][^>]*>""", re.S)
+#: A quote that is not closed before the next tag is a character like others; nothing is tried twice.
+TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"<]*"|'[^'<]*'|["'])*+)>|<!--(?:(?!-->).)*(?:-->|\Z)|<[!?][^>]*>""", re.S)
 OPEN = re.compile(r"""<(?:!--|[!?]|/?[a-zA-Z])""")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -39,10 +41,18 @@ class Block:
     names: frozenset[str]
     linked: int
     hidden: bool = False
+    #: Numbers of the block-level elements around the block's own, the nearest first, and the tag of the nearest.
+    near: tuple[int, ...] = ()
+    parent: str = ""
+
+
+#: Elements around a block that are kept.
+NEAR = 4
 
 
 @dataclass
 class _Open:
+    number: int
     tag: str
     tags: frozenset[str]
     names: frozenset[str]
@@ -60,7 +70,8 @@ def name_words(attributes: str) -> frozenset[str]:
 def blocks(html: str) -> list[Block]:
     """All leaf blocks with text, in page order. Unclosed and stray tags are put up with; nothing is cut off."""
     found: list[Block] = []
-    root = _Open("", frozenset(), frozenset(), False, False, False)
+    root = _Open(0, "", frozenset(), frozenset(), False, False, False)
+    numbers = count(1)
     stack = [root]
     pieces: list[str] = []
     linked = 0
@@ -70,9 +81,10 @@ def blocks(html: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                holder = next((x for x in reversed(stack) if x.tag not in INLINE), root)
+                around = list(islice((x for x in reversed(stack) if x.tag not in INLINE), NEAR + 1))
                 top = stack[-1]
-                found.append(Block(text, holder.tag, top.tags, top.names, linked, top.hidden))
+                near = tuple(x.number for x in around[1:])
+                found.append(Block(text, around[0].tag, top.tags, top.names, linked, top.hidden, near, around[1].tag if near else ""))
         pieces.clear()
         linked = 0
 
@@ -147,7 +159,7 @@ def blocks(html: str) -> list[Block]:
         above = stack[-1]
         names = name_words(attributes) if attributes else frozenset()
         stack.append(_Open(
-            tag, above.tags if tag in above.tags else above.tags | {tag},
+            next(numbers), tag, above.tags if tag in above.tags else above.tags | {tag},
             above.names if names <= above.names else above.names | names,
             above.skipped or tag in SKIPPED, above.linked or tag == "a",
             above.hidden or bool(attributes and HIDDEN.search(attributes)),

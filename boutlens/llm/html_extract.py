@@ -1,9 +1,11 @@
 """HTML extraction: a linear-chain conditional random field over the leaf blocks of a page.
 
-Every block has features of its ancestors' tags and names, of its own tag and its text; the chain has two labels, main
-text and the rest. The weights are fitted by stochastic gradients of the likelihood on labelled pages and decoded by
-Viterbi. ``labelled_pages`` makes such pages from a rule: layouts of the usual parts under many names, with texts of
-invented words, so that a model needs no files; pages labelled by hand can be given instead.
+Every block has features of its ancestors' tags and names, of its own tag and its text, and of the page's layout: which
+element holds most of the prose and where the block stands to it, how long, how linked and how alike the blocks of its
+element are. The chain has two labels, main text and the rest. The weights are fitted by stochastic gradients of the
+likelihood on labelled pages and decoded by Viterbi. ``labelled_pages`` makes such pages from a rule: layouts of the usual
+parts, named in English, in words of no known language, by codes, or not at all, with texts of invented words, so that a
+model needs no files; pages labelled by hand can be given instead.
 
 Defined results: a null or empty page, or one without main blocks, has an empty text. Repeated rows are decoded alike; other
 columns are untouched. A page's blocks are held by one task; pages are not.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from .html_blocks import Block, blocks
 
 #: Pages that the default model is fitted on, passes over them, and the seed of both.
-PAGES, EPOCHS, SEED = 500, 6, 11
+PAGES, EPOCHS, SEED = 600, 6, 11
 
 # Words of class, id and role attributes by the kind of part they name.
 KINDS = {
@@ -58,8 +60,54 @@ def bucket(value: float, edges: Sequence[float]) -> int:
     return sum(value > e for e in edges)
 
 
+def layout(page: Sequence[Block]) -> list[list[str]]:
+    """Features of where each block stands: none of them reads a name or a word."""
+    words = [b.text.count(" ") + 1 for b in page]
+    linked = [b.linked / max(1, len(b.text)) for b in page]
+    prose = [w >= 8 and x < 0.3 for w, x in zip(words, linked)]
+    mass: dict[int, float] = {}
+    held: dict[int, list[int]] = {}  # blocks right under an element
+    inner: dict[int, set[int]] = {}  # elements right under it that hold blocks
+    for i, b in enumerate(page):
+        for depth, number in enumerate(b.near):
+            if prose[i]:
+                mass[number] = mass.get(number, 0.0) + len(b.text) / 2**depth
+        if b.near:
+            held.setdefault(b.near[0], []).append(i)
+            if len(b.near) > 1:
+                inner.setdefault(b.near[1], set()).add(b.near[0])
+    total = sum(len(b.text) for b, p in zip(page, prose) if p)
+    best = max(mass, key=mass.get, default=-1)  # the first of equal ones
+    within = [b.near.index(best) if best in b.near else -1 for b in page]
+    inside = [i for i, k in enumerate(within) if k == 0] or [-1]
+    stats = {}
+    for number, members in held.items():
+        n = len(members)
+        stats[number] = (
+            bucket(n, (1, 2, 4, 9)), bucket(sum(words[i] for i in members) / n, (2, 4, 8, 20)),
+            bucket(sum(linked[i] for i in members) / n, (0.05, 0.3, 0.7)), bucket(sum(prose[i] for i in members), (0, 1, 3)),
+        )
+    rows = []
+    for i, b in enumerate(page):
+        side = "before" if i < inside[0] else "after" if i > inside[-1] else "amid"
+        own, outer = b.near[0] if b.near else -1, b.near[1] if len(b.near) > 1 else -1
+        n, length, links, full = stats.get(own, (0, 0, 0, 0))
+        groups = bucket(len(inner.get(outer, ())), (1, 2, 4))
+        size, link = bucket(words[i], (3, 8, 20)), bucket(linked[i], (0.0, 0.5))
+        share = bucket(mass.get(own, 0.0) / max(1, total), (0.0, 0.1, 0.4))
+        digits = bucket(sum(map(str.isdigit, b.text)) / len(b.text), (0.0, 0.15))
+        near = "in" if within[i] == 0 else "below" if within[i] > 0 else "out"
+        rows.append([
+            f"best {within[i]}", f"side {side}", f"{near} {side}", f"{near} size {size} links {link}", f"parent {b.parent if b.parent in TAGS else 'other'} {near}",
+            f"group length {length} links {links}", f"group prose {full} {near}", f"groups {groups} of {n} {near}", f"groups {groups} {side} size {size}",
+            f"share {share} {near}", f"digits {digits} size {size}", f"own {b.tag if b.tag in TAGS else 'other'} {near}",
+            "no prose" if total == 0 else "some prose",
+        ])
+    return rows
+
+
 def block_features(page: Sequence[Block]) -> list[list[str]]:
-    rows, n = [], len(page)
+    rows, n = layout(page), len(page)
     seen_title = False
     for i, b in enumerate(page):
         words = b.text.split()
@@ -69,7 +117,8 @@ def block_features(page: Sequence[Block]) -> list[list[str]]:
         size = bucket(len(words), (2, 5, 10, 20, 40))
         kinds = {KIND_OF[w] for w in b.names if w in KIND_OF}
         rest = kinds - {"main"}
-        row = [f"own {b.tag}", f"words {size}", f"links {bucket(linked, (0.0, 0.3, 0.7))}", f"marks {bucket(marks, (0, 2))}"]
+        row = rows[i]
+        row += [f"own {b.tag}", f"words {size}", f"links {bucket(linked, (0.0, 0.3, 0.7))}", f"marks {bucket(marks, (0, 2))}"]
         row += [f"in {t}" for t in b.tags if t in TAGS] + [f"kind {k}" for k in kinds]
         row += [f"known {bucket(known, (0.0, 0.3, 0.6))}", f"place {bucket(i / n, (0.1, 0.3, 0.7, 0.9))}"]
         row += ["kind rest" if rest else "kind none", "stop" if b.text[-1] in ".!?…" else "no stop"]
@@ -81,7 +130,6 @@ def block_features(page: Sequence[Block]) -> list[list[str]]:
             row += ["main and rest" if rest or b.tags & REST_TAGS else "main alone"]
         elif not rest and not b.tags & REST_TAGS:
             row += [f"free size {size}"]
-        rows.append(row)
         seen_title = seen_title or b.tag == "h1"
     return rows
 
@@ -123,6 +171,34 @@ class Crf:
         return [bool(x) for x in reversed(labels)]
 
 
+def likelihood(emitted: np.ndarray, pairs: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The negative log-likelihood of ``labels``, and its slopes in each block's score and in the pairs' weights."""
+    n = len(emitted)
+    forward, backward = np.zeros((n, 2)), np.zeros((n, 2))
+    forward[0] = pairs[2] + (0, emitted[0])
+    for i in range(1, n):
+        both = forward[i - 1][:, None] + pairs[:2]
+        top = both.max(axis=0)
+        forward[i] = top + np.log(np.exp(both - top).sum(axis=0)) + (0, emitted[i])
+    for i in range(n - 2, -1, -1):
+        both = pairs[:2] + backward[i + 1] + (0, emitted[i + 1])
+        top = both.max(axis=1)
+        backward[i] = top + np.log(np.exp(both - top[:, None]).sum(axis=1))
+    total = np.logaddexp(*(forward[-1]))
+    p = np.exp(forward + backward - total)
+    # slopes: what is expected less what is there
+    change = np.zeros((3, 2))
+    change[2] = p[0]
+    change[2, labels[0]] -= 1
+    score = pairs[2, labels[0]] + emitted[labels == 1].sum()
+    for i in range(1, n):
+        step = forward[i - 1][:, None] + pairs[:2] + backward[i] + (0, emitted[i])
+        change[:2] += np.exp(step - total)
+        change[labels[i - 1], labels[i]] -= 1
+        score += pairs[labels[i - 1], labels[i]]
+    return float(total - score), p[:, 1] - labels, change
+
+
 def train(pages: Iterable[tuple[str, Sequence[bool]]], epochs: int = EPOCHS, seed: int = SEED, ridge: float = 1e-4) -> Crf:
     """Fits a model to (html, a label for each of its blocks) by Adagrad on the negative log-likelihood."""
     data, index = [], {}
@@ -138,32 +214,11 @@ def train(pages: Iterable[tuple[str, Sequence[bool]]], epochs: int = EPOCHS, see
     for _ in range(epochs):
         order.shuffle(data)
         for rows, labels in data:
-            n = len(rows)
             emitted = np.array([w[row].sum() for row in rows])
-            forward, backward = np.zeros((n, 2)), np.zeros((n, 2))
-            forward[0] = pairs[2] + (0, emitted[0])
-            for i in range(1, n):
-                both = forward[i - 1][:, None] + pairs[:2]
-                top = both.max(axis=0)
-                forward[i] = top + np.log(np.exp(both - top).sum(axis=0)) + (0, emitted[i])
-            for i in range(n - 2, -1, -1):
-                both = pairs[:2] + backward[i + 1] + (0, emitted[i + 1])
-                top = both.max(axis=1)
-                backward[i] = top + np.log(np.exp(both - top[:, None]).sum(axis=1))
-            total = np.logaddexp(*(forward[-1]))
-            p = np.exp(forward + backward - total)
-            # gradients: what is expected less what is there
-            change = np.zeros((3, 2))
-            change[2] = p[0]
-            change[2, labels[0]] -= 1
-            for i in range(1, n):
-                step = forward[i - 1][:, None] + pairs[:2] + backward[i] + (0, emitted[i])
-                change[:2] += np.exp(step - total)
-                change[labels[i - 1], labels[i]] -= 1
+            _, by_block, change = likelihood(emitted, pairs, labels)
             touched = np.concatenate(rows)
-            slope = np.repeat(p[:, 1] - labels, [len(r) for r in rows])
             g = np.zeros(len(index))
-            np.add.at(g, touched, slope)
+            np.add.at(g, touched, np.repeat(by_block, [len(r) for r in rows]))
             where = np.unique(touched)
             g[where] += ridge * w[where]
             sum_w[where] += g[where] ** 2
@@ -173,87 +228,162 @@ def train(pages: Iterable[tuple[str, Sequence[bool]]], epochs: int = EPOCHS, see
     return Crf({f: float(w[i]) for f, i in index.items()}, tuple(tuple(map(float, row)) for row in pairs))
 
 
-def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[tuple[str, list[bool]]]:
-    """Pages made by a rule, with the label of each block: see the module's text."""
-    r = random.Random(seed)
-    sounds = "a e i o u ba de ki lo mu ra se ti vo na the and ing er on st".split()
+class Pages:
+    """A maker of labelled pages: see the module's text. ``names`` and ``phrases`` can be others than those of the features."""
+
+    def __init__(self, seed: int, names: dict[str, str] | None = None, phrases: dict[str, Sequence[str]] | None = None):
+        self.r = random.Random(seed)
+        self.names, self.phrases = names or KINDS, PHRASES if phrases is None else phrases
+        self.sounds = "a e i o u ba de ki lo mu ra se ti vo na the and ing er on st".split()
+
+    def word(self) -> str:
+        return "".join(self.r.choice(self.sounds) for _ in range(self.r.randint(1, 4)))
+
+    def sentence(self, k: int) -> str:
+        text = " ".join(self.word() + ("," if self.r.random() < 0.1 else "") for _ in range(k)).capitalize()
+        return text + self.r.choice(["."] * 8 + ["!", "?", ""])
+
+    def prose(self, most: int = 20) -> str:
+        return " ".join(self.sentence(self.r.randint(4, 14)) for _ in range(min(most, self.r.choice((1, 1, 2, 3, 5, 8, 20)))))
 
-    def word() -> str:
-        return "".join(r.choice(sounds) for _ in range(r.randint(1, 4)))
+    def title(self, k: int = 4) -> str:
+        return " ".join(self.word() for _ in range(self.r.randint(1, k))).capitalize()
 
-    def sentence(k: int) -> str:
-        text = " ".join(word() + ("," if r.random() < 0.1 else "") for _ in range(k)).capitalize()
-        return text + r.choice(["."] * 8 + ["!", "?", ""])
+    def phrase(self, kind: str) -> str:
+        known = self.phrases.get(kind)
+        return self.r.choice(known) if known and self.r.random() < 0.5 else self.title()
 
-    def prose() -> str:
-        return " ".join(sentence(r.randint(1, 14)) for _ in range(r.choice((1, 1, 2, 3, 5, 8, 20))))
+    def attribute(self, kind: str, style: str) -> str:
+        r = self.r
+        if style == "none" or r.random() < 0.1:
+            return ""
+        word = r.choice(self.names[kind].split()) if style == "known" else self.word() if style == "foreign" else f"x{r.randrange(10**6):x}"
+        return f' {r.choice(("class", "class", "id"))}="{r.choice(("", "", "site-", "page-", "my_"))}{word}{r.choice(("", "-box", "-inner", " clear"))}"'
 
-    def part(kind: str) -> tuple[str, list[bool]]:
-        """A part of the rest: under a tag that says so, a name that says so, or both."""
+    def part(self, kind: str, style: str, tags: bool) -> tuple[str, list[bool]]:
+        """A part of the rest; a tag says what it is (only if ``tags``), a name, or the layout alone."""
+        r = self.r
         tag = {"menu": "nav", "header": "header", "footer": "footer", "side": "aside", "form": "form", "notice": "dialog"}.get(kind)
-        name = r.choice(KINDS[kind].split())
-        use_tag = tag is not None and r.random() < 0.6
-        named = not use_tag or r.random() < 0.5
-        outer = tag if use_tag else r.choice(("div", "div", "section", "ul" if kind == "menu" else "div"))
-        attribute = f' {r.choice(("class", "id"))}="{r.choice(("", "site-", "page-", "my_"))}{name}{r.choice(("", "-box", "-inner", " clear"))}"' if named else ""
-        if kind == "footer" and use_tag and not named and r.random() < 0.3:
-            attribute = ""
-        texts = [r.choice(PHRASES[kind]) if r.random() < 0.5 else prose() if kind in ("comment", "advert", "side", "notice", "footer") and r.random() < 0.7 else sentence(r.randint(1, 5)) for _ in range(r.randint(1, 6))]
-        out = []
-        inner = "li" if outer == "ul" or kind == "menu" else r.choice(("p", "div", "li", "span" if len(texts) == 1 else "p"))
-        for t in texts:
-            link = r.random() < (0.9 if kind == "menu" else 0.5 if kind in ("side", "social") else 0.2)
-            out.append(f"<{inner}>" + (f'<a href="/x">{t}</a>' if link else t) + f"</{inner}>")
-        if len(texts) == 1 and r.random() < 0.4:
-            out = [texts[0]]
-        wrap = "<ul>" + "".join(out) + "</ul>" if inner == "li" and outer != "ul" else "".join(out)
-        return f"<{outer}{attribute}>{wrap}</{outer}>", [False] * len(texts)
-
-    pages = []
-    for _ in range(n):
-        html, labels = [], []
-
-        def put(made: tuple[str, list[bool]]) -> None:
+        outer = tag if tag and tags and r.random() < 0.7 else r.choice(("div", "div", "div", "section", "td"))
+        link = lambda t: f'<a href="/{self.word()}">{t}</a>'
+        if kind in ("header", "footer", "notice", "advert") and r.random() < 0.35:
+            # one text right in the element
+            text = self.prose(2) if r.random() < 0.6 else self.phrase(kind)
+            text = r.choice(("", "", "© ", f"{self.word()}.example · ")) + text if kind == "footer" else text
+            outer = "div" if outer == "td" else outer
+            return f"<{outer}{self.attribute(kind, style)}>{link(text) if r.random() < 0.2 else text}</{outer}>", [False]
+        items: list[str] = []  # each is one block
+        wrap = "{}"
+        if kind == "menu":
+            items = [link(self.phrase(kind)) for _ in range(r.randint(3, 9))]
+            inner, wrap = r.choice((("li", "<ul>{}</ul>"), ("li", "<ul>{}</ul>"), ("div", "{}"), ("td", "<table><tr>{}</tr></table>")))
+            if r.random() < 0.15:
+                items, inner = [" | ".join(items)], "p"
+        elif kind in ("side", "footer"):
+            items = [link(self.phrase(kind)) if r.random() < 0.75 else self.phrase(kind) for _ in range(r.randint(2, 7))]
+            if kind == "footer" or r.random() < 0.3:
+                items.append(self.prose(1) if r.random() < 0.5 else self.phrase(kind))
+            if kind == "side" and r.random() < 0.4:  # teasers
+                items = [x for _ in range(r.randint(2, 5)) for x in (link(self.title(6)), self.sentence(r.randint(4, 12)))]
+            inner, wrap = r.choice((("li", "<ul>{}</ul>"), ("p", "{}"), ("div", "{}")))
+        elif kind == "header":
+            items = [link(self.title(3)), self.sentence(r.randint(1, 6))][: r.randint(1, 2)]
+            inner = r.choice(("div", "p", "h2", "span"))
+        elif kind == "notice":
+            items = [self.prose(2) if r.random() < 0.7 else self.phrase(kind)]
+            buttons = [self.phrase(kind) for _ in range(r.randint(0, 3))]
+            items += buttons
+            inner = r.choice(("p", "div"))
+        elif kind == "form":
+            items, inner = [self.phrase(kind) for _ in range(r.randint(1, 4))], r.choice(("label", "div", "p", "button"))
+            if inner in ("label",):
+                inner = "div"
+        elif kind == "comment":
+            items = [self.phrase(kind)] if r.random() < 0.6 else []
+            groups = []
+            for _ in range(r.randint(1, 6)):
+                bits = [self.title(2), f"{r.randint(1, 30)}.{r.randint(1, 12)}.20{r.randint(10, 29)} {r.randint(0, 23)}:{r.randint(10, 59)}"][: r.randint(1, 2)]
+                bits = [*bits, *(self.prose(3) for _ in range(r.randint(1, 2))), *([link(self.title(1))] if r.random() < 0.4 else [])]
+                groups.append(bits)
+            if style == "none" and len(groups) < 2:
+                groups.append(groups[0])
+            inner, each = r.choice(("div", "p")), r.choice(("li", "li", "div", "section"))
+            body = "".join(f"<{each}>" + "".join(f"<{inner}>{x}</{inner}>" for x in g) + f"</{each}>" for g in groups)
+            body = f"<{r.choice(('ol', 'ul'))}>{body}</ol>" if each == "li" else body
+            body = body.replace("</ol>", "</ul>") if body.startswith("<ul>") else body
+            head = "".join(f"<h3>{x}</h3>" for x in items)
+            outer = "div" if outer == "td" else outer
+            return f"<{outer}{self.attribute(kind, style)}>{head}{body}</{outer}>", [False] * (len(items) + sum(map(len, groups)))
+        else:
+            items = [link(self.phrase(kind)) if r.random() < 0.5 else self.phrase(kind) for _ in range(r.randint(1, 4))]
+            inner = r.choice(("p", "div", "li"))
+            wrap = "<ul>{}</ul>" if inner == "li" else "{}"
+        if kind in ("side", "form", "footer") and r.random() < 0.4:
+            wrap = f"<h3>{self.title()}</h3>" + wrap
+            count = len(items) + 1
+        else:
+            count = len(items)
+        body = "".join(f"<{inner}>{x}</{inner}>" for x in items) if inner != "span" else " ".join(items)
+        count = count if inner != "span" else 1
+        html = f"<{outer}{self.attribute(kind, style)}>{wrap.format(body)}</{outer}>"
+        return f"<table><tr>{html}</tr></table>" if outer == "td" else html, [False] * count
+
+    def page(self) -> tuple[str, list[bool]]:
+        r = self.r
+        html: list[str] = []
+        labels: list[bool] = []
+        style = r.choice(("known", "known", "foreign", "code", "none"))
+        tags = r.random() < (0.6 if style == "known" else 0.4)
+
+        def put(kind: str) -> None:
+            made = self.part(kind, style, tags)
             html.append(made[0])
             labels.extend(made[1])
 
         for kind in ("notice", "header", "menu", "advert"):
             if r.random() < 0.6:
-                put(part(kind))
+                put(kind)
         if r.random() < 0.3:
-            put(part("side"))
-        wrapper = r.choice(("article", "article", "main", "div", "div", "section", "plain"))
-        name = r.choice(KINDS["main"].split())
-        attribute = f' class="{r.choice(("", "post-", "entry-"))}{name}"' if wrapper in ("div", "section") or r.random() < 0.3 else ""
-        html.append("" if wrapper == "plain" else f"<{wrapper}{attribute}>")
-        body = [("h1", sentence(r.randint(1, 9)))] if r.random() < 0.8 else []
-        for _ in range(r.randint(1, 12)):
-            kind = r.choice(("p",) * 8 + ("h2", "h3", "blockquote", "li", "pre", "div", "td"))
-            body.append((kind, sentence(r.randint(1, 6)) if kind[0] == "h" else prose()))
+            put("side")
+        wrapper = r.choice(("article", "article", "main", "div", "div", "section", "plain") if tags else ("div", "div", "section", "td", "plain", "article"))
+        outside = r.randint(0, 2) if wrapper != "plain" else 0
+        html.append("<div>" * outside + {"plain": "", "td": "<table><tr><td>"}.get(wrapper, f"<{wrapper}{self.attribute('main', style)}>"))
+        body = [("h1", self.title(9))] if r.random() < 0.8 else []
+        if r.random() < 0.2:
+            body.append(("p", self.title(3)))
+        tiny = r.random() < 0.12  # little more than a title
+        body.append(("p", self.sentence(r.randint(2, 9)) if tiny else self.prose()))
+        for _ in range(0 if tiny else r.randint(1, 12)):
+            kind = r.choice(("p",) * 8 + ("h2", "h3", "blockquote", "li", "pre", "div", "td", "figcaption"))
+            body.append((kind, self.title(6) if kind[0] == "h" else self.sentence(r.randint(2, 9)) if kind in ("figcaption", "li") and r.random() < 0.5 else self.prose()))
         between = r.randint(1, len(body)) if r.random() < 0.5 else -1
         for k, (tag, text) in enumerate(body):
             if k == between:
-                put(part(r.choice(("advert", "side", "social", "form", "notice"))))
+                put(r.choice(("advert", "side", "social", "form", "notice")))
             if r.random() < 0.2 and " " in text:
                 first, rest = text.split(" ", 1)
                 text = f"<b>{first}</b> {rest}" if r.random() < 0.5 else f'<a href="/y">{first}</a> {rest}'
             close = "" if tag == "p" and r.random() < 0.1 else f"</{tag}>"
             html.append({"li": f"<ul><li>{text}</li></ul>", "td": f"<table><tr><td>{text}</td></tr></table>"}.get(tag, f"<{tag}>{text}{close}"))
             labels.append(True)
-        inside = r.random() < 0.5
+        inside = r.random() < 0.3
         for kind in ("social", "comment"):
             if r.random() < 0.5 and inside:
-                put(part(kind))
-        html.append("" if wrapper == "plain" else f"</{wrapper}>")
+                put(kind)
+        html.append({"plain": "", "td": "</td></tr></table>"}.get(wrapper, f"</{wrapper}>") + "</div>" * outside)
         if not inside and r.random() < 0.6:
-            put(part("comment"))
-        for kind in ("side", "form", "advert", "footer"):
-            if r.random() < (0.8 if kind == "footer" else 0.4):
-                put(part(kind))
-        page = "<html><head><title>" + sentence(4) + "</title><style>p{}</style></head><body>" + "".join(html) + "</body></html>"
-        if len(blocks(page)) == len(labels):
-            pages.append((page, labels))
-    return pages
+            put("comment")
+        for kind in ("side", "form", "advert", "notice", "menu", "footer"):
+            if r.random() < {"footer": 0.8, "notice": 0.15, "menu": 0.15}.get(kind, 0.4):
+                put(kind)
+        return "<html><head><title>" + self.sentence(4) + "</title><style>p{}</style></head><body>" + "".join(html) + "</body></html>", labels
+
+
+def labelled_pages(n: int = PAGES, seed: int = SEED, **made) -> list[tuple[str, list[bool]]]:
+    """``n`` pages made by a rule, with the label of each block; those whose markup merges blocks are left out."""
+    maker = Pages(seed, **made)
+    pages = (maker.page() for _ in range(n))
+    return [(html, labels) for html, labels in pages if len(blocks(html)) == len(labels)]
 
 
 @lru_cache(maxsize=1)

@@ -2,6 +2,7 @@ import glob
 import os
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -46,6 +47,40 @@ def test_sparse_sites_shrink_toward_their_parents(judged):
     assert rows[500].evidence == 0 and rows[500].posterior == pytest.approx(rows[500].prior, abs=1e-6)
 
 
+def test_posteriors_equal_a_plain_computation(judged):
+    docs, labels = judged
+    model = quality.train(docs, labels)
+    rows = [(r.doc_id, r.source, r.lang, r.text) for r in docs.collect()]
+    evidence = [float(model.evidence(np.array([quality.features(t)]))[0]) if t else 0.0 for *_, t in rows]
+    own = [1 / (1 + np.exp(-(e + model.base))) for e in evidence]
+
+    def moments(groups, means):
+        """Prior documents by moments, from (n, good) and the prior mean of each group."""
+        n, good = (np.array([g[k] for g in groups], float) for k in (0, 1))
+        mean = np.array(means, float)
+        variance = (n * mean * (1 - mean)).sum() / n.sum()
+        between = ((n * (good / n - mean) ** 2).sum() - (len(n) - 1) * variance) / max(n.sum() - (n * n).sum() / n.sum(), 1e-9)
+        return min(max(variance / between - 1, quality.STRENGTH[0]), quality.STRENGTH[1]) if between > 0 and len(n) > 1 else quality.STRENGTH[1]
+
+    paths, hosts = {}, {}
+    for (_, host, path, _), o in zip(rows, own):
+        for table, key in ((paths, (host, path)), (hosts, host)):
+            n, good = table.get(key, (0, 0.0))
+            table[key] = n + 1, good + o
+    whole = sum(own) / len(own)
+    k = moments(list(hosts.values()), [whole] * len(hosts))
+    prior_of = {h: (good + k * whole) / (n + k) for h, (n, good) in hosts.items()}
+    k = moments(list(paths.values()), [prior_of[h] for h, _ in paths])
+    expected = []
+    for (doc_id, host, path, _), e, o in zip(rows, evidence, own):
+        n, good = paths[host, path]
+        prior = min(max((good - o + k * prior_of[host]) / (n - 1 + k), 1e-6), 1 - 1e-6)
+        expected.append((str(doc_id), str(host), 1 / (1 + np.exp(-(e + np.log(prior / (1 - prior)))))))
+    got = sorted((str(r.doc_id), str(r.host), r.posterior) for r in quality.judge(docs, labels).collect())
+    for a, b in zip(got, sorted(expected)):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-6)
+
+
 def test_without_labels_all_evidence_is_zero(judged, spark):
     docs, labels = judged
     rows = quality.judge(docs, labels.filter("quality = 1")).collect()
@@ -81,12 +116,57 @@ def test_raw_elements_end_where_their_end_tag_stands():
 
 def test_held_out_pages_are_extracted():
     model = html_extract.default_model()
-    wrong = total = 0
-    for html, labels in html_extract.labelled_pages(150, seed=77):
-        got = model.decode(html_blocks.blocks(html))
-        wrong += sum(a != b for a, b in zip(got, labels))
-        total += len(labels)
-    assert wrong / total < 0.01
+    # other pages, and other pages whose names and phrases the model has never seen
+    unseen = {k: " ".join(w[::-1] + "x" for w in v.split()) for k, v in html_extract.KINDS.items()}
+    for most, made in ((0.01, {}), (0.02, {"names": unseen, "phrases": {}})):
+        wrong = total = 0
+        for html, labels in html_extract.labelled_pages(200, seed=77, **made):
+            got = model.decode(html_blocks.blocks(html))
+            wrong += sum(a != b for a, b in zip(got, labels))
+            total += len(labels)
+        assert wrong / total < most
+
+
+PROSE = "The council met on Tuesday to discuss the new plan for the harbour, and members spoke at length. A vote is expected soon."
+MAIN = f"<h1>A title</h1><p>{PROSE}</p><p>{PROSE} And more.</p>"
+SAYS = ("I think this is all wrong, and I said so before, you know.", "Well said! I will be there to see it with my own eyes.", "Nothing will ever change in this town, believe me.")
+
+
+@pytest.mark.parametrize("page", [
+    f"<div><a href=/>Home</a></div><div><a href=/n>News</a></div><div><a href=/s>Sport</a></div><div>{MAIN}</div><div>© 2024 Somebody</div><div><a href=/i>Imprint</a></div>",
+    f"<div><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><a href=/s>Sport</a></li></ul></div><div>{MAIN}</div><div><p>All rights kept</p><p><a href=/i>Imprint</a></p></div>",
+    f"<div class=hauptmenue><ul><li><a href=/>Start</a></li><li><a href=/n>Nachrichten</a></li><li><a href=/s>Sport</a></li></ul></div><div class=inhalt>{MAIN}</div><div class=fusszeile><p>Alle Rechte vorbehalten</p><p><a href=/i>Impressum</a></p></div>",
+    f"<div id=ccm-root><p>We and our partners use small files to make this page better, and to measure how it is used.</p><button>OK</button><button>More</button></div><div>{MAIN}</div>",
+    f"<div>{MAIN}</div><ol class=thread>" + "".join(f"<li><b>{n}</b><p>{t}</p></li>" for n, t in zip(("Joe", "Ann", "Zed"), SAYS)) + "</ol>",
+])
+def test_parts_without_telling_names_are_left_out(page):
+    assert html_extract.main_text(f"<html><body>{page}</body></html>", html_extract.default_model()) == f"A title\n{PROSE}\n{PROSE} And more."
+
+
+def test_quotes_that_are_not_closed_lose_no_text():
+    page = f"""<p title="a>hello there</p><p>{PROSE} <a href='x>link</a></p><p title="a>b" id='c"d'>last</p>"""
+    assert [b.text for b in html_blocks.blocks(page)] == ["hello there", f"{PROSE} link", "last"]
+    assert [b.text for b in html_blocks.blocks("<p " + "a=\"b\" '" * 20000 + "<p>end")][-1:] == ["end"]
+
+
+def test_slopes_equal_differences_of_the_likelihood():
+    r = np.random.default_rng(3)
+    for n in (1, 2, 7):
+        emitted, pairs, labels = r.normal(size=n), r.normal(size=(3, 2)), r.integers(0, 2, n)
+
+        def path(y, emitted=emitted, pairs=pairs):
+            return pairs[2][y[0]] + sum(e for e, k in zip(emitted, y) if k) + sum(pairs[a][b] for a, b in zip(y, y[1:]))
+
+        every = [path([k >> i & 1 for i in range(n)]) for k in range(1 << n)]
+        loss, by_block, by_pair = html_extract.likelihood(emitted, pairs, labels)
+        assert loss == pytest.approx(np.logaddexp.reduce(every) - path(labels.tolist()))
+        for i in range(n):
+            step = np.eye(n)[i] * 1e-6
+            assert by_block[i] == pytest.approx((html_extract.likelihood(emitted + step, pairs, labels)[0] - loss) / 1e-6, abs=1e-4)
+        for i, j in np.ndindex(3, 2):
+            step = np.zeros((3, 2))
+            step[i, j] = 1e-6
+            assert by_pair[i, j] == pytest.approx((html_extract.likelihood(emitted, pairs + step, labels)[0] - loss) / 1e-6, abs=1e-4)
 
 
 def test_viterbi_is_the_best_path():
