@@ -44,6 +44,8 @@ SPLIT = 256
 #: Registers of one byte in the finer sketch of the documents that are still in question at the end; 8 to a number.
 FINE = 768
 
+#: Buckets of several rounds that are held at once.
+CELLS = 100_000
 EMPTY = np.uint64(np.iinfo(np.uint64).max)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
@@ -83,8 +85,8 @@ def registers(hashes: np.ndarray, buckets: int, mantissa: int = MANTISSA) -> np.
     """Per bucket the leading zeros and the next bits of its smallest hash, in 16 bits; ``hashes`` are distinct."""
     low, turn = np.full(buckets, EMPTY), np.zeros(buckets, np.uint64)
     size, done = np.uint64(buckets), 0
-    # so many rounds at once that hardly any bucket stays empty
-    rounds = -(-8 * buckets // len(hashes))
+    # so many rounds at once that hardly any bucket stays empty, within a megabyte
+    rounds = min(-(-8 * buckets // len(hashes)), max(1, CELLS // buckets))
     while (open_ := low == EMPTY).any():
         numbers = np.arange(done, done + rounds, dtype=np.uint64)
         by = mixed(numbers * _A) | np.uint64(1)  # a multiplier for each round
