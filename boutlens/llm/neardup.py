@@ -14,8 +14,9 @@
    A pair at the threshold misses all bands with a probability of (1 - j^ROWS)^BANDS: 3e-6 at 0.8, 7e-9 at 0.85.
 
 Defined results: a text without words (null, empty) has an empty set and is linked with nothing. With fewer words than
-a shingle has, the whole sequence is the one shingle. Rows of equal id count as one document with all its links; a
-null id is linked with nothing, and its component is null. Words are parted by the bytes 9 to 13 and 32; A-Z count as
+a shingle has, the whole sequence is the one shingle. Rows of equal id count as one document: equal sets of any of its texts
+link it, near ones those of its smallest text with words. A null id is linked with nothing, and its component is null. Ids
+are whole numbers; other columns are not read. Words are parted by the bytes 9 to 13 and 32; A-Z count as
 a-z.
 """
 
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, packed, small, text_batches, unpacked
+from .common import cut, packed, row_key, small, text_batches, unpacked
 
 SHINGLE, THRESHOLD = 5, 80
 ROWS, BANDS, MANTISSA = 5, 32, 10
@@ -389,13 +390,13 @@ def allowed_pairs(known: DataFrame, reps: DataFrame, texts: DataFrame, shingle:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: one document of each. Rows of a null id stay; of several
-    rows with one id, one stays."""
+    """The rows of ``docs`` that stand for their component: one document of each. Rows of a null id stay; of rows with one id
+    and equal texts one stays, different texts under one id all stay."""
     judged = near_duplicates(docs, id_col, text_col, **how)
     kept = cut(judged.filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n")))
     gone = judged.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
     match = F.col("__of") == F.col("__id")
-    rows = docs.select(packed(docs), F.col(id_col).cast("long").alias("__of")).join(small(gone), match, "left_anti")
+    rows = docs.select(packed(docs), F.col(id_col).cast("long").alias("__of"), *row_key(F.col(text_col))).join(small(gone), match, "left_anti")
     several = small(kept.filter("__n > 1").select("__id"))
-    once, more = rows.join(several, match, "left_anti"), rows.join(several, match, "left_semi").dropDuplicates(["__of"])
+    once, more = rows.join(several, match, "left_anti"), rows.join(several, match, "left_semi").dropDuplicates(["__of", "__key1", "__key2"])
     return unpacked(once.unionByName(more), docs.columns)

@@ -135,8 +135,9 @@ def train(
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id"))
     known = known.agg((F.avg(label_col) >= 0.5).cast("double").alias("__good"))
     chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)  # bounded, so it can be broadcast
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).filter(F.col(text_col) != "")
-    once = rows.select("__id", "__good", feature_column(F.col(text_col)).alias("__x")).dropDuplicates(["__id"])
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")).filter("__text != ''")
+    rows = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+    once = rows.select("__id", "__good", feature_column(F.col("__text")).alias("__x")).dropDuplicates(["__id"])
     got = once.orderBy("__id").limit(max_labelled).toPandas()
     return fit(np.array(got["__x"].tolist(), float).reshape(-1, len(FEATURES)), got["__good"].to_numpy(float))
 

@@ -106,6 +106,13 @@ def test_one_document_of_each_group_stays(make_docs):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(roots)
 
 
+def test_different_texts_of_one_id_stay(make_docs):
+    a, b = prose(40), prose(40)
+    rows = [(1, a, "s"), (1, a, "s"), (1, b, "s"), (2, prose(40), "s"), (3, a, "s")]
+    got = sorted((r.doc_id, r.text) for r in neardup.deduplicated(make_docs(rows)).collect())
+    assert got == sorted([(1, a), (1, b), (2, rows[3][1])])
+
+
 def test_nothing_in_nothing_out(make_docs):
     empty = make_docs([])
     assert neardup.near_duplicates(empty).count() == 0 and neardup.deduplicated(empty).count() == 0
