@@ -184,9 +184,12 @@ _FORECASTS = f"""prior AS (SELECT fight_id, slot, {_PRIOR} AS w FROM persp),
 
 def _forecasts(t: Tables) -> DataFrame:
     record = derived.prefight_record(t.persp)
-    a = record.filter("slot = 'a'").select("fight_id", F.col("prior_wins").alias("wa"))
-    b = record.filter("slot = 'b'").select("fight_id", F.col("prior_wins").alias("wb"))
-    df = t.contests.join(a, "fight_id").join(b, "fight_id").withColumn("run_id", F.explode(F.array(F.lit("first"), F.lit("second"))))
+    at = lambda slot, x: F.max(F.when(F.col("slot") == slot, x))
+    both = record.groupBy("fight_id").agg(
+        at("a", F.col("prior_wins")).alias("wa"), at("b", F.col("prior_wins")).alias("wb"), at("a", F.struct("name", "opponent_name", "event_date")).alias("c")
+    )  # one window serves both sides
+    df = both.select("fight_id", "wa", "wb", F.col("c.name").alias("fighter_a_name"), F.col("c.opponent_name").alias("fighter_b_name"), "c.event_date")
+    df = df.withColumn("run_id", F.explode(F.array(F.lit("first"), F.lit("second"))))
     second, f = F.col("run_id") == "second", F.col("fight_id")
     p = F.greatest((F.greatest("wa", "wb") + 1).cast("double") / (F.col("wa") + F.col("wb") + 2), F.lit(0.5))
     return df.select(
