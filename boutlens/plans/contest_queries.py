@@ -248,10 +248,22 @@ def _midrank(t: Tables) -> DataFrame:
     return rounded(asof.style_midranks(t.persp, CUTOFF).filter("value IS NOT NULL"), "value", "rank")
 
 
-@query("style_matchup")
+_ALL_METRICS = {**{n: _rate(c, p) for n, c, p in metrics.RATES}, **{n: _ratio(x, d, e) for n, x, d, e in metrics.RATIOS}}
+_SIDE = ("takedowns_per_15_min", "takedown_defense", "sig_strikes_landed_per_min", "striking_defense", "sub_attempts_per_15_min")
+_MIDRANKS = ", ".join(f"CASE WHEN {k} IS NOT NULL THEN (rank() OVER (ORDER BY {k} NULLS LAST) - 1 + 0.5::DOUBLE * count(*) OVER (PARTITION BY {k})) / count({k}) OVER () END AS r_{k}" for k in asof.STYLE_KEYS)
+_TAGGED = ", ".join(f"CASE WHEN r_{k} >= 0.75 AND {k} > 0 THEN '{tag}' END" for k, tag in asof.STYLE_TAGS.items())
+_ROUNDED = " AND ".join(f"r_{k} >= 0.5 AND {k} > 0" for k in asof.STYLE_TAGS)
+
+
+@query("style_matchup", f"""{WITH}, m AS (SELECT fighter_id, {", ".join(f"{_ALL_METRICS[k]} AS {k}" for k in asof.STYLE_KEYS)},
+       count(*) FILTER (WHERE bout_outcome = 'loss' AND method_of_victory = 'Submission') AS submission_losses FROM persp WHERE event_date < DATE '{CUTOFF}' GROUP BY 1),
+       ranked AS (SELECT *, {_MIDRANKS} FROM m),
+       sides AS (SELECT fighter_id, concat_ws(',', {_TAGGED}, CASE WHEN {_ROUNDED} THEN 'well-rounded' END) AS tags, {", ".join(f"{R6(c)} AS {c}" for c in _SIDE)}, submission_losses FROM ranked)
+       SELECT a_id, b_id, {", ".join(f"{s}.{c} AS {s}_{c}" for s in "ab" for c in ("tags", *_SIDE, "submission_losses"))}
+       FROM (SELECT DISTINCT fighter_a_id AS a_id, fighter_b_id AS b_id FROM contests) LEFT JOIN sides a ON a.fighter_id = a_id LEFT JOIN sides b ON b.fighter_id = b_id""")
 def _matchup(t: Tables) -> DataFrame:
     df = asof.style_matchup(t.pairs, t.persp, CUTOFF)
-    return df.withColumns({c: F.array_join(c, ",") for c in ("a_tags", "b_tags")})
+    return rounded(df, *[f"{s}_{c}" for s in "ab" for c in _SIDE]).withColumns({c: F.array_join(c, ",") for c in ("a_tags", "b_tags")})
 
 
 @query("elo_ratings")
