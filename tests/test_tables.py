@@ -106,10 +106,10 @@ def test_usage_is_null_unless_complete(spark):
 
 
 def _valid(spark):
-    from tests.test_contests import GRAPH, contests
+    from tests.test_contests import GRAPH, NAMES, contests
 
     fights = contests(spark, GRAPH[:1])
-    ids = spark.createDataFrame([(1, "Alpha"), (3, "Gamma")], "fighter_id long, fighter_name string")
+    ids = spark.createDataFrame([(1, NAMES["a"]), (3, NAMES["c"])], "fighter_id long, fighter_name string")
     fighters = ids.withColumns({"date_of_birth": F.lit("1990-01-01").cast("date"), "height_inches": F.lit(70), "reach_inches": F.lit(70), "stance": F.lit("O")})
     events = fights.select("event_id", F.lit("http://x/1").alias("event_url"), F.lit(1).alias("source_fight_count"))
     from boutlens.schema import STATS
