@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, lines, mixing, neardup, packing, quality, syncmers, tiff, tool_calls, url_filter
+from . import fill_middle, html_extract, lines, mixing, neardup, packing, quality, spelling, syncmers, tiff, tool_calls, topk, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,24 @@ def op10_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return done.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.best_matches(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -121,6 +139,9 @@ QUERIES: dict[str, Query] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_syncmers": op9_syncmers,
     "op10_tiff": op10_tiff,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_topk": op12_topk,
+    "op13_spelling": op13_spelling,
 }
 
 
@@ -137,7 +158,7 @@ def _op7_sql() -> str:
     return f"""
         WITH parts AS (
             SELECT page_id, lower(coalesce(url, '')) AS u,
-                   lower(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')) AS host,
+                   translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
             FROM pages),
         hits AS (SELECT *, {strict} AS strict_hits, {soft} AS soft_hits, ({weight})::DOUBLE AS weight FROM parts)
@@ -190,4 +211,74 @@ _OP8 = """
                   || ',"result":' || coalesce(to_json(r.content)::VARCHAR, 'null') || '}') AS json_sha256
     FROM placed p FULL JOIN results r ON p.conv_id = r.conv_id AND p.call_id = r.call_id"""
 
-ORACLE: dict[str, str] = {"op7_url_filter": _op7_sql(), "op8_tool_calls": _OP8}
+_OP11 = r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+               regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+        FROM documents),
+    drawn AS (
+        SELECT *, len(tokens) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3,
+               ('0x' || h[25:32])::UBIGINT AS h4 FROM texts),
+    cuts AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    parts AS (
+        SELECT *, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+               array_to_string(tokens[b + 1:n], '') AS suffix FROM cuts)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts"""
+
+_OP12 = """
+    WITH rows AS (
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, q.v AS asked, c.vec_id, coalesce(list_inner_product(q.v, c.v), 0)::BIGINT AS score
+        FROM rows q JOIN rows c ON len(q.v) = len(c.v) AND NOT (q.vec_id IS NOT DISTINCT FROM c.vec_id AND q.v = c.v)
+        WHERE q.vec_id % 20 = 0),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+#: CRC-32 by a table of its 256 steps; letters take one byte or two. Near words share what is left without one code point.
+_OP13 = r"""
+    WITH RECURSIVE bits AS (
+        SELECT range AS i, 0 AS k, range AS c FROM range(256)
+        UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM bits WHERE k < 8),
+    steps AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+    found AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+    runs AS (SELECT id, run, count(*) AS uses FROM found WHERE length(run) >= 6 GROUP BY id, run),
+    bytes AS (
+        SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+               ELSE [192 + unicode(ch)::BIGINT // 64, 128 + unicode(ch)::BIGINT % 64] END)) AS b FROM runs),
+    hashed AS (
+        SELECT run, uses, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h
+        FROM bytes, steps),
+    words AS (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(uses)::BIGINT AS n
+        FROM hashed GROUP BY 1 HAVING n >= 5 AND length(word) >= 6),
+    shorter AS (
+        SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+        UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+        UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word),
+    best AS (
+        SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+    formed AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+               CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+        FROM words w LEFT JOIN best USING (word)),
+    followed AS (
+        SELECT word, word AS root, form FROM formed
+        UNION ALL SELECT f.word, g.word, g.form FROM followed f JOIN formed g ON f.form = g.word)
+    SELECT word, form, (SELECT root FROM followed f WHERE f.word = formed.word AND f.form IS NULL) AS root, n, n_near, form_n FROM formed"""
+
+ORACLE: dict[str, str] = {"op7_url_filter": _op7_sql(), "op8_tool_calls": _OP8, "op11_fill_middle": _OP11, "op12_topk": _OP12, "op13_spelling": _OP13}
