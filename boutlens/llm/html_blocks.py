@@ -14,6 +14,9 @@ RAW = ("script", "style", "textarea", "title", "noscript", "template", "svg", "i
 LENIENT = frozenset("svg math noscript template iframe".split())
 END = {tag: re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I | re.A) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements of other languages: only these can be closed by a slash in their start tag, and not by one that ends an unquoted value.
+FOREIGN = frozenset("svg math".split())
+CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
     " span strike strong sub sup time tt u var wbr".split()
@@ -141,7 +144,7 @@ def blocks(html: str) -> list[Block]:
                     if stack[i].tag in ends:
                         del stack[i:]
                         break
-        if tag in VOID or attributes.endswith("/"):
+        if tag in VOID or (tag in FOREIGN and CLOSED.search(attributes)):
             continue
         if tag in RAW:
             # its content is no markup of this page: go on after its end tag

@@ -13,6 +13,7 @@ columns are untouched. A page's blocks are held by one task; pages are not.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -27,6 +28,8 @@ from .html_blocks import Block, blocks
 
 #: Pages that the default model is fitted on, passes over them, and the seed of both.
 PAGES, EPOCHS, SEED = 600, 6, 11
+#: The share of pages that are nothing but a text.
+LONE = 0.08
 
 # Words of class, id and role attributes by the kind of part they name.
 KINDS = {
@@ -101,7 +104,7 @@ def layout(page: Sequence[Block]) -> list[list[str]]:
             f"best {within[i]}", f"side {side}", f"{near} {side}", f"{near} size {size} links {link}", f"parent {b.parent if b.parent in TAGS else 'other'} {near}",
             f"group length {length} links {links}", f"group prose {full} {near}", f"groups {groups} of {n} {near}", f"groups {groups} {side} size {size}",
             f"share {share} {near}", f"digits {digits} size {size}", f"own {b.tag if b.tag in TAGS else 'other'} {near}",
-            "no prose" if total == 0 else "some prose",
+            "no prose" if total == 0 else "some prose", f"blocks {bucket(len(page), (1, 3))} {near} size {size} links {link}",
         ])
     return rows
 
@@ -126,6 +129,8 @@ def block_features(page: Sequence[Block]) -> list[list[str]]:
         row += ["after title" if seen_title else "before title"]
         row += ["copyright"] if "©" in b.text else []
         row += ["hidden"] if b.hidden else []
+        if n <= 2 + seen_title:  # hardly a block competes
+            row += [f"alone {'named' if rest or b.tags & REST_TAGS else 'linked' if linked > 0.7 else 'plain'}"]
         if "article" in b.tags or "main" in b.tags:
             row += ["main and rest" if rest or b.tags & REST_TAGS else "main alone"]
         elif not rest and not b.tags & REST_TAGS:
@@ -173,29 +178,34 @@ class Crf:
 
 def likelihood(emitted: np.ndarray, pairs: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """The negative log-likelihood of ``labels``, and its slopes in each block's score and in the pairs' weights."""
-    n = len(emitted)
-    forward, backward = np.zeros((n, 2)), np.zeros((n, 2))
-    forward[0] = pairs[2] + (0, emitted[0])
-    for i in range(1, n):
-        both = forward[i - 1][:, None] + pairs[:2]
-        top = both.max(axis=0)
-        forward[i] = top + np.log(np.exp(both - top).sum(axis=0)) + (0, emitted[i])
-    for i in range(n - 2, -1, -1):
-        both = pairs[:2] + backward[i + 1] + (0, emitted[i + 1])
-        top = both.max(axis=1)
-        backward[i] = top + np.log(np.exp(both - top[:, None]).sum(axis=1))
+    (p00, p01), (p10, p11), (s0, s1) = pairs.tolist()
+    scores = emitted.tolist()
+    exp, log1p = math.exp, math.log1p
+
+    def both(x: float, y: float) -> float:
+        return x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+
+    # two labels: plain numbers are faster here than arrays of two
+    f0, f1, b0, b1 = [s0], [s1 + scores[0]], [0.0], [0.0]
+    for e in scores[1:]:
+        x, y = f0[-1], f1[-1]
+        f0.append(both(x + p00, y + p10))
+        f1.append(both(x + p01, y + p11) + e)
+    for e in reversed(scores[1:]):
+        x, y = b0[-1], b1[-1] + e
+        b0.append(both(x + p00, y + p01))
+        b1.append(both(x + p10, y + p11))
+    forward, backward = np.array([f0, f1]).T, np.array([b0[::-1], b1[::-1]]).T
     total = np.logaddexp(*(forward[-1]))
     p = np.exp(forward + backward - total)
     # slopes: what is expected less what is there
     change = np.zeros((3, 2))
     change[2] = p[0]
     change[2, labels[0]] -= 1
-    score = pairs[2, labels[0]] + emitted[labels == 1].sum()
-    for i in range(1, n):
-        step = forward[i - 1][:, None] + pairs[:2] + backward[i] + (0, emitted[i])
-        change[:2] += np.exp(step - total)
-        change[labels[i - 1], labels[i]] -= 1
-        score += pairs[labels[i - 1], labels[i]]
+    score = pairs[2, labels[0]] + emitted[labels == 1].sum() + pairs[labels[:-1], labels[1:]].sum()
+    into = backward[1:] + np.stack([np.zeros(len(emitted) - 1), emitted[1:]], axis=1)
+    change[:2] += np.exp(forward[:-1, :, None] + pairs[:2] + into[:, None, :] - total).sum(axis=0)
+    np.subtract.at(change, (labels[:-1], labels[1:]), 1)
     return float(total - score), p[:, 1] - labels, change
 
 
@@ -328,12 +338,31 @@ class Pages:
         html = f"<{outer}{self.attribute(kind, style)}>{wrap.format(body)}</{outer}>"
         return f"<table><tr>{html}</tr></table>" if outer == "td" else html, [False] * count
 
+    def lone(self, style: str) -> tuple[str, list[bool]]:
+        """A page with nothing beside its main text of one or two blocks: no other block competes with it. Or a part alone."""
+        r = self.r
+        if r.random() < 0.2:
+            html, labels = self.part(r.choice(("menu", "footer", "form", "notice", "side")), "known", True)
+            return f"<html><body>{html}</body></html>", labels
+        text = self.sentence(r.randint(1, 30)) if r.random() < 0.6 else self.prose()
+        if r.random() < 0.3:
+            text += f' <a href="/{self.word()}">{self.title(3)}</a>' + r.choice(("", ".", f" {self.sentence(5)}"))
+        tag = r.choice(("", "p", "p", "div", "pre", "article", "td"))
+        kept = r.random() < 0.5
+        named = self.attribute("main", style) if kept else ""
+        body = {"": text, "td": f"<table><tr><td>{text}</td></tr></table>"}.get(tag, f"<{tag}{named}>{text}</{tag}>")
+        title = f"<h1>{self.title(6)}</h1>" if r.random() < 0.3 else ""
+        page = title + body if r.random() < 0.3 else f"<html><body>{title}{body}</body></html>"
+        return page, [True] * (1 + bool(title))
+
     def page(self) -> tuple[str, list[bool]]:
         r = self.r
         html: list[str] = []
         labels: list[bool] = []
         style = r.choice(("known", "known", "foreign", "code", "none"))
         tags = r.random() < (0.6 if style == "known" else 0.4)
+        if r.random() < LONE:
+            return self.lone(style)
 
         def put(kind: str) -> None:
             made = self.part(kind, style, tags)

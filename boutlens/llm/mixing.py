@@ -227,15 +227,15 @@ def mixed_documents(
     )
     used = pieces.join(slots_.select("rank", "block", "slot", "words"), ["rank", "block"])
     # the slots of a block in order are its uses: whole ones first, the short one last
-    nth = F.row_number().over(Window.partitionBy("rank", "block", "start").orderBy(F.col("words").desc(), "slot"))
+    nth = F.row_number().over(Window.partitionBy("row_key", "rank", "block", "start").orderBy(F.col("words").desc(), "slot"))
     lo = F.greatest(start, F.col("block") * block) - start
     hi = F.least(end, F.col("block") * block + F.col("words")) - start
     used = used.withColumn("nth", nth).withColumn("lo", lo).withColumn("hi", hi).filter("hi > lo")
-    wanted = used.groupBy("row_key", "start", "nth").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__spans"))
-    # repeated rows have one key: the copies of a text are numbered, and meet their own spans
-    copy = Window.partitionBy("row_key").orderBy("start")
-    numbers = known.select("row_key", "start", F.row_number().over(copy).alias("__copy"))
-    wanted = wanted.join(numbers, ["row_key", "start"])
+    wanted = used.groupBy("row_key", "rank", "start", "nth").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__spans"))
+    # rows of one id and text have one key, also in several sources: its copies are numbered by source, and meet their own spans
+    copy = Window.partitionBy("row_key").orderBy("rank", "start")
+    numbers = known.select("row_key", "rank", "start", F.row_number().over(copy).alias("__copy"))
+    wanted = wanted.join(numbers, ["row_key", "rank", "start"])
     seed = how.get("seed", SEED)
     text = F.col(text_col).cast("string")
     key = F.xxhash64(F.lit(seed), F.col(id_col), text).alias("__key")
@@ -245,7 +245,7 @@ def mixed_documents(
     more = keyed.join(small(again), F.col("__key") == F.col("row_key"), "left_semi")
     more = more.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(F.col("__source").asc_nulls_last())))
     rows = once.unionByName(more).withColumnRenamed("__key", "row_key")
-    found = rows.join(wanted.drop("start"), ["row_key", "__copy"])
+    found = rows.join(wanted.drop("rank", "start"), ["row_key", "__copy"])
     words = F.regexp_extract_all("__text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
 
     def joined(w: Column) -> Column:

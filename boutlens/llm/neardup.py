@@ -1,7 +1,7 @@
 """Near-duplicate documents by HyperMinHash.
 
 1. A document's set holds its distinct word shingles as 64-bit hashes. Documents with equal sets form a class at once, by
-   one grouped aggregation; everything after works on one document of each class.
+   one grouped aggregation; everything after works on one text of each class, under the class's number.
 2. A hash deals the shingles to BANDS * ROWS buckets; a bucket's register is its smallest hash, compressed to the
    leading-zero count and MANTISSA bits. Buckets that stay empty, as in short texts, are filled by another hash of all
    shingles, and so on: a register belongs to the first round that hits its bucket, so two sets agree on it with the
@@ -14,15 +14,15 @@
    A pair at the threshold misses all bands with a probability of (1 - j^ROWS)^BANDS: 3e-6 at 0.8, 7e-9 at 0.85.
 
 Defined results: a text without words (null, empty) has an empty set and is linked with nothing. With fewer words than
-a shingle has, the whole sequence is the one shingle. Rows of equal id count as one document: equal sets of any of its texts
-link it, near ones those of its smallest text with words. A null id is linked with nothing, and its component is null. Ids
-are whole numbers; other columns are not read. Words are parted by the bytes 9 to 13 and 32; A-Z count as
+a shingle has, the whole sequence is the one shingle. Rows of equal id count as one document, linked by every link of any
+of its texts. A null id is linked with nothing, and its component is null. Ids are whole numbers; other columns are not read. Words are parted by the bytes 9 to 13 and 32; A-Z count as
 a-z.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -117,13 +117,18 @@ def signed(x: int) -> int:
 
 #: Four registers to a number.
 LANES = 4
-SKETCH = "id long, n_shingles long, set1 long, set2 long, registers array<long>, bands array<long>"
+SKETCH = "id long, text_key long, n_shingles long, set1 long, set2 long, registers array<long>, bands array<long>"
+
+
+def text_key(text_col: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string")).alias("text_key")
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: int, bands: int) -> DataFrame:
     if rows * bands % LANES:
         raise ValueError(f"the number of registers must be a multiple of {LANES}")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -144,8 +149,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, rows: in
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             columns = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(list(c), t) for c, t in zip(columns, types))],
-                names=["id", "n_shingles", "set1", "set2", "registers", "bands"],
+                [batch.column("id"), batch.column("text_key"), *(pa.array(list(c), t) for c, t in zip(columns, types))],
+                names=["id", "text_key", "n_shingles", "set1", "set2", "registers", "bands"],
             )
 
     return source.mapInArrow(run, SKETCH)
@@ -239,7 +244,25 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, threshold: int, least: float) -> DataFrame:
+@dataclass
+class Texts:
+    """The texts of the classes: ``keys`` (id, the class's number; of and text_key, which row of ``docs`` stands for it)."""
+
+    docs: DataFrame
+    keys: DataFrame
+    repeated: DataFrame | None
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """(id, text) of the classes in ``ids``, each once: rows that stand repeatedly in the table are one."""
+        wanted = self.docs.join(small(cut(self.keys.join(ids, "id", "left_semi"))), ["of", "text_key"]).select("id", "text")
+        if self.repeated is None:
+            return wanted
+        again = small(self.repeated)
+        once, more = wanted.join(again, "id", "left_anti"), wanted.join(again, "id", "left_semi")
+        return once.unionByName(more.dropDuplicates(["id"]))
+
+
+def verify(pairs: DataFrame, reps: DataFrame, texts: Texts, shingle: int, threshold: int, least: float) -> DataFrame:
     """The pairs (a, b) that pass the estimate and the exact test."""
     left = reps.select(F.col("id").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na"))
     right = reps.select(F.col("id").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb"))
@@ -247,7 +270,7 @@ def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, th
     estimate = estimated(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"))
     likely = cut(sized.filter(estimate >= least).select("a", "b"))
     ids = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-    wanted = texts.join(small(ids), "id", "left_semi")
+    wanted = texts.of(ids)
     with_b = likely.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     with_a = with_b.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     return cut(verified(with_a, shingle, threshold))
@@ -263,14 +286,21 @@ def near_duplicates(
     sketch = cut(sketches(docs, id_col, text_col, shingle, rows, bands))
     full = sketch.filter("id IS NOT NULL AND n_shingles > 0")
     sets = ["n_shingles", "set1", "set2"]
-    classes = full.groupBy(*sets).agg(F.min("id").alias("class_id"))
-    member = cut(full.select("id", *sets).join(classes, sets).select("id", "class_id").distinct())
-    # a class is represented by its smallest id; an id with several sets stands for the first of them
-    reps = full.join(member.filter("id = class_id").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    reps = cut(reps.select("id", "n_shingles", "registers", "bands"))
+    # a class is represented by the smallest of its rows; an id can have several sets, each in a class of its own
+    classes = full.groupBy(*sets).agg(F.min(F.struct("id", "text_key")).alias("of"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), *sets, F.col("of.id").alias("class_id"), "of.text_key"))
+    member = cut(full.select("id", *sets).join(classes.select(*sets, "class_id"), sets).select("id", "class_id").distinct())
+    held = full.join(classes.withColumnRenamed("class_id", "id"), [*sets, "id", "text_key"])
+    repeated = cut(held.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("node").alias("id")))
+    if repeated.isEmpty():
+        repeated, reps = None, held
+    else:
+        of = held["node"] == repeated["id"]
+        reps = held.join(small(repeated), of, "left_anti").unionByName(held.join(small(repeated), of, "left_semi").dropDuplicates(["node"]))
+    reps = cut(reps.select(F.col("node").alias("id"), "n_shingles", "registers", "bands"))
     text = F.col(text_col).cast("string").cast("binary")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    texts = first_texts(texts, full, sets)
+    keys = classes.select(F.col("node").alias("id"), F.col("class_id").alias("of"), "text_key")
+    texts = Texts(docs.select(F.col(id_col).cast("long").alias("of"), text_key(text_col), text.alias("text")), keys, repeated)
 
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members"), F.min("id").alias("meet")).filter("members > 1")
@@ -300,8 +330,10 @@ def near_duplicates(
         if more.limit(1).count():
             links = links.unionByName(more)
             found = components(links)
-    # the classes' other members come in at the end, as stars
-    found = components(links.unionByName(same))
+    # back from classes to ids; the classes' other members come in here, as stars
+    name = lambda c: keys.select(F.col("id").alias(c), F.col("of").alias(f"{c}_id"))
+    named = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    found = components(named.unionByName(same))
     joined = sketch.join(found, F.col("id") == F.col("node"), "left").join(
         member.groupBy("id").agg(F.min("class_id").alias("class_id")), "id", "left"
     )
@@ -312,18 +344,9 @@ def near_duplicates(
     )
 
 
-def first_texts(texts: DataFrame, full: DataFrame, sets: list[str]) -> DataFrame:
-    """One text for each id: where an id has several rows, the smallest text that has words."""
-    several = full.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
-    several = cut(several)
-    once = texts.join(small(several), "id", "left_anti")
-    more = texts.join(small(several), "id", "left_semi").filter("text IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"))
-    return once.unionByName(more)
-
-
-def shared_sizes(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def shared_sizes(ids: DataFrame, texts: Texts, shingle: int) -> DataFrame:
     """(id, shared): how many shingles of each text in ``ids`` stand in another one of them too."""
-    wanted = texts.join(small(ids), "id", "left_semi")
+    wanted = texts.of(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -339,7 +362,7 @@ def shared_sizes(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return ids.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
-def fine_sketches(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def fine_sketches(ids: DataFrame, texts: Texts, shingle: int) -> DataFrame:
     """(id, fine): FINE registers of each text in ``ids``, folded to a byte each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,10 +375,10 @@ def fine_sketches(ids: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                     made.append(((wide * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).view("<i8").tolist())
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.list_(pa.int64()))], names=["id", "fine"])
 
-    return texts.join(small(ids), "id", "left_semi").mapInArrow(run, "id long, fine array<long>")
+    return texts.of(ids).mapInArrow(run, "id long, fine array<long>")
 
 
-def allowed_pairs(known: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, threshold: int, margin: float) -> DataFrame:
+def allowed_pairs(known: DataFrame, reps: DataFrame, texts: Texts, shingle: int, threshold: int, margin: float) -> DataFrame:
     """All pairs of different components within a bucket that a finer sketch and unshared shingles allow to be linked.
 
     The shingles that a text shares with no other one in question are counted exactly: what two texts have in common is

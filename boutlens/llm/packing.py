@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import count as counted
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,6 @@ from .common import cut, empty_if_null, text_batches
 SEQUENCE, END = 1024, 2
 #: Pieces in a partition, on average.
 PER_PARTITION = 20_000
-ROUNDS = 3
 
 # The special string of the vocabulary and its id.
 SPECIAL = {"<|endoftext|>": 50256}
@@ -185,12 +185,16 @@ def total_bound(pieces: DataFrame, capacity: int) -> int:
     return dual_bound(count, capacity)
 
 
-def pack(pieces: DataFrame, capacity: int = SEQUENCE, per_partition: int = PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
-    """``pieces`` (with a unique ``serial`` and a ``length``) with sequence_id and offset added."""
+def pack(pieces: DataFrame, capacity: int = SEQUENCE, per_partition: int = PER_PARTITION, rounds: int | None = None) -> DataFrame:
+    """``pieces`` (with a unique ``serial`` and a ``length``) with sequence_id and offset added.
+
+    The exchange goes on until the bound is met or a round wins nothing; each round that goes on saves a sequence at least,
+    so it ends. ``rounds`` ends it earlier: a caller may prefer a few sequences more.
+    """
     loose = pieces.filter(F.col("length") < capacity).select("serial", "length")
     done: list[DataFrame] = []
     settled, before = None, None
-    for salt in range(rounds + 1):
+    for salt in counted() if rounds is None else range(rounds + 1):
         n = loose.count()
         if not n:
             break

@@ -113,6 +113,16 @@ def test_different_texts_of_one_id_stay(make_docs):
     assert got == sorted([(1, a), (1, b), (2, rows[3][1])])
 
 
+def test_every_text_of_a_repeated_id_links_it(make_docs):
+    words = lambda seed, n=60: [f"{seed}{k}" for k in range(n)]
+    one, other = " ".join(words("a")), " ".join(words("b"))
+    rows = [(5, one, "s"), (5, other, "s"), (5, " ", "s"), (5, None, "s"), (5, one, "s"), (7, one + " more", "s"), (9, other + " more", "s"), (3, " ".join(words("c")), "s"), (3, one.upper(), "s")]
+    got = neardup.near_duplicates(make_docs(rows), shingle=3, threshold=85).select("doc_id", "component_id", "kept").distinct().collect()
+    assert sorted(map(tuple, got)) == [(3, 3, True), (5, 3, False), (7, 3, False), (9, 3, False)]
+    without = neardup.near_duplicates(make_docs([r for r in rows if r[0] != 3]), shingle=3, threshold=85).select("doc_id", "component_id").distinct().collect()
+    assert sorted(map(tuple, without)) == [(5, 5), (7, 5), (9, 5)]
+
+
 def test_nothing_in_nothing_out(make_docs):
     empty = make_docs([])
     assert neardup.near_duplicates(empty).count() == 0 and neardup.deduplicated(empty).count() == 0

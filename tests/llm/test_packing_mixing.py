@@ -92,6 +92,13 @@ def test_sequences_of_all_rounds_have_numbers_of_their_own(spark):
     assert max(opened.values()) <= 1024 and bound(sizes) <= len(opened) <= 1.2 * bound(sizes)
 
 
+def test_exchange_goes_on_until_nothing_is_won(spark):
+    r = np.random.default_rng(3)
+    sizes = spark.createDataFrame([(i, int(n)) for i, n in enumerate(r.integers(200, 700, 3000))], "serial long, length long")
+    few, all_ = (packing.pack(sizes, per_partition=100, rounds=n).agg(F.count_distinct("sequence_id")).first()[0] for n in (0, None))
+    assert packing.total_bound(sizes, 1024) <= all_ < few
+
+
 def targets(sizes):
     """The contract, step by step: shares by weight, the excess shared again until no target is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, s))
@@ -164,6 +171,18 @@ def test_mixed_documents_hold_the_words_taken(docs):
     assert words == {k: v for k, v in wanted.items() if v}
 
 
+def test_copies_in_several_sources_give_what_each_source_takes(make_docs):
+    r = random.Random(4)
+    same = text(r, 900)
+    rows = [(1, same, "A"), (1, same, "B"), (1, same, "B"), (1, same, None), (None, same, "A"), (None, same, "C")]
+    rows += [(k, text(r, 300), s) for k, s in enumerate("AABCCCDDDD", 10)]
+    docs = make_docs(rows)
+    taken = mixing.taken(*mixing.mix(docs)).groupBy("doc_id", "source").agg(F.sum("taken").alias("n")).filter("n > 0")
+    mixed = mixing.mixed_documents(docs).groupBy("doc_id", "source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n"))
+    assert sorted(map(str, taken.collect())) == sorted(map(str, mixed.collect()))
+    assert len({row.n for row in taken.collect()}) > 3
+
+
 def test_mix_of_nothing(docs):
     assert mixing.taken(*mixing.mix(docs.limit(0))).count() == 0
     blank = docs.withColumn("text", F.lit(None).cast("string"))

@@ -143,6 +143,24 @@ def test_parts_without_telling_names_are_left_out(page):
     assert html_extract.main_text(f"<html><body>{page}</body></html>", html_extract.default_model()) == f"A title\n{PROSE}\n{PROSE} And more."
 
 
+def test_a_slash_in_a_start_tag_closes_no_html_element():
+    page = f"<p>{PROSE}<script src='a.js'/>var x = 1;</script><style/>p{{}}</style> tail</p><svg width='1'/><math/><div/><p>{PROSE}</p><a href=/x/>one</a> two"
+    assert [b.text for b in html_blocks.blocks(page)] == [PROSE, "tail", PROSE, "one two"]
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><p>{PROSE}</p></body>", PROSE, f"<html><body>{PROSE}</body></html>", f"<div><a href=/x>Here</a> {PROSE}</div>", "<body><p>Hello.</p></body>", f"<pre>{PROSE}</pre>",
+])
+def test_a_page_of_one_block_is_its_text(page):
+    block, = html_blocks.blocks(page)
+    assert html_extract.main_text(page, html_extract.default_model()) == block.text
+
+
+def test_a_menu_alone_is_no_text():
+    for page in ("<nav><a href=/>Home</a></nav>", "<footer>Imprint</footer>"):
+        assert html_extract.main_text(page, html_extract.default_model()) == ""
+
+
 def test_quotes_that_are_not_closed_lose_no_text():
     page = f"""<p title="a>hello there</p><p>{PROSE} <a href='x>link</a></p><p title="a>b" id='c"d'>last</p>"""
     assert [b.text for b in html_blocks.blocks(page)] == ["hello there", f"{PROSE} link", "last"]
