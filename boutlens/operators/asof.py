@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
 from ..functions.scalars import quality
+from . import dominance
 from .derived import event_start_record, flag
 from .metrics import RATES, RATIOS, entity_metrics, performance_columns, with_duration
 from .perspectives import strict_cutoff
-from .ratings import START, as_of_panel, midrank_in
+from .ratings import START
 
 # The metrics of a style, and the tag of each offensive one.
 STYLE_KEYS = ("sig_strikes_landed_per_min", "striking_defense", "takedowns_per_15_min", "takedown_defense", "sub_attempts_per_15_min")
@@ -170,44 +171,56 @@ def before_day(state: DataFrame) -> DataFrame:
     return state.select("fighter_id", "event_date", *[F.lag(c).over(order).alias(c) for c in rest])
 
 
-def ranked_before(targets: DataFrame, panel: DataFrame, measures: dict[str, Column], at_least: int = 8) -> DataFrame:
+def ranked_before(targets: DataFrame, held: DataFrame, measures: dict[str, Column], at_least: int = 8) -> DataFrame:
     """``targets`` (key, day, weight_class, and a column of each measure) with the midranks of the measures among their cohort.
 
-    The cohort are the entities of ``panel`` (day, division, measures) on the day whose last contest was in the weight class, if
-    there are ``at_least`` of them, else all. ``measures``: which members of the panel count for each measure. Adds a column
-    ``rank_<measure>`` and ``size_<measure>``, cohort (how many) and same (whether of the weight class).
+    The cohort are the entities whose state of ``held`` (event_date, until, division, measures) holds on the day and whose last contest
+    was in the weight class, if there are ``at_least`` of them, else all. ``measures``: which states count for each measure. Adds a
+    column ``rank_<measure>`` and ``size_<measure>``, cohort (how many) and same (whether of the weight class).
+
+    No cohort is ever listed: its sizes are running sums of changes, the ranks come from :mod:`dominance`.
     """
-    sizes = panel.groupBy("day", "division").agg(F.count("*").alias("__own"))
-    whole = panel.groupBy("day").agg(F.count("*").alias("__all"))
-    asked = targets.join(sizes.withColumnRenamed("division", "weight_class"), ["day", "weight_class"], "left").join(whole, "day", "left")
+    members = dominance.changes(held, "division")
+    days = targets.select("day", F.col("weight_class").alias("division")).distinct()
+    own_size = dominance.counts_before(members, days.filter("division IS NOT NULL"), ["division"], "__own")
+    all_size = dominance.counts_before(members.drop("division"), days.select("day").distinct(), [], "__all")
+    asked = targets.join(own_size.withColumnRenamed("division", "weight_class"), ["day", "weight_class"], "left").join(all_size, "day", "left")
     asked = asked.withColumn("same", F.coalesce(F.col("__own") >= at_least, F.lit(False)))
     asked = asked.withColumn("cohort", F.coalesce(F.when(F.col("same"), F.col("__own")).otherwise(F.col("__all")), F.lit(0))).drop("__own", "__all")
     asked = checkpointed(asked)
     names = list(measures)
-    members = panel.select("day", "division", *[F.when(ok, F.col(c)).alias(c) for c, ok in measures.items()])
-    long_members = members.unpivot(["day", "division"], names, "measure", "value").filter("value IS NOT NULL")
-    long = asked.select("key", "day", F.col("weight_class").alias("division"), "same", *names).unpivot(["key", "day", "division", "same"], names, "measure", "value")
-    own = midrank_in(long_members, long.filter("same"), "value", ["day", "division", "measure"])
+    counted = [F.when(ok, F.col(c)).cast("double").alias(c) for c, ok in measures.items()]
+    moves = dominance.changes(held.select("event_date", "until", "division", *counted), "division", *names)
+    moves = moves.unpivot(["division", "day", "n"], names, "measure", "value").filter("value IS NOT NULL")
+    long = asked.select("key", "day", F.col("weight_class").alias("division"), "same", *[F.col(c).cast("double").alias(c) for c in names])
+    long = long.unpivot(["key", "day", "division", "same"], names, "measure", "value")
+    sizes = asked.select("day", F.col("weight_class").alias("division"), "same", F.explode(F.array(*map(F.lit, names))).alias("measure")).distinct()
+    found = []
     # the wider cohort serves only the days that need it
-    wide = long.filter("NOT same")
-    days = F.broadcast(wide.select("day").distinct())  # one row for each day at most
-    everyone = long_members.join(days, "day", "left_semi").drop("division")
-    other = midrank_in(everyone, wide.drop("division"), "value", ["day", "measure"])
-    both = own.select("key", "measure", "rank", "size").unionByName(other.select("key", "measure", "rank", "size"))
+    for which, keys in (("same", ["division", "measure"]), ("NOT same", ["measure"])):
+        population = moves.select("day", "n", "value", *keys)
+        size = dominance.counts_before(population.drop("value"), sizes.filter(which).select("day", *keys).distinct(), keys, "size")
+        mine = long.filter(which).select("key", "day", "value", *keys)
+        placed = dominance.counts_below(population, mine.filter("value IS NOT NULL"), keys).drop(*[k for k in keys if k != "measure"])
+        rank = F.try_divide(F.coalesce("below", F.lit(0)) + 0.5 * F.coalesce("equal", F.lit(0)), F.col("size"))
+        both = mine.join(size, ["day", *keys], "left").join(placed, ["key", "measure"], "left")
+        found.append(both.select("key", "measure", F.when(F.col("value").isNotNull(), rank).alias("rank"), "size"))
     cells = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{c}_{m}") for m in names for c in ("rank", "size")]
-    return asked.join(both.groupBy("key").agg(*cells), "key", "left")
+    return asked.join(found[0].unionByName(found[1]).groupBy("key").agg(*cells), "key", "left")
 
 
 def with_style(ranked: DataFrame) -> DataFrame:
-    """``ranked`` (the style metrics, their ranks, timed) with percentiles under the metrics' names, tags and status."""
+    """``ranked`` (the style metrics, their ranks, timed) with percentiles under the metrics' names, the number of cohort members that
+    count for each (``cohort_sizes``), tags and status."""
     reliable = F.coalesce(F.col("timed") >= 3, F.lit(False))
     ranks = {k: F.when(reliable, F.col(f"rank_{k}")) for k in STYLE_KEYS}
     tags = [F.when((ranks[k] >= 0.75) & (F.col(k) > 0), tag) for k, tag in STYLE_TAGS.items()]
     known = F.coalesce(*ranks.values()).isNotNull()
     status = F.when(reliable & known, "measured proxy").otherwise("insufficient history")
     df = ranked.withColumns({"tags": F.array_compact(F.array(*tags)), "status": status, "prior_stat_fights": F.coalesce("timed", F.lit(0))})
+    sizes = F.struct(*[F.coalesce(f"size_{k}", F.lit(0)).alias(k) for k in STYLE_KEYS])
     drop = [f"{c}_{k}" for k in STYLE_KEYS for c in ("rank", "size")]
-    return df.withColumns(ranks).drop(*drop, "timed")
+    return df.withColumns(ranks | {"cohort_sizes": sizes}).drop(*drop, "timed")
 
 
 def style_measures() -> dict[str, Column]:
@@ -222,7 +235,7 @@ def opponents_before(persp: DataFrame, state: DataFrame, active_days: int = 1096
     ratings of those with three decided contests; unknown below three of the opponent's own.
     """
     rated = "rating" in state.columns
-    panel = checkpointed(as_of_panel(state, persp, active_days))
+    held = checkpointed(dominance.lasting(state, active_days))
     prior = before_day(state).withColumnsRenamed({"fighter_id": "opponent_id", "event_date": "day"}).drop("division")
     rows = persp.select("fight_id", "fighter_id", "opponent_id", F.col("event_date").alias("day"), "weight_class", "bout_outcome")
     targets = rows.join(prior, ["opponent_id", "day"], "left").withColumn("key", F.struct("fight_id", "fighter_id"))
@@ -230,7 +243,7 @@ def opponents_before(persp: DataFrame, state: DataFrame, active_days: int = 1096
     if rated:
         targets = targets.withColumn("rating", F.coalesce("rating", F.lit(START)))
         measures["rating"] = F.col("decided") >= 3
-    df = with_style(ranked_before(targets, panel, measures, at_least)).withColumn("decided", F.coalesce("decided", F.lit(0)))
+    df = with_style(ranked_before(targets, held, measures, at_least)).withColumn("decided", F.coalesce("decided", F.lit(0)))
     if rated:
         rank = F.when(F.col("decided") >= 3, F.col("rank_rating"))
         tier = F.when(rank.isNull(), "unknown").when(rank > 2 / 3, "higher").when(rank < 1 / 3, "lower").otherwise("middle")
@@ -241,13 +254,12 @@ def opponents_before(persp: DataFrame, state: DataFrame, active_days: int = 1096
 def styles_at(persp: DataFrame, state: DataFrame, day: str, active_days: int = 1096, at_least: int = 8) -> DataFrame:
     """(fighter_id, percentiles, tags, status, prior_stat_fights, cohort): every entity's style before a day, ranked in the
     division of its last contest."""
-    at = persp.sparkSession.createDataFrame([(day,)], "event_date string").select(F.col("event_date").cast("date").alias("event_date"))
     known = strict_cutoff(state, day)
-    panel = checkpointed(as_of_panel(known, at, active_days))
+    held = checkpointed(dominance.lasting(known, active_days))
     last = Window.partitionBy("fighter_id").orderBy(F.col("event_date").desc())
     now = known.withColumn("__n", F.row_number().over(last)).filter("__n = 1").drop("__n", "event_date", "rating")
     targets = now.withColumn("day", F.lit(day).cast("date")).withColumnRenamed("division", "weight_class").withColumn("key", F.col("fighter_id"))
-    return with_style(ranked_before(targets, panel, style_measures(), at_least)).drop("key", "day", "weight_class", "decided")
+    return with_style(ranked_before(targets, held, style_measures(), at_least)).drop("key", "day", "weight_class", "decided")
 
 
 COUNTS = ["fights", "record_win", "record_loss", "record_draw", "record_no_contest", "stat_fights"]
