@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed as cut  # noqa: F401
-
-#: A side of at most this many narrow rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
+from ..joins import small  # noqa: F401
 
 #: White space as the contracts define it: space and the bytes 9 to 13.
 SPACE = "\x20\t\n\x0b\x0c\r"
@@ -20,11 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks ``df`` for broadcast after counting that it has at most ``rows`` rows; else leaves it as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def row_key(*cols: Column) -> list[Column]:
     """Two hashes that tell rows apart by the given columns (nulls included)."""
     null = [c.isNull() for c in cols]
