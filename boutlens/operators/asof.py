@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
 from ..functions.scalars import quality
+from ..joins import small
 from . import dominance
 from .derived import event_start_record, flag
 from .metrics import RATES, RATIOS, entity_metrics, performance_columns, with_duration
@@ -98,7 +99,7 @@ def midrank(df: DataFrame, value: str, name: str, *keys: str) -> DataFrame:
     whole = Window.partitionBy(*keys)
     bases = totals.select(*keys, "__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"), F.sum("__sum").over(whole).alias("__known"))
     within = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("__less", F.coalesce(F.sum("__same").over(within), F.lit(0))).join(F.broadcast(bases), [*keys, "__range"])
+    placed = ranged.withColumn("__less", F.coalesce(F.sum("__same").over(within), F.lit(0))).join(small(bases), [*keys, "__range"])
     rank = (F.col("__base") + F.col("__less") + 0.5 * F.col("__same")) / F.col("__known")
     return df.join(placed.select(*keys, value, rank.alias(name)), [*keys, value], "left").select(*df.columns, name)
 
