@@ -246,20 +246,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 @dataclass
 class Texts:
-    """The texts of the classes: ``keys`` (id, the class's number; of and text_key, which row of ``docs`` stands for it)."""
+    """The texts of the classes. ``keys`` (id, the class's number; of and text_key, which row of ``docs`` stands for it); None where every
+    id has one row, and a class is named by an id."""
 
     docs: DataFrame
-    keys: DataFrame
-    repeated: DataFrame | None
+    keys: DataFrame | None
 
     def of(self, ids: DataFrame) -> DataFrame:
-        """(id, text) of the classes in ``ids``, each once: rows that stand repeatedly in the table are one."""
-        wanted = self.docs.join(small(cut(self.keys.join(ids, "id", "left_semi"))), ["of", "text_key"]).select("id", "text")
-        if self.repeated is None:
-            return wanted
-        again = small(self.repeated)
-        once, more = wanted.join(again, "id", "left_anti"), wanted.join(again, "id", "left_semi")
-        return once.unionByName(more.dropDuplicates(["id"]))
+        """(id, text) of the classes in ``ids``, each once."""
+        if self.keys is None:
+            return self.docs.join(small(ids.withColumnRenamed("id", "of")), "of", "left_semi").select(F.col("of").alias("id"), "text")
+        wanted = self.docs.join(small(cut(self.keys.join(ids, "id", "left_semi"))), ["of", "text_key"])
+        return wanted.select("id", "text").dropDuplicates(["id"])  # rows that stand repeatedly in the table are one
 
 
 def verify(pairs: DataFrame, reps: DataFrame, texts: Texts, shingle: int, threshold: int, least: float) -> DataFrame:
@@ -286,21 +284,20 @@ def near_duplicates(
     sketch = cut(sketches(docs, id_col, text_col, shingle, rows, bands))
     full = sketch.filter("id IS NOT NULL AND n_shingles > 0")
     sets = ["n_shingles", "set1", "set2"]
-    # a class is represented by the smallest of its rows; an id can have several sets, each in a class of its own
+    # a class is represented by the smallest of its rows; an id of several rows can have several sets, each in a class of its own
+    single = full.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     classes = full.groupBy(*sets).agg(F.min(F.struct("id", "text_key")).alias("of"))
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), *sets, F.col("of.id").alias("class_id"), "of.text_key"))
+    number = F.col("of.id") if single else F.monotonically_increasing_id()
+    classes = cut(classes.select(number.alias("node"), *sets, F.col("of.id").alias("class_id"), "of.text_key"))
     member = cut(full.select("id", *sets).join(classes.select(*sets, "class_id"), sets).select("id", "class_id").distinct())
-    held = full.join(classes.withColumnRenamed("class_id", "id"), [*sets, "id", "text_key"])
-    repeated = cut(held.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("node").alias("id")))
-    if repeated.isEmpty():
-        repeated, reps = None, held
+    if single:
+        keys, held = None, full.join(classes.select(F.col("node").alias("id")), "id", "left_semi")
     else:
-        of = held["node"] == repeated["id"]
-        reps = held.join(small(repeated), of, "left_anti").unionByName(held.join(small(repeated), of, "left_semi").dropDuplicates(["node"]))
-    reps = cut(reps.select(F.col("node").alias("id"), "n_shingles", "registers", "bands"))
+        keys = classes.select(F.col("node").alias("id"), F.col("class_id").alias("of"), "text_key")
+        held = full.join(classes.withColumnRenamed("class_id", "id"), [*sets, "id", "text_key"]).dropDuplicates(["node"]).withColumn("id", F.col("node"))
+    reps = cut(held.select("id", "n_shingles", "registers", "bands"))
     text = F.col(text_col).cast("string").cast("binary")
-    keys = classes.select(F.col("node").alias("id"), F.col("class_id").alias("of"), "text_key")
-    texts = Texts(docs.select(F.col(id_col).cast("long").alias("of"), text_key(text_col), text.alias("text")), keys, repeated)
+    texts = Texts(docs.select(F.col(id_col).cast("long").alias("of"), text_key(text_col), text.alias("text")), keys)
 
     buckets = reps.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members"), F.min("id").alias("meet")).filter("members > 1")
@@ -330,10 +327,11 @@ def near_duplicates(
         if more.limit(1).count():
             links = links.unionByName(more)
             found = components(links)
-    # back from classes to ids; the classes' other members come in here, as stars
-    name = lambda c: keys.select(F.col("id").alias(c), F.col("of").alias(f"{c}_id"))
-    named = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    found = components(named.unionByName(same))
+    if keys is not None:  # back from classes to ids
+        name = lambda c: keys.select(F.col("id").alias(c), F.col("of").alias(f"{c}_id"))
+        links = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    # the classes' other members come in at the end, as stars
+    found = components(links.unionByName(same))
     joined = sketch.join(found, F.col("id") == F.col("node"), "left").join(
         member.groupBy("id").agg(F.min("class_id").alias("class_id")), "id", "left"
     )
