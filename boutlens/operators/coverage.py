@@ -347,13 +347,15 @@ def citation_check(citations: DataFrame, eligible: DataFrame, keys: list[str]) -
     return df.groupBy(*keys).agg((F.count("id") > 0).alias("any"), F.sum((F.col("id").isNotNull() & F.col("known").isNull()).cast("int")).alias("bad")).withColumn("ok", F.col("any") & (F.col("bad") == 0))
 
 
-def claim_check(claims: DataFrame, evidence: DataFrame) -> DataFrame:
-    """claims: claim_id, side, path, value (text). evidence: side, path, value. Status supported, contradicted or unknown path."""
-    have = evidence.select("side", "path", F.col("value").alias("stored"))
-    df = claims.join(have, ["side", "path"], "left")
+def claim_check(claims: DataFrame, evidence: DataFrame, keys: Sequence[str] = ("side",)) -> DataFrame:
+    """claims: claim_id, keys, path, value (text). evidence: keys, path, value, each path once for its keys. Status supported,
+    contradicted or unknown path."""
+    have = evidence.select(*keys, "path", F.col("value").alias("stored"), F.lit(True).alias("known"))
+    df = claims.join(have, [*keys, "path"], "left")
     number = F.abs(F.col("value").try_cast("double") - F.col("stored").try_cast("double")) <= 1e-9
-    same = (F.trim("value") == F.trim("stored")) | F.coalesce(number, F.lit(False))
-    return df.withColumn("status", F.when(F.col("stored").isNull(), "unknown path").when(same, "supported").otherwise("contradicted"))
+    same = (F.trim("value") == F.trim("stored")) | F.coalesce(number, F.lit(False)) | F.col("value").eqNullSafe(F.col("stored"))
+    status = F.when(F.col("known").isNull(), "unknown path").when(F.coalesce(same, F.lit(False)), "supported").otherwise("contradicted")
+    return df.withColumn("status", status).drop("known")
 
 
 def unchecked_categories(claims: DataFrame, reviews: DataFrame, categories: Sequence[str] = ("opposition", "style_history")) -> DataFrame:

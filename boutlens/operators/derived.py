@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
+from ..joins import small
 from ..functions.scalars import age_on
 from ..schema import OUTCOMES, STATS, SUMMED
 from .perspectives import HISTORY, perspectives
@@ -165,6 +166,10 @@ REPLAYED = {
 }
 
 
+#: Columns of a side that a rebuild makes.
+SIDE_COLUMNS = (*REPLAYED, "age", "height_inches", "reach_inches", "stance", "profile_imputed")
+
+
 def replayed(persp: DataFrame, policy: str = "bout-start") -> DataFrame:
     """``persp`` with the columns of REPLAYED: what was known before a contest, in the bouts' order (``bout-start``), in the
     order of loading (``ingestion``, by ``ingest_seq``), or frozen for a whole card (``event-start``)."""
@@ -227,3 +232,39 @@ def rebuild_report(stored: DataFrame, rebuilt: DataFrame, keys: list[str], field
     joined = rebuilt.alias("n").join(stored.alias("o"), keys)
     counts = joined.agg(*[F.sum((~F.col(f"n.{f}").eqNullSafe(F.col(f"o.{f}"))).cast("long")).alias(f) for f in fields])
     return counts.unpivot([], fields, "field", "changes")
+
+
+def entities_of(fights: DataFrame) -> DataFrame:
+    return fights.select(F.explode(F.array("fighter_a_id", "fighter_b_id")).alias("fighter_id")).distinct()
+
+
+def rebuild_touched(
+    events: DataFrame, fights: DataFrame, rounds: DataFrame, fighters: DataFrame, changed: DataFrame, also: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(fights, fighters, report, errors, touched): what :func:`rebuild_tables` gives, for a store whose other rows are rebuilt already.
+
+    ``changed`` (event_id): cards that are new or differ. ``also`` (fighter_id): entities that changed beside these, by a profile or as a side
+    that a contest no longer has. What a contest derives rests on its two entities' own histories, so only the entities of
+    changed cards are touched: their contests, with the cards these stand on for the bouts' order, are rebuilt as a store of
+    their own, and of the result the touched sides are taken. The rest is neither read into a window nor changed. The report counts the
+    rebuilt rows; touched are the ids of the contests read.
+    """
+    cards = small(checkpointed(changed.select("event_id").distinct()))
+    touched = entities_of(fights.join(cards, "event_id", "left_semi"))
+    touched = checkpointed((touched if also is None else touched.unionByName(also.select("fighter_id"))).distinct())
+    mark = lambda s: small(touched.select(F.col("fighter_id").alias(f"fighter_{s}_id"), F.lit(True).alias(f"__{s}")))
+    marked = fights.join(mark("a"), "fighter_a_id", "left").join(mark("b"), "fighter_b_id", "left").na.fill(False, ["__a", "__b"])
+    near = small(checkpointed(marked.filter("__a OR __b").select("event_id").unionByName(changed.select("event_id")).distinct()))
+    part = checkpointed(marked.join(near, "event_id", "left_semi"))
+    ids = checkpointed(part.select("fight_id"))
+    own = part.select("fight_id", "__a", "__b", *[F.col(f"fighter_{s}_{c}").alias(f"__{s}_{c}") for s in "ab" for c in SIDE_COLUMNS if f"fighter_{s}_{c}" in fights.columns])
+    people = fighters.join(small(checkpointed(entities_of(part).unionByName(touched).distinct())), "fighter_id", "left_semi")
+    made, totals, report, errors = rebuild_tables(
+        events.join(near, "event_id", "left_semi"), part.drop("__a", "__b"), rounds.join(small(ids), "fight_id", "left_semi"), people
+    )
+    both = made.join(own, "fight_id")
+    taken = {f"fighter_{s}_{c}": F.when(F.col(f"__{s}"), F.col(f"fighter_{s}_{c}")).otherwise(F.col(f"__{s}_{c}")) for s in "ab" for c in SIDE_COLUMNS if f"__{s}_{c}" in own.columns}
+    merged = both.withColumns(taken).select(*made.columns)
+    rest = fights.join(small(ids), "fight_id", "left_anti")
+    all_people = fighters.join(small(touched), "fighter_id", "left_anti").unionByName(totals.join(small(touched), "fighter_id", "left_semi"), allowMissingColumns=True)
+    return rest.unionByName(merged, allowMissingColumns=True), all_people, report, errors, ids

@@ -72,14 +72,30 @@ def safe_features(persp: DataFrame) -> DataFrame:
     return persp.select(*[c for c in SAFE_FEATURES if c in persp.columns])
 
 
+# Columns that are known only after a contest, whatever their table; and those of an entity after its last one.
+AFTER = (
+    "winner_fighter_id", "winner_name", "method_of_victory", "method_detail", "event_method_code", "stats_available", "result", "referee", "time_format",
+    "ending_round", "ending_time",
+)
+FINAL = (
+    "fights", "wins", "losses", "draws", "no_contests", "current_win_streak", "current_loss_streak", "significant_strikes_landed",
+    "significant_strikes_attempted", "takedowns_landed", "takedowns_attempted", "control_time_seconds", "last_fight_date",
+)
+
+
 def leak_audit(columns: DataFrame) -> DataFrame:
-    """``columns`` (column_name) with ``leaks``: whether a column is known only after the contest."""
+    """``columns`` (column_name, with its table before the last dot or without one) with ``leaks``: whether it is known only after
+    the contest.
+
+    All of a table of rounds leaks, and everything counted in a bout, how it ended, both sides' statistics, and totals of entities.
+    """
     name = F.lower(F.trim("column_name"))
-    stats = "|".join(STATS)
-    outcome = ("winner_fighter_id", "winner_name", "method_of_victory", "method_detail", "result", "ending_round", "ending_time", "stats_available")
-    final = ("fights", "wins", "losses", "draws", "no_contests", "current_win_streak", "current_loss_streak", "last_fight_date")
+    last = F.substring_index(name, ".", -1)
+    dotted = name.contains(".")
+    column = F.when(dotted & (last == ""), F.regexp_replace(name, r"\.$", "")).otherwise(last)
+    table = F.when(dotted & (last != ""), F.regexp_replace(name, r"\.[^.]*$", "")).otherwise("")
     leaks = (
-        name.startswith("fight_rounds.") | name.rlike("^(opponent_)?bout_") | name.isin(*outcome)
-        | name.rlike(f"^fighter_[ab]_({stats})$") | name.isin(*[f"fighters.{c}" for c in (*final, *STATS)])
+        table.endswith("fight_rounds") | column.rlike("^(opponent_)?bout_") | column.isin(*AFTER)
+        | column.rlike(f"^fighter_[ab]_({'|'.join(STATS)})$") | (table.endswith("fighters") & column.isin(*FINAL))
     )
-    return columns.withColumn("leaks", leaks)
+    return columns.withColumn("leaks", F.coalesce(leaks, F.lit(False)))

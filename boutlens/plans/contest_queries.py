@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -387,14 +389,25 @@ def _safe(t: Tables) -> DataFrame:
     return perspectives.safe_features(t.persp)
 
 
-@query("leak_audit", f"""{WITH}, c AS (SELECT DISTINCT unnest(['bout_' || b, 'prefight_' || b, 'fight_rounds.' || b, 'fighters.' || b]) AS column_name
-       FROM (SELECT unnest([{", ".join(f"'{c}'" for c in STATS)}, 'age', 'wins']) AS b FROM persp LIMIT 24))
-       SELECT column_name, column_name LIKE 'bout_%' OR column_name LIKE 'fight_rounds.%' OR (column_name LIKE 'fighters.%' AND column_name <> 'fighters.age') AS leaks FROM c""")
+_ENDED = "'winner_fighter_id', 'method_of_victory', 'stats_available', 'result', 'time_format', 'ending_round', 'ending_time'"
+
+
+def _counted(table: str, name: str) -> str:
+    return f"SELECT '{name}.' || column_name AS column_name, known FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {table}) ON COLUMNS(*) INTO NAME column_name VALUE known)"
+
+
+@query("leak_audit", f"""{WITH}, c AS ({_counted("contests", "fights")} UNION ALL {_counted("entities", "fighters")} UNION ALL {_counted("rounds", "fight_rounds")}
+       UNION ALL {_counted("(SELECT * EXCLUDE (seconds, clock, fought) FROM persp)", "fighter_bout_history")})
+       SELECT column_name, known, column_name LIKE 'fight_rounds.%' OR split_part(column_name, '.', 2) IN ({_ENDED}) OR regexp_matches(column_name, '[.](opponent_)?bout_')
+       OR (regexp_matches(column_name, '[.]fighter_[ab]_.*(knockdowns|strikes|takedowns|control|submission_attempts|reversals)')) AS leaks FROM c""")
 def _leaks(t: Tables) -> DataFrame:
-    names = F.array(*[F.lit(c) for c in (*STATS, "age", "wins")])
-    prefixed = F.flatten(F.transform(names, lambda b: F.array(*[F.concat(F.lit(p), b) for p in ("bout_", "prefight_", "fight_rounds.", "fighters.")])))
-    columns = t.persp.limit(1).select(F.explode(prefixed).alias("column_name"))
-    return perspectives.leak_audit(columns)
+    """Of every column of the tables how many rows know it, and whether it is known only after the contest."""
+    found = []
+    for name, df in (("fights", t.contests), ("fighters", t.fighters), ("fight_rounds", t.rounds), ("fighter_bout_history", t.persp)):
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        long = counts.select(F.explode(F.array(*[F.struct(F.lit(f"{name}.{c}").alias("column_name"), F.col(c).alias("known")) for c in df.columns])).alias("x"))
+        found.append(long.select("x.*"))
+    return perspectives.leak_audit(reduce(DataFrame.unionByName, found))
 
 
 @query("duration", f"{WITH} SELECT fight_id, {R6('fought / 60.0::DOUBLE')} AS minutes FROM persp WHERE slot = 'a'")

@@ -190,4 +190,4 @@ def _citations(t: Tables) -> DataFrame:
 @query("long_evidence", """SELECT o_orderkey, unnest(['side.priority', 'side.status']) AS path, unnest([o_orderpriority, o_orderstatus]) AS value FROM orders""")
 def _evidence(t: Tables) -> DataFrame:
     side = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
-    return files.long_evidence(t.raw("orders").select("o_orderkey", side.alias("side")), ["o_orderkey"])
+    return files.long_evidence(t.raw("orders").select("o_orderkey", side.alias("side")), ["o_orderkey"]).select("o_orderkey", "path", "value")

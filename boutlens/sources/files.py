@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ddl
+from .storage import exists, replace_folder
 
 # The shapes of the files.
 RESULTS = (
@@ -148,36 +151,71 @@ def source_registry(rows: DataFrame) -> DataFrame:
 
 
 def write_metrics_csv(stored: DataFrame, graded: DataFrame, path: str, key: str = METRICS_KEY) -> None:
-    """Graded reports replace rows of the same key; the export is ordered by date and path."""
+    """Graded reports replace rows of the same key; the export is ordered by date and path. ``stored`` may be read from ``path``: the
+    rows are written beside it, and take its place when they are complete."""
     kept = stored.join(graded.select(key), key, "left_anti").unionByName(graded)
-    kept.orderBy("event_date", "path").write.mode("overwrite").option("header", True).csv(path)
+    new = f"{path.rstrip('/')}.new"
+    kept.orderBy("event_date", "path").write.mode("overwrite").option("header", True).csv(new)
+    replace_folder(kept.sparkSession, new, path)
 
 
 def write_versioned_json(df: DataFrame, path: str) -> DataFrame:
-    """Rows as JSON in folders named by the hash of their content; content that is there already is replaced by itself."""
+    """(digest, value): rows as JSON under the hash of their content, in folders by the first two digits of it. Content that is
+    there already stays as it is and is not written again."""
     text = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))
     named = df.select(text.alias("value")).withColumn("digest", F.sha2("value", 256)).dropDuplicates(["digest"])
-    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("digest").text(path)
+    new = named.withColumn("prefix", F.substring("digest", 1, 2))
+    if exists(df.sparkSession, path):
+        new = new.join(read_versioned_json(df.sparkSession, path).select("prefix", "digest"), ["prefix", "digest"], "left_anti")
+    new.repartition("prefix").write.mode("append").partitionBy("prefix").json(path)
     return named
 
 
+def read_versioned_json(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("digest string, value string, prefix string").json(path)
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def long_evidence(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, path, value) of every scalar below nested structs; paths are stable names, values are text."""
-    found: list[tuple[str, object]] = []
+#: Fields that name an element of an array of structs, the first one that it has.
+ELEMENT_IDS = ("fight_id", "opponent_style", "tag", "id")
+
+
+def long_evidence(df: DataFrame, keys: list[str], ids: Sequence[str] = ELEMENT_IDS) -> DataFrame:
+    """(keys, path, section, field, value): a row for every scalar of ``df``, however deep it stands.
+
+    The walk follows the schema: a struct gives its fields, a map its keys, an array of structs its elements by the first of ``ids``
+    that they have (else by their place, from 0), so a path is a stable name. Arrays of scalars are one value, as JSON; other
+    values are text. What stands below a null struct, array or map has no row; a null scalar has one with a null value.
+    """
+
+    def join(prefix: Column | None, name: Column) -> Column:
+        name = name.cast("string")
+        return name if prefix is None else F.concat(prefix, F.lit("."), name)
+
+    def entry(prefix: Column, value: Column) -> Column:
+        return F.array(F.struct(prefix.alias("path"), value.alias("value")))
+
+    none = F.array().cast("array<struct<path:string,value:string>>")
+
+    def walk(prefix: Column | None, value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            parts = [walk(join(prefix, F.lit(f.name)), value[f.name], f.dataType) for f in kind.fields]
+            return F.when(value.isNull(), none).otherwise(F.concat(*parts) if parts else none)
+        if isinstance(kind, T.MapType):
+            below = F.transform(F.map_entries(value), lambda e: walk(join(prefix, e["key"]), e["value"], kind.valueType))
+            return F.when(value.isNull(), none).otherwise(F.flatten(below))
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.MapType, T.ArrayType)):
+            named = next((i for i in ids if isinstance(kind.elementType, T.StructType) and i in kind.elementType.names), None)
+            below = F.transform(value, lambda e, i: walk(join(prefix, e[named] if named else i), e, kind.elementType))
+            return F.when(value.isNull(), none).otherwise(F.flatten(below))
+        return entry(prefix, F.to_json(value) if isinstance(kind, T.ArrayType) else value.cast("string"))
+
+    parts = [walk(F.lit(f.name), F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in keys]
+    long = df.select(*keys, F.explode(F.concat(none, *parts)).alias("e")).select(*keys, "e.path", "e.value")
+    section, field = F.substring_index("path", ".", 1), F.substring_index("path", ".", -1)
+    return long.select(*keys, "path", section.alias("section"), field.alias("field"), "value")
 
-    def walk(prefix: str, schema: T.StructType) -> None:
-        for f in schema.fields:
-            name = f"{prefix}.{f.name}" if prefix else f.name
-            if isinstance(f.dataType, T.StructType):
-                walk(name, f.dataType)
-            elif name not in keys:
-                value = F.to_json(F.col(name)) if isinstance(f.dataType, (T.ArrayType, T.MapType)) else F.col(name).cast("string")
-                found.append((name, value))
 
-    walk("", df.schema)
-    pairs = F.array(*[F.struct(F.lit(n).alias("path"), v.alias("value")) for n, v in found])
-    return df.select(*keys, F.explode(pairs).alias("e")).select(*keys, "e.path", "e.value")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..checkpoints import checkpointed
 from ..operators.perspectives import perspectives, strict_cutoff
 from ..schema import TABLES
+from .storage import create_once, exists
 
 
 def scan_tables(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(TABLES)) -> dict[str, DataFrame]:
@@ -70,30 +75,73 @@ def describe_schema(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, type string")
 
 
-def promote_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, report: DataFrame) -> bool:
-    """Writes the tables under ``run_id`` and then moves the pointer; nothing is written if a check of ``report`` fails.
+MANIFEST = "table_name string, part string, rows long, digest string, run_id string"
+POINTER = "number long, run_id string, previous string"
+
+
+def parts_of(tables: dict[str, DataFrame], parts: dict[str, Column]) -> dict[str, DataFrame]:
+    """The tables with a text column ``__part``: by an expression of their own, or all in one."""
+    return {
+        name: df.withColumn("__part", F.concat(F.lit("p"), F.coalesce(parts[name].cast("string"), F.lit(""))) if name in parts else F.lit("p"))
+        for name, df in tables.items()
+    }
+
+
+def digests(name: str, df: DataFrame) -> DataFrame:
+    """(table_name, part, rows, digest) of what the parts of a table hold, whatever the order of its rows."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "__part"]))
+    one, two = F.xxhash64(F.lit(1), row), F.xxhash64(F.lit(2), row)
+    sums = F.concat_ws(":", F.lit(df.drop("__part").schema.simpleString()).cast("string"), F.sum(one.cast("decimal(20)")).cast("string"), F.bit_xor(two).cast("string"))
+    return df.groupBy(F.col("__part").alias("part")).agg(F.count("*").alias("rows"), F.sha2(sums, 256).alias("digest")).select(F.lit(name).alias("table_name"), "part", "rows", "digest")
+
 
-    The pointer has a numbered row for each promotion, which names the live run and the one before; a failed run leaves it as it is.
+def promote_snapshot(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, report: DataFrame, parts: dict[str, Column] | None = None, expected: int | None = None
+) -> bool:
+    """Makes a snapshot of the tables under ``run_id`` and then moves the pointer; nothing is written if a check of ``report`` fails.
+
+    ``parts``: by what expression a table is parted; the parts of a table, and so its rows in the manifest, should be a bounded number. Only
+    parts whose content the live snapshot lacks are written: the manifest names the run that holds each part, and so shares the
+    others. The pointer has a numbered file for each promotion, which is made once: of two promotions that started from the same
+    number (``expected``; default: the live one's now) the second to arrive fails, returns False and leaves the pointer as it is.
     """
     if report.filter("status = 'FAIL'").limit(1).count():
         return False
     before, number = _pointer(spark, root)
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/snapshots/run_id={run_id}/{name}")
-    row = spark.createDataFrame([(number + 1, run_id, before)], "number long, run_id string, previous string")
-    row.coalesce(1).write.mode("append").json(f"{root}/pointer")
-    return True
+    if exists(spark, f"{root}/manifests/run_id={run_id}") and spark.read.schema(POINTER).json(f"{root}/pointer").filter(F.col("run_id") == run_id).count():
+        raise ValueError(f"{run_id} has been promoted already")
+    start = number if expected is None else expected
+    parted = parts_of(tables, parts or {})
+    found = reduce(DataFrame.unionByName, [digests(n, df) for n, df in parted.items()])
+    held = _manifest(spark, root, before).select("table_name", "part", "digest", F.col("run_id").alias("held"))
+    manifest = found.join(F.broadcast(held), ["table_name", "part", "digest"], "left")
+    manifest = checkpointed(manifest.select("table_name", "part", "rows", "digest", F.coalesce("held", F.lit(run_id)).alias("run_id")))
+    for name, df in parted.items():
+        new = manifest.filter((F.col("table_name") == name) & (F.col("run_id") == run_id)).select(F.col("part").alias("__part"))
+        if not new.isEmpty():
+            df.join(F.broadcast(new), "__part", "left_semi").write.mode("overwrite").partitionBy("__part").parquet(_data(root, name, run_id))
+    schemas = spark.createDataFrame([(n, "", 0, df.schema.json(), run_id) for n, df in tables.items()], MANIFEST)
+    manifest.unionByName(schemas).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifests/run_id={run_id}")
+    row = {"number": start + 1, "run_id": run_id, "previous": before}
+    return create_once(spark, f"{root}/pointer/{start + 1:09d}.json", json.dumps(row) + "\n")
+
+
+def _data(root: str, name: str, run_id: str) -> str:
+    return f"{root}/data/{name}/run_id={run_id}"
+
+
+def _manifest(spark: SparkSession, root: str, run_id: str | None) -> DataFrame:
+    if run_id is None:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/run_id={run_id}")
 
 
 def _pointer(spark: SparkSession, root: str) -> tuple[str | None, int]:
-    """The run that was promoted last and its number."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        pointer = spark.read.schema("number long, run_id string, previous string").json(f"{root}/pointer")
-        found = pointer.orderBy(F.col("number").desc()).limit(1).collect()
-    except AnalysisException:
+    """The run that was promoted last and its number. Only a missing folder means that there is none; a bad file is an error."""
+    if not exists(spark, f"{root}/pointer"):
         return None, 0
+    pointer = spark.read.schema(POINTER).option("mode", "FAILFAST").json(f"{root}/pointer")
+    found = pointer.orderBy(F.col("number").desc()).limit(1).collect()
     return (found[0]["run_id"], found[0]["number"]) if found else (None, 0)
 
 
@@ -102,8 +150,25 @@ def live_run(spark: SparkSession, root: str) -> str | None:
     return _pointer(spark, root)[0]
 
 
+def live_number(spark: SparkSession, root: str) -> int:
+    """How many promotions there were: what a run should pass as ``expected`` if it read the tables of this one."""
+    return _pointer(spark, root)[1]
+
+
 def live_tables(spark: SparkSession, root: str, names: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The tables of the live snapshot: each part from the run that holds it."""
     run = live_run(spark, root)
     if run is None:
         raise FileNotFoundError("no snapshot has been promoted")
-    return {n: spark.read.parquet(f"{root}/snapshots/run_id={run}/{n}") for n in names}
+    rows = _manifest(spark, root, run).filter(F.col("table_name").isin(*names)).collect()  # a row for each part
+    found = {}
+    for name in names:
+        schema = next(T.StructType.fromJson(json.loads(r["digest"])) for r in rows if r["table_name"] == name and r["part"] == "")
+        holders: dict[str, list[str]] = {}
+        for r in rows:
+            if r["table_name"] == name and r["part"]:
+                holders.setdefault(r["run_id"], []).append(r["part"])
+        stored = T.StructType([*schema.fields, T.StructField("__part", T.StringType())])
+        read = [spark.read.schema(stored).parquet(_data(root, name, h)).filter(F.col("__part").isin(*p)).drop("__part") for h, p in sorted(holders.items())]
+        found[name] = reduce(DataFrame.unionByName, read) if read else spark.createDataFrame([], schema)
+    return found

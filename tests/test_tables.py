@@ -185,6 +185,71 @@ def test_snapshot_moves_only_when_checks_pass(spark, tmp_path):
     assert tables.live_run(spark, root) == "r1" and tables.live_tables(spark, root, ("t",))["t"].count() == 3
 
 
+def test_snapshots_share_parts_and_one_of_two_promotions_wins(spark, tmp_path):
+    root, ok = str(tmp_path), spark.createDataFrame([("c", "PASS")], "check_id string, status string")
+    df = spark.createDataFrame([(i, i % 4, {"k": i}) for i in range(40)], "id long, g long, m map<string, long>")
+    parts = {"t": F.col("g")}
+    assert tables.promote_snapshot(spark, {"t": df, "none": df.limit(0)}, root, "r1", ok, parts)
+    new = df.withColumn("id", F.when((F.col("g") == 2) & (F.col("id") == 6), 600).otherwise(F.col("id"))).repartition(3)
+    assert tables.promote_snapshot(spark, {"t": new, "none": df.limit(0)}, root, "r2", ok, parts)
+    written = spark.read.parquet(f"{root}/data/t/run_id=r2")
+    assert written.count() == 10 and {r["__part"] for r in written.select("__part").distinct().collect()} == {"p2"}
+    live = tables.live_tables(spark, root, ("t", "none"))
+    assert sorted(map(str, live["t"].collect())) == sorted(map(str, new.collect())) and live["none"].schema == df.schema and live["none"].count() == 0
+    # both of these started from the second promotion
+    start = tables.live_number(spark, root)
+    assert tables.promote_snapshot(spark, {"t": df}, root, "r3", ok, parts, expected=start) and not tables.promote_snapshot(spark, {"t": new}, root, "r4", ok, parts, expected=start)
+    assert tables.live_run(spark, root) == "r3" and sorted(map(str, tables.live_tables(spark, root, ("t",))["t"].collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(ValueError):
+        tables.promote_snapshot(spark, {"t": df}, root, "r1", ok, parts)
+    (tmp_path / "pointer" / "000000009.json").write_text("{not json")
+    with pytest.raises(Exception):
+        tables.live_run(spark, root)
+
+
+def test_metrics_and_versions_are_written_beside_what_is_read(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    schema = "report_sha256 string, event_date string, path string, brier double"
+    files.write_metrics_csv(spark.createDataFrame([], schema), spark.createDataFrame([("a", "2024-01-02", "x", 0.5), ("b", "2024-01-01", "y", 0.25)], schema), path)
+    read = lambda: spark.read.option("header", True).schema(schema).csv(path)
+    files.write_metrics_csv(read(), spark.createDataFrame([("a", "2024-01-02", "x", 0.75), ("c", "2024-01-03", "z", 1.0)], schema), path)
+    assert [tuple(r) for r in read().orderBy("event_date").collect()] == [("b", "2024-01-01", "y", 0.25), ("a", "2024-01-02", "x", 0.75), ("c", "2024-01-03", "z", 1.0)]
+    versions = str(tmp_path / "versions")
+    first, second = spark.range(300).withColumn("v", F.lit("x")), spark.range(200, 400).withColumn("v", F.lit("x"))
+    files.write_versioned_json(first, versions)
+    files.write_versioned_json(second, versions)
+    stored = files.read_versioned_json(spark, versions)
+    assert stored.count() == stored.select("digest").distinct().count() == 400 and stored.filter(F.sha2("value", 256) != F.col("digest")).count() == 0
+    assert len(list((tmp_path / "versions").glob("prefix=*"))) <= 256
+
+
+def test_evidence_paths_and_claims(spark):
+    from boutlens.operators import coverage
+
+    schema = "pair string, side string, career struct<fights: int, by: map<string, struct<n: int>>>, bouts array<struct<fight_id: string, who: struct<id: string>, tags: array<string>>>, none struct<x: int>, rows array<struct<y: int>>"
+    df = spark.createDataFrame([("p", "a", (3, {"striker": (2,)}), [("f1", ("o1",), ["t"]), ("f2", None, None)], None, [(5,), (6,)])], schema)
+    long = files.long_evidence(df, ["pair", "side"])
+    got = {r.path: r.value for r in long.collect()}
+    assert got == {"career.fights": "3", "career.by.striker.n": "2", "bouts.f1.fight_id": "f1", "bouts.f1.who.id": "o1", "bouts.f1.tags": '["t"]', "bouts.f2.fight_id": "f2", "bouts.f2.tags": None, "rows.0.y": "5", "rows.1.y": "6"}
+    assert {(r.section, r.field) for r in long.collect()} >= {("career", "n"), ("bouts", "id"), ("rows", "y")}
+    claims = [(1, "bouts.f1.who.id", "o1"), (2, "bouts.f1.who.id", "o2"), (3, "bouts.f9.who.id", "o1"), (4, "career.fights", " 3.0"), (5, "bouts.f2.tags", None), (6, "bouts.f2.tags", "t"), (7, "bouts", "f1")]
+    claims = spark.createDataFrame([("p", "a", *c) for c in claims], "pair string, side string, claim_id int, path string, value string")
+    status = {r.claim_id: r.status for r in coverage.claim_check(claims, long, ["pair", "side"]).collect()}
+    assert status == {1: "supported", 2: "contradicted", 3: "unknown path", 4: "supported", 5: "supported", 6: "contradicted", 7: "unknown path"}
+
+
+def test_leaks_are_told_by_column_and_table(spark):
+    from boutlens.operators.perspectives import AFTER, FINAL, SAFE_FEATURES, leak_audit
+    from boutlens.schema import STATS
+
+    leaking = ["fights.winner_name", "fights.fighter_a_knockdowns", "fighter_bout_history.bout_outcome", "referee", "time_format", "event_method_code", " Fights.Result ", "opponent_bout_reversals", "db.fight_rounds.round_number", "archive.fighters.wins", "bout_x."]
+    leaking += [*AFTER, *[f"x.{c}" for c in AFTER], *[f"fighters.{c}" for c in FINAL], *[f"fights.fighter_{s}_{c}" for s in "ab" for c in STATS], *[f"fight_rounds.{c}" for c in STATS]]
+    safe = ["fighters.knockdowns", "fighters.age", "fights.fighter_a_wins", "fights.weight_class", "events.event_date", "wins", "fights.head_to_head_fight_count", "fighter_a_wins", "prefight_wins", "fighters.result_count", "", *SAFE_FEATURES]
+    df = spark.createDataFrame([(c,) for c in [*leaking, *safe, None]], "column_name string")
+    got = {r.column_name: r.leaks for r in leak_audit(df).collect()}
+    assert all(got[c] for c in leaking) and not any(got[c] for c in safe) and got[None] is False
+
+
 def test_ledger_counts_only_complete_runs(spark, tmp_path):
     whole = '{"kind":"run","run_id":"r","cutoff":"2024-01-01"}\n{"kind":"prediction","fighter_a":"A","fighter_b":"B","predicted_winner":"A"}\n{"kind":"complete"}\n'
     (tmp_path / "a.jsonl").write_text(whole)
