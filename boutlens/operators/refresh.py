@@ -81,6 +81,8 @@ def refresh(
     merged = reconcile.upsert_contests(base["fights"], fights)
     all_rounds = reconcile.upsert_rounds(base["fight_rounds"], rounds, whole.filter("complete").select("fight_id"))
     people = reconcile.upsert_profiles(base["fighters"], sent["fighters"], run["finished_at"])
+    # all of them are read many times from here on
+    events, merged, all_rounds, people = (checkpointed(df) for df in (events, merged, all_rounds, people))
     if incremental:
         if not {f"fighter_{s}_{c}" for s in "ab" for c in derived.REPLAYED} <= set(base["fights"].columns):
             raise ValueError("an incremental refresh needs a base that has been rebuilt")

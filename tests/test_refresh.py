@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from boutlens.checkpoints import checkpointed
 from boutlens.operators import derived, reconcile, refresh
 from boutlens.schema import STATS
 from boutlens.sources import tables
@@ -67,6 +68,42 @@ def test_refresh_promotes_and_refuses(spark, tmp_path):
     assert {x["run_id"] for x in audit} == {"r1", "r2"}
 
 
+def test_rebuilding_what_a_card_touches_equals_a_full_rebuild(spark):
+    base, sent = store(spark, GRAPH[:-1]), store(spark, GRAPH[-1:])
+    events, fights, rounds, fighters = (base[t] for t in ("events", "fights", "fight_rounds", "fighters"))
+    made, people, _, _ = derived.rebuild_tables(events, fights, rounds, fighters)
+    merged = checkpointed(reconcile.upsert_contests(made, sent["fights"]))
+    cards, all_rounds = checkpointed(events.unionByName(sent["events"])), checkpointed(rounds.unionByName(sent["fight_rounds"]))
+    everyone = checkpointed(people.unionByName(sent["fighters"].join(people, "fighter_id", "left_anti"), allowMissingColumns=True))
+    full, totals, _, _ = derived.rebuild_tables(cards, merged, all_rounds, everyone)
+    part, touched, report, errors, ids = derived.rebuild_touched(cards, merged, all_rounds, everyone, sent["events"])
+    rows = lambda df, like: sorted(map(str, df.select(sorted(like.columns)).collect()))
+    assert set(full.columns) <= set(part.columns) and rows(part, full) == rows(full, full) and rows(touched, totals) == rows(totals, totals)
+    assert errors.count() == 0 and ids.count() == {r.counter: r.n for r in report.collect()}["fights_processed"] < full.count()
+
+
+def test_incremental_refresh_writes_its_share(spark, tmp_path):
+    base, sent = store(spark, GRAPH[:-1]), store(spark, GRAPH[-1:])
+    made, people, _, _ = derived.rebuild_tables(base["events"], base["fights"], base["fight_rounds"], base["fighters"])
+    root, names = str(tmp_path), tuple(base)
+    sound = spark.createDataFrame([("c", "PASS")], "check_id string, status string")
+    parts = {t: refresh.bucket(k) for t, k in refresh.PARTS.items()}
+    assert tables.promote_snapshot(spark, base | {"fights": made, "fighters": people}, root, "r0", sound, parts)
+    live = {k: checkpointed(v) for k, v in tables.live_tables(spark, root, names).items()}
+    listing = base["events"].unionByName(sent["events"]).select("event_url", "event_date").distinct().withColumn("deferred", F.lit(False))
+    pages = spark.createDataFrame([("listing", True)], "kind string, succeeded boolean")
+    ok, report = refresh.refresh(live, sent, listing, pages, RUN, root, incremental=True, rounds_since="1990-01-01")
+    assert ok and tables.live_run(spark, root) == "r1", report.filter("status = 'FAIL'").collect()
+    now = {k: checkpointed(v) for k, v in tables.live_tables(spark, root, names).items()}
+    again, _, _, _ = derived.rebuild_tables(now["events"], now["fights"], now["fight_rounds"], now["fighters"])
+    rows = lambda df: sorted(map(str, df.select(sorted(again.columns)).collect()))
+    assert now["fights"].count() == len(GRAPH) and rows(now["fights"]) == rows(again)
+    held = spark.read.parquet(f"{root}/manifests/run_id=r1").filter("part != ''")
+    assert held.filter("table_name = 'fight_rounds' AND run_id = 'r0'").count() > 0 and held.filter("table_name = 'events' AND run_id = 'r1'").count() == 1
+    with pytest.raises(ValueError):
+        refresh.refresh(base | {"fights": base["fights"].drop("fighter_a_wins")}, sent, listing, pages, RUN | {"run_id": "r2"}, root, incremental=True)
+
+
 def test_stale_contests_go_only_if_allowed(spark):
     s = store(spark, GRAPH[:2])
     source = s["fights"].select("event_id", F.when(F.col("fight_id") == GRAPH[0][0], "other").otherwise(F.col("fight_id")).alias("fight_id"))
