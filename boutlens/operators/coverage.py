@@ -102,14 +102,29 @@ def match_texts(texts: DataFrame, contests: DataFrame, days: int = 14) -> DataFr
 
     texts: text_id, title_words, text_words (title and description), published_date. contests: fight_id, event_id, event_date,
     a_words and b_words (arrays: name and aliases), a_surname and b_surname, label_words and label_pairs (see event_matches);
-    all words as functions.words gives them. Recaps match nothing; a preview of some card is a provisional match. Both meet
-    by week, so the match is an equi-join with conditions.
+    all words as functions.words gives them. Recaps match nothing; a preview of some card is a provisional match.
+
+    An index of the texts' words finds what can match: a text that names a contest has the last word of one of the first side's
+    names, one that names a card the last word of one of its labels. Only such pairs of the same week are made, as an equi-join
+    of words, and verified on the whole texts; previews alone meet every contest of their days. ``text_id`` and ``fight_id`` are unique.
     """
     week = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / 7)
-    weeks = F.sequence(week(F.col("published_date")), week(F.date_add("published_date", days)))
-    left = texts.filter(~recap(F.col("title_words"))).withColumn("__week", F.explode(weeks))
-    df = left.join(contests.withColumn("__week", week(F.col("event_date"))), "__week")
-    df = df.filter(F.datediff("event_date", "published_date").between(0, days))
+    known = texts.filter(~recap(F.col("title_words")))
+    weeks = F.explode(F.sequence(week(F.col("published_date")), week(F.date_add("published_date", days)))).alias("__week")
+    last = lambda x: F.substring_index(x, " ", -1)
+    asked = F.array_distinct(F.concat(
+        F.transform("a_words", last), F.array(last(F.col("a_surname"))), F.transform("label_words", last),
+        F.coalesce(F.transform("label_pairs", lambda p: last(p[0])), F.array().cast("array<string>")),
+    ))
+    told = contests.withColumns({c: F.coalesce(c, F.array().cast(contests.schema[c].dataType)) for c in ("a_words", "label_words")})
+    told = told.select("fight_id", "event_date", F.explode(asked).alias("__word"), week(F.col("event_date")).alias("__week")).filter("__word != ''")
+    said = known.select("text_id", "published_date", F.explode(F.array_distinct(F.split("text_words", " "))).alias("__word"))
+    said = said.select("text_id", "published_date", "__word", weeks)
+    near = F.datediff("event_date", "published_date").between(0, days)
+    found = said.join(told, ["__word", "__week"]).filter(near).select("text_id", "fight_id")
+    previews = known.filter(card_preview(F.col("title_words"))).select("text_id", "published_date", weeks)
+    any_ = previews.join(contests.select("fight_id", "event_date", week(F.col("event_date")).alias("__week")), "__week").filter(near)
+    df = found.unionByName(any_.select("text_id", "fight_id")).distinct().join(known, "text_id").join(contests, "fight_id")
     text = F.col("text_words")
     named = lambda side: F.exists(side, lambda x: mentions(text, x))
     both = (named("a_words") & named("b_words")) | paired_title(text, F.col("a_surname"), F.col("b_surname"))

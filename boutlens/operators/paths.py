@@ -28,37 +28,52 @@ def win_edges(persp: DataFrame, cutoff: str, half_life_days: float = 1095.75, fi
     return wins.select(F.col("fighter_id").alias("winner"), F.col("opponent_id").alias("loser"), "fight_id", weight.alias("weight"))
 
 
+def half_chains(ends: DataFrame, edges: DataFrame, most: int, forward: bool) -> list[DataFrame]:
+    """Simple chains of 0 .. ``most`` wins from each of ``ends`` (end), or towards it: end, at (the other end), seen, fights (both in the
+    order of the chain) and the product of the weights."""
+    here, there = ("winner", "loser") if forward else ("loser", "winner")
+    step = edges.select(F.col(here).alias("at"), F.col(there).alias("__next"), F.col("fight_id").alias("__f"), F.col("weight").alias("__w"))
+    kind = edges.schema["fight_id"].dataType.simpleString()
+    found = [ends.select("end", F.col("end").alias("at"), F.array("end").alias("seen"), F.array().cast(f"array<{kind}>").alias("fights"), F.lit(1.0).alias("product"))]
+    grown = lambda c, x: F.concat(c, F.array(x)) if forward else F.concat(F.array(x), c)
+    for _ in range(most):
+        on = found[-1].join(step, "at").filter(~F.array_contains("seen", F.col("__next")))
+        found.append(on.select(
+            "end", F.col("__next").alias("at"), grown(F.col("seen"), F.col("__next")).alias("seen"), grown(F.col("fights"), F.col("__f")).alias("fights"),
+            (F.col("product") * F.col("__w")).alias("product"),
+        ))
+    return found
+
+
 def paths(pairs: DataFrame, edges: DataFrame, max_depth: int = 3) -> DataFrame:
-    """All simple chains from ``start`` to ``target`` of at most ``max_depth`` wins; rematches are edges of their own.
+    """All simple chains from ``start`` to ``target`` of at most ``max_depth`` wins; rematches are edges of their own. No chain is left out.
 
-    Each step is an equi-join on the entity reached; the last one joins on the target too, so only chains that arrive
-    are made there. No chain is left out.
+    Chains grow from both ends, once for each end and not for each pair, and meet in the middle: half of the steps from the
+    start and half from the target, joined on the target and the entity reached, where they share no other entity. So the chains
+    listed at a hub grow with half of the depth.
     """
     if not 1 <= max_depth <= 5:
         raise ValueError("max_depth must be 1..5")
-    # chains of 0 .. max_depth - 1 edges that may go on
-    going = pairs.select("start", "target", F.col("start").alias("at"), F.array("start").alias("seen"), F.array().cast("array<long>").alias("fights"), F.lit(1.0).alias("product"))
-    last = edges.select(F.col("winner").alias("at"), F.col("loser").alias("target"), F.col("fight_id").alias("__f"), F.col("weight").alias("__w"))
-    step = edges.select(F.col("winner").alias("at"), F.col("loser").alias("__next"), F.col("fight_id").alias("__f"), F.col("weight").alias("__w"))
+    pairs = pairs.select("start", "target").distinct()
+    heads = half_chains(pairs.select(F.col("start").alias("end")).distinct(), edges, (max_depth + 1) // 2, True)
+    tails = half_chains(pairs.select(F.col("target").alias("end")).distinct(), edges, max_depth // 2, False)
     found = []
     for depth in range(1, max_depth + 1):
-        arrived = going.join(last, ["at", "target"])
-        found.append(arrived.select(
-            "start", "target", F.array_append("seen", F.col("target")).alias("entities"), F.array_append("fights", F.col("__f")).alias("fights"),
-            (F.col("product") * F.col("__w") / depth**2).alias("weight"),
+        head = heads[(depth + 1) // 2].withColumnRenamed("end", "start")
+        tail = tails[depth // 2].select(F.col("end").alias("target"), "at", F.col("seen").alias("__seen"), F.col("fights").alias("__fights"), F.col("product").alias("__product"))
+        # a chain that has met the target goes no further
+        met = pairs.join(head, "start").filter(~F.array_contains("seen", F.col("target")) | (F.col("at") == F.col("target"))).join(tail, ["target", "at"])
+        met = met.filter(F.size(F.array_intersect("seen", "__seen")) == 1)
+        found.append(met.select(
+            "start", "target", F.concat("seen", F.slice("__seen", 2, max_depth + 1)).alias("entities"), F.concat("fights", "__fights").alias("fights"),
+            (F.col("product") * F.col("__product") / depth**2).alias("weight"),
         ))
-        if depth < max_depth:
-            on = going.join(step, "at").filter((F.col("__next") != F.col("target")) & ~F.array_contains("seen", F.col("__next")))
-            going = on.select(
-                "start", "target", F.col("__next").alias("at"), F.array_append("seen", F.col("__next")).alias("seen"),
-                F.array_append("fights", F.col("__f")).alias("fights"), (F.col("product") * F.col("__w")).alias("product"),
-            )
     return reduce(DataFrame.unionByName, found)
 
 
 def strongest_paths(found: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` heaviest chains of each (start, target); ties go by their contests."""
-    order = Window.partitionBy("start", "target").orderBy(F.col("weight").desc(), "fights")
+    """The ``k`` heaviest chains of each (start, target), by twelve digits of the weight; ties go by their contests."""
+    order = Window.partitionBy("start", "target").orderBy(F.round("weight", 12).desc(), "fights")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

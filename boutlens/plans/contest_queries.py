@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
 from ..functions import scalars
-from ..operators import asof, derived, evidence, metrics, paths, perspectives, ratings
+from ..operators import asof, coverage, derived, evidence, metrics, paths, perspectives, ratings
 from ..schema import STATS, SUMMED
-from ..sources import tables
+from ..sources import files, tables
 from .catalog import HISTORY_SQL, WITH, Tables, query, r6, rounded
 
 CUTOFF = "2000-01-01"
@@ -221,6 +221,26 @@ def _win_paths(t: Tables) -> DataFrame:
     return rounded(paths.win_paths(t.pairs, t.persp, CUTOFF), "a_to_b_score", "b_to_a_score")
 
 
+def _chains(depth: int) -> str:
+    """All simple chains of so many wins from s to t."""
+    e = [f"e{i}" for i in range(depth)]
+    joins = " ".join(f"JOIN edges {x} ON {x}.w = {'s' if not i else f'{e[i - 1]}.l'}" + (f" AND {x}.l = t" if i == depth - 1 else "") for i, x in enumerate(e))
+    nodes = ["s", *[f"{x}.l" for x in e[:-1]], "t"]
+    apart = " AND ".join(f"{x} <> {y}" for i, x in enumerate(nodes) for y in nodes[i + 1 :])
+    return f"SELECT s, t, [{', '.join(nodes)}] AS entities, [{', '.join(f'{x}.f' for x in e)}] AS fights, {' * '.join(f'{x}.v' for x in e)} / {depth**2} AS weight FROM asked {joins} WHERE {apart}"
+
+
+@query("strongest_paths", f"""{WITH}, {_EDGES}, asked AS (SELECT DISTINCT fighter_a_id AS s, fighter_b_id AS t FROM contests WHERE event_date < DATE '{CUTOFF}'),
+       found AS ({" UNION ALL ".join(_chains(d) for d in (1, 2, 3, 4))}),
+       ranked AS (SELECT *, row_number() OVER (PARTITION BY s, t ORDER BY round(weight, 12) DESC, fights) AS rank FROM found)
+       SELECT s AS start, t AS target, rank, array_to_string(entities, '>') AS entities, {R6("weight")} AS weight FROM ranked WHERE rank <= 3""")
+def _strongest_paths(t: Tables) -> DataFrame:
+    """The three heaviest chains of up to four wins between those that met before the cutoff."""
+    met = t.contests.filter(F.col("event_date") < CUTOFF).select(F.col("fighter_a_id").alias("start"), F.col("fighter_b_id").alias("target"))
+    best = paths.strongest_paths(paths.paths(met, checkpointed(paths.win_edges(t.persp, CUTOFF)), 4), 3)
+    return rounded(best, "weight").select("start", "target", "rank", F.array_join(F.col("entities").cast("array<string>"), ">").alias("entities"), "weight")
+
+
 _QUALITY = "CASE WHEN w + l + d > 0 THEN (w + 0.5::DOUBLE * d + 1) / (w + l + d + 2) END"
 
 
@@ -384,6 +404,35 @@ def _evidence(t: Tables) -> DataFrame:
     return df.select("a_id", "b_id", "side", "fighter_id", "opponent_id", *scalars_, *[F.to_json(c).alias(c) for c in parts])
 
 
+_BOUT = ("event_date", "opponent_id", "weight_class", "bout_outcome", "method_of_victory", "ending_round")
+
+
+@query("evidence_paths", f"""{WITH}, known AS (SELECT * FROM persp WHERE event_date < DATE '{CUTOFF}'),
+       b AS (UNPIVOT (SELECT fighter_id, fight_id, {", ".join(f"{c}::VARCHAR AS {c}" for c in _BOUT)} FROM known) ON {", ".join(_BOUT)} INTO NAME field VALUE value),
+       m AS (SELECT fighter_id, count(*) AS fights, {_RECORD}, max(fighter_sequence) - coalesce(max(fighter_sequence) FILTER (WHERE bout_outcome IS DISTINCT FROM 'win'), 0) AS win_streak,
+             DATE '{CUTOFF}' - max(event_date) AS days_since_last_fight FROM known GROUP BY 1),
+       c AS (UNPIVOT (SELECT fighter_id, {", ".join(f"{c}::VARCHAR AS {c}" for c in ("fights", "record_win", "record_loss", "win_streak", "days_since_last_fight"))} FROM m)
+             ON fights, record_win, record_loss, win_streak, days_since_last_fight INTO NAME field VALUE value),
+       paths AS (SELECT fighter_id, 'bouts.' || fight_id || '.' || field AS path, 'bouts' AS section, field, value FROM b
+                 UNION ALL SELECT fighter_id, CASE WHEN field IN ('win_streak', 'days_since_last_fight') THEN field ELSE 'career.' || field END,
+                 CASE WHEN field IN ('win_streak', 'days_since_last_fight') THEN field ELSE 'career' END, field, value FROM c),
+       claims AS (SELECT fighter_id, 'bouts.' || fight_id || '.method_of_victory' AS path, CASE WHEN fight_id % 3 = 0 THEN 'Submission' ELSE method_of_victory END AS claimed FROM persp WHERE fight_id % 5 < 2)
+       SELECT p.fighter_id, path, section, field, value, CASE WHEN claimed IS NULL THEN NULL WHEN claimed = value THEN 'supported' ELSE 'contradicted' END AS claim
+       FROM paths p LEFT JOIN claims USING (fighter_id, path)""")
+def _paths_of_evidence(t: Tables) -> DataFrame:
+    """Careers and bouts of all entities as stable paths, with the verdict on claims about how a bout ended."""
+    known = perspectives.strict_cutoff(t.persp, CUTOFF)
+    bouts = known.groupBy("fighter_id").agg(F.collect_list(F.struct("fight_id", *_BOUT)).alias("bouts"))
+    career = F.struct(*[F.col(f"career.{c}").alias(c) for c in ("fights", "record_win", "record_loss")]).alias("career")
+    nested = evidence.careers(known, t.fighters, CUTOFF).select("fighter_id", career, "win_streak", "days_since_last_fight").join(bouts, "fighter_id")
+    long = files.long_evidence(nested, ["fighter_id"]).filter("value IS NOT NULL AND field != 'fight_id'")
+    claimed = F.when(F.col("fight_id") % 3 == 0, "Submission").otherwise(F.col("method_of_victory"))
+    path = F.concat(F.lit("bouts."), "fight_id", F.lit(".method_of_victory")).alias("path")
+    claims = t.persp.filter("fight_id % 5 < 2").select(F.col("fight_id").alias("claim_id"), "fighter_id", path, claimed.alias("value"))
+    verdict = coverage.claim_check(claims, long, ["fighter_id"]).filter("status != 'unknown path'").select("fighter_id", "path", F.col("status").alias("claim"))
+    return long.join(verdict, ["fighter_id", "path"], "left").select("fighter_id", "path", "section", "field", "value", "claim")
+
+
 @query("safe_features", f"""{WITH} SELECT fight_id, event_id, event_date, weight_class, fighter_id, opponent_id, slot FROM persp""", dates=("event_date",))
 def _safe(t: Tables) -> DataFrame:
     return perspectives.safe_features(t.persp)
@@ -403,7 +452,8 @@ def _counted(table: str, name: str) -> str:
 def _leaks(t: Tables) -> DataFrame:
     """Of every column of the tables how many rows know it, and whether it is known only after the contest."""
     found = []
-    for name, df in (("fights", t.contests), ("fighters", t.fighters), ("fight_rounds", t.rounds), ("fighter_bout_history", t.persp)):
+    known = t.persp.drop("name", "opponent_name", "result", "winner_fighter_id")
+    for name, df in (("fights", t.contests), ("fighters", t.fighters), ("fight_rounds", t.rounds), ("fighter_bout_history", known)):
         counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
         long = counts.select(F.explode(F.array(*[F.struct(F.lit(f"{name}.{c}").alias("column_name"), F.col(c).alias("known")) for c in df.columns])).alias("x"))
         found.append(long.select("x.*"))
