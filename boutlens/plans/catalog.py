@@ -100,3 +100,5 @@ PERSP = f"""persp AS (
                  split_part(ending_time, ':', 1)::INT * 60 + split_part(ending_time, ':', 2)::INT AS clock
           FROM ({_side('a', 'b')} UNION ALL {_side('b', 'a')})))"""
 WITH = with_clause("contests", "entities", "cards", "rounds") + ",\n" + PERSP
+#: The same, with each table that is read several times made once, whatever the engine would choose.
+ONCE = WITH.replace("contests AS (", "contests AS MATERIALIZED (").replace("rounds AS (", "rounds AS MATERIALIZED (").replace("persp AS (", "persp AS MATERIALIZED (")

@@ -12,7 +12,7 @@ from ..functions import scalars
 from ..operators import asof, coverage, derived, evidence, metrics, paths, perspectives, ratings
 from ..schema import STATS, SUMMED
 from ..sources import files, tables
-from .catalog import HISTORY_SQL, WITH, Tables, query, r6, rounded
+from .catalog import HISTORY_SQL, ONCE, WITH, Tables, query, r6, rounded
 
 CUTOFF = "2000-01-01"
 ORDER = f"PARTITION BY fighter_id ORDER BY {HISTORY_SQL}"
@@ -356,7 +356,7 @@ _STYLED = f"""{_STATES.format(source="persp")}, prior AS (SELECT fighter_id AS s
                    FROM persp p LEFT JOIN prior ON subject = opponent_id AND prior.day = p.event_date), {_ranks("key")}"""
 
 
-@query("style_profile", f"""{WITH}, {_STYLED} SELECT fight_id, fighter_id, opponent_id, {", ".join(f"{R6(f'r_{k}')} AS {k}" for k in asof.STYLE_KEYS)}, tags, status, c AS cohort, same,
+@query("style_profile", f"""{ONCE}, {_STYLED.replace("states AS (", "states AS MATERIALIZED (")} SELECT fight_id, fighter_id, opponent_id, {", ".join(f"{R6(f'r_{k}')} AS {k}" for k in asof.STYLE_KEYS)}, tags, status, c AS cohort, same,
        coalesce(timed, 0)::BIGINT AS prior_stat_fights FROM styled""")
 def _style(t: Tables) -> DataFrame:
     df = rounded(_before(t)[1], *asof.STYLE_KEYS).withColumn("tags", F.array_join("tags", ","))

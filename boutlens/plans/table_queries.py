@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import derived, reconcile, scoring, validate
-from .catalog import WITH, Tables, query, rounded
+from .catalog import ONCE, WITH, Tables, query, rounded
 
 R6 = lambda x: f"round({x}, 6) + 0.0"
 TODAY = "2000-06-01"
@@ -75,10 +75,10 @@ def _upsert(t: Tables) -> DataFrame:
     return reconcile.upsert_contests(t.contests.select("fight_id", "event_id", "method_of_victory"), _incoming(t))
 
 
-@query("upsert_rounds", f"""{WITH}, sent AS MATERIALIZED (SELECT fight_id, round_number, fighter_id, knockdowns + 1 AS knockdowns FROM rounds WHERE fight_id % 2 = 0 AND round_number = 1)
-       SELECT coalesce(s.fight_id, r.fight_id) AS fight_id, coalesce(s.round_number, r.round_number) AS round_number, coalesce(s.fighter_id, r.fighter_id) AS fighter_id,
-       coalesce(s.knockdowns, r.knockdowns) AS knockdowns FROM rounds r FULL JOIN sent s ON r.fight_id = s.fight_id AND r.round_number = s.round_number AND r.fighter_id = s.fighter_id
-       LEFT JOIN (SELECT DISTINCT fight_id FROM sent WHERE fight_id % 4 = 0) w ON w.fight_id = r.fight_id WHERE s.fight_id IS NOT NULL OR w.fight_id IS NULL""")
+@query("upsert_rounds", f"""{ONCE}, sent AS MATERIALIZED (SELECT fight_id, round_number, fighter_id, knockdowns + 1 AS knockdowns FROM rounds WHERE fight_id % 2 = 0 AND round_number = 1)
+       SELECT * FROM sent
+       UNION ALL SELECT fight_id, round_number, fighter_id, knockdowns FROM rounds r ANTI JOIN sent s USING (fight_id, round_number, fighter_id)
+       WHERE fight_id % 4 <> 0 OR fight_id NOT IN (SELECT fight_id FROM sent)""")
 def _upsert_rounds(t: Tables) -> DataFrame:
     keys = ("fight_id", "round_number", "fighter_id")
     sent = t.rounds.filter("fight_id % 2 = 0 AND round_number = 1").select(*keys, (F.col("knockdowns") + 1).alias("knockdowns"))
