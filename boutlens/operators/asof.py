@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,24 +87,58 @@ def opposition_summary(rated: DataFrame) -> DataFrame:
     )
 
 
-def midrank(df: DataFrame, value: str, name: str, *keys: str) -> DataFrame:
-    """Adds the midrank of ``value`` among the rows (of ``keys``) that have one.
+#: Distinct values up to which one window for each group places them.
+VALUES = 1_000_000
 
-    Rows are counted by value first; the running count goes over values, in ranges of the values' order, so no task holds
-    more than a range or one row for each range.
+
+def placed_values(df: DataFrame, value: str, keys: Sequence[str], values: int = VALUES) -> DataFrame:
+    """(keys, value, same, less, known): how many rows of ``keys`` have the value, a smaller one, and any; nulls are left out.
+
+    Rows are counted by value first, so a group takes no more than its distinct values. Where these are many, the running count
+    goes over ranges of the values' order, and no task holds more than a range or one row for each range.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__same"))
-    ranged = checkpointed(counts.repartitionByRange(*[F.col(k) for k in keys], F.col(value)).withColumn("__range", F.spark_partition_id()))
-    totals = ranged.groupBy(*keys, "__range").agg(F.sum("__same").alias("__sum"))
-    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = checkpointed(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("same")))
     whole = Window.partitionBy(*keys)
-    bases = totals.select(*keys, "__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"), F.sum("__sum").over(whole).alias("__known"))
+    if counts.count() <= values:
+        before = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({"less": F.coalesce(F.sum("same").over(before), F.lit(0)), "known": F.sum("same").over(whole)})
+    ranged = checkpointed(counts.repartitionByRange(*[F.col(k) for k in keys], F.col(value)).withColumn("__range", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "__range").agg(F.sum("same").alias("__sum"))
+    before = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__k{i}" for i in range(len(keys))]
+    bases = totals.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__range").alias("__at"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"),
+        F.sum("__sum").over(whole).alias("known"),
+    )
     within = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("__less", F.coalesce(F.sum("__same").over(within), F.lit(0))).join(small(bases), [*keys, "__range"])
-    rank = (F.col("__base") + F.col("__less") + 0.5 * F.col("__same")) / F.col("__known")
+    met = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)], F.col("__range") == F.col("__at"))
+    placed = ranged.withColumn("__less", F.coalesce(F.sum("same").over(within), F.lit(0))).join(small(bases), met)
+    return placed.select(*keys, value, "same", (F.col("__base") + F.col("__less")).alias("less"), "known")
+
+
+def midrank(df: DataFrame, value: str, name: str, *keys: str, values: int = VALUES) -> DataFrame:
+    """Adds the midrank of ``value`` among the rows (of ``keys``) that have one."""
+    placed = placed_values(df, value, keys, values)
+    rank = (F.col("less") + 0.5 * F.col("same")) / F.col("known")
     return df.join(placed.select(*keys, value, rank.alias(name)), [*keys, value], "left").select(*df.columns, name)
 
 
+def quantiles(df: DataFrame, value: str, fractions: dict[str, float], *keys: str, values: int = VALUES) -> DataFrame:
+    """(keys, a column for each of ``fractions``): exact quantiles of ``value``, between two ranks by linear interpolation.
+
+    The ranks wanted are looked up among the counted values; no group is ever held as a list. Groups without values are left out.
+    """
+    placed = placed_values(df, value, keys, values)
+
+    def at(f: float) -> Column:
+        place = (F.col("known") - 1) * F.lit(f)
+        holds = lambda rank: (F.col("less") <= rank) & (rank < F.col("less") + F.col("same"))
+        low, high = (F.max(F.when(holds(r), F.col(value))) for r in (F.floor(place), F.ceil(place)))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    return placed.groupBy(*keys).agg(*[at(f).alias(n) for n, f in fractions.items()])
+
+
 def style_midranks(persp: DataFrame, cutoff: str) -> DataFrame:
     """Midranks of the five style metrics over the whole roster of a cutoff, and tags from ``high`` on."""
     stats = entity_metrics(strict_cutoff(persp, cutoff))

@@ -486,4 +486,6 @@ def _bounded(t: Tables) -> DataFrame:
 
 @query("percentile_linear", f"{WITH} SELECT weight_class, {R6('quantile_cont(bout_significant_strikes_landed, 1.0 / 3)')} AS low, {R6('quantile_cont(bout_significant_strikes_landed, 2.0 / 3)')} AS high FROM persp GROUP BY 1")
 def _percentile(t: Tables) -> DataFrame:
-    return t.persp.groupBy("weight_class").agg(r6(F.percentile("bout_significant_strikes_landed", 1 / 3)).alias("low"), r6(F.percentile("bout_significant_strikes_landed", 2 / 3)).alias("high"))
+    rows = t.persp.select("weight_class", "bout_significant_strikes_landed")
+    known = asof.quantiles(rows, "bout_significant_strikes_landed", {"low": 1 / 3, "high": 2 / 3}, "weight_class")
+    return rounded(known, "low", "high")
