@@ -8,7 +8,10 @@
    with the next line.
 3. Leaves of long lines that hold one line, or in too few documents, are never gathered. A leaf of many lines is dealt to
    parts of a bounded size by a salt; the parts' templates are dealt anew and merged, as long as that shrinks the leaf by a
-   tenth.
+   tenth. What is left of a leaf that is still large is dealt by content: its places are cut into one block more than a line
+   may differ in from its template, so two lines that belong together agree in a whole block, and in the round of this block
+   they stand in one part. Above ``PLACES`` blocks (lines of some 40 tokens) as many single places stand for them. Only a
+   part that two neighbouring blocks leave larger than a part may be is salted again.
 4. Documents are counted for each line and each template. The document with the smallest id keeps its lines of a recurring
    one, in all others they go.
 
@@ -33,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, packed, row_key, small, text_batches, unpacked
@@ -45,6 +48,8 @@ LEADING, SIMILAR = 2, 0.6
 LONG, LEAST = 12, LEADING + 2
 #: Lines, and bytes of token codes in all, of one part of a leaf.
 LINES, BYTES = 1_000, 400_000
+#: Rounds by content at most.
+PLACES = 16
 FIELD = b"<*>"
 #: Kinds of lines, in the two lowest bits of their hashes.
 EXACT, VAGUE, SINGLE = 0, 1, 2
@@ -166,10 +171,14 @@ def merged(codes: np.ndarray, field: int, similar: float) -> list[tuple[np.ndarr
 MINED = "leaf long, parts long, line long, template long, codes binary"
 
 
-def mined(lines: DataFrame, salt: int, similar: float) -> DataFrame:
-    """``lines`` (leaf, parts, line, codes) with the template of each within its part of the leaf; alone, a line is its own."""
+def mined(lines: DataFrame, similar: float) -> DataFrame:
+    """``lines`` (leaf, parts, part, line, codes) with the template of each within its part; alone, a line is its own."""
 
     def of(group: list[tuple]) -> Iterator[tuple]:
+        if len(group) == 1:
+            leaf, parts, _, line, own = group[0]
+            yield leaf, parts, line, line, own
+            return
         short = bool(group[0][0] & 1)
         codes = np.array([np.frombuffer(c, WIDTHS[short]) for *_, c in group])
         for template, rows in merged(codes, FIELD_CODE[short], similar):
@@ -201,17 +210,59 @@ def mined(lines: DataFrame, salt: int, similar: float) -> DataFrame:
         if out:
             yield batch_of(out)
 
-    part = F.pmod(F.xxhash64(F.lit(salt), "line"), "parts").alias("part")
-    dealt = lines.select("leaf", "parts", part, "line", "codes").repartition("leaf", "part")
+    dealt = lines.select("leaf", "parts", "part", "line", "codes").repartition("leaf", "part")
     return dealt.sortWithinPartitions("leaf", "part", "line").mapInArrow(run, MINED)
 
 
-def with_parts(lines: DataFrame) -> DataFrame:
-    """``lines`` (leaf, line, codes) with ``parts``: into how many their leaf is dealt."""
-    sizes = lines.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.length("codes")).alias("bytes"))
+def salted(salt: int) -> Column:
+    """Which of its ``parts`` a line goes to."""
+    return F.pmod(F.xxhash64(F.lit(salt), "line"), "parts")
+
+
+def with_parts(lines: DataFrame, by: tuple[str, ...] = ("leaf",)) -> DataFrame:
+    """``lines`` (leaf, line, codes) with ``parts``: into how many their leaf, or group, is dealt."""
+    sizes = lines.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.length("codes")).alias("bytes"))
     parts = F.greatest(F.ceil(F.col("n") / LINES), F.ceil(F.col("bytes") / BYTES)).cast("long")
-    large = cut(sizes.select("leaf", parts.alias("parts")).filter("parts > 1"))  # only these are looked up
-    return lines.join(small(large), "leaf", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    large = cut(sizes.select(*by, parts.alias("parts")).filter("parts > 1"))  # only these are looked up
+    return lines.join(small(large), [*by], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+
+
+def blocks(similar: float) -> Column:
+    """Into how many blocks the places of a line are cut: one more than those in which it may differ from its template."""
+    n = places()
+    return F.least(n - F.greatest(F.lit(LEADING + 1), F.ceil(F.lit(similar) * n)) + 1, F.lit(PLACES)).cast("int")
+
+
+def is_short() -> Column:
+    return F.col("leaf").bitwiseAND(F.lit(1)) == 1
+
+
+def width() -> Column:
+    return F.when(is_short(), WIDTHS[True].itemsize).otherwise(WIDTHS[False].itemsize)
+
+
+def places() -> Column:
+    return (F.length("codes") / width()).cast("int")
+
+
+def block(number: Column, similar: float) -> Column:
+    """The codes in a block of a line, from 0; the leading tokens of short lines are the same in their leaf."""
+    n, many = places(), blocks(similar)
+    first = F.when(is_short(), LEADING).otherwise(0)
+    start = first + F.floor(number * (n - first) / many)
+    end = first + F.floor((number + 1) * (n - first) / many)
+    single = many == PLACES  # the block would be longer than what it stands for
+    length = F.when(single, 1).otherwise(end - start)
+    return F.substr("codes", (start * width() + 1).cast("int"), (length * width()).cast("int"))
+
+
+def by_content(lines: DataFrame, number: int, similar: float) -> DataFrame:
+    """``lines`` (leaf, line, codes) dealt by one block of their places, large parts by the next one too, then by a salt."""
+    this, other = F.lit(number), (F.lit(number) + 1) % blocks(similar)
+    parts = with_parts(lines.withColumn("part", F.xxhash64(block(this, similar))), ("leaf", "part"))
+    finer = F.when(F.col("parts") > 1, F.xxhash64("part", block(other, similar))).otherwise(F.col("part"))
+    parts = with_parts(parts.select("leaf", "line", "codes", finer.alias("part")), ("leaf", "part"))
+    return parts.withColumn("part", F.when(F.col("parts") > 1, F.xxhash64("part", salted(number))).otherwise(F.col("part")))
 
 
 def templates(lines: DataFrame, known: DataFrame, at_least: int, similar: float) -> DataFrame:
@@ -227,26 +278,50 @@ def templates(lines: DataFrame, known: DataFrame, at_least: int, similar: float)
     wanted = small(cut(at.select("line").distinct()))
     codes = each.filter(~short).join(wanted, "line", "left_semi").groupBy("line").agg(F.first("codes").alias("codes"))
     found = at.join(codes, "line").select("leaf", "line", "codes").unionByName(few.select("leaf", "line", "codes"))
-    left = with_parts(found)
-    member, salt = None, 0
     done: list[DataFrame] = []
-    while True:
-        got = cut(mined(left, salt, similar))
+    stuck: list[tuple[DataFrame, DataFrame]] = []  # members and lines of leaves that no salt shrinks
+
+    def moved(member: DataFrame | None, got: DataFrame) -> DataFrame:
         step = got.select("leaf", F.col("line").alias("was"), F.col("template").alias("now"))
         if member is None:
-            member = step.select("leaf", F.col("was").alias("line"), F.col("now").alias("template"))
-        else:
-            member = member.join(step, (member["leaf"] == step["leaf"]) & (member["template"] == step["was"]))
-            member = cut(member.select(step["leaf"], "line", F.col("now").alias("template")))
-        # leaves in parts go on with their templates as lines, if these are fewer
+            return step.select("leaf", F.col("was").alias("line"), F.col("now").alias("template"))
+        met = member.join(step, (member["leaf"] == step["leaf"]) & (member["template"] == step["was"]))
+        return cut(met.select(step["leaf"], "line", F.col("now").alias("template")))
+
+    def of_leaves(df: DataFrame, leaves: DataFrame) -> DataFrame:
+        return df.join(small(leaves.select("leaf")), "leaf", "left_semi")
+
+    def as_lines(got: DataFrame) -> DataFrame:
+        return got.select("leaf", F.col("template").alias("line"), "codes").dropDuplicates(["leaf", "line"])
+
+    member, left, salt = None, with_parts(found), 0
+    while True:
+        got = cut(mined(left.withColumn("part", salted(salt)), similar))
+        member = moved(member, got)
+        # leaves in parts go on with their templates as lines
         sizes = got.filter("parts > 1").groupBy("leaf").agg(F.count("*").alias("n"), F.count_distinct("template").alias("m"))
-        again = cut(sizes.filter("10 * m <= 9 * n").select("leaf"))
-        done.append(member.join(small(again), "leaf", "left_anti"))
+        sizes = cut(sizes.withColumn("shrank", F.expr("10 * m <= 9 * n")))
+        again = sizes.filter("shrank")
+        done.append(member.join(small(sizes.select("leaf")), "leaf", "left_anti"))
+        stuck.append((of_leaves(member, sizes.filter("NOT shrank")), as_lines(of_leaves(got, sizes.filter("NOT shrank")))))
         if not again.limit(1).count():
             break
-        member = member.join(small(again), "leaf", "left_semi")
-        reps = got.join(small(again), "leaf", "left_semi").select("leaf", F.col("template").alias("line"), "codes").dropDuplicates(["leaf", "line"])
-        left, salt = with_parts(reps), salt + 1
+        member = of_leaves(member, again)
+        left, salt = with_parts(as_lines(of_leaves(got, again))), salt + 1
+    member, left = (reduce(DataFrame.unionByName, parts) for parts in zip(*stuck))
+    left = cut(left)
+    rounds = left.agg(F.max(blocks(similar))).first()[0] or 0
+    for number in range(rounds):
+        open_ = blocks(similar) > number
+        got = cut(mined(by_content(left.filter(open_), number, similar), similar))
+        changed = got.filter("line != template")
+        if not changed.limit(1).count():
+            continue
+        now = changed.select(F.col("leaf").alias("__leaf"), F.col("line").alias("was"), F.col("template").alias("now"))
+        member = member.join(now, (F.col("leaf") == F.col("__leaf")) & (F.col("template") == F.col("was")), "left")
+        member = cut(member.select("leaf", "line", F.coalesce("now", "template").alias("template")))
+        left = cut(left.filter(~open_).select("leaf", "line", "codes").unionByName(as_lines(got)))
+    done.append(member)
     return reduce(DataFrame.unionByName, done).filter("line != template").select("line", "template").distinct()
 
 

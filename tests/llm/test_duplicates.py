@@ -247,3 +247,46 @@ def test_fields_at_the_start_or_the_end_of_a_line_recur(make_docs):
     rows = [(i, f"{prose(2)} {rest}\nIt {rest} {prose(3)}", "s") for i in range(4)]
     got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
     assert [got[i] for i in range(4)] == [[], [0, 1], [0, 1], [0, 1]]
+
+
+def lines_gone(make_docs, wanted, noise):
+    rows = [(k, line, "s") for k, line in enumerate(wanted)]
+    rows += [(1_000 + k, "\n".join(noise[k::20]), "s") for k in range(20)]
+    got = {r.doc_id: r.line_dedup.dropped for r in lines.drop_recurring(make_docs(rows)).collect()}
+    assert not any(got[1_000 + k] for k in range(20))  # the noise stays
+    return [got[k] for k in range(len(wanted))]
+
+
+def test_noise_in_a_leaf_changes_nothing(make_docs):
+    """The same lines of a template go whatever else stands in their leaf, in short and in long lines."""
+    word = lambda: "".join(R.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    short = [f"posted by {word()} under general news and archive" for _ in range(12)]
+    body = [word() for _ in range(14)]
+    long_ = []
+    for k in range(12):
+        tokens = list(body)
+        tokens[3] = word()
+        tokens[9 + k % 2] = word()
+        long_.append(" ".join(tokens))
+    beside_short = [" ".join(["posted", "by", *(word() for _ in range(6))]) for _ in range(20_000)]
+    middle = (14 - lines.LEADING) // 2
+    same = {0, 1, middle, middle + 1}
+    beside_long = [" ".join(body[i] if i in same else word() for i in range(14)) for _ in range(4_000)]
+    for wanted, noise in ((short, beside_short), (long_, beside_long)):
+        alone = lines_gone(make_docs, wanted, [""])
+        assert alone == [[]] + [[0]] * 11
+        assert lines_gone(make_docs, wanted, noise) == alone
+
+
+def test_the_blocks_of_a_line_cover_its_places(spark):
+    rows = []
+    for n in range(lines.LEAST, 60):
+        codes = np.arange(1, n + 1).astype(lines.WIDTHS[n < lines.LONG])
+        rows.append((n, int(n < lines.LONG), bytearray(codes.tobytes())))
+    df = spark.createDataFrame(rows, "n int, leaf long, codes binary")
+    for n, many, *got in df.select("n", lines.blocks(0.6), *[lines.block(lines.F.lit(k), 0.6) for k in range(lines.PLACES)]).collect():
+        assert many == min(n - max(3, -(-6 * n // 10)) + 1, lines.PLACES)
+        taken = [np.frombuffer(bytes(x), lines.WIDTHS[n < lines.LONG]).tolist() for x in got[:many]]
+        assert all(taken) and all(x[-1] < y[0] for x, y in zip(taken, taken[1:]))
+        if many < lines.PLACES:
+            assert sum(taken, []) == list(range(1 + lines.LEADING * (n < lines.LONG), n + 1))
