@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
-from ..schema import SAFE_FEATURES
 from ..sources.files import append_audit
 from ..sources.tables import live_number, promote_snapshot
 from . import derived, reconcile, validate
+from .manifest import build_manifest
 
 
 def bucket(key: str, n: int = 64) -> Column:
@@ -19,39 +17,7 @@ def bucket(key: str, n: int = 64) -> Column:
 
 
 #: By what the tables of a snapshot are parted: a bounded number of parts each.
-PARTS = {"events": "event_id", "fights": "event_id", "fight_rounds": "fight_id", "fighters": "fighter_id"}
-
-
-def build_manifest(events: DataFrame, fights: DataFrame, refreshed: DataFrame, listing: DataFrame, pages: DataFrame, errors: DataFrame, run: dict[str, str]) -> DataFrame:
-    """One row: stored cards overlaid with those that were read anew, and how many pages were asked for and came.
-
-    refreshed: event_url, fight_urls (array, as the source lists them). listing: event_url, event_date, deferred. pages: kind
-    (listing, event, fight, profile), succeeded. errors: message. run: run_id, code_version, started_at, finished_at, url,
-    fetched_at.
-    """
-    stored = events.select("event_id", "event_url").join(fights.select("event_id", "card_order", "source_fight_url"), "event_id", "left")
-    urls = F.transform(F.array_sort(F.collect_list(F.when(F.col("source_fight_url").isNotNull(), F.struct("card_order", "source_fight_url")))), lambda x: x["source_fight_url"])
-    stored = stored.filter("event_url IS NOT NULL").groupBy("event_url").agg(urls.alias("urls"))
-    cards = stored.join(refreshed.select("event_url", F.array_distinct("fight_urls").alias("__new")), "event_url", "full")
-    cards = cards.select("event_url", F.coalesce("__new", "urls").alias("urls"))
-    folded = cards.agg(F.map_from_entries(F.collect_list(F.struct("event_url", "urls"))).alias("event_fights"))  # one row: the manifest is one document
-    taken = F.when(~F.coalesce("deferred", F.lit(False)), F.col("event_url"))
-    listed = listing.agg(F.array_sort(F.collect_set(taken)).alias("event_urls"), F.max(F.when(taken.isNotNull(), F.col("event_date"))).cast("string").alias("latest"))
-    kinds = ("listing", "event", "fight", "profile")
-    counts = [c for k in kinds for c in (F.count_if(F.col("kind") == k).alias(f"{k}_pages_expected"), F.count_if((F.col("kind") == k) & F.col("succeeded")).alias(f"{k}_pages_succeeded"))]
-    counted = pages.agg(*counts)
-    failed = errors.agg(F.collect_list(F.struct("message", F.lit(False).alias("resolved"))).alias("errors"))
-    key = F.lit(1).alias("one")
-    one = reduce(lambda x, y: x.join(y, "one"), [part.select("*", key) for part in (folded, listed, counted, failed)])  # one row each
-    names = [f"{k}_pages_{x}" for k in kinds for x in ("expected", "succeeded")]
-    totals = F.map_from_arrays(F.array(*map(F.lit, (*names, "failed_pages"))), F.array(*[F.col(n).cast("int") for n in names], F.size("errors")))
-    text = lambda k: F.lit(run[k])
-    return one.select(
-        text("run_id").alias("run_id"), F.when(F.size("errors") == 0, "completed").otherwise("failed").alias("status"), text("code_version").alias("code_version"),
-        text("started_at").alias("started_at"), text("finished_at").alias("finished_at"), "errors",
-        F.struct(text("url").alias("url"), text("fetched_at").alias("fetched_at"), "event_urls", F.col("latest").alias("latest_event_date")).alias("listing"),
-        "event_fights", totals.alias("page_counts"), F.array(*map(F.lit, SAFE_FEATURES)).alias("feature_columns"),
-    )
+PARTS = {"events": "event_id", "fights": "event_id", "fight_rounds": "fight_id", "fighters": "fighter_id", "run_cards": "event_url"}
 
 
 def refresh(
@@ -95,7 +61,7 @@ def refresh(
     errors = rejected.select(F.concat_ws(": ", "fight_id", "reason").alias("message")).unionByName(problems.select(F.concat_ws(": ", "key", "problem").alias("message")))
     refreshed = fights.join(events.select("event_id", "event_url"), "event_id").groupBy("event_url").agg(F.collect_list("source_fight_url").alias("fight_urls"))
     tables = {k: checkpointed(v) for k, v in {"events": events, "fights": made, "fight_rounds": all_rounds, "fighters": people}.items()}
-    manifest = build_manifest(tables["events"], tables["fights"], refreshed, listing, pages, errors, run)
+    manifest = build_manifest(tables["events"], tables["fights"], refreshed, listing, pages, errors, run, checkpointed)
     args = tables["events"], tables["fights"], tables["fight_rounds"], tables["fighters"]
     found = validate.checks(*args, **rules) | validate.replay_check(tables["fights"]) | validate.aggregate_check(tables["fights"], tables["fighters"])
     audit = validate.manifest_checks(manifest, tables["events"], tables["fights"], run["finished_at"])
@@ -104,5 +70,5 @@ def refresh(
     append_audit(report.withColumn("run_id", F.lit(run["run_id"])), f"{root}/audit")
     if not ok:
         return False, report
-    kept = tables | {"manifest": manifest}
-    return promote_snapshot(manifest.sparkSession, kept, root, run["run_id"], report, parts={t: bucket(k) for t, k in PARTS.items()}, expected=started_from), report
+    parts = {t: bucket(k) for t, k in PARTS.items()}
+    return promote_snapshot(listing.sparkSession, tables | manifest, root, run["run_id"], report, parts=parts, expected=started_from), report

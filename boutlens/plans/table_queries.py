@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import derived, reconcile, scoring, validate
+from ..checkpoints import checkpointed
+from ..operators import derived, manifest, reconcile, scoring, validate
 from .catalog import ONCE, WITH, Tables, query, rounded
 
 R6 = lambda x: f"round({x}, 6) + 0.0"
@@ -126,6 +127,19 @@ def _manifest(t: Tables) -> DataFrame:
     return reconcile.manifest_diff(_incoming(t), t.contests)
 
 
+@query("changed_cards", f"""{WITH}, {_INCOMING}, a AS (SELECT event_id, list(fight_id ORDER BY fight_id) AS l FROM contests GROUP BY 1), b AS (SELECT event_id, list(fight_id ORDER BY fight_id) AS l FROM incoming GROUP BY 1)
+       SELECT event_id AS event_url, CASE WHEN a.l IS NULL THEN 'came' WHEN b.l IS NULL THEN 'went' ELSE 'differs' END AS change FROM a FULL JOIN b USING (event_id) WHERE a.l IS DISTINCT FROM b.l""")
+def _changed_cards(t: Tables) -> DataFrame:
+    """What a run notes of cards against what the run before noted."""
+
+    def noted(contests: DataFrame, run: str) -> DataFrame:
+        urls = F.transform(F.array_sort(F.collect_list("fight_id")), lambda x: x.cast("string")).alias("urls")
+        rows = contests.groupBy(F.col("event_id").alias("event_url")).agg(urls).withColumn("run_id", F.lit(run))
+        return checkpointed(manifest.card_rows(rows, rows))
+
+    return manifest.changed_cards(noted(t.contests, "run 1"), noted(_incoming(t), "run 2"))
+
+
 @query("no_regression", f"""{WITH}, {_INCOMING} SELECT (SELECT count(*) FROM contests WHERE fight_id NOT IN (SELECT fight_id FROM incoming)) AS lost,
        (SELECT count(*) FROM incoming WHERE fight_id NOT IN (SELECT fight_id FROM contests)) AS added""")
 def _regression(t: Tables) -> DataFrame:

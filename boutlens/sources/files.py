@@ -117,6 +117,7 @@ def read_text_reports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each document; operators.manifest.from_document makes rows of cards of it."""
     return spark.read.schema(MANIFEST).option("multiLine", "true").option("mode", "FAILFAST").json(path)
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens.checkpoints import checkpointed
-from boutlens.operators import derived, reconcile, refresh
+from boutlens.operators import derived, manifest, reconcile, refresh
 from boutlens.schema import STATS
 from boutlens.sources import tables
 from tests.test_contests import GRAPH, contests
@@ -57,8 +57,9 @@ def test_refresh_promotes_and_refuses(spark, tmp_path):
     bad = [(r.check_id, r["count"], r.samples) for r in report.filter("status = 'FAIL'").collect()]
     assert ok and not bad, bad
     assert tables.live_run(spark, root) == "r1"
-    live = tables.live_tables(spark, root, ("fights", "manifest"))
-    assert live["fights"].count() == 5 and live["manifest"].first().status == "completed" and set(live["manifest"].first().event_fights) == {f"e{x[0]}" for x in GRAPH[:5]}
+    live = tables.live_tables(spark, root, ("fights", "runs", "run_cards"))
+    assert live["fights"].count() == 5 and live["runs"].first().status == "completed"
+    assert {r.event_url for r in live["run_cards"].filter("noted AND listed = 1").collect()} == {f"e{x[0]}" for x in GRAPH[:5]} and live["runs"].first().cards == 5
     # a contest with other sides rejects its card: the manifest has the error, nothing is promoted
     wrong = dict(sent) | {"fights": sent["fights"].withColumn("fighter_a_id", F.when(F.col("fight_id") == GRAPH[2][0], 99).otherwise(F.col("fighter_a_id")))}
     ok, report = refresh.refresh(first, wrong, listing, pages, RUN | {"run_id": "r2"}, root, rounds_since="1990-01-01")
@@ -137,3 +138,22 @@ def test_missing_checkpoint_folder_is_an_error_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoints.checkpointed(Frame())
+
+
+def test_manifest_rows_fold_to_one_digest(spark):
+    doc = "run_id string, status string, code_version string, started_at string, finished_at string, errors array<struct<message: string, resolved: boolean>>, listing struct<url: string, fetched_at: string, event_urls: array<string>, latest_event_date: string>, event_fights map<string, array<string>>, page_counts map<string, int>, feature_columns array<string>"
+    row = lambda run, cards, listed, errors=(): (run, "completed", "x", "a", "b", list(errors), ("http://x", "a", listed, None), cards, {}, [])
+    many = {f"e{k}": [f"f{k}", f"g{k}"] for k in range(300)}
+    other = dict(reversed(list(many.items()))) | {"e7": ["g7", "f7"], "new": None}
+    del other["e9"]
+    rows = [row("r1", many, ["e0", "e0", "gone"], [("m", True)]), row("r2", dict(reversed(list(many.items()))), None), row("r3", other, []), row("r4", None, None)]
+    parts = manifest.from_document(spark.createDataFrame(rows, doc))
+    runs = {r.run_id: r for r in parts["runs"].collect()}
+    assert runs["r1"].digest == runs["r2"].digest != runs["r3"].digest and runs["r1"].cards == 300 and runs["r1"].errors == 1
+    assert (runs["r1"].listed, runs["r2"].listed, runs["r4"].listed, runs["r4"].digest) == (3, 0, 0, None)
+    cards = {(r.run_id, r.event_url): (r.listed, r.noted) for r in parts["run_cards"].collect()}
+    assert cards["r1", "e0"] == (2, True) and cards["r1", "gone"] == (1, False) and cards["r3", "new"] == (0, True)
+    of = lambda run: parts["run_cards"].filter((F.col("run_id") == run) & F.col("noted"))
+    assert {tuple(r) for r in manifest.changed_cards(of("r1"), of("r3")).collect()} == {("e7", "differs"), ("e9", "went"), ("new", "came")}
+    assert manifest.changed_cards(of("r1"), of("r2")).count() == 0
+    assert [tuple(r) for r in parts["run_errors"].collect()] == [("r1", "m", True)]
