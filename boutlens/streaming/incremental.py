@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def incremental_refresh(spark: SparkSession, path: str, schema: T.StructType, merge: Callable[[DataFrame, int], None], checkpoint: str):
@@ -47,21 +48,90 @@ def freshness(listing: DataFrame, now: str, max_hours: float = 48, time: str = "
     return listing.withColumn("age_hours", hours).withColumn("fresh", F.col("age_hours").between(-1, max_hours))
 
 
-def running_record(stream: DataFrame) -> DataFrame:
-    """Record before each contest as new perspective rows (fighter_id, fight_id, event_date, bout_outcome) arrive in order."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        wins, losses, draws = state.get if state.exists else (0, 0, 0)
-        for batch in batches:
-            out = []
-            for row in batch.sort_values(["event_date", "fight_id"]).itertuples():
-                out.append((key[0], row.fight_id, wins, losses, draws))
-                wins += row.bout_outcome == "win"
-                losses += row.bout_outcome == "loss"
-                draws += row.bout_outcome == "draw"
-            yield pd.DataFrame(out, columns=["fighter_id", "fight_id", "wins", "losses", "draws"])
-        state.update((wins, losses, draws))
-
-    return stream.groupBy("fighter_id").applyInPandasWithState(
-        step, "fighter_id long, fight_id long, wins int, losses int, draws int", "wins int, losses int, draws int", "append", "NoTimeout"
-    )
+RECORD = "fighter_id long, fight_id long, event_date date, wins int, losses int, draws int"
+
+
+class _Records(StatefulProcessor):
+    """An entity's contests in order, as a list; those that nothing can precede any more are only counted.
+
+    The list holds (time in ms, fight_id, event_date, bout_outcome), the value the counts before its first.
+    """
+
+    def __init__(self, settles: bool) -> None:
+        self.settles = settles
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "time long, fight_id long, event_date date, bout_outcome string")
+        self.base = handle.getValueState("base", "wins int, losses int, draws int")
+
+    def before(self) -> list[int]:
+        return list(self.base.get()) if self.base.exists() else [0, 0, 0]
+
+    @staticmethod
+    def records(base: list[int], contests: list[tuple]) -> dict[int, tuple]:
+        counts, found = list(base), {}
+        for _, fight, day, outcome in contests:
+            found[fight] = (day, *counts)
+            for k, name in enumerate(("win", "loss", "draw")):
+                counts[k] += outcome == name
+        return found
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        base, held = self.before(), [tuple(x) for x in self.open.get()]
+        known = {x[1]: x for x in held}
+        for batch in rows:
+            for row in batch.itertuples():
+                outcome = None if pd.isna(row.bout_outcome) else row.bout_outcome
+                known[int(row.fight_id)] = (int(row.time), int(row.fight_id), row.event_date, outcome)
+        contests = sorted(known.values(), key=lambda x: x[:2])
+        if contests != held:
+            self.open.put(contests)
+            if self.settles:
+                for time in {x[0] for x in contests} - {x[0] for x in held}:
+                    self.handle.registerTimer(time + 1)
+        old = self.records(base, held)
+        out = [(key[0], fight, *record) for fight, record in self.records(base, contests).items() if old.get(fight) != record]
+        yield pd.DataFrame(out, columns=["fighter_id", "fight_id", "event_date", "wins", "losses", "draws"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        limit = timerValues.getCurrentWatermarkInMs()
+        counts, left = self.before(), []
+        for x in map(tuple, self.open.get()):
+            if x[0] < limit:
+                for k, name in enumerate(("win", "loss", "draw")):
+                    counts[k] += x[3] == name
+            else:
+                left.append(x)
+        self.base.update(tuple(counts))
+        if left:
+            self.open.put(left)
+        else:
+            self.open.clear()
+        yield pd.DataFrame([], columns=["fighter_id", "fight_id", "event_date", "wins", "losses", "draws"])
+
+    def close(self) -> None:
+        pass
+
+
+def running_record(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """Record before each contest as new perspective rows (fighter_id, fight_id, event_date, bout_outcome) arrive in any order.
+
+    A contest that comes late, or again with another outcome, gives the records of all contests of its entity that it changes once
+    more; the newest record of a contest holds (:func:`latest_records`). Contests of a day are in order of their id.
+
+    Without ``delay`` an entity's contests all stay in state. With it, contests older than the newest day seen by ``delay`` are
+    counted and forgotten, and what comes later than that is dropped. The session needs the RocksDB state store.
+    """
+    time = F.col("event_date").cast("timestamp")
+    rows = stream.select("fighter_id", "fight_id", "event_date", "bout_outcome", F.unix_millis(time).alias("time"))
+    if delay is not None:
+        rows = rows.withColumn("at", time).withWatermark("at", delay)
+    mode = "None" if delay is None else "EventTime"
+    return rows.groupBy("fighter_id").transformWithStateInPandas(_Records(delay is not None), RECORD, "Update", mode)
+
+
+def latest_records(records: DataFrame) -> DataFrame:
+    """The newest of each contest's records; records: those of :func:`running_record` with the ``batch`` that gave them."""
+    kept = F.max_by(F.struct("event_date", "wins", "losses", "draws"), "batch").alias("r")
+    return records.groupBy("fighter_id", "fight_id").agg(kept).select("fighter_id", "fight_id", "r.*")

@@ -1,12 +1,13 @@
 """Merging, checks, scoring, sources and streams on small tables."""
 
 import datetime as dt
+import random
 from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
-from boutlens.operators import coverage, reconcile, scoring, validate
+from boutlens.operators import coverage, derived, reconcile, scoring, validate
 from boutlens.sources import files, tables
 from boutlens.sources.pages import extract_pages
 from boutlens.streaming import incremental
@@ -303,15 +304,50 @@ def test_pages_text_and_chapters(spark):
     assert [tuple(r) for r in coverage.chapters(df, ["id"]).orderBy("number").collect()] == [(1, 1, 0, 3723, "Intro"), (1, 2, 3723, None, "Main")]
 
 
-def test_stream_of_running_records(spark, tmp_path):
-    rows = [(1, 10, dt.date(2024, 1, 1), "win"), (1, 11, dt.date(2024, 1, 2), "loss"), (2, 10, dt.date(2024, 1, 1), "loss")]
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.fixture
+def rocksdb(spark):
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.unset(PROVIDER)
+
+
+def streamed_records(spark, folder, batches, delay=None):
     schema = "fighter_id long, fight_id long, event_date date, bout_outcome string"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
-    out = incremental.running_record(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
-    query = out.writeStream.format("memory").queryName("records").trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    got = {(r.fighter_id, r.fight_id): (r.wins, r.losses) for r in spark.sql("SELECT * FROM records").collect()}
-    assert got == {(1, 10): (0, 0), (1, 11): (1, 0), (2, 10): (0, 0)}
+    (folder / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(f"{folder}/in")
+
+    def keep(df, batch):
+        df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{folder}/out")
+
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        query = incremental.running_record(source, delay).writeStream.outputMode("update").foreachBatch(keep)
+        query.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start().awaitTermination(120)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_records_of_a_shuffled_stream_are_those_of_a_batch(spark, tmp_path, rocksdb):
+    rng = random.Random(3)
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    rows = [(p, 100 * p + k, day(rng.randrange(9)), rng.choice(["win", "loss", "draw", "other", None])) for p in range(4) for k in range(9)]
+    wrong = [(*rows[5][:3], "win"), (*rows[20][:3], "loss")]  # corrected later
+    order = rng.sample([r for k, r in enumerate(rows) if k not in (5, 20)], len(rows) - 2)
+    batches = [order[:12] + wrong, order[12:20], [*order[20:], rows[5], rows[20]]]
+    out = streamed_records(spark, tmp_path, batches)
+    df = spark.createDataFrame(rows, "fighter_id long, fight_id long, event_date date, bout_outcome string")
+    want = derived.prefight_record(df, ("event_date", "fight_id")).select("fighter_id", "fight_id", "event_date", "prior_wins", "prior_losses", "prior_draws")
+    assert sorted(map(tuple, incremental.latest_records(out).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_settled_contests_leave_the_state(spark, tmp_path, rocksdb):
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    batches = [[(1, 10, day(0), "win"), (1, 11, day(5), "loss")], [(2, 20, day(100), "win")], [(1, 12, day(3), "win"), (1, 13, day(101), "win")]]
+    got = incremental.latest_records(streamed_records(spark, tmp_path, batches, "30 days")).collect()
+    # contest 12 comes after its time; what was counted before stays counted
+    assert {(r.fight_id, r.wins, r.losses) for r in got} == {(10, 0, 0), (11, 1, 0), (20, 0, 0), (13, 1, 1)}
 
 
 def test_incremental_refresh_takes_late_corrections(spark, tmp_path):
