@@ -272,10 +272,10 @@ def test_noise_in_a_leaf_changes_nothing(make_docs):
     middle = (14 - lines.LEADING) // 2
     same = {0, 1, middle, middle + 1}
     beside_long = [" ".join(body[i] if i in same else word() for i in range(14)) for _ in range(4_000)]
-    for wanted, noise in ((short, beside_short), (long_, beside_long)):
-        alone = lines_gone(make_docs, wanted, [""])
-        assert alone == [[]] + [[0]] * 11
-        assert lines_gone(make_docs, wanted, noise) == alone
+    both = ["\n".join(pair) for pair in zip(short, long_)]
+    alone = lines_gone(make_docs, both, [""])
+    assert alone == [[]] + [[0, 1]] * 11
+    assert lines_gone(make_docs, both, beside_short + beside_long) == alone
 
 
 def test_the_blocks_of_a_line_cover_its_places(spark):
