@@ -48,8 +48,8 @@ def folded(cards: DataFrame) -> DataFrame:
 
 
 def changed_cards(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(event_url, change): cards of two runs' ``run_cards`` that came, went or differ. Only branches whose digests differ are compared."""
-    a, b = (branches(side).select("branch", F.col("digest").alias(name)) for side, name in ((old, "a"), (new, "b")))
+    """(event_url, change): cards of two runs' ``run_cards`` (with or without run_id) that came, went or differ. Only branches whose digests differ are compared."""
+    a, b = (branches(side.withColumn("run_id", F.lit(""))).select("branch", F.col("digest").alias(name)) for side, name in ((old, "a"), (new, "b")))
     unequal = a.join(b, "branch", "full").filter(~F.col("a").eqNullSafe(F.col("b"))).select("branch")
     sides = [side.select("event_url", branch(), F.col("digest").alias(name)).join(F.broadcast(unequal), "branch", "left_semi") for side, name in ((old, "a"), (new, "b"))]  # 256 branches
     both = sides[0].drop("branch").join(sides[1].drop("branch"), "event_url", "full").filter(~F.col("a").eqNullSafe(F.col("b")))

@@ -71,4 +71,5 @@ def refresh(
     if not ok:
         return False, report
     parts = {t: bucket(k) for t, k in PARTS.items()}
-    return promote_snapshot(listing.sparkSession, tables | manifest, root, run["run_id"], report, parts=parts, expected=started_from), report
+    noted = {"run_cards": manifest["run_cards"].drop("run_id")}  # so that parts of cards that did not change are shared between runs
+    return promote_snapshot(listing.sparkSession, tables | manifest | noted, root, run["run_id"], report, parts=parts, expected=started_from), report
