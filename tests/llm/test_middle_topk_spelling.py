@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from boutlens.llm import fill_middle, spelling, topk
+from boutlens.llm import fill_middle, queries, spelling, topk
 
 TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 TEXTS = [None, "", " ", "a", "  a b\tc \n", "é à　b \U0001f600x", "<P> here", "un <S>", "<M>", "almost < P> <S", "  nbsp ", "x" * 5000 + " " + "é" * 70000,
@@ -97,6 +97,27 @@ def test_topk_of_odd_rows(spark):
     assert asked(spark, []) == [] and asked(spark, [(1, [1.0])]) == [] and asked(spark, [(0, [1.0])]) == []
 
 
+def test_equal_rows_of_one_id_are_rows_of_their_own_in_the_query(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(0, 0.3, 8).astype("float32").tolist()) for i in range(60)]
+    rows += rows[:21] + [rows[20]] * 30 + [(None, rows[3][1])] * 3
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    expected = []
+    v = [[int(np.floor(64 * float(x))) for x in r[1]] for r in rows]
+    for a, (i, _) in enumerate(rows):
+        if i is not None and i % 20 == 0:
+            found = sorted((-sum(x * y for x, y in zip(v[a], v[b])), j is None, j or 0, j) for b, (j, _) in enumerate(rows) if b != a)[:20]
+            expected += [(i, n + 1, j, -s) for n, (s, _, _, j) in enumerate(found)]
+    assert sorted(map(str, map(tuple, queries.op12_topk(spark, str(tmp_path)).collect()))) == sorted(map(str, expected))
+
+
+def test_large_components_keep_their_places(spark):
+    far = 2.0**52
+    rows = [(0, [far, 0.0, 1.0]), (1, [0.0, far, 1.0]), (2, [1.0, 0.0, 0.0])]
+    _, classes = topk.vector_classes(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding", 64, 3)
+    assert classes.count() == 3
+
+
 def test_cells_bound_and_prune():
     rng = np.random.default_rng(2)
     v, q = np.floor(rng.normal(0, 8, (3000, 64))), np.floor(rng.normal(0, 8, (50, 64)))
