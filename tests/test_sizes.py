@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from boutlens.operators import derived
 from boutlens.plans import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -40,3 +41,19 @@ def same_as_sql(spark, folder, name):
 @pytest.mark.parametrize("name", ["score_rows", "score_summary", "paired_runs", "matched_runs"])
 def test_forecasts_of_high_ids_equal_the_sql(spark, shifted, name):
     same_as_sql(spark, shifted, name)
+
+
+def test_card_orders_carry_no_cards(spark):
+    """A card of n contests had n lists of its n values."""
+    ids = spark.range(4000).select(F.col("id").alias("fight_id"), F.when(F.col("id") < 10, F.col("id") % 3).otherwise(99).alias("event_id"))
+    fights = ids.withColumns({
+        "card_order": F.lit(None).cast("int"), "ingest_seq": F.when(F.col("event_id") == 99, -F.col("fight_id")), "created_at": F.lit(None).cast("timestamp"),
+        "fighter_a_id": F.col("fight_id"), "fighter_b_id": F.when(F.col("event_id") == 0, 0).when(F.col("event_id") == 1, -F.col("fight_id")),
+    })
+    df = derived.card_order_backfill(fights)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
+    got = {r.fight_id: (r.order, r.order_status) for r in df.collect()}
+    assert got[10] == (3990, "filled") and got[3999] == (1, "filled")
+    assert got[0] == got[9] == (None, "ambiguous") and got[1] == (1, "filled") and got[7] == (3, "filled")
+    assert got[2] == got[8] == (None, "ambiguous")  # two sides unknown
