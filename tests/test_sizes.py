@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from boutlens.operators import derived
+from boutlens.operators import derived, ratings
 from boutlens.plans import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -57,3 +57,14 @@ def test_card_orders_carry_no_cards(spark):
     assert got[10] == (3990, "filled") and got[3999] == (1, "filled")
     assert got[0] == got[9] == (None, "ambiguous") and got[1] == (1, "filled") and got[7] == (3, "filled")
     assert got[2] == got[8] == (None, "ambiguous")  # two sides unknown
+
+
+def test_a_pass_of_ratings_reads_its_rows_once(spark):
+    """Each pass joined the summed rows with themselves, so they were made twice."""
+    rows = spark.createDataFrame([(1, 5, 6, 0, 1.0, 1500.0), (1, 6, 5, 0, 0.0, 1600.0), (2, 5, 7, 1, None, 1500.0), (2, 7, 5, 1, None, 1.0)],
+                                 "fight_id long, fighter_id long, opponent_id long, day int, score double, used double")
+    df = ratings.played(rows)
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.fight_id, r.fighter_id): r.change for r in df.collect()}
+    p = 1 / (1 + 10 ** (100 / 400))
+    assert got == {(1, 5): pytest.approx(32 * (1 - p)), (1, 6): pytest.approx(-32 * (1 - p)), (2, 5): 0.0, (2, 7): 0.0}
