@@ -68,3 +68,12 @@ def test_a_pass_of_ratings_reads_its_rows_once(spark):
     got = {(r.fight_id, r.fighter_id): r.change for r in df.collect()}
     p = 1 / (1 + 10 ** (100 / 400))
     assert got == {(1, 5): pytest.approx(32 * (1 - p)), (1, 6): pytest.approx(-32 * (1 - p)), (2, 5): 0.0, (2, 7): 0.0}
+
+
+@needs_tables
+def test_a_rebuild_writes_its_rows_once(spark, monkeypatch):
+    """The wide rows of both sides were written too, though the report needs eight of their columns."""
+    written = []
+    monkeypatch.setattr(derived, "checkpointed", lambda df: written.append(len(df.columns)) or df)
+    report = {r.counter: r.n for r in QUERIES["rebuild_tables"](spark, SMALL).collect()}
+    assert len(written) == 1 and report["profile_fields_hydrated"] > 0
