@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpointed
 from ..functions.scalars import recency_weight
 from .perspectives import strict_cutoff
 
@@ -49,8 +50,8 @@ def paths(pairs: DataFrame, edges: DataFrame, max_depth: int = 3) -> DataFrame:
     """All simple chains from ``start`` to ``target`` of at most ``max_depth`` wins; rematches are edges of their own. No chain is left out.
 
     Chains grow from both ends, once for each end and not for each pair, and meet in the middle: half of the steps from the
-    start and half from the target, joined on the target and the entity reached, where they share no other entity. So the chains
-    listed at a hub grow with half of the depth.
+    start and half from the target, where they share no other entity. Where a pair's halves meet is found first, among the sets of
+    entities that they reach; chains are joined only there, so no pair carries the chains of its ends.
     """
     if not 1 <= max_depth <= 5:
         raise ValueError("max_depth must be 1..5")
@@ -58,15 +59,17 @@ def paths(pairs: DataFrame, edges: DataFrame, max_depth: int = 3) -> DataFrame:
     heads = half_chains(pairs.select(F.col("start").alias("end")).distinct(), edges, (max_depth + 1) // 2, True)
     tails = half_chains(pairs.select(F.col("target").alias("end")).distinct(), edges, max_depth // 2, False)
     found = []
-    for depth in range(1, max_depth + 1):
-        head = heads[(depth + 1) // 2].withColumnRenamed("end", "start")
-        tail = tails[depth // 2].select(F.col("end").alias("target"), "at", F.col("seen").alias("__seen"), F.col("fights").alias("__fights"), F.col("product").alias("__product"))
+    for back, tail in enumerate(tails):
+        depths = [d for d in (2 * back, 2 * back + 1) if 1 <= d <= max_depth]
+        head = reduce(DataFrame.unionByName, [heads[d - back].withColumn("depth", F.lit(d)) for d in depths]).withColumnRenamed("end", "start")
+        tail = tail.select(F.col("end").alias("target"), "at", F.col("seen").alias("__seen"), F.col("fights").alias("__fights"), F.col("product").alias("__product"))
+        ends, reached = tail.groupBy("target").agg(F.collect_set("at").alias("__ends")), head.groupBy("start").agg(F.collect_set("at").alias("__reached"))
+        meet = pairs.join(ends, "target").join(reached, "start").select("start", "target", F.explode(F.array_intersect("__ends", "__reached")).alias("at"))
         # a chain that has met the target goes no further
-        met = pairs.join(head, "start").filter(~F.array_contains("seen", F.col("target")) | (F.col("at") == F.col("target"))).join(tail, ["target", "at"])
-        met = met.filter(F.size(F.array_intersect("seen", "__seen")) == 1)
+        met = head.join(meet.join(tail, ["target", "at"]), ["start", "at"]).filter(F.size(F.array_intersect("seen", "__seen")) == 1)
         found.append(met.select(
             "start", "target", F.concat("seen", F.slice("__seen", 2, max_depth + 1)).alias("entities"), F.concat("fights", "__fights").alias("fights"),
-            (F.col("product") * F.col("__product") / depth**2).alias("weight"),
+            (F.col("product") * F.col("__product") / (F.col("depth") * F.col("depth"))).alias("weight"),
         ))
     return reduce(DataFrame.unionByName, found)
 
@@ -83,7 +86,7 @@ def win_paths(pairs: DataFrame, persp: DataFrame, cutoff: str, max_depth: int =
         raise ValueError("half_life_days must be positive and finish_multiplier 1..1.5")
     pairs = pairs.select("a_id", "b_id").distinct()
     both = pairs.select(F.col("a_id").alias("start"), F.col("b_id").alias("target")).union(pairs.select("b_id", "a_id")).distinct()
-    found = paths(both, win_edges(persp, cutoff, half_life_days, finish_multiplier), max_depth)
+    found = paths(both, checkpointed(win_edges(persp, cutoff, half_life_days, finish_multiplier)), max_depth)  # read for each step
     sums = found.groupBy("start", "target").agg(F.count("*").alias("n"), F.sum("weight").alias("score"))
     ab = sums.select(F.col("start").alias("a_id"), F.col("target").alias("b_id"), F.col("n").alias("a_to_b_paths"), F.col("score").alias("a_to_b_score"))
     ba = sums.select(F.col("target").alias("a_id"), F.col("start").alias("b_id"), F.col("n").alias("b_to_a_paths"), F.col("score").alias("b_to_a_score"))

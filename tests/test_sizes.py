@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from boutlens.operators import derived, ratings
+from boutlens.operators import derived, paths, ratings
 from boutlens.plans import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -77,3 +77,29 @@ def test_a_rebuild_writes_its_rows_once(spark, monkeypatch):
     monkeypatch.setattr(derived, "checkpointed", lambda df: written.append(len(df.columns)) or df)
     report = {r.counter: r.n for r in QUERIES["rebuild_tables"](spark, SMALL).collect()}
     assert len(written) == 1 and report["profile_fields_hydrated"] > 0
+
+
+def joined_rows(plan):
+    """The most rows that a join of an executed plan gave."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return joined_rows(plan.executedPlan())
+    if "QueryStage" in name:
+        return joined_rows(plan.plan())
+    most = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    kids = plan.children()
+    return max([most, *(joined_rows(kids.apply(i)) for i in range(kids.size()))])
+
+
+@pytest.mark.parametrize("depth", [3, 4])
+def test_pairs_carry_no_chains(spark, depth):
+    """Each pair met all chains of its start, which led to none of its target's."""
+    ids = iter(range(1000, 1_000_000))
+    won = [(s, m) for s in range(20) for m in range(100, 120)] + [(m, next(ids)) for m in range(100, 120) for _ in range(10)]
+    won += [(m, t) for t in range(200, 220) for m in range(300, 320)] + [(next(ids), m) for m in range(300, 320) for _ in range(10)] + [(110, 310)]
+    edges = spark.createDataFrame([(w, x, n, 1.0) for n, (w, x) in enumerate(won)], "winner long, loser long, fight_id long, weight double").localCheckpoint()
+    pairs = spark.createDataFrame([(s, t) for s in range(20) for t in range(200, 220)], "start long, target long").localCheckpoint()
+    df = paths.paths(pairs, edges, depth).groupBy("start", "target").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    got = df.collect()
+    assert len(got) == 400 and {(r.n, round(r.w, 9)) for r in got} == {(1, round(1 / 9, 9))}
+    assert joined_rows(df._jdf.queryExecution().executedPlan()) < 20_000
