@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from boutlens.operators import derived, paths, ratings
 from boutlens.plans import ORACLE, QUERIES
+from boutlens.plans.catalog import Tables
 
 SMALL = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="the driver's tables are not here")
@@ -103,3 +104,13 @@ def test_pairs_carry_no_chains(spark, depth):
     got = df.collect()
     assert len(got) == 400 and {(r.n, round(r.w, 9)) for r in got} == {(1, round(1 / 9, 9))}
     assert joined_rows(df._jdf.queryExecution().executedPlan()) < 20_000
+
+
+@needs_tables
+def test_rows_of_sides_carry_only_what_is_asked_for(spark):
+    """A struct of all columns of a side went through the windows, and the counts of the sides were made before the cards were numbered."""
+    t = Tables(spark, SMALL)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "knockdowns" not in plan(t.persp.select("fight_id", "fighter_id", "bout_outcome", "fighter_sequence"))
+    numbered = plan(t.contests).split("Window", 1)  # above the window that numbers cards, and from it on
+    assert "knockdowns" in numbered[0] and "knockdowns" not in numbered[1]
