@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens.operators import derived, paths, ratings
-from boutlens.plans import ORACLE, QUERIES
+from boutlens.plans import ORACLE, QUERIES, check_queries
 from boutlens.plans.catalog import Tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -114,3 +114,23 @@ def test_rows_of_sides_carry_only_what_is_asked_for(spark):
     assert "knockdowns" not in plan(t.persp.select("fight_id", "fighter_id", "bout_outcome", "fighter_sequence"))
     numbered = plan(t.contests).split("Window", 1)  # above the window that numbers cards, and from it on
     assert "knockdowns" in numbered[0] and "knockdowns" not in numbered[1]
+
+
+@needs_tables
+def test_replays_keep_narrow_rows(spark, monkeypatch):
+    """All counts of both sides were kept four times, of which the replays need none and the totals five."""
+    kept = []
+    for name in ("checkpointed", "written"):
+        if hasattr(check_queries, name):
+            monkeypatch.setattr(check_queries, name, lambda df: kept.append(len(df.columns)) or df)
+    check_queries._replays(Tables(spark, SMALL))
+    assert kept and max(kept) <= 24 and len(kept) <= 2
+
+
+@needs_tables
+def test_checks_read_the_columns_they_need(spark):
+    """Each check read whole rows of a checkpoint."""
+    kept = check_queries.damaged(Tables(spark, SMALL))
+    for name in ("d_contests", "d_rounds", "history"):
+        plan = kept[name].select("fight_id")._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<fight_id:bigint>" in plan
