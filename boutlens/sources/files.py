@@ -184,6 +184,14 @@ def append_audit(df: DataFrame, path: str) -> None:
 ELEMENT_IDS = ("fight_id", "opponent_style", "tag", "id")
 
 
+def element_evidence(rows: DataFrame, keys: list[str], section: str, name: str, fields: Sequence[str]) -> DataFrame:
+    """(keys, path, section, field, value) of elements that stand as rows: what :func:`long_evidence` gives for the ``fields`` of an array
+    ``section`` of them named by ``name``, without ever gathering the array."""
+    entries = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
+    long = rows.select(*keys, F.col(name).cast("string").alias("__name"), F.explode(entries).alias("e"))
+    return long.select(*keys, F.concat_ws(".", F.lit(section), "__name", "e.field").alias("path"), F.lit(section).alias("section"), "e.field", "e.value")
+
+
 def long_evidence(df: DataFrame, keys: list[str], ids: Sequence[str] = ELEMENT_IDS) -> DataFrame:
     """(keys, path, section, field, value): a row for every scalar of ``df``, however deep it stands.
 

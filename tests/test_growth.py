@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens.functions import scalars
-from boutlens.operators import asof
+from boutlens.operators import asof, coverage
 from boutlens.plans import QUERIES
+from boutlens.sources import files
 
 SMALL = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="the driver's tables are not here")
@@ -32,3 +33,22 @@ def test_style_metrics_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(asof, "entity_metrics", lambda df: made.append(1) or real(df))
     df = QUERIES["style_matchup"](spark, SMALL)
     assert made == [1] and df.count() > 0
+
+
+@needs_tables
+def test_evidence_is_neither_gathered_nor_joined_with_itself(spark):
+    """Bouts were gathered into arrays, and all paths were made twice to put verdicts beside them."""
+    plan = plan_of(QUERIES["evidence_paths"](spark, SMALL))
+    assert "collect_list" not in plan and plan.count("Join LeftOuter") == 1 and "lineitem" not in plan
+
+
+def test_elements_as_rows_have_the_paths_of_an_array(spark):
+    rows = spark.createDataFrame([("x", 1, "KO", 2), ("x", 7, None, 3)], "side string, fight_id long, method string, round int")
+    whole = rows.groupBy("side").agg(F.collect_list(F.struct("fight_id", "method", "round")).alias("bouts"))
+    long = files.long_evidence(whole, ["side"]).filter("field != 'fight_id'")
+    got = files.element_evidence(rows, ["side"], "bouts", "fight_id", ("method", "round"))
+    assert got.columns == long.columns and sorted(map(str, got.collect())) == sorted(map(str, long.collect()))
+    claims = spark.createDataFrame([("x", "bouts.1.round", "2.0"), ("x", "bouts.1.method", "Sub"), ("x", "bouts.7.method", None)], "side string, path string, value string")
+    claims = claims.withColumn("claim_id", F.col("path"))
+    said = {r.path: r.claim for r in coverage.with_verdicts(got, claims).collect()}
+    assert said == {**{r.claim_id: r.status for r in coverage.claim_check(claims, got).collect()}, "bouts.7.round": None}
