@@ -12,13 +12,43 @@ from ..functions.scalars import recency_weight
 from .perspectives import strict_cutoff
 
 
-def common_opponents(pairs: DataFrame, persp: DataFrame) -> DataFrame:
-    """For each pair (a_id, b_id), the opponents both have met, with each side's results in order."""
+#: Entities with more contests than this are met in rows, not in sets.
+LISTED = 2_000
+
+
+def common_opponents(pairs: DataFrame, persp: DataFrame, listed: int = LISTED) -> DataFrame:
+    """For each pair (a_id, b_id), the opponents both have met, with each side's results in order.
+
+    Who is common is found among ids alone: the sets of both sides, or rows where an entity has more than ``listed`` contests. Results are
+    made only for what was found.
+    """
+    asked = pairs.select("a_id", "b_id").distinct()
+    counts = persp.groupBy("fighter_id").agg(F.count("*").alias("n"))
+    many = checkpointed(counts.filter(F.col("n") > listed).select("fighter_id"))
+    rows = None
+    if many.limit(1).count():
+        large = lambda s: many.select(F.col("fighter_id").alias(f"{s}_id"), F.lit(True).alias(f"__{s}"))
+        marked = checkpointed(asked.join(large("a"), "a_id", "left").join(large("b"), "b_id", "left"))
+        edges = persp.select("fighter_id", "opponent_id").distinct()
+        end = lambda s: edges.withColumnRenamed("fighter_id", f"{s}_id")
+        # rows start from the side that is not large
+        met = lambda rows, first, then: rows.select("a_id", "b_id").join(end(first), f"{first}_id").join(end(then), [f"{then}_id", "opponent_id"], "left_semi")
+        rows = met(marked.filter("__b"), "a", "b").unionByName(met(marked.filter("__a AND __b IS NULL"), "b", "a"))
+        asked = marked.filter("__a IS NULL AND __b IS NULL").select("a_id", "b_id")
+        persp_few = persp.join(many, "fighter_id", "left_anti")
+    else:
+        persp_few = persp
+    sets = persp_few.groupBy("fighter_id").agg(F.collect_set("opponent_id").alias("met"))
+    side = lambda s: sets.select(F.col("fighter_id").alias(f"{s}_id"), F.col("met").alias(f"{s}_met"))
+    both = asked.join(side("a"), "a_id").join(side("b"), "b_id")
+    found = both.select("a_id", "b_id", F.explode(F.array_intersect("a_met", "b_met")).alias("opponent_id"))
+    found = checkpointed(found if rows is None else found.unionByName(rows.select(*found.columns)))
+    ends = found.select(F.explode(F.array("a_id", "b_id")).alias("fighter_id"), "opponent_id").distinct()
     entry = F.struct("event_date", "fight_id", "bout_outcome")
-    met = persp.groupBy("fighter_id", "opponent_id").agg(F.array_sort(F.collect_list(entry)).alias("results"))
-    a = met.select(F.col("fighter_id").alias("a_id"), "opponent_id", F.col("results").alias("a_results"))
-    b = met.select(F.col("fighter_id").alias("b_id"), "opponent_id", F.col("results").alias("b_results"))
-    return pairs.select("a_id", "b_id").distinct().join(a, "a_id").join(b, ["b_id", "opponent_id"]).select("a_id", "b_id", "opponent_id", "a_results", "b_results")
+    kept = persp.join(ends, ["fighter_id", "opponent_id"], "left_semi")
+    results = checkpointed(kept.groupBy("fighter_id", "opponent_id").agg(F.array_sort(F.collect_list(entry)).alias("results")))
+    of = lambda s: results.select(F.col("fighter_id").alias(f"{s}_id"), "opponent_id", F.col("results").alias(f"{s}_results"))
+    return found.join(of("a"), ["a_id", "opponent_id"]).join(of("b"), ["b_id", "opponent_id"]).select("a_id", "b_id", "opponent_id", "a_results", "b_results")
 
 
 def win_edges(persp: DataFrame, cutoff: str, half_life_days: float = 1095.75, finish_multiplier: float = 1.1) -> DataFrame:

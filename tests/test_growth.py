@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens.functions import scalars
-from boutlens.operators import asof, coverage
+from boutlens.operators import asof, cards, coverage, derived, paths
 from boutlens.plans import QUERIES
+from boutlens.schema import SUMMED
 from boutlens.sources import files
 
 SMALL = "/root/testdata/sf0.001"
@@ -52,3 +53,16 @@ def test_elements_as_rows_have_the_paths_of_an_array(spark):
     claims = claims.withColumn("claim_id", F.col("path"))
     said = {r.path: r.claim for r in coverage.with_verdicts(got, claims).collect()}
     assert said == {**{r.claim_id: r.status for r in coverage.claim_check(claims, got).collect()}, "bouts.7.round": None}
+
+
+@pytest.mark.parametrize("listed", [0, 2, 1000])
+def test_common_opponents_are_found_among_ids(spark, listed):
+    """Results of both sides were carried through a row for each opponent of each pair."""
+    met = [(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4), (5, 1), (1, 2), (4, 2)]
+    sides = [(f, x, y) for f, (a, b) in enumerate(met) for x, y in ((a, b), (b, a))]
+    persp = spark.createDataFrame(sides, "fight_id long, fighter_id long, opponent_id long").withColumns({"event_date": F.lit("2000-01-01").cast("date"), "bout_outcome": F.lit("win")})
+    pairs = spark.createDataFrame([*met, (2, 1), (5, 2)], "a_id long, b_id long")
+    got = {(r.a_id, r.b_id, r.opponent_id): ([x.fight_id for x in r.a_results], [x.fight_id for x in r.b_results]) for r in paths.common_opponents(pairs, persp, listed).collect()}
+    fights = lambda x, y: [f for f, a, b in sides if (a, b) == (x, y)]
+    asked = {(r.a_id, r.b_id) for r in pairs.collect()}
+    assert got == {(a, b, o): (fights(a, o), fights(b, o)) for a, b in asked for o in range(1, 6) if fights(a, o) and fights(b, o)}
