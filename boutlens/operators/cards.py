@@ -103,11 +103,17 @@ def identity_sets(urls: DataFrame, summaries: DataFrame) -> DataFrame:
     urls: event_id, fight_url, fight_id. summaries: event_id, fight_url, fight_id.
     """
 
-    def twice(df: DataFrame, what: str) -> DataFrame:
-        per = df.groupBy("event_id").agg(F.count("*").alias("n"), F.count_distinct("fight_url").alias("u"), F.count_distinct("fight_id").alias("i"))
-        return per.filter("n != u OR n != i").select("event_id", F.lit(f"{what} repeats a url or an id").alias("problem"))
-
     keys = ["event_id", "fight_url", "fight_id"]
-    lacks = urls.join(summaries, keys, "left_anti").select("event_id", F.lit("summary missing").alias("problem"))
-    extra = summaries.join(urls, keys, "left_anti").select("event_id", F.lit("summary without url").alias("problem"))
-    return twice(urls, "card").unionByName(twice(summaries, "summary")).unionByName(lacks).unionByName(extra).distinct()
+    side = lambda df, card: df.select(*keys, F.lit(card).alias("card"), F.lit(1 - card).alias("summary"))
+    # each side is read once; an entry is counted on both, then its url and its id on their card
+    entries = side(urls, 1).unionByName(side(summaries, 0)).groupBy(*keys).agg(F.sum("card").alias("card"), F.sum("summary").alias("summary"))
+    alone = F.col("event_id").isNull() | F.col("fight_url").isNull() | F.col("fight_id").isNull()
+    lone = lambda mine, other: (F.col(mine) > 0) & ((F.col(other) == 0) | alone)
+    names = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).cast("string").alias("name")) for i, c in enumerate(keys[1:])])
+    long = entries.select("event_id", F.explode(names).alias("x"), "card", "summary", lone("card", "summary").alias("lacks"), lone("summary", "card").alias("extra"))
+    per = long.groupBy("event_id", "x").agg(F.sum("card").alias("card"), F.sum("summary").alias("summary"), F.max("lacks").alias("lacks"), F.max("extra").alias("extra"))
+    twice = lambda c: F.max((F.col(c) > 1) | ((F.col(c) > 0) & F.col("x.name").isNull()))
+    cards = per.groupBy("event_id").agg(twice("card").alias("card"), twice("summary").alias("summary"), F.max("lacks").alias("lacks"), F.max("extra").alias("extra"))
+    problems = {"card": "card repeats a url or an id", "summary": "summary repeats a url or an id", "lacks": "summary missing", "extra": "summary without url"}
+    found = F.array_compact(F.array(*[F.when(F.col(c), p) for c, p in problems.items()]))
+    return cards.select("event_id", F.explode(found).alias("problem"))

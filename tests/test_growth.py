@@ -66,3 +66,14 @@ def test_common_opponents_are_found_among_ids(spark, listed):
     fights = lambda x, y: [f for f, a, b in sides if (a, b) == (x, y)]
     asked = {(r.a_id, r.b_id) for r in pairs.collect()}
     assert got == {(a, b, o): (fights(a, o), fights(b, o)) for a, b in asked for o in range(1, 6) if fights(a, o) and fights(b, o)}
+
+
+def test_identity_sets_read_each_side_once(spark):
+    """Each side was read four times, for distinct counts and two joins."""
+    schema = "event_id string, fight_url string, fight_id long"
+    urls = spark.createDataFrame([("a", "u1", 1), ("a", "u2", 2), ("b", "u3", 3), ("b", "u3", 4), ("c", None, 5), ("d", "u6", 6)], schema)
+    sent = spark.createDataFrame([("a", "u1", 1), ("a", "u2", 2), ("b", "u3", 3), ("b", "u4", 4), ("c", None, 5), ("d", "u6", 6), ("d", "u6", 6)], schema)
+    df = cards.identity_sets(urls, sent)
+    assert "Join" not in plan_of(df)
+    both = {("c", f"{x} repeats a url or an id") for x in ("card", "summary")} | {(e, p) for e in "bc" for p in ("summary missing", "summary without url")}
+    assert {tuple(r) for r in df.collect()} == both | {("b", "card repeats a url or an id"), ("d", "summary repeats a url or an id")}
