@@ -68,6 +68,15 @@ def test_common_opponents_are_found_among_ids(spark, listed):
     assert got == {(a, b, o): (fights(a, o), fights(b, o)) for a, b in asked for o in range(1, 6) if fights(a, o) and fights(b, o)}
 
 
+def test_final_aggregates_read_their_rows_once(spark):
+    """The rows were joined with what ended the streaks in them."""
+    rows = spark.createDataFrame([(1, i, o) for i, o in enumerate(["win", "draw", "win", "no_contest", "win", None], 1)] + [(2, 1, "loss"), (2, 2, "loss")], "fighter_id long, fighter_sequence int, bout_outcome string")
+    persp = rows.withColumns({**{f"bout_{c}": F.lit(1) for c in SUMMED}, "event_date": F.lit("2000-01-01").cast("date")})
+    df = derived.final_aggregates(persp)
+    assert "Join" not in plan_of(df)
+    assert {r.fighter_id: (r.fights, r.current_win_streak, r.current_loss_streak) for r in df.collect()} == {1: (6, 2, 0), 2: (2, 0, 2)}
+
+
 def test_identity_sets_read_each_side_once(spark):
     """Each side was read four times, for distinct counts and two joins."""
     schema = "event_id string, fight_url string, fight_id long"
