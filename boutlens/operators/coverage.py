@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import card_preview, event_matches, mentions, paired_title, recap, words
+from ..joins import small
 
 # Wording of odds and polls, of causes, and of technique; words that hedge a pick or report another's.
 MARKET = (
@@ -294,7 +295,7 @@ def quotes(outputs: DataFrame, protected: DataFrame, key: str, text_words: str =
         return F.array_distinct(F.flatten(F.array_compact(F.array(*[of(w, n) for n in sizes]))))
 
     grams = outputs.select(key, F.explode(F.transform(F.array(w), runs)[0]).alias("gram"))
-    return grams.join(protected, "gram", "left_semi").groupBy(key).agg(F.count("*").alias("quotes"))
+    return grams.join(small(protected), "gram", "left_semi").groupBy(key).agg(F.count("*").alias("quotes"))
 
 
 def redacted(outputs: DataFrame, found: DataFrame, key: str, text: str = "text", notice: str = "[Quotation omitted; see the linked source.]") -> DataFrame:

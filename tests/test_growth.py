@@ -86,3 +86,21 @@ def test_identity_sets_read_each_side_once(spark):
     assert "Join" not in plan_of(df)
     both = {("c", f"{x} repeats a url or an id") for x in ("card", "summary")} | {(e, p) for e in "bc" for p in ("summary missing", "summary without url")}
     assert {tuple(r) for r in df.collect()} == both | {("b", "card repeats a url or an id"), ("d", "summary repeats a url or an id")}
+
+
+def test_grams_of_outputs_stay_where_they_are(spark):
+    """Every gram of every output was shuffled to meet the few protected ones."""
+    few = spark.createDataFrame([("a b c d",)], "text_words string")
+    outputs = spark.createDataFrame([(1, "x a b c d y"), (2, "a b d")], "id long, text_words string")
+    df = coverage.quotes(outputs, coverage.protected_grams(few), "id")
+    assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString() and "strategy=broadcast" in plan_of(df)
+    assert [tuple(r) for r in df.collect()] == [(1, 1)]
+
+
+def test_words_keep_letters_and_digits_of_any_text(spark):
+    import unicodedata
+
+    texts = ["".join(map(chr, range(0x500))), "Éa_b-C9\n\tß İ", "", " ", None]
+    got = [r.w for r in spark.createDataFrame([(x,) for x in texts], "x string").select(scalars.words(F.col("x")).alias("w")).collect()]
+    plain = lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode().lower()
+    assert got == [None if x is None else " ".join("".join(c if c.isalnum() else " " for c in plain(x)).split()) for x in texts]
