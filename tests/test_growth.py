@@ -104,3 +104,10 @@ def test_words_keep_letters_and_digits_of_any_text(spark):
     got = [r.w for r in spark.createDataFrame([(x,) for x in texts], "x string").select(scalars.words(F.col("x")).alias("w")).collect()]
     plain = lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode().lower()
     assert got == [None if x is None else " ".join("".join(c if c.isalnum() else " " for c in plain(x)).split()) for x in texts]
+
+
+@needs_tables
+def test_a_rebuild_reads_its_contests_once(spark):
+    """Contests were made and numbered twice, and the rows of both sides were joined with the meetings."""
+    plan = plan_of(QUERIES["rebuild_derived"](spark, SMALL))
+    assert plan.count("RelationV2") + plan.count("Relation [") == 4 and plan.count("Join") == 3
