@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens.functions import scalars
-from boutlens.operators import asof, cards, coverage, derived, paths
+from boutlens.operators import asof, cards, coverage, derived, paths, scoring
 from boutlens.plans import QUERIES
 from boutlens.schema import SUMMED
 from boutlens.sources import files
@@ -111,3 +111,33 @@ def test_a_rebuild_reads_its_contests_once(spark):
     """Contests were made and numbered twice, and the rows of both sides were joined with the meetings."""
     plan = plan_of(QUERIES["rebuild_derived"](spark, SMALL))
     assert plan.count("RelationV2") + plan.count("Relation [") == 4 and plan.count("Join") == 3
+
+
+@needs_tables
+def test_contests_of_forecasts_are_made_once(spark):
+    """Forecasts, results by id, results by pair and the market each made the contests anew; texts were aggregated, so sorted twice."""
+    for name in ("score_rows",):
+        plan = plan_of(QUERIES[name](spark, SMALL))
+        assert "l_orderkey" not in plan and "min(" not in plan
+
+
+def test_a_summary_is_made_once(spark):
+    """Both sides of the join with the baseline graded all forecasts."""
+    rows = spark.createDataFrame([(r, i < n) for r, n in (("first", 5), ("second", 2)) for i in range(6)], "run_id string, right boolean")
+    graded = rows.select("run_id", F.col("right").alias("winner_correct"), F.col("right").alias("method_correct"), F.col("right").alias("round_correct"),
+                         F.col("right").alias("exact_correct"), F.lit("RIGHT").alias("status"), F.when(F.col("right"), 0.1).otherwise(0.9).alias("brier"))
+    df = scoring.retention_policy(scoring.score_summary(graded).withColumn("cost", F.lit(1.0)), "second")
+    assert "Aggregate" not in plan_of(df)
+    assert [tuple(r) for r in df.collect()] == [("first", True, True, True, True, True, True)]
+
+
+def test_the_least_row_of_a_key_is_one(spark):
+    rows = [(1, "b"), (1, "a"), (1, "a"), (2, None), (2, "c"), (None, "x"), (None, "w")]
+    got = scoring.least_of(spark.createDataFrame(rows, "k int, v string").withColumn("s", F.struct("v")), "s", "k").collect()
+    assert {(r.k, r.v, r.n) for r in got} == {(1, "a", 3), (2, None, 2), (None, "w", 2)} and len(got) == 3
+
+
+def test_white_space_of_names_is_one_blank(spark):
+    names = ["A  B", " a\tb ", "A\u00a0B", "x\n\ny", "", "a b", None, "\x0bq\f\rz"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select(F.regexp_replace("n", r"\s+", " ").alias("old"), scoring.single_spaced(F.col("n")).alias("new"))
+    assert all(r.old == r.new for r in df.collect())
