@@ -116,7 +116,7 @@ def test_a_rebuild_reads_its_contests_once(spark):
 @needs_tables
 def test_contests_of_forecasts_are_made_once(spark):
     """Forecasts, results by id, results by pair and the market each made the contests anew; texts were aggregated, so sorted twice."""
-    for name in ("score_rows",):
+    for name in ("market_compare", "score_rows"):
         plan = plan_of(QUERIES[name](spark, SMALL))
         assert "l_orderkey" not in plan and "min(" not in plan
 
