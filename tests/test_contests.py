@@ -94,6 +94,15 @@ def test_career(spark, persp):
     assert rows[9].fights == 0 and "debut" in rows[9].caveats
 
 
+def test_metrics_count_by_method(spark):
+    """Wins and losses by method were left out."""
+    rows = [("w1", "2024-01-01", "a", "b", "completed", "KO/TKO"), ("w2", "2024-01-10", "a", "c", "completed", "KO/TKO"), ("w3", "2024-01-20", "a", "d", "completed", None),
+            ("l1", "2024-02-01", "b", "a", "completed", "Submission"), ("n1", "2024-03-01", "a", "b", "no_contest", "Overturned")]
+    got = metrics.entity_metrics(perspectives.perspectives(contests(spark, rows))).filter("fighter_id = 1").first()
+    assert got.wins_by_method == {"KO/TKO": 2, "Unknown": 1} and got.losses_by_method == {"Submission": 1}
+    assert (got.fights, got.record_win, got.record_loss, got.record_no_contest, got.submission_losses) == (5, 3, 1, 1, 1) and got.finish_rate_among_wins == pytest.approx(2 / 3)
+
+
 def test_future_rows_change_nothing(spark, persp):
     later = contests(spark, [*GRAPH, ("m10", CUTOFF, "b", "a", "completed", "KO/TKO"), ("m11", "2022-01-01", "c", "a", "completed", "KO/TKO")])
     more = perspectives.perspectives(later)
