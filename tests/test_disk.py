@@ -75,3 +75,17 @@ def test_states_and_questions_are_written_once(spark, monkeypatch):
     df = QUERIES["style_profile"](spark, SMALL)
     assert sum("until" in c for c in written) == 0 and sum("cohort_sizes" in c for c in written) == 0
     assert len({f for f in kept_folders(spark) - before if not f.startswith("rdd-")}) <= 3 and df.count() > 0
+
+
+def joins(plan):
+    """The outputs of all joins of a plan."""
+    kids = plan.children()
+    own = [plan.output().mkString(" ")] if plan.nodeName() == "Join" else []
+    return own + [x for i in range(kids.size()) for x in joins(kids.apply(i))]
+
+
+@needs_tables
+def test_pairs_carry_no_histories(spark):
+    """Rows of pairs went through two shuffles with all contests of an entity."""
+    plan = QUERIES["matchup_evidence"](spark, SMALL)._jdf.queryExecution().optimizedPlan()
+    assert sum("bouts#" in x and "a_id#" in x for x in joins(plan)) == 1
