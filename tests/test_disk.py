@@ -2,13 +2,14 @@
 
 import glob
 import os
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from boutlens import checkpoints
-from boutlens.operators import asof, perspectives, ratings
+from boutlens.operators import asof, paths, perspectives, ratings
 from boutlens.plans import QUERIES
 from tests.test_contests import contests
 
@@ -89,3 +90,32 @@ def test_pairs_carry_no_histories(spark):
     """Rows of pairs went through two shuffles with all contests of an entity."""
     plan = QUERIES["matchup_evidence"](spark, SMALL)._jdf.queryExecution().optimizedPlan()
     assert sum("bouts#" in x and "a_id#" in x for x in joins(plan)) == 1
+
+
+def plain_chains(edges, start, target, depth):
+    """All simple chains, by walking."""
+    found, stack = [], [(start, (start,), ())]
+    while stack:
+        at, seen, fights = stack.pop()
+        for w, x, f in edges:
+            if w == at and x not in seen and len(fights) < depth:
+                if x == target:
+                    found.append((*seen, x))
+                else:
+                    stack.append((x, (*seen, x), (*fights, f)))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5])
+def test_chains_are_made_and_kept_in_parts(spark, depth):
+    """All chains of both halves went through one job, most of which met nothing; now each length has its own, and its sums are kept."""
+    draw = random.Random(depth)
+    won = [(*draw.sample(range(9), 2), f) for f in range(30)] + [(0, 1, 100), (0, 1, 101)]
+    edges = spark.createDataFrame([(*e, 0.5) for e in won], "winner long, loser long, fight_id long, weight double").localCheckpoint()
+    asked = [(s, t) for s in range(9) for t in range(9) if s != t]
+    pairs = spark.createDataFrame(asked, "start long, target long").localCheckpoint()
+    whole = sorted((r.start, r.target, tuple(r.entities)) for r in paths.paths(pairs, edges, depth).collect())
+    assert whole == sorted((s, t, c) for s, t in asked for c in plain_chains(won, s, t, depth))
+    parts = []
+    kept = paths.paths(pairs, edges, depth, lambda df: parts.append(1) or df.groupBy("start", "target").agg(F.count("*").alias("n")))
+    assert len(parts) == depth // 2 + 1 and kept.agg(F.sum("n")).first()[0] == len(whole)
