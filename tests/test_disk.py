@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from boutlens import checkpoints
-from boutlens.operators import asof, paths, perspectives, ratings
-from boutlens.plans import QUERIES
+from boutlens.operators import asof, derived, paths, perspectives, ratings, validate
+from boutlens.plans import QUERIES, check_queries
+from boutlens.plans.catalog import Tables
 from tests.test_contests import contests
 
 SMALL = "/root/testdata/sf0.001"
@@ -119,3 +120,38 @@ def test_chains_are_made_and_kept_in_parts(spark, depth):
     parts = []
     kept = paths.paths(pairs, edges, depth, lambda df: parts.append(1) or df.groupBy("start", "target").agg(F.count("*").alias("n")))
     assert len(parts) == depth // 2 + 1 and kept.agg(F.sum("n")).first()[0] == len(whole)
+
+
+def test_checks_run_in_several_jobs(spark, monkeypatch):
+    """All checks were one job, so the shuffle files of all stood side by side."""
+    jobs, real = [], validate.checkpointed
+    monkeypatch.setattr(validate, "checkpointed", lambda df: jobs.append(1) or real(df))
+    rows = spark.range(20).select(F.col("id").cast("string").alias("sample"))
+    found = {f"check.{i}": (validate.HARD, lambda i=i: rows.filter(F.col("sample") < str(i))) for i in range(10)}
+    got = {r.check_id: (r.status, r["count"], r.samples) for r in validate.run_checks(found, at_once=4).collect()}
+    assert len(jobs) == 3 and got["check.0"] == ("PASS", 0, []) and got["check.3"] == ("FAIL", 13, ["0", "1", "10", "11", "12"])
+    assert got == {r.check_id: (r.status, r["count"], r.samples) for r in validate.run_checks(found, at_once=100).collect()}
+
+
+@needs_tables
+def test_damaged_histories_are_not_written(spark, monkeypatch):
+    """Both sides with all counts went through the windows of two sequences that no check reads."""
+    written, real = [], check_queries.written
+    monkeypatch.setattr(check_queries, "written", lambda df: written.append(df.columns) or real(df))
+    history = check_queries.damaged(Tables(spark, SMALL))["history"]
+    assert len(written) == 4 and not any("fighter_sequence" in c for c in written)
+    assert "Exchange" not in history.select("fight_id", "fighter_id", "bout_knockdowns")._jdf.queryExecution().executedPlan().toString()
+
+
+@needs_tables
+def test_a_rebuild_orders_cards_without_counts(spark, monkeypatch):
+    """The counts of both sides went through the windows that order cards, and were kept."""
+    kept, real = [], derived.checkpointed
+    monkeypatch.setattr(derived, "checkpointed", lambda df: kept.append(df.columns) or real(df))
+    t = Tables(spark, SMALL)
+    fights = t.contests.withColumns({"winner_name": F.lit(None).cast("string"), "ingest_seq": F.col("fight_id"), "created_at": F.lit(None).cast("timestamp")})
+    wide = derived.rebuild_tables(t.cards, fights, t.rounds, t.fighters)[0]
+    assert len(kept) == 1 and not any("knockdowns" in c for c in kept[0])
+    landed = F.sum("fighter_a_significant_strikes_landed")
+    with_rounds = t.contests.join(t.rounds.select("fight_id").distinct(), "fight_id", "left_semi")
+    assert wide.agg(landed).first() == with_rounds.agg(landed).first() and wide.count() == t.contests.count()
